@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from lexiloom.llm import substrings
+from lexiloom.llm import bpe, minhash, substrings
 
 QUERIES = {
+    "op6_bpe": bpe.op6,
     "op8_substring_dedup": substrings.op8,
+    "op9_minhash_near_dedup": minhash.op9,
 }
 
 ORACLES = {
     "op8_substring_dedup": substrings.OP8_SQL,
+    "op9_minhash_near_dedup": minhash.OP9_SQL,
 }
