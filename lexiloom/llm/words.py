@@ -61,9 +61,9 @@ def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, at - at[0]
 
 
-def word_bounds(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_bounds(data: np.ndarray, at: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of each word, and for each text the range of its words (n + 1 offsets)."""
-    inside = ~SPACE[data]
+    inside = ~space[data]
     n = len(data)
     before = np.zeros(n, bool)
     before[1:] = inside[:-1]
