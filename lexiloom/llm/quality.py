@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lexiloom.llm import words as W
 
@@ -163,9 +164,12 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
     and null ids are rows like others; an empty table gives no rows.  Columns
     already named expected_grade or tail_probability are replaced.
     """
-    src = docs.drop("expected_grade", "tail_probability").withColumn("text", F.col("text").cast("string"))
-    schema = src.schema.add("expected_grade", "double").add("tail_probability", "double")
-    return src.mapInArrow(_scores(model), schema)
+    docs = docs.drop("expected_grade", "tail_probability")
+    names = docs.columns
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])  # so that no name of another column matters
+    src = plain.withColumn("text", F.col(f"c{names.index('text')}").cast("string"))
+    schema = T.StructType([*src.schema.fields, T.StructField("expected_grade", T.DoubleType()), T.StructField("tail_probability", T.DoubleType())])
+    return src.mapInArrow(_scores(model), schema).drop("text").toDF(*names, "expected_grade", "tail_probability")
 
 
 def select(docs: DataFrame, labels: DataFrame, tail: float = TAIL) -> DataFrame:
