@@ -7,12 +7,15 @@ coordinate fills.  Rounds stop when all are full, so a set of n shingles costs
 about n + t log t hashes for t coordinates, and coordinates agree with the
 probability of the Jaccard similarity.
 
-With 28 bands of 4 rows a pair at 0.8 is in a common bucket but for 4 cases in
-ten million.  Documents with equal sets are one node.  In each bucket all nodes
-are verified on full sets against one pivot; nodes already in one component
-need no more pairs.  What is left in a bucket is verified against a second
-pivot, then all pairs across components, less those that the triangle
-inequality of the Jaccard distance excludes.  No link is lost after banding.
+With 44 bands of 6 rows a pair at 0.8 is in a common bucket but for 2 cases in a
+million.  Documents with equal sets are one node.  In each bucket all nodes are
+verified on full sets against one pivot p, which is linear in the bucket.  For
+the pairs left, let the difference of x be its symmetric difference with p.  If
+x does not link with p, it can link with y only if their differences share a
+number of elements that follows from the sizes (with none in common, y is no
+nearer to x than p is).  So only nodes whose differences share one of their
+rarest elements, as many as that number leaves, are verified; a bucket of
+thousands of near copies gives no pairs of all with all.
 """
 
 from __future__ import annotations
@@ -26,9 +29,9 @@ from pyspark.sql import functions as F
 
 from lexiloom.llm import words as W
 from lexiloom.llm.components import components
-from lexiloom.llm.scratch import cut, written
+from lexiloom.llm.scratch import written
 
-BANDS, ROWS = 28, 4
+BANDS, ROWS = 44, 6
 _ROUND = W.seeds(2 * BANDS * ROWS, 901)
 _BAND = W.seeds(ROWS, 902)
 _NAMES = W.seeds(BANDS, 903)
@@ -99,12 +102,42 @@ def _full_sets(k: int):
     return run
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b) pairs with the size of the intersection and of the union of their sets; sizes too far apart to link are left out."""
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b) pairs with their sets x and y."""
     one = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("items").alias("x")), "a")
-    two = one.join(sets.select(F.col("doc_id").alias("b"), F.col("items").alias("y")), "b")
-    both = F.size(F.array_intersect("x", "y")).cast("long")
-    return two.select("a", "b", both.alias("common"), (F.size("x") + F.size("y") - both).alias("union"))
+    return one.join(sets.select(F.col("doc_id").alias("b"), F.col("items").alias("y")), "b")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b) pairs with the sizes of both sets and of their intersection."""
+    common = F.size(F.array_intersect("x", "y"))
+    return _with_sets(pairs, sets).select("a", "b", common.alias("common"), F.size("x").alias("n_a"), F.size("y").alias("n_b"))
+
+
+def _unmet(checked: DataFrame, label: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of nodes of one pivot b, in different components, that can link: those that share a rare element of their differences."""
+    t = percent / 100
+    share = t / (1 + t)
+    near = 2 * t - 1  # a node less like the pivot than this links with none that links with the pivot
+    g = checked.join(label.withColumnRenamed("id", "a"), "a", "left").withColumn("label", F.coalesce("component", "a")).drop("component")
+    g = g.withColumn("stray", F.expr(f"100 * common < {percent} * (n_a + n_b - common)")).withColumn("like", F.expr("common / (n_a + n_b - common)"))
+    g = g.withColumn("differ", F.expr("n_a + n_b - 2 * common")).withColumn("far", F.expr(f"{share} * n_a + n_b - common - n_b / 2.0"))
+    base = f"n_b * {(1 - t) / (2 * (1 + t))}"
+    g = g.withColumn("need", F.expr(f"CAST(greatest(1, ceil(IF(stray, {1 + t} * (far - {base}), far + {base}) - 1e-6)) AS int)"))
+    mixed = g.groupBy("b").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count_if("stray").alias("strays"), F.max(F.when(F.col("stray"), F.col("like"))).alias("nearest"), F.count_if(F.col("like") >= near).alias("close"))
+    mixed = mixed.where((F.col("lo") != F.col("hi")) & ((F.col("strays") > 1) | (F.col("nearest") >= near))).select("b", "nearest", "close")
+    g = g.join(mixed, "b").where((F.col("need") <= F.col("differ")) & (F.col("stray") | (F.col("nearest") >= near)))
+    g = _with_sets(g, sets).withColumn("diff", F.concat(F.array_except("x", "y"), F.array_except("y", "x"))).drop("x", "y")
+    g = written(g.select("a", "b", "label", "stray", "like", "close", "differ", "far", "need", "diff"), "differences")
+    often = g.where(F.col("like") >= near).select("b", "close", F.explode("diff").alias("e")).groupBy("b", "e").agg(F.count(F.lit(1)).alias("n"), F.first("close").alias("close"))
+    often = often.where("n > 1 AND n * 100 >= close").groupBy("b").agg(F.collect_list("e").alias("often"))
+    g = g.join(often, "b", "left").withColumn("often", F.coalesce("often", F.array().cast("array<long>")))
+    order = F.concat(F.array_except("diff", "often"), F.array_intersect("diff", "often"))
+    g = written(g.select("a", "b", "label", "stray", "far", "differ", F.explode(F.slice(order, F.lit(1), F.col("differ") - F.col("need") + 1)).alias("e")), "rare")
+    one = g.where("stray").select("b", "e", "a", F.col("label").alias("l1"), F.col("far").alias("f1"), F.col("differ").alias("d1"))
+    two = g.select("b", "e", F.col("a").alias("c"), F.col("label").alias("l2"), F.col("far").alias("f2"), F.col("differ").alias("d2"), "stray")
+    meet = one.join(two, (one["b"] == two["b"]) & (one["e"] == two["e"]) & F.expr("l1 <> l2 AND f1 + f2 <= least(d1, d2) + 1e-6 AND (NOT stray OR a < c)"))
+    return meet.select(F.greatest("a", "c").alias("a"), F.least("a", "c").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -134,31 +167,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     sets = written(src.join(wanted, "doc_id", "left_semi").mapInArrow(_full_sets(k), "doc_id long, items array<long>"), "sets")
 
     checked = written(_verified(inside.where("a <> b").select("a", "b").distinct(), sets), "verified")
-    linked = F.expr(f"100 * common >= {percent} * union")
-    likeness = checked.select("a", "b", (F.col("common") / F.col("union")).alias("like"))
-    rest = inside.where("a <> b").join(likeness, ["a", "b"], "left").select("bucket", "a", "like")
-    label = None
-    for last in (False, True):
-        label = components(checked.where(linked).select("a", "b"))
-        now = rest.join(label.withColumnRenamed("id", "a"), "a", "left").select("bucket", "a", "like", F.coalesce("component", "a").alias("label"))
-        mixed = now.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min(F.struct(F.col("a").alias("b"), F.col("label").alias("b_label"))).alias("p")).where("lo <> hi").select("bucket", "p.*")
-        now = written(now.join(mixed, "bucket"), "undecided")
-        if now.isEmpty():
-            break
-        if not last:
-            pairs = now.where("label <> b_label").select("a", "b")
-            rest = now.where("a <> b").select("bucket", "a", "like")
-        else:
-            main = now.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("main"))
-            few = now.join(main, "bucket").where("label <> main").select("bucket", "a", "label", "like")
-            other = now.select("bucket", F.col("a").alias("b"), F.col("label").alias("b_label"), F.col("like").alias("b_like"))
-            near = F.expr(f"abs(coalesce(like, b_like, 0) - coalesce(b_like, like, 0)) <= 1 - {percent} / 100 + 1e-9")
-            pairs = few.join(other, (few["bucket"] == other["bucket"]) & (few["label"] != other["b_label"]) & near).select(F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a"))
-        pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().join(checked.select("a", "b"), ["a", "b"], "left_anti")
-        more = written(_verified(pairs, sets), "verified")
-        checked = checked.union(more)
-        if last:
-            label = components(checked.where(linked).select("a", "b"))
+    linked = F.expr(f"100 * common >= {percent} * (n_a + n_b - common)")
+    links = checked.where(linked).select("a", "b")
+    unmet = _unmet(checked, components(links), sets, percent).join(checked.select("a", "b"), ["a", "b"], "left_anti")
+    label = components(links.union(written(_verified(unmet, sets), "verified").where(linked).select("a", "b")))
     found = members.join(label.withColumnRenamed("id", "node"), "node", "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "node")).alias("component_id"))
     out = drawn.select("doc_id", "n_shingles").join(found, "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
