@@ -1 +1 @@
-
+"""Dataset-pipeline operators on DataFrames."""

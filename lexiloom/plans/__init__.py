@@ -1 +1 @@
-
+"""Stage plans, the deterministic fixture and the query catalogue."""
