@@ -78,7 +78,7 @@ def _strict(text: str | None) -> tuple[str | None, str | None]:
     return None, error
 
 
-@F.pandas_udf("value string, error string")
+@F.pandas_udf(T.StructType([T.StructField("value", T.StringType()), T.StructField("error", T.StringType())]))
 def json_object_python(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     """json_object with Python's parser: repeated keys (the last wins) and NaN are read."""
     for s in texts:

@@ -24,7 +24,7 @@ def jsonl_permissive(spark: SparkSession, path: str, schema: T.StructType) -> tu
 
 def bad_lines(spark: SparkSession, path: str) -> DataFrame:
     """File and number (from 1) of each line of one-split files that is not JSON, for error messages."""
-    lines = spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("file"), F.posexplode(F.split("value", "\n")).alias("at", "line"))
+    lines = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.posexplode(F.split("value", "\n")).alias("at", "line"))
     return lines.where((F.trim("line") != "") & F.try_parse_json("line").isNull()).select("file", (F.col("at") + 1).alias("line_number"), "line")
 
 

@@ -1 +1 @@
-
+"""Incremental runs over files as they arrive."""
