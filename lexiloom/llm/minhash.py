@@ -11,11 +11,15 @@ With 44 bands of 6 rows a pair at 0.8 is in a common bucket but for 2 cases in a
 million.  Documents with equal sets are one node.  In each bucket all nodes are
 verified on full sets against one pivot p, which is linear in the bucket.  For
 the pairs left, let the difference of x be its symmetric difference with p.  If
-x does not link with p, it can link with y only if their differences share a
-number of elements that follows from the sizes (with none in common, y is no
-nearer to x than p is).  So only nodes whose differences share one of their
-rarest elements, as many as that number leaves, are verified; a bucket of
-thousands of near copies gives no pairs of all with all.
+x does not link with p, it can link with y only if they share elements that p
+lacks, or if y lacks more of p than it has besides, and x lacks some of the same
+(else y is no nearer to x than p is).  How many follows from the sizes, so only
+nodes that share one of their rarest such elements are verified.  Each node has
+a home: of its pivots near it the one that most nodes are near; nodes are also
+verified with the homes of their homes.  Nodes of one home are paired by their
+differences with that one alone, so near copies meet only at a text near them
+all, where what they share is no difference; a bucket of thousands of near
+copies gives no pairs of all with all.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexiloom.llm import words as W
@@ -114,12 +118,30 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return _with_sets(pairs, sets).select("a", "b", common.alias("common"), F.size("x").alias("n_a"), F.size("y").alias("n_b"))
 
 
+def _homes(checked: DataFrame, near: float) -> DataFrame:
+    """For each a its home: of the pivots near it the one with most near nodes, else the likest."""
+    like = F.expr("common / (n_a + n_b - common)")
+    of = checked.select("a", "b", like.alias("like"))
+    many = of.where(F.col("like") >= near).groupBy("b").agg(F.count(F.lit(1)).alias("many"))
+    size = F.when(F.col("like") >= near, F.col("many")).otherwise(F.lit(0))
+    return of.join(many, "b", "left").groupBy("a").agg(F.max_by("b", F.struct(size, "like", -F.col("b"))).alias("b"))
+
+
+def _moved(checked: DataFrame, near: float) -> DataFrame:
+    """Pairs of nodes with the home of their home, where that is another: one for each node at most."""
+    home = _homes(checked, near)
+    up = home.select(F.col("a").alias("b"), F.col("b").alias("up"))
+    return home.join(up, "b").where("up <> a").select("a", F.col("up").alias("b")).join(checked.select("a", "b"), ["a", "b"], "left_anti")
+
+
 def _unmet(checked: DataFrame, label: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of nodes of one pivot b, in different components, that can link: those that share a rare element of their differences."""
     t = percent / 100
     share = t / (1 + t)
     near = 2 * t - 1  # a node less like the pivot than this links with none that links with the pivot
-    g = checked.join(label.withColumnRenamed("id", "a"), "a", "left").withColumn("label", F.coalesce("component", "a")).drop("component")
+    home = _homes(checked, near).withColumnRenamed("b", "home")
+    label = home.join(label.withColumnRenamed("id", "a"), "a", "left").select("a", "home", F.coalesce("component", "a").alias("label"))
+    g = checked.join(written(label, "labels"), "a")
     g = g.withColumn("stray", F.expr(f"100 * common < {percent} * (n_a + n_b - common)")).withColumn("like", F.expr("common / (n_a + n_b - common)"))
     g = g.withColumn("differ", F.expr("n_a + n_b - 2 * common")).withColumn("far", F.expr(f"{share} * n_a + n_b - common - n_b / 2.0"))
     base = f"n_b * {(1 - t) / (2 * (1 + t))}"
@@ -127,17 +149,48 @@ def _unmet(checked: DataFrame, label: DataFrame, sets: DataFrame, percent: int)
     mixed = g.groupBy("b").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count_if("stray").alias("strays"), F.max(F.when(F.col("stray"), F.col("like"))).alias("nearest"), F.count_if(F.col("like") >= near).alias("close"))
     mixed = mixed.where((F.col("lo") != F.col("hi")) & ((F.col("strays") > 1) | (F.col("nearest") >= near))).select("b", "nearest", "close")
     g = g.join(mixed, "b").where((F.col("need") <= F.col("differ")) & (F.col("stray") | (F.col("nearest") >= near)))
-    g = _with_sets(g, sets).withColumn("diff", F.concat(F.array_except("x", "y"), F.array_except("y", "x"))).drop("x", "y")
-    g = written(g.select("a", "b", "label", "stray", "like", "close", "differ", "far", "need", "diff"), "differences")
-    often = g.where(F.col("like") >= near).select("b", "close", F.explode("diff").alias("e")).groupBy("b", "e").agg(F.count(F.lit(1)).alias("n"), F.first("close").alias("close"))
+    g = _with_sets(g, sets).withColumns({"more": F.array_except("x", "y"), "less": F.array_except("y", "x")}).drop("x", "y")
+    g = written(g.select("a", "b", "home", "label", "stray", "like", "close", "differ", "far", "more", "less", (F.col("far") - F.expr(base) - share * F.size("less")).alias("beyond")), "differences")
+    often = g.where(F.col("like") >= near).select("b", "close", F.explode(F.concat("more", "less")).alias("e")).groupBy("b", "e").agg(F.count(F.lit(1)).alias("n"), F.first("close").alias("close"))
     often = often.where("n > 1 AND n * 100 >= close").groupBy("b").agg(F.collect_list("e").alias("often"))
     g = g.join(often, "b", "left").withColumn("often", F.coalesce("often", F.array().cast("array<long>")))
-    order = F.concat(F.array_except("diff", "often"), F.array_intersect("diff", "often"))
-    g = written(g.select("a", "b", "label", "stray", "far", "differ", F.explode(F.slice(order, F.lit(1), F.col("differ") - F.col("need") + 1)).alias("e")), "rare")
-    one = g.where("stray").select("b", "e", "a", F.col("label").alias("l1"), F.col("far").alias("f1"), F.col("differ").alias("d1"))
-    two = g.select("b", "e", F.col("a").alias("c"), F.col("label").alias("l2"), F.col("far").alias("f2"), F.col("differ").alias("d2"), "stray")
-    meet = one.join(two, (one["b"] == two["b"]) & (one["e"] == two["e"]) & F.expr("l1 <> l2 AND f1 + f2 <= least(d1, d2) + 1e-6 AND (NOT stray OR a < c)"))
-    return meet.select(F.greatest("a", "c").alias("a"), F.least("a", "c").alias("b")).distinct()
+    rare_first = lambda c: F.concat(F.array_except(c, "often"), F.array_intersect(c, "often"))
+    g = g.withColumns({f"{c}_{k}": _marks(c, k) for c in ("more", "less") for k in range(MARKS)}).withColumns({"n_more": F.size("more"), "n_less": F.size("less")})
+    who = ["a", "b", "home", "label", "stray", "far", "differ", "n_more", "n_less", *[f"{c}_{k}" for c in ("more", "less") for k in range(MARKS)]]
+
+    # Shared elements that p lacks: one at least, or as many more as the sizes ask for.
+    some = F.expr(f"CAST(size(more) - greatest(1, ceil({1 + t} * beyond - 1e-6)) + 1 AS int)")
+    g = written(g.withColumns({"first_more": F.slice(rare_first("more"), F.lit(1), F.greatest(some, F.lit(0))), "first_less": F.slice(rare_first("less"), F.lit(1), F.greatest(F.size("less") - F.size("more"), F.lit(0)))}).drop("more", "often"), "rare")
+    more = g.select(*who, F.explode("first_more").alias("e"))
+    met = _meet(more.where("stray"), more, "(NOT t_stray OR a < t_a)")
+    # Without one, y must lack more of p than it has besides, and x lack some of the same.
+    lacking = g.select(*who, F.explode("first_less").alias("e"))
+    there = g.where("stray").join(lacking.select("b").distinct(), "b", "left_semi").select(*who, F.explode("less").alias("e"))
+    return met.union(_meet(there, lacking, f"{_most('less')} > t_n_more")).distinct()
+
+
+#: Words of 64 bits in which the elements of a set are marked.
+MARKS = 4
+
+
+def _marks(column: str, k: int) -> Column:
+    """Bits of the elements of a set that fall in word k."""
+    mine = F.filter(column, lambda e: F.shiftrightunsigned(e, 6).bitwiseAND(MARKS - 1) == k)
+    return F.aggregate(mine, F.lit(0).cast("long"), lambda bits, e: bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), e.bitwiseAND(63).cast("int"))))
+
+
+def _most(c: str) -> str:
+    """A bound of the elements that the sets `c` of two nodes share: each bit that one lacks is an element that it lacks."""
+    gone = lambda x, y: " + ".join(f"bit_count({x}{c}_{k} & ~{y}{c}_{k})" for k in range(MARKS))
+    return f"least(n_{c} - ({gone('', 't_')}), t_n_{c} - ({gone('t_', '')}))"
+
+
+def _meet(one: DataFrame, two: DataFrame, rule: str) -> DataFrame:
+    """Pairs of nodes of one pivot with a common element, that are in different components, have no other home in common, and can share enough."""
+    two = two.select(*[F.col(c).alias(f"t_{c}") for c in two.columns])
+    on = (F.col("b") == F.col("t_b")) & (F.col("e") == F.col("t_e"))
+    can = F.expr(f"label <> t_label AND (home <> t_home OR home = b) AND far + t_far <= {_most('more')} + {_most('less')} + 1e-6 AND {rule}")
+    return one.join(two, on & can).select(F.greatest("a", "t_a").alias("a"), F.least("a", "t_a").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -168,6 +221,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
     checked = written(_verified(inside.where("a <> b").select("a", "b").distinct(), sets), "verified")
     linked = F.expr(f"100 * common >= {percent} * (n_a + n_b - common)")
+    for _ in range(2):
+        checked = checked.union(written(_verified(_moved(checked, percent / 50 - 1), sets), "moved"))
     links = checked.where(linked).select("a", "b")
     unmet = _unmet(checked, components(links), sets, percent).join(checked.select("a", "b"), ["a", "b"], "left_anti")
     label = components(links.union(written(_verified(unmet, sets), "verified").where(linked).select("a", "b")))
