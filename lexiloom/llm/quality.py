@@ -27,7 +27,8 @@ from lexiloom.llm import words as W
 SAMPLE = 12_000
 #: Features kept after screening, of SPACE hashed ones.
 SPACE, FEATURES = 1 << 20, 6_000
-STEPS, RATE, DECAY = 300, 0.1, 2e-4
+#: PRIOR is the precision of the weights, so a small sample is held more closely to none.
+STEPS, RATE, PRIOR = 300, 0.1, 2.4
 #: Documents with at least this probability of the highest grade are kept.
 TAIL = 0.5
 
@@ -112,7 +113,7 @@ def fit(sets: list[np.ndarray], grades: np.ndarray) -> tuple[np.ndarray, np.ndar
         by_t0 = np.where(low, -(1 - p0), np.where(mid, d0 / between, 0))
         by_t1 = np.where(high, p1, np.where(mid, -d1 / between, 0))
         g = np.empty_like(w)
-        g[:-2] = np.bincount(column, -(by_t0 + by_t1)[row], len(chosen)) / n + DECAY * w[:-2]
+        g[:-2] = np.bincount(column, -(by_t0 + by_t1)[row], len(chosen)) / n + PRIOR / n * w[:-2]
         g[-2], g[-1] = (by_t0 + by_t1).mean(), by_t1.mean() * np.exp(w[-1])
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         w = w - RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)

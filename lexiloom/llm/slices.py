@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from lexiloom.llm.neighbours import _matrix, usable
 
 #: Rows of an index block, queries of a query block, bits of a quantised attribute with sign.
-ROWS, QUERIES, BITS = 16384, 128, 7
+ROWS, QUERIES, BITS = 16384, 1024, 7
 
 
 def digits(x: int) -> list[tuple[int, int]]:
