@@ -64,31 +64,49 @@ class Cache(dict):
 class Coder:
     """Packed little-endian unsigned 32-bit ids of texts, given the ids of a pre-split word."""
 
-    def __init__(self, word: Callable[[str], list[int]], added: dict[str, int], most: int = 150_000):
+    def __init__(self, word: Callable[[str], list[int]], added: dict[str, int], most: int = 500_000):
         import regex
 
         self.added = added
         self.split = regex.compile(PATTERN).findall
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")").split if added else None
         self.odd = regex.compile(rf"[{SPACES}] (?:[{SPACES}]|\Z)").search
-        self.words = Cache(lambda w: array("I", word(w)).tobytes(), most)
-        self.spaced = Cache(lambda part: b"".join([self.words[w] for w in self.split(" " + part)]), most)
+        self.word = lambda w: array("I", word(w)).tobytes()
+        self.words = Cache(self.word, most // 4)
+        self.spaced = Cache(self._spaced, most)
+
+    def _spaced(self, part: str) -> bytes:
+        """The ids of a stretch after its space; letters, and letters before a full stop or comma, are words by the pattern."""
+        if part.isalpha():
+            return self.word(" " + part)
+        head = part[:-1]
+        if part[-1:] in (".", ",") and head.isalpha():
+            known = self.spaced.get(head) or self.spaced.old.get(head)
+            return (known or self.word(" " + head)) + self.words[part[-1]]
+        return b"".join([self.words[w] for w in self.split(" " + part)])
 
     def packed(self, text: str | None) -> bytes:
         """The ids of a text, strings of added tokens as those tokens; none for null."""
-        parts: list[bytes] = []
-        for k, run in enumerate(self.cut(text or "") if self.cut else [text or ""]):
-            if k % 2:
-                parts.append(self.added[run].to_bytes(4, "little"))
-            elif run and ("  " in run or self.odd(run)):
-                parts.extend(map(self.words.__getitem__, self.split(run)))
-            elif run:
-                head, *rest = run.split(" ")
-                parts.extend(map(self.words.__getitem__, self.split(head)))
-                parts.extend(map(self.spaced.__getitem__, rest))
+        if not text:
+            return b""
+        if any(a in text for a in self.added):
+            parts: list[bytes] = []
+            for k, run in enumerate(self.cut(text)):
+                parts.append(self.added[run].to_bytes(4, "little") if k % 2 else self._plain(run))
+            return b"".join(parts)
+        return self._plain(text)
+
+    def _plain(self, run: str) -> bytes:
+        if not run:
+            return b""
+        if "  " in run or self.odd(run):
+            out = b"".join(map(self.words.__getitem__, self.split(run)))
+        else:
+            head, *rest = run.split(" ")
+            out = b"".join(map(self.words.__getitem__, self.split(head))) + b"".join(map(self.spaced.__getitem__, rest))
         self.words.turn()
         self.spaced.turn()
-        return b"".join(parts)
+        return out
 
 
 def library_coder(path: str) -> Coder:
