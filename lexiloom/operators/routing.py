@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexiloom.functions.hashing import prompt_hash
-from lexiloom.operators.cost import estimate
 
 
 def join_results(requests: DataFrame, results: DataFrame, order: str) -> DataFrame:
@@ -86,7 +85,3 @@ def interactive_usage(prompt: Column, completion: Column, reasoning: Column) ->
     i, r = F.coalesce(prompt, F.lit(0)), F.coalesce(reasoning, F.lit(0))
     o = F.greatest(F.coalesce(completion, F.lit(0)) - r, F.lit(0))
     return F.struct(i.alias("input_tokens"), o.alias("output_tokens"), r.alias("reasoning_tokens"), (i + o + r).alias("total_tokens"))
-
-
-def priced(usage: DataFrame, prices: DataFrame, batch: Column) -> DataFrame:
-    return estimate(usage, prices, batch)

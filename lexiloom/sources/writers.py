@@ -89,7 +89,7 @@ def verify_split(source: DataFrame, parts: DataFrame, value: str, columns: list[
 def write_chunks(requests: DataFrame, path: str, size: int = 50_000) -> None:
     """Request lines in files of at most `size`, by ordinal."""
     chunked = requests.withColumn("chunk", chunk_of(F.col("ordinal"), size))
-    chunked.repartition("chunk").sortWithinPartitions("chunk", "ordinal").write.mode("overwrite").partitionBy("chunk").option("maxRecordsPerFile", size).text(path) if requests.columns == ["ordinal", "value"] else chunked.repartition("chunk").write.mode("overwrite").partitionBy("chunk").option("maxRecordsPerFile", size).json(path)
+    chunked.repartition("chunk").sortWithinPartitions("chunk", "ordinal").write.mode("overwrite").partitionBy("chunk").option("maxRecordsPerFile", size).json(path)
 
 
 def reuse_or_write(df_of, spark, path: str) -> DataFrame:
