@@ -142,7 +142,7 @@ def train(docs: DataFrame, labels: DataFrame) -> dict:
     rated = rated.orderBy(F.xxhash64("doc_id"), "doc_id", "grade").limit(SAMPLE)
     sample = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(rated), "doc_id")
     got = sample.select("text", "grade").sort(F.xxhash64("text"), "grade").coalesce(1).mapInArrow(_fit_task, "features array<int>, weights array<double>, cuts array<double>").first()
-    return got.asDict()
+    return got.asDict() if got else dict(zip(("features", "weights", "cuts"), (x.tolist() for x in fit([], np.zeros(0, np.int64))), strict=True))
 
 
 def _scores(model: dict):
