@@ -22,9 +22,14 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest doc_id, of each group of near-duplicates."""
-    groups = minhash.near_duplicates(docs, k=SHINGLE, percent=SIMILAR)
-    return docs.join(groups.where(~F.col("kept")).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    """One row, that of the smallest doc_id (null last), of each group of near-duplicates; rows that repeat a doc_id or have none count each for itself."""
+    keyed = written(docs.withColumn("row_key", F.monotonically_increasing_id()), "keyed")
+    groups = minhash.near_duplicates(keyed.select(F.col("row_key").alias("doc_id"), "text"), k=SHINGLE, percent=SIMILAR)
+    order = F.struct(F.col("id").isNull(), "id", "content", "row_key")
+    ids = keyed.select("row_key", F.col("doc_id").alias("id"), F.xxhash64(*docs.columns).alias("content"))
+    of = written(groups.select(F.col("doc_id").alias("row_key"), "component_id").join(ids, "row_key"), "groups")
+    stay = of.groupBy("component_id").agg(F.min_by("row_key", order).alias("row_key"))
+    return keyed.join(of.join(stay, "row_key", "left_anti").select("row_key"), "row_key", "left_anti").select(*docs.columns)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

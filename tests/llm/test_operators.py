@@ -2,7 +2,7 @@
 
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -227,3 +227,17 @@ def test_pipeline(spark, tmp_path):
     assert {r["doc_id"] for r in pieces} == set(by)
     total = sum(len(ids_of(library, t, [0])) for t in by.values())
     assert sum(r["length"] for r in pieces) == total and len({r["sequence_id"] for r in pieces}) <= -(-total // 2048) + 1
+
+
+def test_near_dedup_of_repeated_and_null_ids(spark):
+    """One whole row of each group passes stages 2 and 3, also where rows repeat a doc_id or have none."""
+    import corpus_pipeline
+
+    text = {c: " ".join(f"{c}{i}" for i in range(60)) for c in "abcdefg"}
+    rows = [(1, text["a"]), (1, text["a"]), (None, text["b"]), (None, text["b"]), (None, text["c"]), (7, text["c"]), (9, text["d"]), (9, text["d"].upper()), (4, text["d"]), (5, text["e"]), (5, text["f"]), (None, text["g"]), (6, None), (6, None)]
+    start = docs(spark, []).union(spark.createDataFrame([(i, t, "x", "y") for i, t in rows], DOCS).repartition(3)).withColumn("n_chars", F.length("text"))
+    second = corpus_pipeline.near_dedup(spark, start, "")
+    third = corpus_pipeline.substring_dedup(spark, second, "")
+    want = Counter([(1, text["a"]), (None, text["b"]), (7, text["c"]), (4, text["d"]), (5, text["e"]), (5, text["f"]), (None, text["g"]), (6, None), (6, None)])
+    assert second.columns == third.columns == start.columns
+    assert [Counter((r["doc_id"], r["text"]) for r in x.collect()) for x in (second, third)] == [want, want]
