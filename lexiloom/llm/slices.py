@@ -83,9 +83,13 @@ class Block:
             carry[0] = 0
         return total
 
-    def select(self, slices: np.ndarray, k: int) -> int:
-        """The k-th largest value (k at most n) that slices hold, from the most significant downward."""
-        alive, value, left = self.live.copy(), 0, k
+    def packed(self, some: np.ndarray) -> np.ndarray:
+        """A bitmap of some of the rows."""
+        return np.packbits(np.pad(some, (0, self.width * 64 - self.n)), bitorder="little").view(np.uint64)
+
+    def select(self, slices: np.ndarray, k: int, live: np.ndarray) -> int:
+        """The k-th largest value (k at most the number of live rows) that slices hold for them, from the most significant downward."""
+        alive, value, left = live, 0, k
         for at in range(len(slices) - 1, -1, -1):
             ones = alive & slices[at]
             n = int(np.bitwise_count(ones).sum())
@@ -111,17 +115,20 @@ class Block:
             return np.zeros(0, np.int64)
         return np.flatnonzero(np.unpackbits((same | over).view(np.uint8), bitorder="little")[: self.n])
 
-    def top(self, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Rows that can be among the k best, and their exact scores."""
-        if self.n <= 4 * k:
-            keep = np.arange(self.n)
+    def top(self, query: np.ndarray, k: int, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Rows that can be among the k best of those that are not the query's own, and their exact scores."""
+        others = np.ones(self.n, bool)
+        others[[] if own is None else own] = False
+        if others.sum() <= 4 * k:
+            keep = np.flatnonzero(others)
         else:
             # a row is 2 ** shift * coarse + rest with 0 <= rest < 2 ** shift
             least = -int(np.abs(query[query < 0]).sum()) * ((1 << self.shift) - 1)
             most = int(query[query > 0].sum()) * ((1 << self.shift) - 1)
             slices = self.approximate(query)
-            edge = self.select(slices, k)
+            edge = self.select(slices, k, self.packed(others))
             keep = self.at_least(slices, edge - -(-(most - least) >> self.shift) - 1)
+            keep = keep[others[keep]]
         return keep, self.rows[keep] @ query
 
 
@@ -141,9 +148,11 @@ def _score(k: int):
                 continue
             values = lambda some: _matrix(table.column("ints").take(pa.array(some))).astype(np.int64)
             block = Block(values(rows))
-            for q, query in zip(queries, values(queries), strict=True):
-                keep, score = block.top(query, k + 1)  # one more, as a query may meet itself
-                keep, score = rows[keep][ids[rows[keep]] != ids[q]], score[ids[rows[keep]] != ids[q]]
+            by_id = np.argsort(ids[rows], kind="stable")
+            first, last = (np.searchsorted(ids[rows], ids[queries], side, sorter=by_id) for side in ("left", "right"))
+            for q, query, lo, hi in zip(queries, values(queries), first, last, strict=True):
+                keep, score = block.top(query, k, by_id[lo:hi])
+                keep = rows[keep]
                 order = np.lexsort((ids[keep], -score))[:k]
                 names.append(np.full(len(order), ids[q]))
                 ranks.append(ids[keep][order])
@@ -171,9 +180,11 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 10, scale: int = 1024) -
     asked = good.where(queries).distinct()
     n_rows, n_asked = good.count(), asked.count()
     row_blocks, query_blocks = max(1, -(-n_rows // ROWS)), max(1, -(-n_asked // QUERIES))
-    block = lambda n: F.pmod(F.xxhash64("vec_id", "ints"), F.lit(n))
+    block = lambda n, *salt: F.pmod(F.xxhash64("vec_id", "ints", *salt), F.lit(n))
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    rows = good.select("vec_id", "ints", F.lit(False).alias("query"), block(row_blocks).cast("int").alias("r"), each(query_blocks).alias("q"))
+    # Of equal rows no query can have more than k, and their blocks differ.
+    rows = good.groupBy("vec_id", "ints").count().select("vec_id", "ints", F.explode(F.sequence(F.lit(1), F.least("count", F.lit(k)).cast("int"))).alias("copy"))
+    rows = rows.select("vec_id", "ints", F.lit(False).alias("query"), block(row_blocks, "copy").cast("int").alias("r"), each(query_blocks).alias("q"))
     some = asked.select("vec_id", "ints", F.lit(True).alias("query"), each(row_blocks).alias("r"), block(query_blocks).cast("int").alias("q"))
     found = rows.unionByName(some).groupBy("r", "q").applyInArrow(_score(k), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

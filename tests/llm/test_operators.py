@@ -140,6 +140,18 @@ def test_slices_against_brute_force(spark):
     assert slices.top_k(spark.createDataFrame([], "vec_id long, embedding array<double>"), F.col("vec_id") % 100 == 0).count() == 0
 
 
+def test_slices_of_repeated_queries(spark):
+    """Rows of the query's own id take no place of others; other repeated rows count each."""
+    rng = np.random.default_rng(6)
+    one, hot = np.full(8, 4.0), np.full(8, 3.0)
+    rows = [(0, one.tolist())] * 20 + [(7, hot.tolist())] * 4 + [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(200, 8)), 1000)]
+    rows += [(9, (hot / 2).tolist())] * 30
+    for k in (10, 30):
+        got = [(r["rank"], r["vec_id"], r["score"]) for r in slices.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 0, k).orderBy("rank").collect()]
+        order = sorted((-int(np.floor(1024 * np.array(v)) @ (1024 * one)), i) for i, v in rows if i)[:k]
+        assert got == [(n + 1, i, -s) for n, (s, i) in enumerate(order)]
+
+
 def test_chat(spark):
     hard = "[TURN]<s>\\x [\\INST] [\\\\INST] </s><"
     rows = [(1, 1, "user", hard), (1, 0, "user", "é"), (1, 2, "assistant", ""), (1, 3, "assistant", "[/ROLE]"), (1, 4, None, None), (None, 0, "</s>", "x"), (2, None, "assistant", hard), (2, 5, "assistant", hard), (2, 5, "assistant", hard)]
