@@ -2,13 +2,18 @@
 
 A page is cut into blocks at block-level tags.  Blocks inside menus, headers,
 footers, sidebars, notices, adverts, forms and reader comments are left out by
-their tags, roles and class names.  The first pass classifies the others: links
-make up most of it: bad; inside an article or main element: good; where the
-page has such an element, outside it: bad; else by stop-word density and
-length: good, bad, or, if short or in between, ambiguous.  In the second pass
-an ambiguous block takes the label of its nearest decided neighbour; between
-two at one distance a heading follows the one below, others are good only if
-both are.
+their tags, roles and class names.  The first pass labels each of the others good, bad
+or ambiguous: bad if links make up most of it, else by its length and stop-word
+density.  An article or main element sets the thresholds: inside it a block needs
+little to be good and is never bad by density; outside it a block needs both a
+high density and length, unless the elements hold less than half of the page's
+text that is not links (a teaser), where the usual thresholds hold outside.
+In the second pass an ambiguous block takes the label of its nearest decided
+neighbour on its side of the element; between two at one distance a heading
+follows the one below, others are good if both are, or inside the element if one
+is.  A side without good blocks has its ambiguous ones good, but not outside an
+element that holds half of the text or more.  A heading inside the element that
+is a link follows the block below it, if that is no such heading.
 """
 
 from __future__ import annotations
@@ -159,25 +164,47 @@ def read_blocks(page: str) -> list[tuple[str, float, bool, bool]]:
 
 def label_blocks(blocks: list[tuple[str, float, bool, bool]]) -> list[bool]:
     """Which blocks are main text."""
-    article = any(b[2] for b in blocks)
+    held = sum(len(b[0]) for b in blocks if b[2] and b[1] <= LINKS)
+    prior = any(b[2] for b in blocks) and 2 * held >= sum(len(b[0]) for b in blocks if b[1] <= LINKS)
+    titles = [links > LINKS and inside and heading and len(text) <= LONG for text, links, inside, heading in blocks]
     first: list[bool | None] = []
-    for text, links, inside, _ in blocks:
+    for (text, links, inside, _), title in zip(blocks, titles, strict=True):
         words = [_EDGE.sub("", w).lower() for w in text.split()]
         stops = sum(w in STOP for w in words) / len(words)
-        if links > LINKS:
+        if title:
+            first.append(None)
+        elif links > LINKS:
             first.append(False)
-        elif article:
-            first.append(inside)
+        elif inside:
+            first.append(True if len(text) >= SHORT and stops >= LOW / 2 else None)
         elif len(text) < SHORT:
             first.append(None)
+        elif prior:
+            first.append(False if stops < HIGH else True if len(text) > LONG else None)
         elif stops >= HIGH:
             first.append(True)
         elif stops >= LOW:
             first.append(True if len(text) > LONG else None)
         else:
             first.append(False)
-    if not article and first and all(x is not True for x in first):  # nothing long enough to tell by: all that is not links
-        return [x is None for x in first]
+    out = [False] * len(blocks)
+    for inside in (True, False):
+        side = [i for i, b in enumerate(blocks) if b[2] == inside and not titles[i]]
+        labels = [first[i] for i in side]
+        if True in labels:
+            labels = _neighbours(labels, [blocks[i][3] for i in side], inside)
+        else:  # nothing long enough to tell by: all that is not links
+            labels = [x is None and (inside or not prior) for x in labels]
+        for i, x in zip(side, labels, strict=True):
+            out[i] = x
+    for i, title in enumerate(titles):
+        if title and i + 1 < len(blocks) and blocks[i + 1][2] and not titles[i + 1]:
+            out[i] = out[i + 1]
+    return out
+
+
+def _neighbours(first: list[bool | None], headings: list[bool], one: bool) -> list[bool]:
+    """Labels with those of their neighbours where they are None; between two at one distance one good neighbour is enough, or both must be."""
     before, after, out = [(-1, None)] * len(first), [(-1, None)] * len(first), []
     last = (-1, None)
     for i, x in enumerate(first):
@@ -196,8 +223,10 @@ def label_blocks(blocks: list[tuple[str, float, bool, bool]]) -> list[bool]:
             out.append(bool(up or down))
         elif i - b != a - i:
             out.append(up if i - b < a - i else down)
+        elif headings[i]:
+            out.append(down)
         else:
-            out.append(down if blocks[i][3] else up and down)
+            out.append(up or down if one else up and down)
     return out
 
 

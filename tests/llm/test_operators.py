@@ -179,6 +179,15 @@ def test_pages_by_density():
     assert pages.main_text(page).split("\n\n") == ["Heading", good.strip(), "Short one.", good.strip()]
 
 
+def test_pages_by_density_beside_an_article():
+    good = "This is the text of a story that has all of the words which you would see in it, and it is long enough to be told from the rest of the page by them. " * 2
+    junk = "Register Login Cart Wishlist Compare Checkout Account Orders Vouchers Stores Careers Press Partners"
+    teaser = f"<article><p>Read this too.</p></article><div>{good}</div><div>Short one.</div><div>{good}</div><div>{junk}</div>"
+    assert pages.main_text(teaser).split("\n\n") == ["Read this too.", good.strip(), "Short one.", good.strip()]
+    beside = f"<div>{junk}</div><div>tiny</div><article><h1><a href=x>Title</a></h1><p>{good}</p><p>Ende</p><h2><a href=y>Other</a></h2><h2><a href=z>More</a></h2></article><div>tiny</div>"
+    assert pages.main_text(beside).split("\n\n") == ["Title", good.strip(), "Ende"]
+
+
 def test_pages_frame(spark):
     rows = [(1, "u", "<p>a</p>", "x"), (None, None, None, "y"), (1, "u", "<p>a</p>", "x")]
     got = pages.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
