@@ -160,10 +160,11 @@ def _places(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def pack(pieces: DataFrame, capacity: int) -> DataFrame:
     """Add sequence_id and offset to pieces, whose column `length` (1 to capacity) is packed; `key` columns need not be unique."""
-    pieces = written(pieces, "pieces")
+    columns = pieces.columns
+    pieces = written(pieces.withColumn("piece_key", F.monotonically_increasing_id()), "pieces")  # differs for equal pieces, so that no shard holds them all
     count = pieces.count()
     shards = max(1, -(-count // SHARD))
-    names = [c for c in pieces.columns if c != "length"]
+    names = [c for c in columns if c != "length"]
     dealt = pieces.withColumn("shard", F.pmod(F.xxhash64(*pieces.columns), F.lit(shards)))
     packed = written(dealt.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("length", *names)), asc=False).alias("items")), "shards")
     sizes = packed.select("shard", F.col("items.length").alias("sizes"))
@@ -183,7 +184,7 @@ def pack(pieces: DataFrame, capacity: int) -> DataFrame:
     placed = sizes.join(best, "shard").mapInPandas(_places, "shard long, numbers array<int>, offsets array<int>")
     out = packed.join(placed, "shard").select("shard", F.explode(F.arrays_zip("items", "numbers", "offsets")).alias("p"))
     sequence = (F.col("shard") * F.lit(1 << 20) + F.col("p.numbers")).cast("long")
-    return out.select(*[F.col(f"p.items.{c}").alias(c) for c in pieces.columns], sequence.alias("sequence_id"), F.col("p.offsets").cast("long").alias("offset"))
+    return out.select(*[F.col(f"p.items.{c}").alias(c) for c in columns], sequence.alias("sequence_id"), F.col("p.offsets").cast("long").alias("offset"))
 
 
 def spark_width(df: DataFrame) -> int:

@@ -116,6 +116,15 @@ def test_packing(spark, library):
     assert packing.pack_documents(docs(spark, []), PATH).count() == 0
 
 
+def test_packing_deals_equal_pieces_over_shards(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD", 50)
+    pieces = spark.createDataFrame([(None, 1)] * 400, "doc_id long, length long").repartition(3)
+    got = packing.pack(pieces, 4).collect()
+    of = Counter(r["sequence_id"] >> 20 for r in got)
+    assert len(got) == 400 and len(of) == 8 and max(of.values()) < 100
+    assert {r["offset"] for r in got} == {0, 1, 2, 3} and max(Counter((r["sequence_id"], r["offset"]) for r in got).values()) == 1
+
+
 def test_genetic_steps_keep_all_pieces():
     rng = random.Random(4)
     sizes = sorted((rng.randrange(1, 100) for _ in range(300)), reverse=True)
