@@ -28,7 +28,7 @@ SAMPLE = 12_000
 #: Features kept after screening, of SPACE hashed ones.
 SPACE, FEATURES = 1 << 20, 6_000
 #: PRIOR is the precision of the weights, so a small sample is held more closely to none.
-STEPS, RATE, PRIOR = 300, 0.1, 2.4
+STEPS, PRIOR = 200, 2.4
 #: Documents with at least this probability of the highest grade are kept.
 TAIL = 0.5
 
@@ -78,46 +78,88 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def fit(sets: list[np.ndarray], grades: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Feature numbers, their weights and the two thresholds, from feature sets and grades 0 to 2."""
-    n = len(sets)
-    if not n:
-        return np.zeros(0, np.int32), np.zeros(0), np.array([-1.0, 0.0])
-    column = np.concatenate(sets)
-    row = np.repeat(np.arange(n), [len(s) for s in sets])
+def screened(sets: list[np.ndarray], grades: np.ndarray) -> np.ndarray:
+    """The FEATURES hashed features whose presence departs most from chance in any grade, of those in three documents or more."""
+    n, column = len(sets), np.concatenate(sets)
+    of = np.repeat(grades, [len(s) for s in sets])
     seen, chance = np.bincount(column, minlength=SPACE).astype(float), np.zeros(SPACE)
     for g in np.unique(grades):
-        share = (grades == g).mean()
-        hits = np.bincount(column[grades[row] == g], minlength=SPACE)
+        share = (grades == g).sum() / n
+        hits = np.bincount(column[of == g], minlength=SPACE)
         chance = np.maximum(chance, (hits - seen * share) ** 2 / np.maximum(seen * share * (1 - share), 1e-9))
     chance[seen < 3] = 0
     chosen = np.sort(np.argsort(-chance, kind="stable")[:FEATURES])
-    chosen = chosen[chance[chosen] > 0].astype(np.int32)
+    return chosen[chance[chosen] > 0].astype(np.int32)
+
+
+def loss(x: np.ndarray, row: np.ndarray, column: np.ndarray, grades: np.ndarray) -> tuple[float, np.ndarray]:
+    """Mean negative log-likelihood with the prior, and its gradient.
+
+    x holds the weights, the lower threshold and the logarithm of the gap to the
+    upper one, so that thresholds stay ordered.  `row` and `column` list the
+    features of each document.
+    """
+    n, w = len(grades), x[:-2]
+    gap = np.exp(x[-1])
+    f = np.bincount(row, w[column], n)
+    p0, p1 = _sigmoid(x[-2] - f), _sigmoid(x[-2] + gap - f)  # P(grade <= 0), P(grade <= 1)
+    low, mid = grades == 0, grades == 1
+    between = np.maximum(p1 - p0, 1e-300)
+    value = -np.log(np.maximum(np.where(low, p0, np.where(mid, between, 1 - p1)), 1e-300)).mean() + PRIOR / (2 * n) * (w @ w)
+    d0, d1 = p0 * (1 - p0), p1 * (1 - p1)
+    by_t0 = np.where(low, -(1 - p0), np.where(mid, d0 / between, 0))
+    by_t1 = np.where(grades == 2, p1, np.where(mid, -d1 / between, 0))
+    g = np.empty_like(x)
+    g[:-2] = np.bincount(column, -(by_t0 + by_t1)[row], len(w)) / n + PRIOR / n * w
+    g[-2], g[-1] = (by_t0 + by_t1).mean(), by_t1.mean() * gap
+    return value, g
+
+
+def minimise(f, x: np.ndarray, steps: int = STEPS, memory: int = 8) -> np.ndarray:
+    """A minimum of f, which gives value and gradient: quasi-Newton steps from the last `memory` changes, halved until f falls."""
+    value, g = f(x)
+    moves: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(steps):
+        if np.abs(g).max() < 1e-6:
+            break
+        d, used = g.copy(), []
+        for s, y in reversed(moves):
+            a = (s @ d) / (s @ y)
+            d -= a * y
+            used.append(a)
+        d *= (moves[-1][0] @ moves[-1][1]) / (moves[-1][1] @ moves[-1][1]) if moves else 1 / max(1.0, np.abs(g).max())
+        for (s, y), a in zip(moves, reversed(used), strict=True):
+            d += s * (a - (y @ d) / (s @ y))
+        slope, size = g @ d, 1.0
+        while size > 1e-10:
+            there, h = f(x - size * d)
+            if there <= value - 1e-4 * size * slope:
+                break
+            size /= 2
+        else:
+            break
+        s, y = -size * d, h - g
+        x, value, g = x + s, there, h
+        if s @ y > 1e-12:
+            moves = [*moves, (s, y)][-memory:]
+    return x
+
+
+def fit(sets: list[np.ndarray], grades: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Feature numbers, their weights and the two thresholds, from feature sets and grades 0 to 2."""
+    if not len(sets):
+        return np.zeros(0, np.int32), np.zeros(0), np.array([-1.0, 0.0])
+    chosen = screened(sets, grades)
     place = np.full(SPACE, -1)
     place[chosen] = np.arange(len(chosen))
-    column = place[column]
-    row, column = row[column >= 0], column[column >= 0]
-
-    w, t = np.zeros(len(chosen) + 2), np.array([(np.quantile(grades, 0.1)), 0.0])
+    column = place[np.concatenate(sets)]
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])[column >= 0]
+    column = column[column >= 0]
     shares = [np.clip((grades > j).mean(), 0.01, 0.99) for j in (0, 1)]
-    cut = np.array([-np.log(p / (1 - p)) for p in shares])
-    w[-2], w[-1] = cut[0], np.log(max(cut[1] - cut[0], 0.1))  # the gap between thresholds is an exponential, so they stay ordered
-    m, v = np.zeros_like(w), np.zeros_like(w)
-    low, mid, high = grades == 0, grades == 1, grades == 2
-    for step in range(1, STEPS + 1):
-        f = np.bincount(row, w[:-2][column], n)
-        t = np.array([w[-2], w[-2] + np.exp(w[-1])])
-        p0, p1 = _sigmoid(t[0] - f), _sigmoid(t[1] - f)  # P(grade <= 0), P(grade <= 1)
-        between = np.maximum(p1 - p0, 1e-12)
-        d0, d1 = p0 * (1 - p0), p1 * (1 - p1)
-        by_t0 = np.where(low, -(1 - p0), np.where(mid, d0 / between, 0))
-        by_t1 = np.where(high, p1, np.where(mid, -d1 / between, 0))
-        g = np.empty_like(w)
-        g[:-2] = np.bincount(column, -(by_t0 + by_t1)[row], len(chosen)) / n + PRIOR / n * w[:-2]
-        g[-2], g[-1] = (by_t0 + by_t1).mean(), by_t1.mean() * np.exp(w[-1])
-        m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
-        w = w - RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
-    return chosen, w[:-2], np.array([w[-2], w[-2] + np.exp(w[-1])])
+    cut = [-np.log(p / (1 - p)) for p in shares]
+    begin = np.concatenate([np.zeros(len(chosen)), [cut[0], np.log(max(cut[1] - cut[0], 0.1))]])
+    x = minimise(lambda x: loss(x, row, column, grades), begin)
+    return chosen, x[:-2], np.array([x[-2], x[-2] + np.exp(x[-1])])
 
 
 def _fit_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,6 +172,20 @@ def _fit_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_pydict({"features": pa.array([chosen.tolist()], pa.list_(pa.int32())), "weights": pa.array([weights.tolist()], pa.list_(pa.float64())), "cuts": pa.array([cuts.tolist()], pa.list_(pa.float64()))})
 
 
+def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(text, grade) of at most SAMPLE labelled documents, the first by a hash of their ids, each doc_id once.
+
+    The labels of one doc_id count as the lowest of their grades; of rows that
+    repeat a doc_id the least text counts.  Labels without a document use no place.
+    """
+    grade = F.when(F.col("toxic") > 0, 0).when(F.col("quality") > 0, 2).otherwise(1)
+    rated = labels.where("quality IS NOT NULL AND toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(grade).alias("grade"))
+    there = rated.join(docs.select("doc_id"), "doc_id", "left_semi")
+    chosen = there.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")  # SAMPLE rows at most
+    return texts.groupBy("doc_id", "grade").agg(F.min("text").alias("text")).select("text", "grade")
+
+
 def train(docs: DataFrame, labels: DataFrame) -> dict:
     """Fit on labelled documents, at most SAMPLE of them: dict of features, weights and cuts.
 
@@ -137,11 +193,8 @@ def train(docs: DataFrame, labels: DataFrame) -> dict:
     there or a doc_id that `docs` lacks are left out.  Without any usable label the
     model has no weights and keeps every document.
     """
-    grade = F.when(F.col("toxic") > 0, 0).when(F.col("quality") > 0, 2).otherwise(1)
-    rated = labels.where("quality IS NOT NULL AND toxic IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", grade.alias("grade"))
-    rated = rated.orderBy(F.xxhash64("doc_id"), "doc_id", "grade").limit(SAMPLE)
-    sample = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(rated), "doc_id")
-    got = sample.select("text", "grade").sort(F.xxhash64("text"), "grade").coalesce(1).mapInArrow(_fit_task, "features array<int>, weights array<double>, cuts array<double>").first()
+    rows = labelled(docs, labels).sort(F.xxhash64("text"), "text", "grade").coalesce(1)
+    got = rows.mapInArrow(_fit_task, "features array<int>, weights array<double>, cuts array<double>").first()
     return got.asDict() if got else dict(zip(("features", "weights", "cuts"), (x.tolist() for x in fit([], np.zeros(0, np.int64))), strict=True))
 
 
@@ -174,10 +227,11 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
 
 
 def select(docs: DataFrame, labels: DataFrame, tail: float = TAIL) -> DataFrame:
-    """The documents whose probability of the highest grade is `tail` or more, with both scores."""
+    """The documents whose probability of the highest grade is `tail` or more, with both scores; rows are treated as by `score`."""
     return score(docs, train(docs, labels)).where(F.col("tail_probability") >= tail)
 
 
 def op10(spark, sf_dir: str) -> DataFrame:
+    """Both scores of every document, and whether it is kept."""
     docs, labels = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return select(docs.select("doc_id", "text"), labels).select("doc_id", "expected_grade", "tail_probability", F.lit(True).alias("kept"))
+    return score(docs.select("doc_id", "text"), train(docs, labels)).select("doc_id", "expected_grade", "tail_probability", (F.col("tail_probability") >= TAIL).alias("kept"))

@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; a new temporary folder only where it is unset, as in tests."""
+    """spark.checkpoint.dir of the session; where it is unset, a new temporary folder on a local master, as in tests, and an error on a cluster."""
     sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not folder:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="lexiloom-", dir="/tmp")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(folder)
