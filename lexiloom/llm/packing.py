@@ -1,20 +1,27 @@
 """Best-fit packing by a grouping genetic algorithm on islands.
 
-Documents longer than a sequence are cut; whole sequences among the pieces are
-done.  The others are dealt by hash into shards of about SHARD pieces, whose
-size does not grow with the corpus.  Each shard has ISLANDS populations.  An
-individual is a set of bins.  Crossover injects well-filled bins of one parent
-whole into the other, removes the bins that hold duplicates of their pieces and
-puts the displaced pieces back by best fit, longest first.  After each epoch an
-island sends its elite to the next one of its shard; the best individual of a
-shard at the end gives its sequences.  Every population starts with the
-best-fit-decreasing packing, so no result is worse than that.
+Documents longer than a sequence are cut; pieces that fill a sequence alone are
+done.  The others are dealt by a hash of a key of their own, so equal pieces
+too, into shards of about SHARD pieces, whose size does not grow with the
+corpus.  Each shard has ISLANDS populations of SIZE individuals, an individual
+being a set of bins.  Populations begin with best fit in random orders.
+Crossover injects well-filled bins of one parent whole into the other, removes
+the bins that hold duplicates of their pieces, and puts the displaced pieces
+back: in place of one or two smaller pieces of a bin where that fills it better,
+then by best fit, longest first.  Mutation empties the least filled bins and
+some others and puts their pieces back in the same way.  After each epoch an
+island sends its elite to the next one of its shard, where it takes the places
+of the worst.  A shard is finished when an island meets the lower bound, and
+only shards that are not go on to the next epoch.  At the end the best
+individual of a shard gives its sequences, or best fit decreasing if that has
+fewer.
 """
 
 from __future__ import annotations
 
 import random
 import zlib
+from bisect import bisect_right, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,15 +33,19 @@ from pyspark.sql import functions as F
 from lexiloom.llm.scratch import written
 from lexiloom.llm.tokens import packed_texts
 
-SHARD, ISLANDS, EPOCHS = 4096, 2, 2
-#: Of each population and epoch.
-SIZE, CHILDREN, ELITE = 3, 3, 1
+SHARD, ISLANDS, EPOCHS = 4096, 2, 3
+#: Individuals of a population, children of an epoch, guests that an island sends on.
+SIZE, CHILDREN, ELITE = 10, 40, 2
 #: Bins whose free space is under one in so many of the capacity count as well filled.
 FULL = 64
+#: Shares of bins that are injected and that mutation empties; chance of a mutation.
+INJECT, EMPTIED, MUTATION = 0.5, 0.05, 0.5
+#: Bins of more pieces take part in best fit alone.
+SWAPPED = 6
 
 
 class Bins:
-    """Bins of piece numbers with best-fit placement by free space."""
+    """Bins of piece numbers with best-fit placement by free space; sizes are in descending order."""
 
     def __init__(self, sizes: list[int], capacity: int):
         self.sizes, self.capacity = sizes, capacity
@@ -68,33 +79,78 @@ class Bins:
             else:
                 self.open([i])
 
+    def fitness(self) -> tuple[int, int]:
+        """Fewer bins first, then the sum of squared fills."""
+        return -len(self.bins), sum((self.capacity - r) ** 2 for r in self.room)
 
-def best_fit(sizes: list[int], order: list[int], capacity: int) -> list[list[int]]:
+
+def best_fit(sizes: list[int], order: list[int], capacity: int) -> Bins:
     out = Bins(sizes, capacity)
     out.place(order)
-    return out.bins
+    return out
 
 
-def fitness(sizes: list[int], bins: list[list[int]], capacity: int) -> tuple[int, float]:
-    """Fewer bins first, then the mean of squared fills."""
-    return -len(bins), sum((sum(map(sizes.__getitem__, b)) / capacity) ** 2 for b in bins) / max(1, len(bins))
+def lower_bound(sizes: list[int], capacity: int) -> int:
+    """No packing has fewer bins: pieces over half a bin stand apart, and for each least size what does not fit beside them needs more."""
+    if not sizes:
+        return 0
+    s = np.array(sizes, np.int64)
+    total = np.concatenate([[0], np.cumsum(s)])
+    after = lambda x: int(np.searchsorted(-s, -x, side="left"))  # noqa: E731  how many pieces are larger than x
+    half, best = after(capacity // 2), 0
+    for least in [0, *np.unique(s[s <= capacity // 2]).tolist()]:
+        lone, small = after(capacity - least), after(least - 1)
+        rest = total[small] - total[half] - ((half - lone) * capacity - (total[half] - total[lone]))
+        best = max(best, half + max(0, -(-int(rest) // capacity)))
+    return best
+
+
+def put_back(made: list[list[int]], displaced: list[int], sizes: list[int], capacity: int) -> Bins:
+    """Bins with the displaced pieces: first in exchange for smaller ones of bins of few pieces, then by best fit."""
+    free = sorted((sizes[i], i) for i in displaced)
+    out = Bins(sizes, capacity)
+    for items in made:
+        room = capacity - sum(map(sizes.__getitem__, items))
+        if room and free and len(items) <= SWAPPED:
+            n, best = len(items), (0, 0, ())
+            for x in range(n):
+                for y in range(x, n):  # one piece if y is x
+                    gone = sizes[items[x]] + (sizes[items[y]] if y > x else 0)
+                    at = bisect_right(free, (gone + room, len(sizes))) - 1
+                    if at >= 0 and free[at][0] - gone > best[0]:
+                        best = (free[at][0] - gone, at, (x, y) if y > x else (x,))
+            if best[0]:
+                _, at, gone = best
+                new = [i for k, i in enumerate(items) if k not in gone] + [free.pop(at)[1]]
+                for k in gone:
+                    insort(free, (sizes[items[k]], items[k]))
+                items = new
+        out.open(items)
+    out.place([i for _, i in reversed(free)])
+    return out
 
 
-def crossover(sizes: list[int], one: list[list[int]], two: list[list[int]], capacity: int, rng: random.Random) -> list[list[int]]:
+def crossover(one: Bins, two: Bins, rng: random.Random) -> Bins:
     """Inject well-filled bins of `two` into `one`."""
-    good = [b for b in two if (capacity - sum(map(sizes.__getitem__, b))) * FULL < capacity]
-    chosen = [b for b in good if rng.random() < 0.5] or two[:1]
+    sizes, capacity = one.sizes, one.capacity
+    good = [b for b, room in zip(two.bins, two.room, strict=True) if room * FULL < capacity]
+    chosen = [b for b in good if rng.random() < INJECT] or [two.bins[min(range(len(two.bins)), key=two.room.__getitem__)]]
     taken = {i for b in chosen for i in b}
-    out, displaced = Bins(sizes, capacity), []
-    for b in chosen:
-        out.open(list(b))
-    for b in one:
+    made, displaced = [list(b) for b in chosen], []
+    for b in one.bins:
         if taken.isdisjoint(b):
-            out.open(list(b))
+            made.append(list(b))
         else:
             displaced.extend(i for i in b if i not in taken)
-    out.place(sorted(displaced, key=sizes.__getitem__, reverse=True))
-    return out.bins
+    return put_back(made, displaced, sizes, capacity)
+
+
+def mutated(one: Bins, rng: random.Random) -> Bins:
+    """Empty the least filled bins and as many others."""
+    n = len(one.bins)
+    few = max(1, int(n * EMPTIED / 2))
+    out = set(sorted(range(n), key=one.room.__getitem__, reverse=True)[:few]) | set(rng.sample(range(n), few))
+    return put_back([list(b) for k, b in enumerate(one.bins) if k not in out], [i for k in out for i in one.bins[k]], one.sizes, one.capacity)
 
 
 def _numbers(bins: list[list[int]], n: int) -> list[int]:
@@ -105,30 +161,37 @@ def _numbers(bins: list[list[int]], n: int) -> list[int]:
     return out
 
 
-def _bins(numbers: list[int]) -> list[list[int]]:
+def _from_numbers(numbers: list[int], sizes: list[int], capacity: int) -> Bins:
     out: list[list[int]] = [[] for _ in range(max(numbers, default=-1) + 1)]
     for i, k in enumerate(numbers):
         out[k].append(i)
-    return out
+    made = Bins(sizes, capacity)
+    for b in out:
+        made.open(b)
+    return made
 
 
-def evolve(sizes: list[int], population: list[list[list[int]]], capacity: int, rng: random.Random) -> list[list[list[int]]]:
+def evolve(sizes: list[int], population: list[Bins], capacity: int, rng: random.Random, least: int, children: int = CHILDREN) -> list[Bins]:
     """One epoch of an island; sizes are in descending order.  The population comes back best first."""
-    n, least = len(sizes), -(-sum(sizes) // capacity)
-    score = lambda bins: fitness(sizes, bins, capacity)
-    if not population or len(population) < SIZE:
-        population = [*population, best_fit(sizes, list(range(n)), capacity)]
-    while len(population) < SIZE:  # nearly descending orders
-        spread = 1 + capacity // 8
-        order = sorted(range(n), key=lambda i: sizes[i] + rng.random() * spread, reverse=True)
-        population.append(best_fit(sizes, order, capacity))
-    ranked = sorted(population, key=score, reverse=True)[:SIZE]
-    for _ in range(CHILDREN):
-        if len(ranked[0]) <= least:
+    n, ranked = len(sizes), [(p.fitness(), k, p) for k, p in enumerate(population)]
+    while len(ranked) < SIZE:
+        order = list(range(n))
+        rng.shuffle(order)
+        p = best_fit(sizes, order, capacity)
+        ranked.append((p.fitness(), len(ranked), p))
+    ranked = sorted(ranked, reverse=True)[:SIZE]
+    for born in range(children):
+        if -ranked[0][0][0] <= least:
             break
-        one, two = rng.sample(range(len(ranked)), 2) if len(ranked) > 1 else (0, 0)
-        ranked = sorted([*ranked, crossover(sizes, ranked[one], ranked[two], capacity, rng)], key=score, reverse=True)[:SIZE]
-    return ranked
+        one, two = (min(rng.sample(range(SIZE), 2)) for _ in range(2))  # the better of two, twice
+        child = crossover(ranked[one][2], ranked[two][2], rng) if one != two else ranked[one][2]
+        if one == two or rng.random() < MUTATION:
+            child = mutated(child, rng)
+        score = child.fitness()
+        if score > ranked[-1][0] and all(score != r[0] for r in ranked):
+            ranked[-1] = (score, len(population) + SIZE + born, child)
+            ranked.sort(reverse=True)
+    return [p for _, _, p in ranked]
 
 
 def _epoch(capacity: int, epoch: int):
@@ -137,54 +200,69 @@ def _epoch(capacity: int, epoch: int):
             rows = []
             for r in frame.itertuples():
                 sizes = [int(x) for x in r.sizes]
-                came = [] if r.individuals is None else [_bins([int(x) for x in one]) for one in r.individuals]
-                rng = random.Random(zlib.crc32(f"{r.shard}/{r.island}/{epoch}".encode()))
-                ranked = evolve(sizes, came, capacity, rng)
-                rows.append((r.shard, r.island, *fitness(sizes, ranked[0], capacity), [_numbers(b, len(sizes)) for b in ranked]))
-            yield pd.DataFrame(rows, columns=["shard", "island", "few", "full", "individuals"])
+                came = [] if r.individuals is None else [_from_numbers([int(x) for x in one], sizes, capacity) for one in r.individuals]
+                rng, least = random.Random(zlib.crc32(f"{r.shard}/{r.island}/{epoch}".encode())), lower_bound(sizes, capacity)
+                ranked = evolve(sizes, came, capacity, rng, least)
+                few, full = ranked[0].fitness()
+                done = -few <= least
+                rows.append((r.shard, r.island, few, full, done, [_numbers(p.bins, len(sizes)) for p in (ranked[:1] if done else ranked)]))
+            yield pd.DataFrame(rows, columns=["shard", "island", "few", "full", "done", "individuals"])
 
     return run
 
 
-def _places(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        offsets = []
-        for sizes, numbers in zip(frame["sizes"], frame["numbers"], strict=True):
-            used, out = [0] * (int(max(numbers, default=-1)) + 1), []
-            for size, k in zip(sizes, numbers, strict=True):
-                out.append(used[k])
-                used[k] += int(size)
-            offsets.append(out)
-        yield frame[["shard", "numbers"]].assign(offsets=offsets)
+def _places(capacity: int):
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            bins, offsets = [], []
+            for sizes, numbers in zip(frame["sizes"], frame["numbers"], strict=True):
+                sizes, numbers = [int(x) for x in sizes], [int(x) for x in numbers]
+                plain = best_fit(sizes, list(range(len(sizes))), capacity)
+                if len(plain.bins) <= max(numbers):
+                    numbers = _numbers(plain.bins, len(sizes))
+                used, out = [0] * (max(numbers) + 1), []
+                for size, k in zip(sizes, numbers, strict=True):
+                    out.append(used[k])
+                    used[k] += size
+                bins.append(numbers)
+                offsets.append(out)
+            yield frame[["shard"]].assign(numbers=bins, offsets=offsets)
+
+    return run
 
 
 def pack(pieces: DataFrame, capacity: int) -> DataFrame:
     """Add sequence_id and offset to pieces, whose column `length` (1 to capacity) is packed; `key` columns need not be unique."""
     columns = pieces.columns
     pieces = written(pieces.withColumn("piece_key", F.monotonically_increasing_id()), "pieces")  # differs for equal pieces, so that no shard holds them all
-    count = pieces.count()
-    shards = max(1, -(-count // SHARD))
+    whole = pieces.where(F.col("length") == capacity).select(*columns, (F.lit(-1) - F.col("piece_key")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    part = pieces.where(F.col("length") < capacity)
+    shards = max(1, -(-part.count() // SHARD))
     names = [c for c in columns if c != "length"]
-    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64(*pieces.columns), F.lit(shards)))
-    packed = written(dealt.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("length", *names)), asc=False).alias("items")), "shards")
+    dealt = part.withColumn("shard", F.pmod(F.xxhash64("piece_key"), F.lit(shards)))
+    packed = written(dealt.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("length", "piece_key", *names)), asc=False).alias("items")), "shards")
     sizes = packed.select("shard", F.col("items.length").alias("sizes"))
-    islands = sizes.withColumn("island", F.explode(F.array(*[F.lit(i) for i in range(ISLANDS)])))
-    came = None
+    many = max(2, min(ISLANDS * shards, spark_width(pieces)))
+    waiting = sizes.withColumn("island", F.explode(F.array(*[F.lit(i) for i in range(ISLANDS)]))).withColumn("individuals", F.lit(None).cast("array<array<int>>"))
+    ended = None
     for epoch in range(EPOCHS):
-        if came is None:
-            now = islands.withColumn("individuals", F.lit(None).cast("array<array<int>>"))
-        else:
-            now = islands.join(came, ["shard", "island"])
-        many = max(2, min(2 * shards, spark_width(pieces)))
-        now = now.select("shard", "island", "sizes", "individuals").repartition(many, "shard", "island")
-        state = written(now.mapInPandas(_epoch(capacity, epoch), "shard long, island int, few long, full double, individuals array<array<int>>"), "islands")
+        now = waiting.select("shard", "island", "sizes", "individuals").repartition(many, "shard", "island")
+        state = written(now.mapInPandas(_epoch(capacity, epoch), "shard long, island int, few long, full long, done boolean, individuals array<array<int>>"), "islands")
+        open_shards = state.groupBy("shard").agg(F.max("done").alias("met")).where("NOT met").select("shard")
+        last = epoch + 1 == EPOCHS or open_shards.isEmpty()
+        over = state if last else state.join(open_shards, "shard", "left_anti")
+        ended = over if ended is None else ended.unionByName(over)
+        if last:
+            break
+        state = state.join(open_shards, "shard")
         guests = state.select("shard", F.pmod(F.col("island") + 1, F.lit(ISLANDS)).cast("int").alias("island"), F.slice("individuals", 1, ELITE).alias("guests"))
-        came = state.join(guests, ["shard", "island"]).select("shard", "island", F.concat("individuals", "guests").alias("individuals"))
-    best = state.groupBy("shard").agg(F.max_by(F.element_at("individuals", 1), F.struct("few", "full", -F.col("island"))).alias("numbers"))
-    placed = sizes.join(best, "shard").mapInPandas(_places, "shard long, numbers array<int>, offsets array<int>")
+        came = state.join(guests, ["shard", "island"]).select("shard", "island", F.concat("guests", F.slice("individuals", 1, SIZE - ELITE)).alias("individuals"))
+        waiting = sizes.join(came, "shard")
+    best = ended.groupBy("shard").agg(F.max_by(F.element_at("individuals", 1), F.struct("few", "full", -F.col("island"))).alias("numbers"))
+    placed = sizes.join(best, "shard").mapInPandas(_places(capacity), "shard long, numbers array<int>, offsets array<int>")
     out = packed.join(placed, "shard").select("shard", F.explode(F.arrays_zip("items", "numbers", "offsets")).alias("p"))
     sequence = (F.col("shard") * F.lit(1 << 20) + F.col("p.numbers")).cast("long")
-    return out.select(*[F.col(f"p.items.{c}").alias(c) for c in columns], sequence.alias("sequence_id"), F.col("p.offsets").cast("long").alias("offset"))
+    return out.select(*[F.col(f"p.items.{c}").alias(c) for c in columns], sequence.alias("sequence_id"), F.col("p.offsets").cast("long").alias("offset")).unionByName(whole)
 
 
 def spark_width(df: DataFrame) -> int:

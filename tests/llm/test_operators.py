@@ -125,14 +125,51 @@ def test_packing_deals_equal_pieces_over_shards(spark, monkeypatch):
     assert {r["offset"] for r in got} == {0, 1, 2, 3} and max(Counter((r["sequence_id"], r["offset"]) for r in got).values()) == 1
 
 
+def least_bins(sizes, capacity):
+    """The fewest bins, by trying every assignment."""
+
+    def fits(k, rooms):
+        if k == len(sizes):
+            return True
+        return any(fits(k + 1, rooms[:i] + [r - sizes[k]] + rooms[i + 1 :]) for i, r in enumerate(rooms) if r >= sizes[k] and r not in rooms[:i])
+
+    return next(m for m in range(len(sizes) + 1) if fits(0, [capacity] * m))
+
+
 def test_genetic_steps_keep_all_pieces():
     rng = random.Random(4)
     sizes = sorted((rng.randrange(1, 100) for _ in range(300)), reverse=True)
-    first = packing.best_fit(sizes, list(range(300)), 100)
-    best = packing.evolve(sizes, [], 100, rng)
-    assert len(best[0]) <= len(first)
-    for bins in best:
-        assert sorted(i for b in bins for i in b) == list(range(300)) and all(sum(sizes[i] for i in b) <= 100 for b in bins)
+    population = packing.evolve(sizes, [], 100, rng, 0)
+    steps = [*population, packing.crossover(population[0], population[-1], rng), packing.mutated(population[0], rng)]
+    for p in steps:
+        assert sorted(i for b in p.bins for i in b) == list(range(300)) and all(sum(sizes[i] for i in b) + r == 100 and r >= 0 for b, r in zip(p.bins, p.room, strict=True))
+
+
+def test_genetic_algorithm_against_every_assignment():
+    rng = random.Random(9)
+    for _ in range(40):
+        sizes = sorted((rng.randrange(10, 70) for _ in range(rng.randrange(1, 10))), reverse=True)
+        best, bound = least_bins(sizes, 100), packing.lower_bound(sizes, 100)
+        assert bound <= best == len(packing.evolve(sizes, [], 100, rng, bound)[0].bins)
+
+
+@pytest.mark.parametrize("least,most", [(300, 1100), (500, 900)])
+def test_genetic_algorithm_has_fewer_bins_than_best_fit_decreasing(least, most):
+    """2,000 pieces of `least` to `most` ids, with no help from best fit decreasing."""
+    rng = random.Random(1)
+    sizes = sorted((rng.randrange(least, most) for _ in range(2000)), reverse=True)
+    plain, bound = len(packing.best_fit(sizes, list(range(2000)), 2048).bins), packing.lower_bound(sizes, 2048)
+    begun = packing.evolve(sizes, [], 2048, random.Random(2), bound, children=0)
+    bred = packing.evolve(sizes, [], 2048, random.Random(2), bound)
+    assert bound <= len(bred[0].bins) < min(0.99 * plain, len(begun[0].bins))
+
+
+def test_packing_of_many_equal_rows(spark):
+    """No shard, so no task, holds much more than its share of equal rows."""
+    pieces = spark.range(100_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(700).cast("long").alias("length"))
+    got = packing.pack(pieces, 2048)
+    sizes = [r["count"] for r in got.groupBy(F.shiftright("sequence_id", 20)).count().collect()]
+    assert sum(sizes) == 100_000 and max(sizes) < 2 * packing.SHARD and got.select("sequence_id").distinct().count() == 50_000 + len([s for s in sizes if s % 2])
 
 
 def test_slices_against_brute_force(spark):
