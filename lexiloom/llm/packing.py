@@ -91,13 +91,17 @@ def best_fit(sizes: list[int], order: list[int], capacity: int) -> Bins:
 
 
 def lower_bound(sizes: list[int], capacity: int) -> int:
-    """No packing has fewer bins: pieces over half a bin stand apart, and for each least size what does not fit beside them needs more."""
+    """No packing has fewer bins.
+
+    Pieces over half a bin stand apart, and for each least size what does not fit
+    beside them needs more; of pieces over a (k + 1)th of a bin no bin has more than k.
+    """
     if not sizes:
         return 0
     s = np.array(sizes, np.int64)
     total = np.concatenate([[0], np.cumsum(s)])
     after = lambda x: int(np.searchsorted(-s, -x, side="left"))  # noqa: E731  how many pieces are larger than x
-    half, best = after(capacity // 2), 0
+    half, best = after(capacity // 2), max(-(-after(capacity // (k + 1)) // k) for k in range(1, 10))
     for least in [0, *np.unique(s[s <= capacity // 2]).tolist()]:
         lone, small = after(capacity - least), after(least - 1)
         rest = total[small] - total[half] - ((half - lone) * capacity - (total[half] - total[lone]))
