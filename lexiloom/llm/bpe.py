@@ -7,8 +7,13 @@ without its arc b, a now leads to the copy, and c leads from wherever a could
 be read to where b led from q.  So a state is its parent without one arc, all
 arcs of one token lead to one state, and there is one state for each merge.
 
-A pre-split word is encoded by transitions: the one path of arcs that spells it
-is its token sequence.  Transitions are tabled once met.  Decoding emits the
+For encoding, the arcs are spelled out in bytes along a trie of the tokens and
+the result is made deterministic by subset construction: a state of the coder is
+the set of (state of the automaton, bytes read of the next token) that the bytes
+so far lead to, and its output is the last token of the one sequence that spells
+them.  Its transition table is filled as transitions are met, and emptied when
+it holds MOST of them.  A pre-split word is one run over the table, byte by
+byte; its tokens are read off the outputs from the end.  Decoding emits the
 bytes on the arcs.
 """
 
@@ -26,10 +31,14 @@ from lexiloom.llm.tokens import Coder, byte_signs, vocabulary
 from lexiloom.llm.words import pieces
 
 
+#: Transitions that a worker keeps.
+MOST = 600_000
+
+
 class Automaton:
-    """States, arcs and labels compiled from a vocabulary file."""
+    """States, arcs and labels compiled from a vocabulary file, and the table of the coder."""
 
-    def __init__(self, path: str, most: int = 1_000_000):
+    def __init__(self, path: str, most: int = MOST):
         spec, signs = vocabulary(path), byte_signs()
         model = spec["model"]
         vocab = model["vocab"]
@@ -40,17 +49,22 @@ class Automaton:
             self.label[i] = bytes(signs[c] for c in sign) if sign not in self.added else sign.encode()
         for sign, i in self.added.items():
             self.label[i] = sign.encode()
-        self.token = {self.label[i]: i for sign, i in vocab.items() if sign not in self.added}
-        self.reach: dict[bytes, int] = {}
-        for label in self.token:
-            self.reach[label[:4]] = max(len(label), self.reach.get(label[:4], 3))
         self.to, self.left, self.made = [0] * n, [-1] * n, [0] * n
         self.parent, self.without, self.born = [-1], [-1], [0]
         for i, rule in enumerate(model["merges"], 1):
             a, b = rule.split(" ") if isinstance(rule, str) else rule
             self._gadget(vocab[a], vocab[b], vocab[a + b], i)
-        self.table: dict[int, bool] = {}
+        self.child: dict[int, int] = {}  # node << 8 | byte to node
+        self.ends, self.inner = [-1], [False]
+        for sign, i in vocab.items():
+            if sign not in self.added and (self.made[i] or len(self.label[i]) == 1):
+                self._spell(self.label[i], i)
         self.most = most
+        self.number: dict[tuple, int] = {}
+        self.sets: list[list[tuple[int, int]]] = []
+        self.out: list[int] = []
+        self.table: dict[int, int] = {}
+        self._empty()
 
     def _gadget(self, a: int, b: int, c: int, i: int) -> None:
         if self.made[c]:
@@ -61,6 +75,18 @@ class Automaton:
         self.born.append(i)
         self.to[a] = len(self.parent) - 1
 
+    def _spell(self, label: bytes, token: int) -> None:
+        node = 0
+        for byte in label:
+            self.inner[node] = True
+            at = node << 8 | byte
+            if at not in self.child:
+                self.child[at] = len(self.ends)
+                self.ends.append(-1)
+                self.inner.append(False)
+            node = self.child[at]
+        self.ends[node] = token
+
     def _arc(self, state: int, token: int) -> bool:
         """Whether the token's arc leaves the state."""
         while state:
@@ -73,39 +99,53 @@ class Automaton:
             token = self.left[token]
         return True
 
+    def _empty(self) -> None:
+        """A table with the first state alone: in the first state of the automaton, at the root of the trie."""
+        for kept in (self.number, self.sets, self.out, self.table):
+            kept.clear()
+        self._state(-1, [(0, 0)])
+
+    def _state(self, last: int, found: list[tuple[int, int]]) -> int:
+        """The number of a state of the coder, from its output and its set."""
+        number = self.number.setdefault((last, *found), len(self.sets))
+        if number == len(self.sets):
+            self.sets.append(found)
+            self.out.append(last)
+        return number
+
+    def _step(self, state: int, byte: int) -> int:
+        """The transition from a state by a byte, put into the table."""
+        if len(self.table) >= self.most:
+            last, found = self.out[state], self.sets[state]
+            self._empty()
+            state = self._state(last, found)
+        found, last = [], -1
+        for q, node in self.sets[state]:
+            node = self.child.get(node << 8 | byte)
+            if node is not None:
+                token = self.ends[node]
+                if token >= 0 and self._arc(q, token):
+                    last = token
+                if self.inner[node]:
+                    found.append((q, node))
+        if last < 0:
+            raise ValueError("the vocabulary lacks a byte")
+        found.append((self.to[last], 0))
+        to = self.table[state << 8 | byte] = self._state(last, found)
+        return to
+
     def word(self, word: bytes) -> list[int]:
-        """The token sequence of one pre-split word: longest arcs first, stepping back from dead ends."""
-        n, token, table, to = len(word), self.token, self.table, self.to
-        path, state, at, dead = [], 0, 0, set()
-        ends = [0]
-        size = min(self.reach.get(word[:4], 3), n)
-        while at < n:
-            while size:
-                t = token.get(word[at : at + size])
-                if t is not None:
-                    arc = state << 20 | t
-                    ok = table.get(arc)
-                    if ok is None:
-                        ok = table[arc] = self._arc(state, t)
-                    if ok and (not dead or (at + size, to[t]) not in dead):
-                        break
-                size -= 1
-            if size:
-                at += size
-                path.append(t)
-                ends.append(at)
-                state = to[t]
-                size = min(self.reach.get(word[at : at + 4], 3), n - at)
-            elif path:
-                dead.add((at, state))
-                ends.pop()
-                path.pop()
-                size, at, state = at - ends[-1] - 1, ends[-1], to[path[-1]] if path else 0
-            else:
-                raise ValueError("the vocabulary lacks a byte")
-        if len(table) > self.most:
-            table.clear()
-        return path
+        """The token sequence of one pre-split word."""
+        state, table, out, last = 0, self.table, self.out, []
+        for byte in word:
+            to = table.get(state << 8 | byte)
+            state = self._step(state, byte) if to is None else to
+            last.append(out[state])
+        path, at = [], len(word)
+        while at:
+            path.append(last[at - 1])
+            at -= len(self.label[path[-1]])
+        return path[::-1]
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.label.__getitem__, ids)).decode("utf-8", "replace")

@@ -45,6 +45,15 @@ def test_coders_agree_with_the_library(text):
     assert np.frombuffer(by_library.packed(text), "<u4").tolist() == want
 
 
+def test_automaton_with_a_small_table(library):
+    """The table is emptied inside words too, and results stay the same."""
+    small, rng = bpe.Automaton(PATH, most=40), random.Random(3)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyzé") for _ in range(rng.randrange(1, 60))) for _ in range(150)] + ["a" * 3000, "ab" * 500]
+    for w in words:
+        assert small.word(w.encode()) == library.encode(w, add_special_tokens=False).ids
+        assert len(small.table) <= 40
+
+
 def test_cache_turns():
     c = tokens.Cache(lambda k: k.encode(), 3)
     for k in "abcdefgab":
