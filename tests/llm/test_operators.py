@@ -1,5 +1,6 @@
 """Search, formatting, extraction, packing, coding, files, quality and the pipeline."""
 
+import functools
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -20,9 +21,19 @@ TEXTS = [None, "", " ", "a", "Hello  world,\n\n it's 12345 ümläut 日本語 
 DOCS = "doc_id long, text string, ids string, offset string"
 
 
+@functools.cache
+def loaded():
+    return Tokenizer.from_file(PATH)
+
+
+@functools.cache
+def library_coder():
+    return tokens.library_coder(PATH)
+
+
 @pytest.fixture(scope="module")
 def library():
-    return Tokenizer.from_file(PATH)
+    return loaded()
 
 
 def docs(spark, texts=TEXTS):
@@ -36,13 +47,12 @@ def ids_of(library, text, end=()):
 @given(st.text(alphabet=st.sampled_from(list(" \t\n ab'sre.,1é日🙂\x1c\x85　")) | st.characters(codec="utf-8"), max_size=40))
 @settings(max_examples=400, deadline=None)
 def test_coders_agree_with_the_library(text):
-    library = test_coders_agree_with_the_library.__dict__.setdefault("library", Tokenizer.from_file(PATH))
+    library = loaded()
     want = library.encode(text, add_special_tokens=False).ids
     automaton, coder, _ = bpe.machine(PATH)
     assert np.frombuffer(coder.packed(text), "<u4").tolist() == want
     assert automaton.decode(want) == library.decode(want, skip_special_tokens=False)
-    by_library = test_coders_agree_with_the_library.__dict__.setdefault("coder", tokens.library_coder(PATH))
-    assert np.frombuffer(by_library.packed(text), "<u4").tolist() == want
+    assert np.frombuffer(library_coder().packed(text), "<u4").tolist() == want
 
 
 def test_automaton_with_a_small_table(library):
