@@ -32,6 +32,9 @@ BLOCKS = frozenset(
     "legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead title tr ul".split()
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+LINES = HEADINGS | {"p"}
+ITEMS = frozenset("li dt dd tr td th option".split())
+BARRIERS = ("article", "main", "body", "table")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 UNREAD = frozenset("head script style noscript template svg math iframe object canvas audio video map".split())
 APART = frozenset("nav footer aside menu dialog form button select textarea input search fieldset".split())
@@ -53,18 +56,30 @@ STOP = frozenset(
 SHORT, LONG = 70, 200
 LINKS, LOW, HIGH = 0.5, 0.2, 0.3
 
+# Possessive, so that no long run without its end is read again from each of its characters.
 _TOKEN = re.compile(
     r"<!--(?P<comment>.*?)(?:-->|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?>(?:[^>\"']|\"[^\"]*\"|'[^']*')*))>"
-    r"|<(?P<close2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)(?:>|\Z)"
-    r"|<[!?/][^>]*(?:>|\Z)",
+    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>(?>(?:[^>\"']|\"[^\"]*\"|'[^']*')*))>"
+    r"|<(?P<close2>/?)(?P<tag2>[a-zA-Z][^\s/>]*+)(?P<attrs2>[^>]*+)(?:>|\Z)"
+    r"|<[!?/][^>]*+(?:>|\Z)",
     re.DOTALL,
 )
-_ATTR = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.DOTALL)
-_RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*(?:>|\Z)", re.IGNORECASE) for t in RAW.split("|")}
+_ATTR = re.compile(r"([^\s=/\"'>]++)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>]++)))?", re.DOTALL)
+_RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*+(?:>|\Z)", re.IGNORECASE) for t in RAW.split("|")}
 _PART = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]+|\d+")
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|$)|display\s*:\s*none", re.IGNORECASE)
-_EDGE = re.compile(r"^\W+|\W+$")
+_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|$)|display\s*+:\s*+none", re.IGNORECASE)
+_INNER = re.compile(r"\w(?:.*\w)?", re.DOTALL)
+_NUMBER = re.compile(r"&#(?:(\d{8,})|[xX]([0-9a-fA-F]{7,}));?")
+
+
+def decoded(text: str) -> str:
+    """The text with character references decoded; numbers beyond Unicode give U+FFFD, however long they are."""
+
+    def short(m: re.Match) -> str:
+        digits = (m[1] or m[2]).lstrip("0")
+        return f"&#{'x' if m[2] else ''}{digits or 0};" if len(digits) <= 7 else "�"
+
+    return html.unescape(_NUMBER.sub(short, text) if "&#" in text else text)
 
 
 def _names(attrs: str) -> tuple[set[str], str]:
@@ -73,7 +88,7 @@ def _names(attrs: str) -> tuple[set[str], str]:
     for m in _ATTR.finditer(attrs):
         key = m[1].lower()
         if key in ("class", "id", "role"):
-            value = html.unescape(m[2] or m[3] or m[4] or "")
+            value = decoded(m[2] or m[3] or m[4] or "")
             words.update(w.lower() for w in _PART.findall(value))
             role = value.strip().lower() if key == "role" else role
     return words, role
@@ -85,30 +100,45 @@ class Reader:
     def __init__(self):
         self.blocks: list[tuple[str, float, bool, bool]] = []
         self.open: list[tuple[str, bool, bool]] = []  # tag, left out, main
+        self.places: dict[str, list[int]] = {}  # of each tag that is open
+        self.left_out = self.mains = 0  # of those open
         self.text: list[str] = []
         self.linked = self.anchors = 0
         self.heading = False
 
+    def push(self, tag: str, out: bool, main: bool) -> None:
+        self.places.setdefault(tag, []).append(len(self.open))
+        self.open.append((tag, out, main))
+        self.left_out += out
+        self.mains += main
+
+    def close(self, place: int) -> None:
+        """Close what is open from a place on."""
+        while len(self.open) > place:
+            tag, out, main = self.open.pop()
+            self.places[tag].pop()
+            self.left_out -= out
+            self.mains -= main
+
     def end_block(self) -> None:
-        text = " ".join(html.unescape("".join(self.text)).split())
+        text = " ".join(decoded("".join(self.text)).split())
         if text:
-            inside = any(o[2] for o in self.open)
-            self.blocks.append((text, min(1.0, self.linked / len(text)), inside, self.heading))
+            self.blocks.append((text, min(1.0, self.linked / len(text)), self.mains > 0, self.heading))
         self.text, self.linked = [], 0
 
     def data(self, text: str) -> None:
-        if text and not any(o[1] for o in self.open):
+        if text and not self.left_out:
             self.text.append(text)
             if self.anchors:
-                self.linked += len(" ".join(html.unescape(text).split()))
+                self.linked += len(" ".join(decoded(text).split()))
 
     def start(self, tag: str, attrs: str) -> None:
         if tag in BLOCKS:
             self.end_block()
-            while self.open and self.open[-1][0] in ("p", *HEADINGS):
-                self.open.pop()
-            if tag in ("li", "dt", "dd", "tr", "td", "th", "option") and self.open and self.open[-1][0] == tag:
-                self.open.pop()
+            while self.open and self.open[-1][0] in LINES:
+                self.close(len(self.open) - 1)
+            if tag in ITEMS and self.open and self.open[-1][0] == tag:
+                self.close(len(self.open) - 1)
             self.heading = tag in HEADINGS
         elif tag == "br":
             self.data(" ")
@@ -116,13 +146,13 @@ class Reader:
             self.anchors = 1
         words, role = _names(attrs) if "=" in attrs else (set(), "")
         main = tag in ("article", "main") or role in ("main", "article")
-        inside = any(o[2] for o in self.open)
+        inside = self.mains > 0
         hints = words & HINTS
         if inside or tag in ("html", "body"):
             hints = hints - MAIN_HINTS if inside else set()
         out = tag in APART or tag in UNREAD or bool(hints) or (tag == "header" and not inside) or bool(_HIDDEN.search(attrs))
         if tag not in VOID and not attrs.rstrip().endswith("/") and (tag in BLOCKS or out or main):
-            self.open.append((tag, out, main and not out))
+            self.push(tag, out, main and not out)
 
     def end(self, tag: str) -> None:
         if tag == "a":
@@ -130,12 +160,10 @@ class Reader:
         if tag in BLOCKS:
             self.end_block()
             self.heading = False
-        for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k][0] == tag:
-                del self.open[k:]
-                break
-            if self.open[k][0] in ("article", "main", "body", "table") and tag not in BLOCKS:
-                break
+        place = self.places[tag][-1] if self.places.get(tag) else -1
+        barrier = -1 if tag in BLOCKS else max((self.places[b][-1] for b in BARRIERS if self.places.get(b)), default=-1)
+        if place >= 0 and place >= barrier:
+            self.close(place)
 
 
 def read_blocks(page: str) -> list[tuple[str, float, bool, bool]]:
@@ -162,39 +190,55 @@ def read_blocks(page: str) -> list[tuple[str, float, bool, bool]]:
     return reader.blocks
 
 
-def label_blocks(blocks: list[tuple[str, float, bool, bool]]) -> list[bool]:
-    """Which blocks are main text."""
+Block = tuple[str, float, bool, bool]
+
+
+def _strong(blocks: list[Block]) -> bool:
+    """Whether main elements hold half of the page's text that is not links, or more."""
     held = sum(len(b[0]) for b in blocks if b[2] and b[1] <= LINKS)
-    prior = any(b[2] for b in blocks) and 2 * held >= sum(len(b[0]) for b in blocks if b[1] <= LINKS)
-    titles = [links > LINKS and inside and heading and len(text) <= LONG for text, links, inside, heading in blocks]
-    first: list[bool | None] = []
-    for (text, links, inside, _), title in zip(blocks, titles, strict=True):
-        words = [_EDGE.sub("", w).lower() for w in text.split()]
-        stops = sum(w in STOP for w in words) / len(words)
-        if title:
-            first.append(None)
-        elif links > LINKS:
-            first.append(False)
+    return any(b[2] for b in blocks) and 2 * held >= sum(len(b[0]) for b in blocks if b[1] <= LINKS)
+
+
+def _linked_title(block: Block) -> bool:
+    text, links, inside, heading = block
+    return links > LINKS and inside and heading and len(text) <= LONG
+
+
+def first_pass(blocks: list[Block]) -> list[bool | None]:
+    """Good, bad or ambiguous by link density, length and stop-word density."""
+    strong, out = _strong(blocks), []
+    for block in blocks:
+        text, links, inside, _ = block
+        words = text.split()
+        stops = sum(m[0].lower() in STOP for m in map(_INNER.search, words) if m) / len(words)
+        if links > LINKS:
+            label = None if _linked_title(block) else False
         elif inside:
-            first.append(True if len(text) >= SHORT and stops >= LOW / 2 else None)
+            label = True if len(text) >= SHORT and stops >= LOW / 2 else None
         elif len(text) < SHORT:
-            first.append(None)
-        elif prior:
-            first.append(False if stops < HIGH else True if len(text) > LONG else None)
+            label = None
+        elif strong:
+            label = False if stops < HIGH else True if len(text) > LONG else None
         elif stops >= HIGH:
-            first.append(True)
+            label = True
         elif stops >= LOW:
-            first.append(True if len(text) > LONG else None)
+            label = True if len(text) > LONG else None
         else:
-            first.append(False)
-    out = [False] * len(blocks)
+            label = False
+        out.append(label)
+    return out
+
+
+def second_pass(blocks: list[Block], first: list[bool | None]) -> list[bool]:
+    """Ambiguous blocks with the labels of their neighbours."""
+    strong, titles, out = _strong(blocks), [_linked_title(b) for b in blocks], [False] * len(blocks)
     for inside in (True, False):
         side = [i for i, b in enumerate(blocks) if b[2] == inside and not titles[i]]
         labels = [first[i] for i in side]
         if True in labels:
             labels = _neighbours(labels, [blocks[i][3] for i in side], inside)
         else:  # nothing long enough to tell by: all that is not links
-            labels = [x is None and (inside or not prior) for x in labels]
+            labels = [x is None and (inside or not strong) for x in labels]
         for i, x in zip(side, labels, strict=True):
             out[i] = x
     for i, title in enumerate(titles):
@@ -203,6 +247,11 @@ def label_blocks(blocks: list[tuple[str, float, bool, bool]]) -> list[bool]:
     return out
 
 
+def label_blocks(blocks: list[Block]) -> list[bool]:
+    """Which blocks are main text."""
+    return second_pass(blocks, first_pass(blocks))
+
+
 def _neighbours(first: list[bool | None], headings: list[bool], one: bool) -> list[bool]:
     """Labels with those of their neighbours where they are None; between two at one distance one good neighbour is enough, or both must be."""
     before, after, out = [(-1, None)] * len(first), [(-1, None)] * len(first), []

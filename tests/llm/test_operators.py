@@ -2,6 +2,7 @@
 
 import functools
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -253,10 +254,39 @@ def test_pages_by_density_beside_an_article():
     assert pages.main_text(beside).split("\n\n") == ["Title", good.strip(), "Ende"]
 
 
+def test_both_passes_decide_blocks_of_pages(spark):
+    """Of real pages the first pass calls blocks good, bad and ambiguous, and the second calls ambiguous ones good and bad."""
+    seen = Counter()
+    for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect():
+        blocks = pages.read_blocks(r["html"] or "")
+        first = pages.first_pass(blocks)
+        seen.update((a, b) for a, b in zip(first, pages.second_pass(blocks, first), strict=True))
+    assert seen[True, True] > 100 and seen[None, True] > 100 and seen[True, False] == seen[False, True] == 0
+    beside = "<article><p>Short.</p></article><p>tiny</p><div>Register Login Cart Wishlist Compare Checkout Account Orders Vouchers Stores Careers Press</div>"
+    blocks = pages.read_blocks(beside)
+    assert pages.first_pass(blocks) == [None, None, False] and pages.label_blocks(blocks) == [True, True, False]
+
+
+LONG_PAGES = {
+    "attribute": "<div " + "a" * 1_000_000 + ">x</div>", "value": "<div class=" + "a" * 1_000_000 + ">x</div>", "names": "<div " + "a " * 500_000 + ">x</div>", "space": "<div a" + " " * 1_000_000 + ">x", "tag": "<" + "a" * 1_000_000,
+    "levels": "<div>" * 50_000 + "x" + "</div>" * 50_000, "ends": '<span class="ad"><article>' + "<div>" * 50_000 + "x</span>" * 50_000, "open": "<a<" * 300_000, "quotes": '<a ">' * 200_000, "signs": "<p>a" + "!" * 1_000_000 + "a</p>",
+    "number": "<p>&#" + "9" * 100_000 + "; &#00000000065;</p>", "ands": "&" * 1_000_000, "scripts": "<script>" * 100_000, "comments": "<!--" * 200_000,
+}
+
+
+@pytest.mark.parametrize("name", LONG_PAGES)
+def test_long_pages_take_linear_time(name):
+    began = time.perf_counter()
+    text = pages.main_text(LONG_PAGES[name])
+    assert time.perf_counter() - began < 1.0
+    assert text == {"attribute": "x", "value": "x", "names": "x", "space": "x", "levels": "x", "number": "\ufffd A"}.get(name, text)
+
+
 def test_pages_frame(spark):
     rows = [(1, "u", "<p>a</p>", "x"), (None, None, None, "y"), (1, "u", "<p>a</p>", "x")]
     got = pages.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
     assert sorted((r["page_id"] or 0, r["text"], r["n_chars"]) for r in got) == [(0, "", 0), (1, "a", 1), (1, "a", 1)]
+    assert pages.extract_pages(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
 def test_quality_on_held_out_labels(spark):
