@@ -5,7 +5,10 @@ A conversation becomes one string of runs, each `<s>[ROLE]role[/ROLE]` text
 between them.  Control strings inside roles and texts get a backslash after
 their first sign (one more, if they have some), so no control string is left
 inside them and the change can be undone.  The loss mask is a list of spans of
-the string: the text of each assistant turn.
+the string's UTF-8 bytes: the text of each assistant turn.
+
+Work is linear in the turns of a conversation: runs are cut from the sorted
+array at the turns that begin one, and sums of lengths run in chunks.
 """
 
 from __future__ import annotations
@@ -13,6 +16,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexiloom.functions.text import let
+
+#: Lengths that are summed up in one array.
+CHUNK = 128
+
 # The control strings of the template, as first sign and rest.
 FIRST = r"[<\[]"
 REST = r"/?s>|/?INST\]|/?ROLE\]|TURN\]"
@@ -27,14 +35,35 @@ def unescape(text: Column) -> Column:
 
 
 def merged_runs(turns: Column) -> Column:
-    """array<struct<role, text>> to array<struct<role, texts>>, adjacent turns of one role merged."""
-    last = lambda runs: F.element_at(runs, -1)
-    new = lambda x: F.struct(x["role"].alias("role"), F.array(x["text"]).alias("texts"))
-    grown = lambda runs, x: F.struct(x["role"].alias("role"), F.concat(last(runs)["texts"], F.array(x["text"])).alias("texts"))
-    step = lambda runs, x: F.when(
-        (F.size(runs) > 0) & (F.try_element_at(runs, F.lit(-1))["role"] == x["role"]), F.concat(F.slice(runs, 1, F.size(runs) - 1), F.array(grown(runs, x)))
-    ).otherwise(F.concat(runs, F.array(new(x))))
-    return F.aggregate(turns, F.expr("CAST(array() AS array<struct<role: string, texts: array<string>>>)"), step)
+    """array<struct<..., role, text>> to array<struct<role, texts>>, adjacent turns of one role merged."""
+
+    def cut(t: Column) -> Column:
+        begins = lambda i: (i == 0) | (F.get(t, i)["role"] != F.get(t, i - 1)["role"])
+        first = F.filter(F.sequence(F.lit(0), F.size(t) - 1), begins)
+
+        def runs(at: Column) -> Column:
+            part = lambda i, k: F.slice(t, i + 1, F.coalesce(F.get(at, k + 1), F.size(t)) - i)
+            return F.transform(F.transform(at, part), lambda p: F.struct(F.get(p, F.lit(0))["role"].alias("role"), F.transform(p, lambda x: x["text"]).alias("texts")))
+
+        return let(first, runs)
+
+    return let(turns, cut)
+
+
+def running_sums(lengths: Column) -> Column:
+    """For each of an array of longs the sum of those before it: sums of chunks are added to sums within chunks."""
+    add = lambda sums, x: F.concat(sums, F.array(F.element_at(sums, -1) + x))
+    sums = lambda part: F.aggregate(part, F.array(F.lit(0).cast("long")), add)
+
+    def all_(parts: Column) -> Column:
+        before = sums(F.transform(parts, lambda p: F.aggregate(p, F.lit(0).cast("long"), lambda a, x: a + x)))
+        return let(before, lambda base: F.flatten(F.transform(parts, lambda p, k: F.transform(F.slice(sums(p), 1, F.size(p)), lambda x: x + F.get(base, k)))))
+
+    def chunks(whole: Column) -> Column:
+        last = F.floor((F.size(whole) - 1) / CHUNK).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda c: F.slice(whole, c * CHUNK + 1, CHUNK))
+
+    return let(lengths, lambda whole: let(chunks(whole), all_))
 
 
 def _segments(runs: Column, trained: str) -> Column:
@@ -50,7 +79,7 @@ def _segments(runs: Column, trained: str) -> Column:
 
 
 def format_conversations(turns: DataFrame, trained: str = "assistant") -> DataFrame:
-    """One row for each conv_id: conv_id, formatted, loss_spans (array of start from 0 and length, in code points).
+    """One row for each conv_id: conv_id, formatted, loss_spans (array of start from 0 and length, in UTF-8 bytes).
 
     `turns` has conv_id, turn, role and text; other columns are ignored.  Turns
     are in order of turn (null first), ties in order of role, then text; repeated
@@ -59,15 +88,13 @@ def format_conversations(turns: DataFrame, trained: str = "assistant") -> DataFr
     """
     clean = turns.select("conv_id", "turn", F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     one = clean.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
-    one = one.select("conv_id", _segments(merged_runs(F.col("turns")), trained).alias("segments"))
-    begin = F.expr("CAST(named_struct('at', 0, 'spans', array()) AS struct<at: int, spans: array<struct<start: int, length: int>>>)")
 
-    def step(acc: Column, x: Column) -> Column:
-        n = F.length(x["s"])
-        spans = F.when(x["loss"], F.concat(acc["spans"], F.array(F.struct(acc["at"].alias("start"), n.alias("length"))))).otherwise(acc["spans"])
-        return F.struct((acc["at"] + n).alias("at"), spans.alias("spans"))
+    def made(segments: Column) -> Column:
+        size = F.transform(segments, lambda x: F.octet_length(x["s"]).cast("long"))
+        spans = let(running_sums(size), lambda at: F.filter(F.transform(segments, lambda x, i: F.when(x["loss"], F.struct(F.get(at, i).alias("start"), F.octet_length(x["s"]).cast("long").alias("length")))), lambda s: s.isNotNull()))
+        return F.struct(F.array_join(F.transform(segments, lambda x: x["s"]), "").alias("formatted"), spans.alias("loss_spans"))
 
-    return one.select("conv_id", F.array_join(F.transform("segments", lambda x: x["s"]), "").alias("formatted"), F.aggregate("segments", begin, step)["spans"].alias("loss_spans"))
+    return one.select("conv_id", F.inline(F.array(let(_segments(merged_runs(F.col("turns")), trained), made))))
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
@@ -81,7 +108,8 @@ def read_back(formatted: DataFrame) -> DataFrame:
         body = F.substring(run, at + F.lit(len("[/ROLE]")), F.length(run))
         return F.transform(F.split(body, r"\[TURN\]"), lambda t: F.struct(role.alias("role"), unescape(t).alias("text")))
 
-    loss = F.transform("loss_spans", lambda s: unescape(F.substring(F.col("formatted"), s["start"] + 1, s["length"])))
+    under = lambda data: F.transform("loss_spans", lambda s: unescape(F.decode(F.substring(data, (s["start"] + 1).cast("int"), s["length"].cast("int")), "UTF-8")))
+    loss = let(F.encode("formatted", "UTF-8"), under)
     return formatted.select("conv_id", F.flatten(F.transform(runs, turns)).alias("turns"), F.array_join(loss, "").alias("loss_text"), "formatted")
 
 

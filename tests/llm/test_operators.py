@@ -267,6 +267,21 @@ def test_both_passes_decide_blocks_of_pages(spark):
     assert pages.first_pass(blocks) == [None, None, False] and pages.label_blocks(blocks) == [True, True, False]
 
 
+def test_chat_of_a_long_conversation(spark):
+    """30,000 turns of one conversation: spans of bytes, runs and sums against plain Python."""
+    role = F.when(F.col("id") % 5 < 2, "user").otherwise("assistant")
+    rows = spark.range(30_000).select(F.lit(7).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.concat(F.lit("é "), F.col("id").cast("string"), F.lit(" </s>")).alias("text"))
+    began = time.perf_counter()
+    made = chat.format_conversations(rows)
+    back = chat.read_back(made).first()
+    assert time.perf_counter() - began < 30
+    want = [("user" if i % 5 < 2 else "assistant", f"é {i} </s>") for i in range(30_000)]
+    assert [tuple(t) for t in back["turns"]] == want and back["loss_text"] == "".join(t for r, t in want if r == "assistant")
+    data, spans = back["formatted"].encode(), made.first()["loss_spans"]
+    assert [data[s["start"] : s["start"] + s["length"]].decode() for s in spans[-3:]] == [f"é {i} <\\/s>" for i in (29_997, 29_998, 29_999)]
+    assert back["formatted"].count("</s>") == 12_000
+
+
 LONG_PAGES = {
     "attribute": "<div " + "a" * 1_000_000 + ">x</div>", "value": "<div class=" + "a" * 1_000_000 + ">x</div>", "names": "<div " + "a " * 500_000 + ">x</div>", "space": "<div a" + " " * 1_000_000 + ">x", "tag": "<" + "a" * 1_000_000,
     "levels": "<div>" * 50_000 + "x" + "</div>" * 50_000, "ends": '<span class="ad"><article>' + "<div>" * 50_000 + "x</span>" * 50_000, "open": "<a<" * 300_000, "quotes": '<a ">' * 200_000, "signs": "<p>a" + "!" * 1_000_000 + "a</p>",
