@@ -3,16 +3,22 @@
 Seeds are winnowed anchors: in every window of `length` consecutive words the
 run of SEED words with the least hash (the rightmost of equals).  Equal windows
 have equal anchors, so two places can share a window only if they share an
-anchor.  Anchors that occur once are dropped; each remaining occurrence is
-extended to both sides into the windows it anchors, and these are matched by
-hash.  Matched windows that overlap join into maximal repeats.
+anchor.  Documents are joined on their anchors, and those that occur at one
+place alone drop out.  At each place that is left the anchor is extended to both
+sides, by 0 to length - SEED words to the left and the rest to the right, to the
+windows that it anchors; extensions that match those of another place are
+matches, and matches that overlap or touch join into maximal repeats.
 
 Copies of whole stretches would give a row for each word and copy.  Stretches
 between sparse anchors (with the words that complete their last window) are
 therefore matched first: of equal stretches one, the least place, stands for
-all in the extension.  Counts are aggregated before they are shuffled, and no
-pairs of places are formed, so a passage in a third of all rows costs one row
-for each place it stands in.
+all in the extension.  Of equal texts one stands for all from the start.  Counts
+are aggregated before they are shuffled, no pairs of places are formed, and a
+passage in a third of all rows costs one row for each place it stands in, dealt
+over many tasks.
+
+Rows have a number of their own; texts are compared by two 64-bit hashes, words
+and windows by one.
 """
 
 from __future__ import annotations
@@ -22,16 +28,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexiloom.llm import words as W
 from lexiloom.llm.scratch import written
+from lexiloom.llm.skew import spread_join
 
 SEED = 8
 #: One anchor in so many, by hash, bounds a stretch.
 SPARSE = 8
-_FIRST = "doc_id long, th int, n_words int, whole string, anchors array<long>, places array<int>, stretches array<long>, starts array<int>, ends array<int>"
+_FIRST = "rid long, k0 long, k1 long, doc_id long, n_words int, whole string, anchors array<long>, places array<int>, stretches array<long>, starts array<int>, ends array<int>"
+_SPANS = "array<struct<start: int, end: int>>"
 
 
 def anchor_of(words: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -90,17 +98,17 @@ def _scan(length: int):
                 few, many = np.cumsum(sizes[1]), np.cumsum(sizes[0])
                 ints = lambda x: pa.array(x.astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("th"), pa.array(np.diff(of).astype(np.int32)), pa.array(whole, pa.string()),
+                    [*(part.column(c) for c in ("rid", "k0", "k1", "doc_id")), pa.array(np.diff(of).astype(np.int32)), pa.array(whole, pa.string()),
                      W.lists(W.longs(joined[0]), many), W.lists(ints(joined[1]), many),
                      W.lists(W.longs(joined[2]), few), W.lists(ints(joined[3]), few), W.lists(ints(joined[4]), few)],
-                    ["doc_id", "th", "n_words", "whole", "anchors", "places", "stretches", "starts", "ends"],
+                    ["rid", "k0", "k1", "doc_id", "n_words", "whole", "anchors", "places", "stretches", "starts", "ends"],
                 )
 
     return scan
 
 
 def _extend(length: int):
-    """(doc_id, th, text, marked, skip) to the windows whose anchor is marked and that no other stretch stands for."""
+    """(rid, text, marked, skip) to the windows that extend a marked anchor and that no other stretch stands for."""
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -126,89 +134,133 @@ def _extend(length: int):
                     sizes[i + 1] = len(here)
                 offsets = np.cumsum(sizes)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("th"), W.lists(W.longs(np.concatenate(values)), offsets), W.lists(pa.array(np.concatenate(where).astype(np.int32)), offsets)],
-                    ["doc_id", "th", "windows", "places"],
+                    [part.column("rid"), W.lists(W.longs(np.concatenate(values)), offsets), W.lists(pa.array(np.concatenate(where).astype(np.int32)), offsets)],
+                    ["rid", "windows", "places"],
                 )
 
     return extend
 
 
+def _maximal(n: int, length: int, places, runs) -> np.ndarray:
+    """The maximal repeats of a text of n words, as rows of start and end, from windows at `places` and ranges `runs` of window starts."""
+    edge = np.zeros(n + 1, np.int64)
+    if places.is_valid and len(places):
+        p = np.unique(places.values.to_numpy())
+        edge[p] += 1
+        edge[p + length] -= 1
+    if runs.is_valid and len(runs):
+        np.add.at(edge, runs.values.field("start").to_numpy(), 1)
+        np.add.at(edge, runs.values.field("end").to_numpy() + length - 1, -1)
+    turn = np.flatnonzero(np.diff((np.cumsum(edge) > 0).astype(np.int8), prepend=0, append=0))
+    return turn.reshape(-1, 2).astype(np.int32)
+
+
 def _keep(length: int, texts: bool):
-    """(doc_id, th, text, places, runs) to what is left of each text."""
+    """(k0, k1, n, text, places, runs) to the maximal repeats of each text and what is left of it."""
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in W.pieces(batch, "text"):
-                removed, left = [], []
+                removed, left, spans = [], [], [np.zeros((0, 2), np.int32)]
                 data, at = W.flat(part.column("text"))
                 raw = data.tobytes()
                 for i, (places, runs) in enumerate(zip(part.column("places"), part.column("runs"), strict=True)):
                     words = raw[at[i] : at[i + 1]].split()
-                    edge = np.zeros(len(words) + 1, np.int64)
-                    if places.is_valid and len(places):
-                        p = np.unique(places.values.to_numpy())
-                        edge[p] += 1
-                        edge[p + length] -= 1
-                    if runs.is_valid and len(runs):
-                        np.add.at(edge, runs.values.field("start").to_numpy(), 1)
-                        np.add.at(edge, runs.values.field("end").to_numpy() + length - 1, -1)
-                    gone = np.cumsum(edge[:-1]) > 0
-                    removed.append(int(gone.sum()))
-                    kept = b" ".join([w for w, x in zip(words, gone.tolist(), strict=True) if not x])
+                    found = _maximal(len(words), length, places, runs)
+                    removed.append(int((found[:, 1] - found[:, 0]).sum()))
+                    bounds = np.concatenate([[0], found.ravel(), [len(words)]]).tolist()
+                    kept = b" ".join([w for a, b in zip(bounds[::2], bounds[1::2], strict=True) for w in words[a:b]])
                     left.append(kept.decode() if texts else hashlib.sha256(kept).hexdigest())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("th"), pa.array(removed, pa.int32()), pa.array(left, pa.string())], ["doc_id", "th", "removed", "left"])
+                    spans.append(found)
+                offsets, flat = np.cumsum([0, *map(len, spans[1:])]), np.concatenate(spans)
+                pairs = pa.StructArray.from_arrays([pa.array(flat[:, 0]), pa.array(flat[:, 1])], ["start", "end"])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("k0", "k1", "n")), pa.array(removed, pa.int32()), pa.array(left, pa.string()), W.lists(pairs, offsets)], ["k0", "k1", "n", "removed", "left", "repeats"])
 
     return keep
 
 
-def repeated_passages(docs: DataFrame, length: int = 35, texts: bool = False) -> DataFrame:
-    """Remove each word covered by a window of `length` words whose sequence also starts anywhere else.
+def _keyed(text: Column) -> dict[str, Column]:
+    """The two hashes of a text."""
+    return {"k0": F.xxhash64(text), "k1": F.xxhash64(F.lit(7), text)}
 
-    `docs` has doc_id (integer) and text; other columns are ignored.  Result:
-    doc_id, th (a hash of the text), n_words, n_removed and, in `left`, the
-    SHA-256 in hex of the kept words joined by one space, or with `texts` those
-    words themselves for texts that lost words (null for the others).
 
-    Null, empty and blank texts have no words and lose none.  A null doc_id is
-    an id like others.  Rows that repeat a doc_id are places of their own: two
-    equal rows repeat each other whole.  An empty table gives no rows.
-    """
+def _texts(docs: DataFrame) -> DataFrame:
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumns(_keyed(F.col("text")))
+
+
+def _twice(rows: DataFrame, place: Column) -> DataFrame:
+    """Hashes that stand at more than one place, with their number and the least place."""
+    return written(rows.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("least")).where("n > 1"), "shared")
+
+
+def _repeats(src: DataFrame, length: int, texts: bool) -> tuple[DataFrame, DataFrame]:
+    """The stored scan of all rows, and for each text (k0, k1) with repeats: n rows, removed, left, repeats."""
     if length < SEED:
         raise ValueError(f"length must be {SEED} at least")
-    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("th", F.hash("text"))
-    first = written(src.mapInArrow(_scan(length), _FIRST), "passages")
+    first = written(src.withColumn("rid", F.monotonically_increasing_id()).mapInArrow(_scan(length), _FIRST), "passages")
+    one = written(first.groupBy("k0", "k1").agg(F.min("rid").alias("rid"), F.count(F.lit(1)).alias("n")), "texts")
 
     # Stretches that repeat: the least place stands for the others.
-    place = F.struct("doc_id", "th", "start", "end")
-    stretch = first.select("doc_id", "th", F.explode(F.arrays_zip("stretches", "starts", "ends")).alias("s")).select("doc_id", "th", F.col("s.stretches").alias("hash"), F.col("s.starts").alias("start"), F.col("s.ends").alias("end"))
-    twice = stretch.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("least")).where("n > 1").select("hash", "least")
+    place = F.struct("rid", "start", "end")
+    stretch = first.select("rid", F.explode(F.arrays_zip("stretches", "starts", "ends")).alias("s")).select("rid", F.col("s.stretches").alias("hash"), F.col("s.starts").alias("start"), F.col("s.ends").alias("end"))
+    same = spread_join(stretch, _twice(stretch, place), ["hash"], F.xxhash64("rid", "start"))
     runs = written(
-        stretch.join(twice, "hash").groupBy("doc_id", "th")
-        .agg(F.collect_list(F.struct("start", "end")).alias("runs"), F.collect_list(F.when(~place.eqNullSafe(F.col("least")), F.struct("start", "end"))).alias("skip")),
+        same.groupBy("rid").agg(F.collect_list(F.struct("start", "end")).alias("runs"), F.collect_list(F.when(~place.eqNullSafe(F.col("least")), F.struct("start", "end"))).alias("skip")),
         "runs",
     )
 
-    # Seeds that occur at two places at least.
-    seeds = first.select("doc_id", "th", F.explode(F.arrays_zip("anchors", "places")).alias("s")).select("doc_id", "th", F.col("s.anchors").alias("hash"), F.col("s.places").alias("place"))
-    shared = seeds.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash")
-    marked = seeds.join(shared, "hash").groupBy("doc_id", "th").agg(F.collect_list("place").alias("marked"))
-
-    same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["th"] == b["th"])
-    marks = marked.join(runs, same(marked, runs), "left").select(marked["doc_id"], marked["th"], "marked", "skip")
-    touched = written(src.join(marks, same(src, marks)).select(src["doc_id"], src["th"], "text", "marked", "skip"), "touched")
+    # Rows joined on anchors: those at more than one place are marked.
+    seeds = first.select("rid", F.explode(F.arrays_zip("anchors", "places")).alias("s")).select("rid", F.col("s.anchors").alias("hash"), F.col("s.places").alias("place"))
+    shared = _twice(seeds, F.xxhash64("rid", "place")).drop("least")
+    marked = spread_join(seeds, shared, ["hash"], F.xxhash64("rid", "place")).groupBy("rid").agg(F.collect_list("place").alias("marked"))
+    marks = one.join(marked, "rid").join(runs.select("rid", "skip"), "rid", "left")
+    whole = src.groupBy("k0", "k1").agg(F.first("text").alias("text"))  # copies are dropped before the shuffle
+    touched = written(whole.join(marks, ["k0", "k1"]).select("rid", "k0", "k1", "n", "text", "marked", "skip"), "touched")
 
-    windows = touched.mapInArrow(_extend(length), "doc_id long, th int, windows array<long>, places array<int>")
+    windows = touched.mapInArrow(_extend(length), "rid long, windows array<long>, places array<int>")
     windows = written(windows.where(F.size("windows") > 0), "windows")
-    windows = windows.select("doc_id", "th", F.explode(F.arrays_zip("windows", "places")).alias("w")).select("doc_id", "th", F.col("w.windows").alias("hash"), F.col("w.places").alias("place"))
-    again = windows.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash")
-    places = windows.join(again, "hash").groupBy("doc_id", "th").agg(F.collect_list("place").alias("places"))
-
-    spans = places.join(runs.select("doc_id", "th", "runs"), same(places, runs), "full").select(F.coalesce(places["doc_id"], runs["doc_id"]).alias("doc_id"), F.coalesce(places["th"], runs["th"]).alias("th"), "places", "runs")
-    texts_of = touched.select("doc_id", "th", "text")
-    cut = texts_of.join(spans, same(texts_of, spans)).select(texts_of["doc_id"], texts_of["th"], "text", "places", "runs")
-    cut = cut.mapInArrow(_keep(length, texts), "doc_id long, th int, removed int, left string").dropDuplicates(["doc_id", "th"])
-    whole = F.lit(None).cast("string") if texts else first["whole"]
-    return first.join(cut, same(first, cut), "left").select(first["doc_id"], first["th"], first["n_words"].cast("long").alias("n_words"), F.coalesce(cut["removed"], F.lit(0)).cast("long").alias("n_removed"), F.coalesce(cut["left"], whole).alias("left"))
+    windows = windows.select("rid", F.explode(F.arrays_zip("windows", "places")).alias("w")).select("rid", F.col("w.windows").alias("hash"), F.col("w.places").alias("place"))
+    again = _twice(windows, F.xxhash64("rid", "place")).drop("least")
+    places = spread_join(windows, again, ["hash"], F.xxhash64("rid", "place")).groupBy("rid").agg(F.collect_list("place").alias("places"))
+
+    cut = touched.select("rid", "k0", "k1", "n", "text").join(places.join(runs.select("rid", "runs"), "rid", "full"), "rid")
+    cut = cut.mapInArrow(_keep(length, texts), f"k0 long, k1 long, n long, removed int, left string, repeats {_SPANS}")
+    return first, written(cut, "cut")
+
+
+def repeated_passages(docs: DataFrame, length: int = 35) -> DataFrame:
+    """The maximal repeats of each row, and what is left of it without each word covered by a window of `length` words whose sequence also starts anywhere else.
+
+    `docs` has doc_id (integer) and text; other columns are ignored.  Result:
+    doc_id, n_words, n_removed, left (the SHA-256 in hex of the kept words joined
+    by one space) and repeats (array of start and end in words, null if none).
+
+    Null, empty and blank texts have no words and lose none.  A null doc_id is
+    an id like others.  Rows that repeat a doc_id are places of their own: two
+    equal rows repeat each other whole.  An empty table gives no rows.
+    """
+    first, cut = _repeats(_texts(docs), length, texts=False)
+    rows = first.select("rid", "k0", "k1", "doc_id", "n_words", "whole")
+    out = spread_join(rows, cut, ["k0", "k1"], F.col("rid"), "left")
+    return out.select("doc_id", F.col("n_words").cast("long").alias("n_words"), F.coalesce("removed", F.lit(0)).cast("long").alias("n_removed"), F.coalesce("left", "whole").alias("left"), "repeats")
+
+
+def without_repeats(docs: DataFrame, length: int = 35) -> DataFrame:
+    """All rows and columns of `docs`, the texts that lose words replaced by the rest joined by one space, and n_removed.
+
+    Rows are treated as by `repeated_passages`.  A column that is already named
+    n_removed is replaced.
+    """
+    docs = docs.drop("n_removed")
+    names = docs.columns
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])  # so that no name of another column matters
+    text = f"c{names.index('text')}"
+    _, cut = _repeats(_texts(docs), length, texts=True)
+    rows = plain.withColumns(_keyed(F.coalesce(F.col(text).cast("string"), F.lit(""))) | {"rid": F.monotonically_increasing_id()})
+    out = spread_join(rows, cut.drop("repeats").where("removed > 0"), ["k0", "k1"], F.col("rid"), "left")
+    new = out.withColumn(text, F.coalesce("left", F.col(text).cast("string"))).select(*plain.columns, F.coalesce("removed", F.lit(0)).cast("long").alias("n_removed"))
+    return new.toDF(*names, "n_removed")
 
 
 def op8(spark, sf_dir: str) -> DataFrame:

@@ -8,7 +8,9 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from lexiloom.llm import minhash, neighbours, substrings
+from pyspark.sql import functions as F
+
+from lexiloom.llm import minhash, neighbours, skew, substrings
 from lexiloom.llm import words as W
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -140,8 +142,14 @@ def test_passages_against_brute_force(spark):
     got = {r["doc_id"]: r for r in substrings.repeated_passages(frame(spark, list(enumerate(texts)))).collect()}
     assert [(got[i]["n_words"], got[i]["n_removed"]) for i in range(len(texts))] == [x[:2] for x in want]
     assert [got[i]["left"] for i in range(len(texts))] == [hashlib.sha256(x[2].encode()).hexdigest() for x in want]
-    kept = {r["doc_id"]: r["left"] for r in substrings.repeated_passages(frame(spark, list(enumerate(texts))), texts=True).collect()}
-    assert all(kept[i] == x[2] if x[1] else kept[i] is None for i, x in enumerate(want))
+    spans = {i: [(s["start"], s["end"]) for s in r["repeats"] or []] for i, r in got.items()}
+    for i, t in enumerate(texts):
+        words, bounds = WORD.findall(t), [0, *(x for s in spans[i] for x in s), len(WORD.findall(t))]
+        assert " ".join(w for a, b in zip(bounds[::2], bounds[1::2], strict=True) for w in words[a:b]) == want[i][2]
+        assert all(b - a >= 35 for a, b in spans[i]) and all(b < a for (_, b), (a, _) in zip(spans[i], spans[i][1:], strict=False))
+    made = substrings.without_repeats(frame(spark, list(enumerate(texts))))
+    assert made.columns == ["doc_id", "text", "th", "text ", "n_removed"]
+    assert {r["doc_id"]: r["text"] for r in made.collect()} == {i: x[2] if x[1] else texts[i] for i, x in enumerate(want)}
 
 
 def test_passages_edges(spark):
@@ -154,6 +162,28 @@ def test_passages_edges(spark):
         substrings.repeated_passages(frame(spark, []), length=5)
 
 
+def test_passages_of_many_equal_rows(spark):
+    """A third of all rows are copies without an id, others share one passage; one text differs in one word alone."""
+    rng = random.Random(8)
+    word = lambda: f"w{rng.randrange(4000)}"
+    hot, passage = " ".join(word() for _ in range(80)), " ".join(word() for _ in range(45))
+    rows = [(None, hot)] * 1000 + [(None, hot.replace(hot.split()[40], "other"))] + [(i, " ".join([word() for _ in range(20)] + [passage] + [word() for _ in range(20)])) for i in range(1000)]
+    rows += [(3000 + i, " ".join(word() for _ in range(60))) for i in range(1000)]
+    want = brute_passages([t for _, t in rows], 35)
+    got = substrings.repeated_passages(frame(spark, rows)).collect()
+    assert sorted((r["doc_id"] or -1, r["n_words"], r["n_removed"], r["left"]) for r in got) == sorted((i or -1, w[0], w[1], hashlib.sha256(w[2].encode()).hexdigest()) for (i, _), w in zip(rows, want, strict=True))
+
+
+def test_lopsided_keys_are_spread(spark):
+    many = spark.range(10_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    few = many.groupBy("k").count().withColumnRenamed("count", "n").where("k % 2 = 0").withColumn("x", F.col("k") + 1)
+    for how in ("inner", "left"):
+        got = sorted(tuple(r) for r in skew.spread_join(many, few, ["k"], F.col("v"), how).select("k", "v", "x").fillna(-1).collect())
+        assert got == sorted(tuple(r) for r in many.join(few, "k", how).select("k", "v", "x").fillna(-1).collect())
+    plan = skew.spread_join(many, few, ["k"], F.col("v"))._jdf.queryExecution().toString()
+    assert "__part" in plan and skew.spread_join(many, few.limit(0), ["k"], F.col("v")).count() == 0
+
+
 def test_vectors_against_brute_force(spark):
     rng = np.random.default_rng(3)
     centre = rng.normal(size=(40, 24))
