@@ -17,33 +17,44 @@ SHINGLE, SIMILAR, PASSAGE, SEQUENCE = 5, 80, 35, 2048
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, fitted on the labelled ones among them, gives a good grade with probability 0.5 or more."""
+    """Documents that the classifier, fitted on the labelled ones among them, gives a good grade with probability 0.5 or more.
+
+    Null and empty texts are scored like others, by their empty set of words.
+    Repeated rows and null ids are rows of their own; a row with exactly the
+    bound is kept.  Without usable labels every row stays.
+    """
     return quality.select(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row, that of the smallest doc_id (null last), of each group of near-duplicates; rows that repeat a doc_id or have none count each for itself."""
+    """One row, that of the smallest doc_id (null last), of each group of near-duplicates.
+
+    Rows that repeat a doc_id or have none count each for itself; between rows of
+    one doc_id the least content stays.  Null, empty and blank texts are near no
+    other and stay.
+    """
     keyed = written(docs.withColumn("row_key", F.monotonically_increasing_id()), "keyed")
     groups = minhash.near_duplicates(keyed.select(F.col("row_key").alias("doc_id"), "text"), k=SHINGLE, percent=SIMILAR)
     order = F.struct(F.col("id").isNull(), "id", "content", "row_key")
     ids = keyed.select("row_key", F.col("doc_id").alias("id"), F.xxhash64(*docs.columns).alias("content"))
     of = written(groups.select(F.col("doc_id").alias("row_key"), "component_id").join(ids, "row_key"), "groups")
-    stay = of.groupBy("component_id").agg(F.min_by("row_key", order).alias("row_key"))
-    return keyed.join(of.join(stay, "row_key", "left_anti").select("row_key"), "row_key", "left_anti").select(*docs.columns)
+    stay = of.groupBy("component_id").agg(F.min_by("row_key", order).alias("row_key")).select("row_key")
+    return keyed.join(stay, "row_key", "left_semi").select(*docs.columns)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents without the passages that repeat: texts that lose words are the rest joined by one space; n_chars follows."""
-    found = substrings.repeated_passages(docs, PASSAGE, texts=True).where("n_removed > 0").select(F.col("doc_id").alias("id"), "th", "left").dropDuplicates(["id", "th"])
-    src = docs.withColumn("text_hash", F.hash(F.col("text").cast("string")))
-    out = src.join(found, src["doc_id"].eqNullSafe(found["id"]) & (src["text_hash"] == found["th"]), "left")
-    text = F.coalesce(found["left"], src["text"])
-    new = {"text": text, "n_chars": F.when(found["left"].isNull(), src["n_chars"]).otherwise(F.length(text))}
-    return out.select(*[new.get(c, src[c]).alias(c) for c in docs.columns])
+    """All documents without the passages that repeat: texts that lose words are the rest joined by one space; n_chars follows.
+
+    Null, empty and blank texts stay as they are.  Rows that repeat a doc_id or
+    have none are places of their own.
+    """
+    cut = substrings.without_repeats(docs, PASSAGE)
+    size = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
+    return cut.withColumn("n_chars", size.cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents with their places in sequences."""
+    """Pieces of documents with their places in sequences; null and empty texts are their end id alone, equal rows are documents of their own."""
     import public_tokenizers
 
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), end=0, capacity=SEQUENCE)
