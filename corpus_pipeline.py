@@ -33,13 +33,16 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     one doc_id the least content stays.  Null, empty and blank texts are near no
     other and stay.
     """
-    keyed = written(docs.withColumn("row_key", F.monotonically_increasing_id()), "keyed")
-    groups = minhash.near_duplicates(keyed.select(F.col("row_key").alias("doc_id"), "text"), k=SHINGLE, percent=SIMILAR)
+    names = docs.columns
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])  # so that no name of another column matters
+    doc_id, text = (f"c{names.index(c)}" for c in ("doc_id", "text"))
+    keyed = written(plain.withColumn("row_key", F.monotonically_increasing_id()), "keyed")
+    groups = minhash.near_duplicates(keyed.select(F.col("row_key").alias("doc_id"), F.col(text).alias("text")), k=SHINGLE, percent=SIMILAR)
+    ids = keyed.select("row_key", F.col(doc_id).alias("id"), F.xxhash64(*plain.columns).alias("content"))
+    of = groups.select(F.col("doc_id").alias("row_key"), "component_id").join(ids, "row_key")
     order = F.struct(F.col("id").isNull(), "id", "content", "row_key")
-    ids = keyed.select("row_key", F.col("doc_id").alias("id"), F.xxhash64(*docs.columns).alias("content"))
-    of = written(groups.select(F.col("doc_id").alias("row_key"), "component_id").join(ids, "row_key"), "groups")
     stay = of.groupBy("component_id").agg(F.min_by("row_key", order).alias("row_key")).select("row_key")
-    return keyed.join(stay, "row_key", "left_semi").select(*docs.columns)
+    return keyed.join(stay, "row_key", "left_semi").select(*plain.columns).toDF(*names)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
