@@ -328,47 +328,3 @@ def test_quality_edges(spark):
     assert all(0 <= r["expected_grade"] <= 2 for r in got.collect())
     none = quality.select(d, labels.limit(0))
     assert none.count() == 6 and quality.score(d.limit(0), quality.train(d, labels)).count() == 0
-
-
-def test_pipeline(spark, tmp_path):
-    """Every stage against a brute-force version of it."""
-    import corpus_pipeline
-    from test_dedup import brute_components, brute_passages
-
-    sf = "/root/testdata/sf0.001"
-    start = spark.read.parquet(f"{sf}/documents.parquet")
-    after = [start]
-    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
-        stage(spark, after[-1], sf).write.parquet(str(tmp_path / str(i)))
-        after.append(spark.read.parquet(str(tmp_path / str(i))))
-    assert all(a.columns == start.columns for a in after[:4])
-    rows = [sorted(tuple(r) for r in a.select("doc_id", "text").collect()) for a in after[:4]]
-    toxic = {r["doc_id"] for r in spark.read.parquet(f"{sf}/labels.parquet").where("toxic = 1").collect()}
-    good = {r["doc_id"] for r in spark.read.parquet(f"{sf}/labels.parquet").where("toxic = 0 AND quality = 1").collect()}
-    kept = {i for i, _ in rows[1]}
-    assert not kept & toxic and len(kept & good) >= 0.98 * len(good & {i for i, _ in rows[0]})
-    ids, texts = zip(*rows[1], strict=True)
-    root, _ = brute_components(texts, 5, 80)
-    assert [i for i, _ in rows[2]] == [ids[k] for k in range(len(ids)) if root[k] == k]
-    want = brute_passages([t for _, t in rows[2]], 35)
-    assert [t for _, t in rows[3]] == [w[2] if w[1] else t for (_, t), w in zip(rows[2], want, strict=True)]
-    library = Tokenizer.from_file(PATH)
-    by = dict(rows[3])
-    pieces = after[4].collect()
-    assert {r["doc_id"] for r in pieces} == set(by)
-    total = sum(len(ids_of(library, t, [0])) for t in by.values())
-    assert sum(r["length"] for r in pieces) == total and len({r["sequence_id"] for r in pieces}) <= -(-total // 2048) + 1
-
-
-def test_near_dedup_of_repeated_and_null_ids(spark):
-    """One whole row of each group passes stages 2 and 3, also where rows repeat a doc_id or have none."""
-    import corpus_pipeline
-
-    text = {c: " ".join(f"{c}{i}" for i in range(60)) for c in "abcdefg"}
-    rows = [(1, text["a"]), (1, text["a"]), (None, text["b"]), (None, text["b"]), (None, text["c"]), (7, text["c"]), (9, text["d"]), (9, text["d"].upper()), (4, text["d"]), (5, text["e"]), (5, text["f"]), (None, text["g"]), (6, None), (6, None)]
-    start = docs(spark, []).union(spark.createDataFrame([(i, t, "x", "y") for i, t in rows], DOCS).repartition(3)).withColumn("n_chars", F.length("text"))
-    second = corpus_pipeline.near_dedup(spark, start, "")
-    third = corpus_pipeline.substring_dedup(spark, second, "")
-    want = Counter([(1, text["a"]), (None, text["b"]), (7, text["c"]), (4, text["d"]), (5, text["e"]), (5, text["f"]), (None, text["g"]), (6, None), (6, None)])
-    assert second.columns == third.columns == start.columns
-    assert [Counter((r["doc_id"], r["text"]) for r in x.collect()) for x in (second, third)] == [want, want]
