@@ -227,8 +227,11 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
 
 
 def select(docs: DataFrame, labels: DataFrame, tail: float = TAIL) -> DataFrame:
-    """The documents whose probability of the highest grade is `tail` or more, with both scores; rows are treated as by `score`."""
-    return score(docs, train(docs, labels)).where(F.col("tail_probability") >= tail)
+    """The documents, with all their columns, whose probability of the highest grade is `tail` or more; rows are treated as by `score`."""
+    names = docs.columns
+    plain = docs.toDF(*[f"d{i}" for i in range(len(names))])
+    scored = score(plain.withColumn("text", F.col(f"d{names.index('text')}")), train(docs, labels))
+    return scored.where(F.col("tail_probability") >= tail).select(*plain.columns).toDF(*names)
 
 
 def op10(spark, sf_dir: str) -> DataFrame:
