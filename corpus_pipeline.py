@@ -52,7 +52,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     have none are places of their own.
     """
     names = docs.columns
-    plain = docs.toDF(*["text" if c == "text" else f"c{i}" for i, c in enumerate(names)])
+    plain = docs.toDF(*[c if c in ("doc_id", "text") else f"c{i}" for i, c in enumerate(names)])
     cut, n_chars = substrings.without_repeats(plain, PASSAGE), f"c{names.index('n_chars')}"
     size = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col(n_chars))
     return cut.withColumn(n_chars, size.cast(docs.schema["n_chars"].dataType)).select(*plain.columns).toDF(*names)
