@@ -2,15 +2,20 @@
 
 Reference vectors (pivots) are a hash sample of the data, about 4 sqrt(n) of
 them.  A vector is described by its PREFIX nearest pivots in order, and stands
-in the inverted list of each.  Two vectors are candidates if their prefixes
-share SHARED pivots or more; the count is taken in the list of the least pivot
-that they share, so each pair is met once.  Candidates are verified by cosine
-in double precision.
+in the inverted lists of the first HEAD of them.  Two vectors are candidates if
+one list holds both and their prefixes share SHARED pivots or more; the count is
+taken in the list of the least pivot among the first HEAD of both, so each pair
+is met once.  Candidates are verified by cosine in double precision.
 
 Lists are cut into blocks of about BLOCK rows by hash, and a task gets two
 blocks, so neither memory nor a task grows with a list.  A task returns how
 many vectors each of its vectors links with and a spanning forest of the links,
 never the links themselves.  Equal vectors are one node with a weight.
+
+Every task holds the pivots, so MOST_PIVOTS bounds them; lists of 4 sqrt(n)
+pivots hold about 2 sqrt(n) vectors each.  Beyond (MOST_PIVOTS / 4) ** 2
+vectors, 268 million, lists grow with n and a vector is sent once for each
+block of its lists; nothing is dropped.
 """
 
 from __future__ import annotations
@@ -22,10 +27,11 @@ from pyspark.sql import functions as F
 
 from lexiloom.llm.components import components
 from lexiloom.llm.scratch import written
+from lexiloom.llm.skew import spread_join
 
-PREFIX, SHARED, BLOCK = 12, 2, 1024
-#: Bounds of the number of pivots, which every task holds.
-LEAST_PIVOTS, MOST_PIVOTS = 32, 8192
+PREFIX, HEAD, SHARED, BLOCK = 16, 12, 2, 1024
+#: Bounds of the number of pivots, which every task holds in single precision.
+LEAST_PIVOTS, MOST_PIVOTS = 32, 65_536
 
 
 def usable(vector: Column, zero: bool) -> Column:
@@ -60,9 +66,10 @@ def _prefixes(pivots: dict[int, tuple[np.ndarray, np.ndarray]], prefix: int):
                         out[i] = [-1 - int(d)]
                     continue
                 names, p = pivots[int(d)]
-                for at in range(0, len(rows), 2048):
-                    some = rows[at : at + 2048]
-                    near = _unit(_matrix(batch.column("vector").take(pa.array(some)))) @ p.T
+                step = max(64, (1 << 22) // len(names))  # so that a table of products stays small
+                for at in range(0, len(rows), step):
+                    some = rows[at : at + step]
+                    near = _unit(_matrix(batch.column("vector").take(pa.array(some)))).astype(np.float32) @ p.T
                     k = min(prefix, len(names))
                     best = np.argpartition(-near, k - 1, axis=1)[:, :k]
                     order = np.argsort(-np.take_along_axis(near, best, axis=1), axis=1, kind="stable")
@@ -87,21 +94,24 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         root = new
 
 
-def _linked(cosine: float, shared: int):
+def _linked(cosine: float, shared: int, head: int):
     def run(key, table):
         pivot, i, j = (k.as_py() for k in key)
         block = table.column("block").to_numpy()
         ids, weight, x = table.column("id").to_numpy(), table.column("weight").to_numpy(), _unit(_matrix(table.column("vector")))
         prefix = table.column("prefix").combine_chunks()
         which, row = np.unique(prefix.flatten().to_numpy(), return_inverse=True)
-        has = np.zeros((len(ids), len(which)), np.float32)
-        has[np.repeat(np.arange(len(ids)), np.diff(prefix.offsets.to_numpy())), row] = 1
+        begin = prefix.offsets.to_numpy()
+        of, rank = np.repeat(np.arange(len(ids)), np.diff(begin)), np.arange(len(row)) - np.repeat(begin[:-1] - begin[0], np.diff(begin))
+        has, first = np.zeros((len(ids), len(which)), np.float32), np.zeros((len(ids), len(which)), np.float32)
+        has[of, row] = 1
+        first[of[rank < head], row[rank < head]] = 1
         one, two = np.flatnonzero(block == i), np.flatnonzero(block == j)
         links, a_out, b_out = np.zeros(len(ids), np.int64), [], []
-        few = min(shared, int(np.diff(prefix.offsets.to_numpy()).min(initial=shared)))
+        few, lower = min(shared, int(np.diff(begin).min(initial=shared))), which < pivot
         for at in range(0, len(one), 256):
             some = one[at : at + 256]
-            near = (has[some] @ has[two].T >= few) & (has[some][:, which < pivot] @ has[two][:, which < pivot].T == 0)
+            near = (has[some] @ has[two].T >= few) & (first[some][:, lower] @ first[two][:, lower].T == 0)
             if i == j:
                 near &= ids[some][:, None] < ids[two][None, :]
             a, b = np.nonzero(near)
@@ -122,7 +132,7 @@ def _linked(cosine: float, shared: int):
     return run
 
 
-def near_vectors(vectors: DataFrame, cosine: float = 0.9, prefix: int = PREFIX, shared: int = SHARED) -> DataFrame:
+def near_vectors(vectors: DataFrame, cosine: float = 0.9, prefix: int = PREFIX, head: int = HEAD, shared: int = SHARED) -> DataFrame:
     """Components of vectors linked by a cosine of `cosine` or more: vec_id, n_links, component_id, kept.
 
     `vectors` has vec_id (integer) and embedding (array of numbers); other
@@ -135,7 +145,8 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9, prefix: int = PREFIX,
     """
     spark = vectors.sparkSession
     src = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector"))
-    good = src.where(usable(F.col("vector"), zero=True) & F.col("vec_id").isNotNull())
+    fit = usable(F.col("vector"), zero=True) & F.col("vec_id").isNotNull()
+    good = src.where(fit)
     nodes = written(good.groupBy("vector").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("weight")), "nodes")
     many = nodes.count()
     m = int(min(MOST_PIVOTS, max(LEAST_PIVOTS, 4 * many**0.5)))
@@ -145,23 +156,25 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9, prefix: int = PREFIX,
         size = np.array([len(v) for v in sample.column("vector")])
         for d in np.unique(size):
             rows = np.flatnonzero(size == d)
-            pivots[int(d)] = rows.astype(np.int32), _unit(_matrix(sample.column("vector").take(pa.array(rows))))
+            pivots[int(d)] = rows.astype(np.int32), _unit(_matrix(sample.column("vector").take(pa.array(rows)))).astype(np.float32)
     described = written(nodes.mapInArrow(_prefixes(pivots, prefix), "vector array<double>, id long, weight long, prefix array<int>"), "prefixes")
 
-    lists = described.select("id", "weight", "vector", "prefix", F.explode("prefix").alias("pivot"))
-    sizes = described.select(F.explode("prefix").alias("pivot")).groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    first = F.explode(F.slice("prefix", 1, head)).alias("pivot")
+    lists = described.select("id", "weight", "vector", "prefix", first)
+    sizes = described.select(first).groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     lists = lists.join(F.broadcast(sizes), "pivot")  # at most one row for each pivot
     block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     lists = lists.withColumn("block", block).withColumn("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     lists = lists.select("pivot", F.least("block", "k").alias("i"), F.greatest("block", "k").alias("j"), "block", "id", "weight", "vector", "prefix")
-    found = written(lists.groupBy("pivot", "i", "j").applyInArrow(_linked(cosine, shared), "id long, links long, other long"), "links")
+    found = written(lists.groupBy("pivot", "i", "j").applyInArrow(_linked(cosine, shared, head), "id long, links long, other long"), "links")
 
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     component = components(found.where("id <> other").select(F.col("id").alias("a"), F.col("other").alias("b")))
-    nodes = nodes.join(links, "id", "left").join(component, "id", "left").select("vector", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("links"), F.coalesce("component", "id").alias("component"))
-    out = src.withColumn("good", usable(F.col("vector"), zero=True) & F.col("vec_id").isNotNull())
-    out = out.withColumn("vector", F.when(F.col("good"), F.col("vector"))).join(nodes, "vector", "left")
-    return out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "vec_id").alias("component_id")).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+    found = nodes.join(links, "id", "left").join(component, "id", "left")
+    found = written(found.select("vector", F.col("weight").alias("n"), (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("links"), F.coalesce("component", "id").alias("component")), "found")
+    of = spread_join(good, found, ["vector"], F.monotonically_increasing_id()).select("vec_id", F.col("links").alias("n_links"), F.col("component").alias("component_id"))
+    alone = src.where(~F.coalesce(fit, F.lit(False))).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    return of.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
 def op1(spark, sf_dir: str) -> DataFrame:
