@@ -218,6 +218,20 @@ def test_slices_of_repeated_queries(spark):
         assert got == [(n + 1, i, -s) for n, (s, i) in enumerate(order)]
 
 
+def test_slices_of_huge_components(spark):
+    """Scores are exact in integers of any size; beyond a long they are the largest or smallest one."""
+    rng = np.random.default_rng(8)
+    rows = [(i, (v * 10.0 ** rng.integers(0, 12)).tolist()) for i, v in enumerate(rng.normal(size=(150, 6)))] + [(150, [1e300] * 6), (151, [-1e300] * 6)]
+    ints = {i: [min(max(int(np.floor(1024 * x)), -(2**63)), 2**63 - 1) for x in v] for i, v in rows}
+    got = defaultdict(list)
+    for r in slices.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    clip = lambda x: min(max(x, -(2**63)), 2**63 - 1)
+    for q in (0, 50, 100, 150):
+        order = sorted((-clip(sum(a * b for a, b in zip(ints[q], x, strict=True))), i) for i, x in ints.items() if i != q)[:10]
+        assert got[q] == [(i, -s) for s, i in order]
+
+
 def test_chat(spark):
     hard = "[TURN]<s>\\x [\\INST] [\\\\INST] </s><"
     rows = [(1, 1, "user", hard), (1, 0, "user", "é"), (1, 2, "assistant", ""), (1, 3, "assistant", "[/ROLE]"), (1, 4, None, None), (None, 0, "</s>", "x"), (2, None, "assistant", hard), (2, 5, "assistant", hard), (2, 5, "assistant", hard)]
