@@ -27,8 +27,8 @@ from lexiloom.llm.tokens import packed_texts
 MAGIC = b"LXTOKEN1"
 BLOCK = 1 << 17
 #: Codes in a word and bits of each, by selector.
-COUNT = np.array([240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
-WIDTH = np.array([0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
+COUNT = np.array([240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3])
+WIDTH = np.array([0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20])
 _MOST = (1 << 16) - 1
 _BITS = np.concatenate([[0], np.floor(np.log2(np.arange(1, _MOST + 1))) + 1]).astype(np.int8)
 
@@ -40,8 +40,8 @@ def pack(codes: np.ndarray) -> np.ndarray:
     padded[:n] = codes
     bits = np.zeros(len(padded), np.int8)
     bits[:n] = _BITS[codes]
-    chosen = np.full(n, 13, np.int8)  # the widest selector that codes of 16 bits need
-    for k in range(12, -1, -1):
+    chosen = np.full(n, len(COUNT) - 1, np.int8)
+    for k in range(len(COUNT) - 2, -1, -1):
         wide = np.zeros(len(bits) + 1, np.int32)
         np.cumsum(bits > WIDTH[k], out=wide[1:])
         chosen[wide[COUNT[k] : COUNT[k] + n] == wide[:n]] = k
@@ -105,10 +105,26 @@ def decode_block(data: bytes) -> np.ndarray:
     return out
 
 
+# Names of stores that Hadoop and Arrow call differently.
+STORES = {"s3a": "s3", "s3n": "s3", "gs": "gs", "hdfs": "hdfs", "abfss": "abfss", "file": "file"}
+
+
 def _open(path: str):
+    """The file system of an address and the path there: Arrow's own, else that of fsspec for its scheme."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(path)
+    scheme, mark, rest = path.partition(":")
+    address = STORES.get(scheme, scheme) + mark + rest
+    try:
+        return fs.FileSystem.from_uri(address)
+    except (ValueError, pa.ArrowInvalid, pa.ArrowNotImplementedError) as unknown:
+        try:
+            import fsspec
+
+            store, at = fsspec.core.url_to_fs(path)
+        except (ImportError, ValueError) as e:
+            raise ValueError(f"token files need a store that Arrow or fsspec opens in every task, not {scheme}") from (e or unknown)
+        return fs.PyFileSystem(fs.FSSpecHandler(store)), at
 
 
 class Writer:
@@ -178,13 +194,14 @@ def _write(folder: str, path: str, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer, first = None, None
         for part, packed in packed_texts(batches, path, end):
-            for doc_id, ids in zip(part.column("doc_id").to_pylist(), packed, strict=True):
+            for i, (doc_id, ids) in enumerate(zip(part.column("doc_id").to_pylist(), packed, strict=True)):
                 if writer is None:  # a name of its own for each attempt; only the files of attempts that end well are listed
-                    writer, first = Writer(f"{folder}/{uuid.uuid4().hex}.tokens"), doc_id
+                    writer, first = Writer(f"{folder}/{uuid.uuid4().hex}.tokens"), (doc_id, part.column("h")[i].as_py(), part.column("m")[i].as_py())
                 writer.add(doc_id, ids)
         if writer:
             n_docs, n_ids = writer.close()
-            yield pa.RecordBatch.from_pydict({"path": [writer.path], "first_id": pa.array([first], pa.int64()), "n_docs": [n_docs], "n_ids": [n_ids]})
+            longs = {n: pa.array([v], pa.int64()) for n, v in zip(("first_id", "first_h", "first_m", "n_docs", "n_ids"), (*first, n_docs, n_ids), strict=True)}
+            yield pa.RecordBatch.from_pydict({"path": [writer.path], **longs})
 
     return run
 
@@ -192,21 +209,25 @@ def _write(folder: str, path: str, end: int):
 def write_token_files(docs: DataFrame, path: str, end: int = 0, folder: str | None = None) -> DataFrame:
     """Write the ids of each whole text, closed by `end`, in ascending doc_id order; return the list of files.
 
-    Documents are dealt out by ranges of doc_id, so each file holds a range and
-    files in order of their first ids hold the corpus in order (nulls first;
-    rows that repeat a doc_id follow each other by text).  Null and empty texts
-    have the end id alone; an empty table gives no files.  Result, kept as a
-    table: path, first_id, n_docs, n_ids, start (ids in earlier files).
+    Documents are dealt out by ranges of doc_id, a hash of the text and a number
+    of the row, so each file holds a range, files in order of their first rows
+    hold the corpus in order (nulls first; rows that repeat a doc_id follow each
+    other by the hash), and rows of one doc_id are dealt over files as well.  Null
+    and empty texts have the end id alone; an empty table gives no files.  Result,
+    kept as a table: path, first_id, n_docs, n_ids, start (ids in earlier files).
     """
     folder = folder or new_path(docs.sparkSession, "tokens")
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    dealt = src.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    files = written(dealt.mapInArrow(_write(folder, path, end), "path string, first_id long, n_docs long, n_ids long"), "files")
-    order = Window.orderBy(F.col("first_id").asc_nulls_first(), "path").rowsBetween(Window.unboundedPreceding, -1)
-    return files.withColumn("start", F.coalesce(F.sum("n_ids").over(order), F.lit(0)))
+    src = src.withColumns({"h": F.xxhash64("text"), "m": F.monotonically_increasing_id()})
+    dealt = src.repartitionByRange("doc_id", "h", "m").sortWithinPartitions("doc_id", "h", "m")
+    files = written(dealt.mapInArrow(_write(folder, path, end), "path string, first_id long, first_h long, first_m long, n_docs long, n_ids long"), "files")
+    order = Window.orderBy(F.col("first_id").asc_nulls_first(), "first_h", "first_m").rowsBetween(Window.unboundedPreceding, -1)  # a row for each file
+    return files.withColumn("start", F.coalesce(F.sum("n_ids").over(order), F.lit(0))).drop("first_h", "first_m")
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["doc_id", "start", "n_tokens", "ids_crc32"]
+    made = lambda out: pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names)
     for batch in batches:
         for row in batch.to_pylist():
             out, at = [], row["start"]
@@ -216,8 +237,11 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     crc, n = zlib.crc32(run.tobytes(), crc), n + len(run)
                 out.append((doc_id, at, n, crc))
                 at += n
-            cols = list(zip(*out, strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["doc_id", "start", "n_tokens", "ids_crc32"])
+                if len(out) == 10_000:
+                    yield made(out)
+                    out = []
+            if out:
+                yield made(out)
 
 
 def token_digests(files: DataFrame) -> DataFrame:

@@ -98,6 +98,32 @@ def test_token_files(spark, library):
     assert tokenfiles.token_digests(tokenfiles.write_token_files(docs(spark, []), PATH)).count() == 0
 
 
+def test_coding_of_repeated_and_null_ids(spark, library):
+    """600 equal rows without an id, 300 rows of one id: dealt over files, in order, none lost."""
+    texts = [None, "", "same text of many rows", "another"]
+    rows = [(None, texts[2])] * 600 + [(5, texts[i % 4]) for i in range(300)] + [(i, texts[3]) for i in range(10, 40)]
+    table = spark.createDataFrame([(i, t, "x", "y") for i, t in rows], DOCS).repartition(3)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    files = tokenfiles.write_token_files(table, PATH, end=0)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert max(r["n_docs"] for r in files.collect()) < 500
+    got, at = tokenfiles.token_digests(files).orderBy("start").collect(), 0
+    assert Counter(r["doc_id"] for r in got) == Counter(i for i, _ in rows) and [r["doc_id"] or -1 for r in got] == sorted(r["doc_id"] or -1 for r in got)
+    for r in got:
+        assert r["start"] == at
+        at += r["n_tokens"]
+    crc = {t: zlib.crc32(ids_of(library, t, [0]).tobytes()) for t in texts}
+    assert Counter((r["doc_id"], r["ids_crc32"]) for r in got) == Counter((i, crc[t]) for i, t in rows)
+    coded = bpe.encode_decode(table, PATH).collect()
+    assert Counter((r["doc_id"], r["decoded"], tuple(r["ids"])) for r in coded) == Counter((i, t or "", tuple(ids_of(library, t).tolist())) for i, t in rows)
+
+
+def test_stores_of_token_files(tmp_path):
+    assert tokenfiles._open(f"file://{tmp_path}/x")[1] == f"{tmp_path}/x"
+    with pytest.raises(ValueError, match="odd"):
+        tokenfiles._open("odd://x/y")
+
+
 def test_files_span_blocks(tmp_path):
     w, rng = tokenfiles.Writer(f"file://{tmp_path}/x.tokens"), np.random.default_rng(1)
     want = [(i if i else None, rng.integers(0, 50_000, n).astype("<u4")) for i, n in enumerate((3, 0, 400_000, 5, 200_000))]
