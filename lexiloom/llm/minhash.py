@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from lexiloom.llm import words as W
 from lexiloom.llm.components import components
 from lexiloom.llm.scratch import written
+from lexiloom.llm.skew import heavy_keys, spread_join
 
 BANDS, ROWS = 44, 6
 _ROUND = W.seeds(2 * BANDS * ROWS, 901)
@@ -106,32 +107,39 @@ def _full_sets(k: int):
     return run
 
 
-def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _by_pivot(pairs: DataFrame) -> dict[int, int]:
+    """Pivots that many of the (a, b) pairs have."""
+    return heavy_keys(pairs.groupBy("b").agg(F.count(F.lit(1)).alias("n")), ["b"])
+
+
+def _with_sets(pairs: DataFrame, sets: DataFrame, heavy: dict[int, int]) -> DataFrame:
     """(a, b) pairs with their sets x and y."""
     one = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("items").alias("x")), "a")
-    return one.join(sets.select(F.col("doc_id").alias("b"), F.col("items").alias("y")), "b")
+    return spread_join(one, sets.select(F.col("doc_id").alias("b"), F.col("items").alias("y")), ["b"], heavy, F.xxhash64("a"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b) pairs with the sizes of both sets and of their intersection."""
+    """Stored (a, b) pairs with the sizes of both sets and of their intersection."""
+    pairs = written(pairs, "pairs")
     common = F.size(F.array_intersect("x", "y"))
-    return _with_sets(pairs, sets).select("a", "b", common.alias("common"), F.size("x").alias("n_a"), F.size("y").alias("n_b"))
+    return written(_with_sets(pairs, sets, _by_pivot(pairs)).select("a", "b", common.alias("common"), F.size("x").alias("n_a"), F.size("y").alias("n_b")), "verified")
 
 
-def _homes(checked: DataFrame, near: float) -> DataFrame:
+def _homes(checked: DataFrame, near: float, heavy: dict[int, int]) -> DataFrame:
     """For each a its home: of the pivots near it the one with most near nodes, else the likest."""
     like = F.expr("common / (n_a + n_b - common)")
     of = checked.select("a", "b", like.alias("like"))
     many = of.where(F.col("like") >= near).groupBy("b").agg(F.count(F.lit(1)).alias("many"))
     size = F.when(F.col("like") >= near, F.col("many")).otherwise(F.lit(0))
-    return of.join(many, "b", "left").groupBy("a").agg(F.max_by("b", F.struct(size, "like", -F.col("b"))).alias("b"))
+    return spread_join(of, many, ["b"], heavy, F.xxhash64("a"), "left").groupBy("a").agg(F.max_by("b", F.struct(size, "like", -F.col("b"))).alias("b"))
 
 
 def _moved(checked: DataFrame, near: float) -> DataFrame:
     """Pairs of nodes with the home of their home, where that is another: one for each node at most."""
-    home = _homes(checked, near)
+    heavy = _by_pivot(checked)
+    home = _homes(checked, near, heavy)
     up = home.select(F.col("a").alias("b"), F.col("b").alias("up"))
-    return home.join(up, "b").where("up <> a").select("a", F.col("up").alias("b")).join(checked.select("a", "b"), ["a", "b"], "left_anti")
+    return spread_join(home, up, ["b"], heavy, F.xxhash64("a")).where("up <> a").select("a", F.col("up").alias("b")).join(checked.select("a", "b"), ["a", "b"], "left_anti")
 
 
 def _unmet(checked: DataFrame, label: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -139,7 +147,8 @@ def _unmet(checked: DataFrame, label: DataFrame, sets: DataFrame, percent: int)
     t = percent / 100
     share = t / (1 + t)
     near = 2 * t - 1  # a node less like the pivot than this links with none that links with the pivot
-    home = _homes(checked, near).withColumnRenamed("b", "home")
+    heavy = _by_pivot(checked)
+    home = _homes(checked, near, heavy).withColumnRenamed("b", "home")
     label = home.join(label.withColumnRenamed("id", "a"), "a", "left").select("a", "home", F.coalesce("component", "a").alias("label"))
     g = checked.join(written(label, "labels"), "a")
     g = g.withColumn("stray", F.expr(f"100 * common < {percent} * (n_a + n_b - common)")).withColumn("like", F.expr("common / (n_a + n_b - common)"))
@@ -148,12 +157,12 @@ def _unmet(checked: DataFrame, label: DataFrame, sets: DataFrame, percent: int)
     g = g.withColumn("need", F.expr(f"CAST(greatest(1, ceil(IF(stray, {1 + t} * (far - {base}), far + {base}) - 1e-6)) AS int)"))
     mixed = g.groupBy("b").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count_if("stray").alias("strays"), F.max(F.when(F.col("stray"), F.col("like"))).alias("nearest"), F.count_if(F.col("like") >= near).alias("close"))
     mixed = mixed.where((F.col("lo") != F.col("hi")) & ((F.col("strays") > 1) | (F.col("nearest") >= near))).select("b", "nearest", "close")
-    g = g.join(mixed, "b").where((F.col("need") <= F.col("differ")) & (F.col("stray") | (F.col("nearest") >= near)))
-    g = _with_sets(g, sets).withColumns({"more": F.array_except("x", "y"), "less": F.array_except("y", "x")}).drop("x", "y")
+    g = spread_join(g, mixed, ["b"], heavy, F.xxhash64("a")).where((F.col("need") <= F.col("differ")) & (F.col("stray") | (F.col("nearest") >= near)))
+    g = _with_sets(g, sets, heavy).withColumns({"more": F.array_except("x", "y"), "less": F.array_except("y", "x")}).drop("x", "y")
     g = written(g.select("a", "b", "home", "label", "stray", "like", "close", "differ", "far", "more", "less", (F.col("far") - F.expr(base) - share * F.size("less")).alias("beyond")), "differences")
     often = g.where(F.col("like") >= near).select("b", "close", F.explode(F.concat("more", "less")).alias("e")).groupBy("b", "e").agg(F.count(F.lit(1)).alias("n"), F.first("close").alias("close"))
     often = often.where("n > 1 AND n * 100 >= close").groupBy("b").agg(F.collect_list("e").alias("often"))
-    g = g.join(often, "b", "left").withColumn("often", F.coalesce("often", F.array().cast("array<long>")))
+    g = spread_join(g, often, ["b"], _by_pivot(g), F.xxhash64("a"), "left").withColumn("often", F.coalesce("often", F.array().cast("array<long>")))
     rare_first = lambda c: F.concat(F.array_except(c, "often"), F.array_intersect(c, "often"))
     g = g.withColumns({f"{c}_{k}": _marks(c, k) for c in ("more", "less") for k in range(MARKS)}).withColumns({"n_more": F.size("more"), "n_less": F.size("less")})
     who = ["a", "b", "home", "label", "stray", "far", "differ", "n_more", "n_less", *[f"{c}_{k}" for c in ("more", "less") for k in range(MARKS)]]
@@ -210,24 +219,28 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     drawn = written(src.mapInArrow(_sketches(k), "doc_id long, n_shingles long, s0 long, s1 long, bands array<long>"), "sketches")
     full = drawn.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = full.groupBy("s0", "s1").agg(F.min("doc_id").alias("node"))
-    members = written(full.select("doc_id", "s0", "s1").join(classes, ["s0", "s1"]).select("doc_id", "node"), "members")
+    classes = written(full.groupBy("s0", "s1").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("n")), "classes")
+    members = spread_join(full.select("doc_id", "s0", "s1"), classes.drop("n"), ["s0", "s1"], heavy_keys(classes, ["s0", "s1"]), F.xxhash64("doc_id"))
+    members = written(members.select("doc_id", "node"), "members")
     nodes = full.join(members.where("doc_id = node").select("doc_id").distinct(), "doc_id").select(F.col("doc_id").alias("a"), F.explode("bands").alias("bucket"))
 
-    shared = nodes.groupBy("bucket").agg(F.min("a").alias("b"), F.max("a").alias("last")).where("b <> last").select("bucket", "b")
-    inside = written(nodes.join(shared, "bucket").select("bucket", "a", "b"), "buckets")
+    shared = nodes.groupBy("bucket").agg(F.min("a").alias("b"), F.max("a").alias("last"), F.count(F.lit(1)).alias("n")).where("b <> last")
+    shared = written(shared.select("bucket", "b", "n"), "shared")
+    inside = written(spread_join(nodes, shared.drop("n"), ["bucket"], heavy_keys(shared, ["bucket"]), F.xxhash64("a")).select("bucket", "a", "b"), "buckets")
     wanted = inside.select(F.col("a").alias("doc_id")).distinct()
     sets = written(src.join(wanted, "doc_id", "left_semi").mapInArrow(_full_sets(k), "doc_id long, items array<long>"), "sets")
 
-    checked = written(_verified(inside.where("a <> b").select("a", "b").distinct(), sets), "verified")
+    checked = _verified(inside.where("a <> b").select("a", "b").distinct(), sets)
     linked = F.expr(f"100 * common >= {percent} * (n_a + n_b - common)")
     for _ in range(2):
-        checked = checked.union(written(_verified(_moved(checked, percent / 50 - 1), sets), "moved"))
+        checked = checked.union(_verified(_moved(checked, percent / 50 - 1), sets))
     links = checked.where(linked).select("a", "b")
     unmet = _unmet(checked, components(links), sets, percent).join(checked.select("a", "b"), ["a", "b"], "left_anti")
-    label = components(links.union(written(_verified(unmet, sets), "verified").where(linked).select("a", "b")))
+    label = components(links.union(_verified(unmet, sets).where(linked).select("a", "b")))
     found = members.join(label.withColumnRenamed("id", "node"), "node", "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "node")).alias("component_id"))
-    out = drawn.select("doc_id", "n_shingles").join(found, "doc_id", "left")
+    sizes = drawn.select("doc_id", "n_shingles")
+    named = sizes.where("doc_id IS NOT NULL").join(found, "doc_id", "left")
+    out = named.unionByName(sizes.where("doc_id IS NULL").withColumn("component_id", F.lit(None).cast("long")))
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 

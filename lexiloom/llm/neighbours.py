@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from lexiloom.llm.components import components
 from lexiloom.llm.scratch import written
-from lexiloom.llm.skew import spread_join
+from lexiloom.llm.skew import heavy_keys, spread_join
 
 PREFIX, HEAD, SHARED, BLOCK = 16, 12, 2, 1024
 #: Bounds of the number of pivots, which every task holds in single precision.
@@ -172,7 +172,7 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9, prefix: int = PREFIX,
     component = components(found.where("id <> other").select(F.col("id").alias("a"), F.col("other").alias("b")))
     found = nodes.join(links, "id", "left").join(component, "id", "left")
     found = written(found.select("vector", F.col("weight").alias("n"), (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("links"), F.coalesce("component", "id").alias("component")), "found")
-    of = spread_join(good, found, ["vector"], F.monotonically_increasing_id()).select("vec_id", F.col("links").alias("n_links"), F.col("component").alias("component_id"))
+    of = spread_join(good, found, ["vector"], heavy_keys(found, ["vector"]), F.monotonically_increasing_id()).select("vec_id", F.col("links").alias("n_links"), F.col("component").alias("component_id"))
     alone = src.where(~F.coalesce(fit, F.lit(False))).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return of.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 

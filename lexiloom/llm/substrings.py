@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from lexiloom.llm import words as W
 from lexiloom.llm.scratch import written
-from lexiloom.llm.skew import spread_join
+from lexiloom.llm.skew import heavy_keys, spread_join
 
 SEED = 8
 #: One anchor in so many, by hash, bounds a stretch.
@@ -194,6 +194,10 @@ def _twice(rows: DataFrame, place: Column) -> DataFrame:
     return written(rows.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("least")).where("n > 1"), "shared")
 
 
+def _joined(rows: DataFrame, shared: DataFrame, salt: Column) -> DataFrame:
+    return spread_join(rows, shared.drop("n"), ["hash"], heavy_keys(shared, ["hash"]), salt)
+
+
 def _repeats(src: DataFrame, length: int, texts: bool) -> tuple[DataFrame, DataFrame]:
     """The stored scan of all rows, and for each text (k0, k1) with repeats: n rows, removed, left, repeats."""
     if length < SEED:
@@ -204,7 +208,7 @@ def _repeats(src: DataFrame, length: int, texts: bool) -> tuple[DataFrame, DataF
     # Stretches that repeat: the least place stands for the others.
     place = F.struct("rid", "start", "end")
     stretch = first.select("rid", F.explode(F.arrays_zip("stretches", "starts", "ends")).alias("s")).select("rid", F.col("s.stretches").alias("hash"), F.col("s.starts").alias("start"), F.col("s.ends").alias("end"))
-    same = spread_join(stretch, _twice(stretch, place), ["hash"], F.xxhash64("rid", "start"))
+    same = _joined(stretch, _twice(stretch, place), F.xxhash64("rid", "start"))
     runs = written(
         same.groupBy("rid").agg(F.collect_list(F.struct("start", "end")).alias("runs"), F.collect_list(F.when(~place.eqNullSafe(F.col("least")), F.struct("start", "end"))).alias("skip")),
         "runs",
@@ -213,7 +217,7 @@ def _repeats(src: DataFrame, length: int, texts: bool) -> tuple[DataFrame, DataF
     # Rows joined on anchors: those at more than one place are marked.
     seeds = first.select("rid", F.explode(F.arrays_zip("anchors", "places")).alias("s")).select("rid", F.col("s.anchors").alias("hash"), F.col("s.places").alias("place"))
     shared = _twice(seeds, F.xxhash64("rid", "place")).drop("least")
-    marked = spread_join(seeds, shared, ["hash"], F.xxhash64("rid", "place")).groupBy("rid").agg(F.collect_list("place").alias("marked"))
+    marked = _joined(seeds, shared, F.xxhash64("rid", "place")).groupBy("rid").agg(F.collect_list("place").alias("marked"))
     marks = one.join(marked, "rid").join(runs.select("rid", "skip"), "rid", "left")
     whole = src.groupBy("k0", "k1").agg(F.first("text").alias("text"))  # copies are dropped before the shuffle
     touched = written(whole.join(marks, ["k0", "k1"]).select("rid", "k0", "k1", "n", "text", "marked", "skip"), "touched")
@@ -222,7 +226,7 @@ def _repeats(src: DataFrame, length: int, texts: bool) -> tuple[DataFrame, DataF
     windows = written(windows.where(F.size("windows") > 0), "windows")
     windows = windows.select("rid", F.explode(F.arrays_zip("windows", "places")).alias("w")).select("rid", F.col("w.windows").alias("hash"), F.col("w.places").alias("place"))
     again = _twice(windows, F.xxhash64("rid", "place")).drop("least")
-    places = spread_join(windows, again, ["hash"], F.xxhash64("rid", "place")).groupBy("rid").agg(F.collect_list("place").alias("places"))
+    places = _joined(windows, again, F.xxhash64("rid", "place")).groupBy("rid").agg(F.collect_list("place").alias("places"))
 
     cut = touched.select("rid", "k0", "k1", "n", "text").join(places.join(runs.select("rid", "runs"), "rid", "full"), "rid")
     cut = cut.mapInArrow(_keep(length, texts), f"k0 long, k1 long, n long, removed int, left string, repeats {_SPANS}")
@@ -242,7 +246,7 @@ def repeated_passages(docs: DataFrame, length: int = 35) -> DataFrame:
     """
     first, cut = _repeats(_texts(docs), length, texts=False)
     rows = first.select("rid", "k0", "k1", "doc_id", "n_words", "whole")
-    out = spread_join(rows, cut, ["k0", "k1"], F.col("rid"), "left")
+    out = spread_join(rows, cut, ["k0", "k1"], heavy_keys(cut, ["k0", "k1"]), F.col("rid"), "left")
     return out.select("doc_id", F.col("n_words").cast("long").alias("n_words"), F.coalesce("removed", F.lit(0)).cast("long").alias("n_removed"), F.coalesce("left", "whole").alias("left"), "repeats")
 
 
@@ -258,7 +262,8 @@ def without_repeats(docs: DataFrame, length: int = 35) -> DataFrame:
     text = f"c{names.index('text')}"
     _, cut = _repeats(_texts(docs), length, texts=True)
     rows = plain.withColumns(_keyed(F.coalesce(F.col(text).cast("string"), F.lit(""))) | {"rid": F.monotonically_increasing_id()})
-    out = spread_join(rows, cut.drop("repeats").where("removed > 0"), ["k0", "k1"], F.col("rid"), "left")
+    cut = cut.drop("repeats").where("removed > 0")
+    out = spread_join(rows, cut, ["k0", "k1"], heavy_keys(cut, ["k0", "k1"]), F.col("rid"), "left")
     new = out.withColumn(text, F.coalesce("left", F.col(text).cast("string"))).select(*plain.columns, F.coalesce("removed", F.lit(0)).cast("long").alias("n_removed"))
     return new.toDF(*names, "n_removed")
 
