@@ -35,7 +35,7 @@ from lexiloom.llm.tokens import packed_texts
 
 SHARD, ISLANDS, EPOCHS = 4096, 2, 3
 #: Individuals of a population, children of an epoch, guests that an island sends on.
-SIZE, CHILDREN, ELITE = 10, 40, 2
+SIZE, CHILDREN, ELITE = 8, 24, 2
 #: Bins whose free space is under one in so many of the capacity count as well filled.
 FULL = 64
 #: Shares of bins that are injected and that mutation empties; chance of a mutation.
@@ -203,8 +203,8 @@ def _epoch(capacity: int, epoch: int):
         for frame in frames:
             rows = []
             for r in frame.itertuples():
-                sizes = [int(x) for x in r.sizes]
-                came = [] if r.individuals is None else [_from_numbers([int(x) for x in one], sizes, capacity) for one in r.individuals]
+                sizes = np.asarray(r.sizes).tolist()
+                came = [] if r.individuals is None else [_from_numbers(np.asarray(one).tolist(), sizes, capacity) for one in r.individuals]
                 rng, least = random.Random(zlib.crc32(f"{r.shard}/{r.island}/{epoch}".encode())), lower_bound(sizes, capacity)
                 ranked = evolve(sizes, came, capacity, rng, least)
                 few, full = ranked[0].fitness()
@@ -220,7 +220,7 @@ def _places(capacity: int):
         for frame in frames:
             bins, offsets = [], []
             for sizes, numbers in zip(frame["sizes"], frame["numbers"], strict=True):
-                sizes, numbers = [int(x) for x in sizes], [int(x) for x in numbers]
+                sizes, numbers = np.asarray(sizes).tolist(), np.asarray(numbers).tolist()
                 plain = best_fit(sizes, list(range(len(sizes))), capacity)
                 if len(plain.bins) <= max(numbers):
                     numbers = _numbers(plain.bins, len(sizes))

@@ -70,7 +70,7 @@ class Coder:
         self.added = added
         self.split = regex.compile(PATTERN).findall
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")").split if added else None
-        self.odd = regex.compile(rf"[{SPACES}] (?:[{SPACES}]|\Z)").search
+        self.odd = [c + " " for c in map(chr, range(0x3001)) if regex.match(f"[{SPACES}]", c)]  # of these some, with white space after it, is no cut
         self.word = lambda w: array("I", word(w)).tobytes()
         self.words = Cache(self.word, most // 4)
         self.spaced = Cache(self._spaced, most)
@@ -99,7 +99,7 @@ class Coder:
     def _plain(self, run: str) -> bytes:
         if not run:
             return b""
-        if "  " in run or self.odd(run):
+        if any(x in run for x in self.odd):
             out = b"".join(map(self.words.__getitem__, self.split(run)))
         else:
             head, *rest = run.split(" ")
@@ -116,8 +116,13 @@ def library_coder(path: str) -> Coder:
     spec = vocabulary(path)
     tokenizer = Tokenizer.from_file(path)
     tokenize, sign = tokenizer.model.tokenize, {b: s for s, b in byte_signs().items()}
-    added = {t["content"]: t["id"] for t in spec.get("added_tokens") or []}
-    return Coder(lambda w: [t.id for t in tokenize(w.encode().decode("latin-1").translate(sign))], added)
+    added, space = {t["content"]: t["id"] for t in spec.get("added_tokens") or []}, sign[0x20]
+
+    def word(w: str) -> list[int]:
+        plain = w.isascii() and w.isprintable()  # all signs but the space stand for themselves
+        return [t.id for t in tokenize(w.replace(" ", space) if plain else w.encode().decode("latin-1").translate(sign))]
+
+    return Coder(word, added)
 
 
 _CODERS: dict[str, Coder] = {}
