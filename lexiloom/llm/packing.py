@@ -9,10 +9,10 @@ Crossover injects well-filled bins of one parent whole into the other, removes
 the bins that hold duplicates of their pieces, and puts the displaced pieces
 back: in place of one or two smaller pieces of a bin where that fills it better,
 then by best fit, longest first.  Mutation empties the least filled bins and
-some others and puts their pieces back in the same way.  After each epoch an
-island sends its elite to the next one of its shard, where it takes the places
-of the worst.  A shard is finished when an island meets the lower bound, and
-only shards that are not go on to the next epoch.  At the end the best
+some others and puts their pieces back in the same way.  A shard begins with one
+island and is finished when an island meets the lower bound; shards that are not
+get all islands for the next epoch.  After each epoch an island sends its elite
+to the next one of its shard, where it takes the places of the worst.  At the end the best
 individual of a shard gives its sequences, or best fit decreasing if that has
 fewer.
 """
@@ -247,7 +247,7 @@ def pack(pieces: DataFrame, capacity: int) -> DataFrame:
     packed = written(dealt.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("length", "piece_key", *names)), asc=False).alias("items")), "shards")
     sizes = packed.select("shard", F.col("items.length").alias("sizes"))
     many = max(2, min(ISLANDS * shards, spark_width(pieces)))
-    waiting = sizes.withColumn("island", F.explode(F.array(*[F.lit(i) for i in range(ISLANDS)]))).withColumn("individuals", F.lit(None).cast("array<array<int>>"))
+    waiting = sizes.withColumns({"island": F.lit(0), "individuals": F.lit(None).cast("array<array<int>>")})
     ended = None
     for epoch in range(EPOCHS):
         now = waiting.select("shard", "island", "sizes", "individuals").repartition(many, "shard", "island")
@@ -259,9 +259,12 @@ def pack(pieces: DataFrame, capacity: int) -> DataFrame:
         if last:
             break
         state = state.join(open_shards, "shard")
+        own = state.select("shard", "island", F.slice("individuals", 1, SIZE - ELITE).alias("own"))
         guests = state.select("shard", F.pmod(F.col("island") + 1, F.lit(ISLANDS)).cast("int").alias("island"), F.slice("individuals", 1, ELITE).alias("guests"))
-        came = state.join(guests, ["shard", "island"]).select("shard", "island", F.concat("guests", F.slice("individuals", 1, SIZE - ELITE)).alias("individuals"))
-        waiting = sizes.join(came, "shard")
+        places = open_shards.withColumn("island", F.explode(F.array(*[F.lit(i) for i in range(ISLANDS)])))
+        none = F.array().cast("array<array<int>>")
+        came = places.join(own, ["shard", "island"], "left").join(guests, ["shard", "island"], "left")
+        waiting = sizes.join(came.select("shard", "island", F.concat(F.coalesce("guests", none), F.coalesce("own", none)).alias("individuals")), "shard")
     best = ended.groupBy("shard").agg(F.max_by(F.element_at("individuals", 1), F.struct("few", "full", -F.col("island"))).alias("numbers"))
     placed = sizes.join(best, "shard").mapInPandas(_places(capacity), "shard long, numbers array<int>, offsets array<int>")
     out = packed.join(placed, "shard").select("shard", F.explode(F.arrays_zip("items", "numbers", "offsets")).alias("p"))
