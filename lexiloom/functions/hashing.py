@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the namespace of generated ids, which depend on the row alone.
-NAMESPACE = uuid.UUID("5168e47d-3993-512f-bd1b-ae02831f9249")
+#: The namespace of generated ids, this engine's own.
+NAMESPACE = uuid.uuid5(uuid.NAMESPACE_DNS, "lexiloom")
 
 
 def uuid5(seed: Column, namespace: uuid.UUID = NAMESPACE) -> Column:

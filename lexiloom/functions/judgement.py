@@ -60,3 +60,14 @@ def _normal(v: Column, given: Column, parsed: Column, threshold: float, scale: f
 
     found = F.struct(number.alias("n"), verdict.alias("verdict"), F.coalesce(feedback, F.lit("")).alias("why"), _first(SCORE_KEYS, given).alias("key"))
     return let(found, lambda f: outcome(f["n"], F.coalesce(f["verdict"], f["n"] >= threshold), f["why"], f["key"]))
+
+
+def audit_payload(parsed: Column, score: Column, passed: Column, feedback: Column) -> Column:
+    """What a corrector is told of a judgement, as JSON: all of it where it was an object with members, else score, pass and reasoning."""
+    plain = F.to_json(F.struct(score.alias("score"), passed.alias("pass"), F.coalesce(feedback, F.lit("")).alias("reasoning")), {"ignoreNullFields": "false"})
+    return F.when(F.size(F.coalesce(F.json_object_keys(parsed), F.array().cast("array<string>"))) > 0, parsed).otherwise(plain)
+
+
+def audit_errors(audit: Column) -> Column:
+    """The list of findings in an audit, as JSON; empty if there is none."""
+    return F.coalesce(F.get_json_object(audit, "$.error_analysis"), F.lit("[]"))

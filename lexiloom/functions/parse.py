@@ -24,12 +24,13 @@ def json_object(text: Column) -> Column:
     first `{` to its last `}`.  What parses to other than an object is an error.
     Unlike Python's parser, Spark's rejects repeated keys and NaN.
     """
+
     def span(bare: Column) -> Column:
         first, back = F.instr(bare, "{"), F.instr(F.reverse(bare), "}")
         last = F.length(bare) - back + 1
         return F.when((first > 0) & (back > 0) & (last > first), F.substring(bare, first, last - first + 1))
 
-    def outcome(raw: Column, bare: Column, inner: Column, value: Column) -> Column:
+    def outcome(raw: Column, inner: Column, value: Column) -> Column:
         error = (
             F.when(raw.isNull() | (raw == ""), "empty response")
             .when(value.isNull() & inner.isNull(), "no JSON object found in response")
@@ -38,11 +39,11 @@ def json_object(text: Column) -> Column:
         )
         return let(error, lambda e: F.struct(F.when(e.isNull(), value).alias("value"), e.alias("error")))
 
-    def choose(raw: Column, bare: Column, inner: Column) -> Column:
-        value = F.when(_is_json(raw), raw).when(_is_json(bare), bare).when(_is_json(inner), inner)
-        return let(value, lambda v: outcome(raw, bare, inner, v))
+    def tried(raw: Column) -> Column:
+        rest = lambda bare: let(span(bare), lambda inner: let(F.when((bare != raw) & _is_json(bare), bare).when(_is_json(inner), inner), lambda v: outcome(raw, inner, v)))
+        return F.when(_is_json(raw), outcome(raw, raw, raw)).otherwise(let(strip_fences(raw), rest))
 
-    return let(strip(text), lambda raw: let(strip_fences(raw), lambda bare: let(span(bare), lambda inner: choose(raw, bare, inner))))
+    return let(strip(text), tried)
 
 
 def sections(text: Column) -> Column:

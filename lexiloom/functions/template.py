@@ -56,7 +56,56 @@ def skeleton(source: Column, kind: T.StructType) -> Column:
     return F.to_json(F.struct(*[of(source[f.name], f.name, f.dataType).alias(f.name) for f in kind.fields]))
 
 
-def prompt_values(source: Column, kind: T.StructType, language: Column, script: Column) -> dict[str, Column]:
-    """What a translation prompt can name: each field, the language and script, all fields as JSON, the skeleton."""
-    out = {f.name.replace(".", "_"): as_text(source[f.name], f.dataType) for f in kind.fields}
-    return out | {"language": language, "target_language": language, "script": script, "source_json": F.to_json(source, {"ignoreNullFields": "false"}), "output_json": skeleton(source, kind)}
+def json_skeleton(source: Column) -> Column:
+    """The same for a JSON object of any shape, as text."""
+    name = lambda k: F.to_json(F.array(k))  # noqa: E731  a quoted name in brackets
+    quoted = lambda text: F.concat(F.lit('"'), text, F.lit('"'))
+    plain = lambda k: F.regexp_replace(name(k), r'^\["|"\]$', "")
+    hint = lambda k: quoted(F.concat(F.lit("<translated "), plain(k), F.lit(">")))
+
+    def of(key: Column, value: Column) -> Column:
+        size = F.json_array_length(value)
+        items = F.array_join(F.transform(F.sequence(F.lit(1), size), lambda i: F.concat(F.lit('"<translated item '), i.cast("string"), F.lit('>"'))), ",")
+        parts = F.array_join(F.transform(F.json_object_keys(value), lambda k: F.concat(quoted(plain(k)), F.lit(":"), hint(k))), ",")
+        shape = F.when(F.startswith(value, F.lit("[")) & (size > 0), F.concat(F.lit("["), items, F.lit("]"))).when(F.startswith(value, F.lit("[")), "[]")
+        return F.concat(quoted(plain(key)), F.lit(":"), shape.when(F.startswith(value, F.lit("{")), F.concat(F.lit("{"), F.coalesce(parts, F.lit("")), F.lit("}"))).otherwise(hint(key)))
+
+    members = F.map_entries(F.try_variant_get(F.try_parse_json(source), "$", "map<string,variant>"))
+    return F.concat(F.lit("{"), F.array_join(F.transform(members, lambda e: of(e["key"], F.to_json(e["value"]))), ","), F.lit("}"))
+
+
+# The names that prompts of every stage can use, besides the fields.
+COMMON = ("target_language", "language", "language_code", "target_script", "source_json", "field_names", "field_names_json", "output_schema_json")
+
+
+def common_values(source_json: Column, names: Column, schema: Column, language: Column, script: Column, code: Column) -> dict[str, Column]:
+    """COMMON as columns, from the source as JSON, its field names and the skeleton."""
+    values = (language, language, code, script, source_json, F.array_join(names, ", "), F.to_json(names), schema)
+    return dict(zip(COMMON, values, strict=True))
+
+
+def prompt_values(source: Column, kind: T.StructType, language: Column, script: Column, code: Column) -> dict[str, Column]:
+    """What a translation prompt can name: each field and COMMON."""
+    fields = {f.name.replace(".", "_"): as_text(source[f.name], f.dataType) for f in kind.fields}
+    names = F.array(*[F.lit(f.name) for f in kind.fields])
+    return fields | common_values(F.to_json(source, {"ignoreNullFields": "false"}), names, skeleton(source, kind), language, script, code)
+
+
+def record_values(template: str, source: Column, translation: Column, language: Column, script: Column, code: Column, more: Mapping[str, Column]) -> dict[str, Column]:
+    """What a prompt about a record can name: COMMON, `more`, its fields, and `<field>_translation`; source and translation are JSON.
+
+    Records of one stage can have different fields, so a placeholder that is no
+    field of a record stays as it is there.
+    """
+    fixed = common_values(source, F.json_object_keys(source), json_skeleton(source), language, script, code) | dict(more)
+    out = {}
+    for name in placeholders(template):
+        if name in fixed:
+            out[name] = fixed[name]
+            continue
+        member = lambda text, key: F.get_json_object(text, f"$['{key}']")
+        found = [member(source, name)]
+        if name.endswith("_translation"):
+            found.append(member(translation, name.removesuffix("_translation")))
+        out[name] = F.coalesce(*found, F.lit("{" + name + "}"))
+    return out

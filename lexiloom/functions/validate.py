@@ -42,7 +42,7 @@ def field_error(parsed: Column, name: str, source: Column, kind: T.DataType) ->
     if isinstance(kind, T.StringType):
 
         def wrong(v: Column) -> Column:
-            shape = F.when(v.isNull(), F.lit(f"field '{name}': expected a string")).when(~is_blank(source) & is_blank(v), F.lit(f"field '{name}': empty translation"))
+            shape = F.when(v.isNull(), F.lit(f"field '{name}': expected a string")).when(is_blank(v) & ~is_blank(source), F.lit(f"field '{name}': empty translation"))
             return F.coalesce(shape, control_error(name, v, source))
 
     elif isinstance(kind, T.ArrayType):
@@ -54,7 +54,8 @@ def field_error(parsed: Column, name: str, source: Column, kind: T.DataType) ->
             if not isinstance(kind.elementType, T.StringType):
                 return shape
             blank = F.when(F.exists(v, lambda x: F.coalesce(strip(x) == "", F.lit(False))), F.lit(f"field '{name}': list contains an empty item"))
-            return F.coalesce(shape, blank, control_error(name, F.array_join(v, ""), F.array_join(source, "")))
+            item = F.zip_with(v, source, lambda x, y: control_error(name, F.coalesce(x, F.lit("")), y))  # item by item: a tab may not move
+            return F.coalesce(shape, blank, F.get(F.filter(item, lambda e: e.isNotNull()), F.lit(0)))
 
     elif isinstance(kind, T.StructType):
         keys = F.json_object_keys(F.to_json(member(parsed, name)))

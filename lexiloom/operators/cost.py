@@ -40,7 +40,7 @@ def match_prices(models: DataFrame, prices: DataFrame) -> DataFrame:
     found = names.join(F.broadcast(prices), hit)  # one row for each configured price
     order = F.struct(F.when(rank > 0, -rank).otherwise(F.lit(-1_000_000)).alias("exact"), F.length("price_key").alias("n"))
     best = found.groupBy("model").agg(F.max_by(F.struct(*prices.columns), order).alias("p")).select("model", "p.*")
-    return models.join(F.broadcast(best), "model", "left")
+    return models.join(best, "model", "left")
 
 
 def cost_of(batch: Column) -> Column:
@@ -101,6 +101,18 @@ def reprice(by_mode: DataFrame, groups: DataFrame, prices: DataFrame, policy: st
     return out, g.select("stage", "grp", F.when(F.col("due"), F.round(flat * F.col("factor"), 6)).otherwise(F.col("cost_usd")).alias("cost_usd"))
 
 
+def repriced(usage: DataFrame, prices: DataFrame, policy: str = "gaps") -> DataFrame:
+    """Usage rows of stages and rounds at the prices given: of stages that cost nothing so far ("gaps"), of all ("force"), or as recorded ("off"); rows without a price keep their cost."""
+    if policy not in ("gaps", "force", "off"):
+        raise ValueError(f"no repricing policy {policy!r}")
+    if policy == "off":
+        return usage
+    stages = usage.groupBy("stage", "round").agg((F.coalesce(F.sum("cost_usd"), F.lit(0.0)) <= 0).alias("_free"))
+    new = match_prices(usage.join(stages, ["stage", "round"]), prices)
+    due = (F.col("_free") | F.lit(policy == "force")) & F.col("price_key").isNotNull()
+    return new.withColumn("cost_usd", F.when(due, F.round(cost_of(F.col("mode") == "batch"), 8)).otherwise(F.col("cost_usd"))).drop("_free", *prices.columns)
+
+
 def report_lines(rolled: DataFrame) -> DataFrame:
     """One line of text for each row of a roll-up."""
     n = lambda c, w: F.lpad(F.format_number(c, 0), w, " ")

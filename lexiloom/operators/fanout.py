@@ -24,7 +24,7 @@ LANGUAGES = {
     "Telugu": ("te", "Telugu"),
     "Urdu": ("ur", "Perso-Arabic"),
 }
-#: Scripts of further languages.
+# The scripts of further languages, which have no code.
 SCRIPTS = {name: script for name, (_, script) in LANGUAGES.items()} | {
     "Bodo": "Devanagari",
     "Dogri": "Devanagari",

@@ -7,49 +7,55 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexiloom.functions.hashing import uuid5
+from lexiloom.sources.shared import stored
 
 
 def row_index(df: DataFrame, order: list, within: list[str] | None = None, name: str = "row_index") -> DataFrame:
-    """0-based position in a stated order, in each unit of `within` if given.
+    """0-based position in a stated order, in each unit of `within` if given (null is a unit).
 
-    Without units the order is made by a range sort and counts of the sorted
-    partitions, so no task sees all rows.
+    The order is made by a range sort, and positions by counts of the sorted
+    partitions, so no task sees all rows, nor all rows of a unit.  The sorted rows
+    are stored, so that both uses see the same partitions.
     """
-    if within:
-        return df.withColumn(name, (F.row_number().over(Window.partitionBy(*within).orderBy(*order)) - 1).cast("long"))
-    placed = df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()).persist()  # both uses must see the same partitions
-    part = F.shiftright("_at", 33)
-    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))  # a row for each partition
-    base = sizes.withColumn("_base", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    out = placed.withColumn("_part", part).join(F.broadcast(base), "_part")
-    return out.withColumn(name, (F.col("_base") + F.col("_at") - F.shiftleft("_part", 33)).cast("long")).drop("_part", "_base", "_at")
+    keys = list(within or [])
+    placed = stored(df.orderBy(*keys, *order).withColumn("_at", F.monotonically_increasing_id()), "placed").withColumn("_part", F.shiftright("_at", 33))
+    units = {c: f"_u{i}" for i, c in enumerate(keys)}
+    sizes = placed.groupBy("_part", *[F.col(c).alias(u) for c, u in units.items()]).agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    earlier = Window.partitionBy(*units.values()).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each sorted partition that has the unit
+    base = sizes.withColumn("_base", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n").withColumnRenamed("_part", "_p")
+    on = F.col("_part") == F.col("_p")
+    for c, u in units.items():
+        on = on & placed[c].eqNullSafe(F.col(u))
+    out = placed.join(base, on).withColumn(name, (F.col("_base") + F.col("_at") - F.col("_first")).cast("long"))
+    return out.select(*df.columns, name) if name not in df.columns else out.select(*[c for c in df.columns if c != name], name)
 
 
 def disambiguate(df: DataFrame, id_col: str, order: list, name: str = "row_id") -> DataFrame:
     """The n-th repeat of an id gets `#n`, from 1."""
-    n = F.row_number().over(Window.partitionBy(id_col).orderBy(*order)) - 1
-    return df.withColumn(name, F.when(n > 0, F.concat_ws("#", F.col(id_col).cast("string"), n.cast("string"))).otherwise(F.col(id_col).cast("string")))
+    out, n, own = row_index(df, order, [id_col], "_repeat"), F.col("_repeat"), F.col(f"`{id_col}`").cast("string")
+    return out.withColumn(name, F.when(n > 0, F.concat_ws("#", own, n.cast("string"))).otherwise(own)).drop("_repeat")
 
 
 def numbered_slugs(df: DataFrame, slug_col: str, order: list, name: str = "id") -> DataFrame:
     """The second and later uses of a slug get `-2`, `-3` ..."""
-    n = F.row_number().over(Window.partitionBy(slug_col).orderBy(*order))
-    return df.withColumn(name, F.when(n > 1, F.concat_ws("-", slug_col, n.cast("string"))).otherwise(F.col(slug_col)))
+    out, n = row_index(df, order, [slug_col], "_repeat"), F.col("_repeat") + 1
+    return out.withColumn(name, F.when(n > 1, F.concat_ws("-", slug_col, n.cast("string"))).otherwise(F.col(slug_col))).drop("_repeat")
 
 
-def content_id(benchmark: str, config: Column, split: Column, index: Column, columns: list[Column]) -> Column:
+def content_id(benchmark: str, config: Column, split: Column, index: Column, columns: dict[str, Column]) -> Column:
     """A UUID from a row's place and content, for rows without an id of their own.
 
-    The content is the JSON array of the columns in the order given.
+    The content is a JSON object of the columns in order of their names, nulls
+    kept, so the order of columns in a source does not matter.
     """
-    digest = F.substring(F.sha2(F.to_json(F.array(*[F.coalesce(c.cast("string"), F.lit("")) for c in columns])), 256), 1, 16)
+    digest = F.substring(F.sha2(F.to_json(F.struct(*[columns[c].alias(c) for c in sorted(columns)]), {"ignoreNullFields": "false"}), 256), 1, 16)
     return uuid5(F.concat_ws("|", F.lit(benchmark), config, split, index.cast("string"), digest))
 
 
 def attach_row_ids(rows: DataFrame, benchmark: str, config: str, split: str, order: list, id_field: str = "id") -> DataFrame:
     """Add row_index and row_id: the row's own id, or a generated one where it is null or empty, made unique."""
     indexed = row_index(rows, order)
-    others = [F.col(f"`{c}`") for c in rows.columns if c != id_field]
+    others = {c: F.col(f"`{c}`") for c in rows.columns if c != id_field and not c.startswith("__")}
     made = content_id(benchmark, F.lit(config), F.lit(split), F.col("row_index"), others)
     if id_field not in rows.columns:
         return disambiguate(indexed.withColumn(id_field, made), id_field, ["row_index"])

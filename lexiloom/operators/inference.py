@@ -70,26 +70,30 @@ def infer(requests: DataFrame, phase: Phase, attempt: int, width: int | None = N
     return out.withColumns({"phase": F.lit(phase.name), "mode": F.lit(phase.mode), "model": F.lit(phase.model)})
 
 
-def run_with_retries(requests: DataFrame, plan: list[Phase], error_of: Callable[[Column], Column], store: Callable[[DataFrame, int], DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """All attempts, and the final one of each key.
+def run_with_retries(requests: DataFrame, plan: list[Phase], error_of: Callable[[Column], Column], store: Callable[[DataFrame, int], DataFrame], width: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """All attempts, and the final one of each key; keys must be unique.
 
     `error_of` gives the validation error of a text column, null if it is fine.
     `store(attempt_rows, number)` writes the rows and reads them back.  Attempts are
-    numbered on through the phases; what is right is not asked again.
+    numbered on through the phases; what is right is not asked again.  `width` is
+    the number of tasks that call a backend at once.
     """
-    done, pending, number = None, requests, 0
+    done, final, pending, number = None, None, requests, 0
     for phase in plan:
         for _ in range(phase.attempts):
             number += 1
-            got = infer(pending, phase, number)
+            got = infer(pending, phase, number, width)
             blank = F.coalesce(F.trim("text") == "", F.lit(True))
             failed = F.coalesce(F.col("error"), F.when(blank, "empty response"), error_of(F.col("text")))
             got = store(got.withColumn("failure", failed).withColumn("ok", F.col("failure").isNull()), number)
             done = got if done is None else done.unionByName(got)
-            pending = got.where(~F.col("ok")).select(*requests.columns)
-            if pending.isEmpty():
-                return done, final_attempts(done)
-    return done, final_attempts(done)
+            good = got.where("ok")  # what is right is not asked again, so each key ends in one of these
+            final = good if final is None else final.unionByName(good)
+            left = got.where("NOT ok")
+            pending = left.select(*requests.columns)
+            if left.isEmpty():
+                return done, final
+    return done, final.unionByName(left)
 
 
 def final_attempts(attempts: DataFrame) -> DataFrame:

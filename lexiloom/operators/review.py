@@ -72,6 +72,30 @@ def review_rows(hist: DataFrame, prefer_best: bool = False) -> DataFrame:
     )
 
 
+# What a reviewer sees of each stage's records, by name and column.
+VIEWS = {
+    "translate": {c: c for c in ("translation", "model", "prompt_path", "inference_mode", "attempts", "timestamp", "valid", "validation_error")},
+    "judge": {"round": "round", "score": "score", "passed": "passed", "feedback": "feedback", "judged_stage": "translation_stage", "judged_round": "translation_round", "pass_threshold": "pass_threshold", "score_scale": "score_scale", "model": "judge_model"}
+    | {c: c for c in ("prompt_path", "timestamp", "valid", "validation_error")},
+    "correct": {c: c for c in ("round", "corrected", "previous_translation", "translation")} | {"judge_score_in": "judge_score", "judge_feedback_in": "judge_feedback"}
+    | {c: c for c in ("source_mistake", "model", "prompt_path", "timestamp", "valid", "validation_error")},
+}
+DETAILS = {"translate": ("raw_response", "raw_response"), "judge": ("parsed", "judge_parsed"), "correct": ("raw_response", "raw_response")}
+
+
+def views(records: DataFrame, details: bool = True) -> DataFrame:
+    """For each record_id the views of its translation, judgements and corrections, by round; of equal rounds the record read last counts."""
+
+    def view(stage: str) -> Column:
+        names = VIEWS[stage] | (dict([DETAILS[stage]]) if details else {})
+        return F.struct(*[(F.col(c) if c in records.columns else F.lit(None).cast("string")).alias(n) for n, c in names.items()])
+
+    of = {s: F.max_by(F.when(F.col("stage") == s, view(s)), "position") for s in VIEWS}
+    one = records.groupBy("record_id", "stage", "round").agg(*[c.alias(f"{s}_view") for s, c in of.items()])
+    rounds = lambda s: F.transform(F.array_sort(F.collect_list(F.when(F.col("stage") == s, F.struct("round", F.col(f"{s}_view").alias("v"))))), lambda x: x["v"])
+    return one.groupBy("record_id").agg(F.max(F.when(F.col("stage") == "translate", F.col("translate_view"))).alias("translate_view"), rounds("judge").alias("judge_views"), rounds("correct").alias("correct_views"))
+
+
 def mark(rows: DataFrame, threshold: float, rate: float = 0.25, seed: str = "human-review-v1", regressions: bool = False) -> DataFrame:
     """Add review_reason and review_selected: never judged, failed, regressed if asked for, sampled, or none."""
     reason = F.when(F.col("final_score").isNull(), UNJUDGED).when(F.col("final_score") < threshold, FAILED)

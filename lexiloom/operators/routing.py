@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexiloom.functions.hashing import prompt_hash
+from lexiloom.operators.identity import row_index
 
 
 def join_results(requests: DataFrame, results: DataFrame, order: str) -> DataFrame:
@@ -19,9 +20,10 @@ def match_by_prompt(requests: DataFrame, lines: DataFrame) -> tuple[DataFrame, D
     """Prediction lines to requests of the same prompt, the n-th line to the n-th request; and the lines left over.
 
     `requests` has key, prompt, ordinal; `lines` has prompt, position and columns
-    of its own.  Ranks are taken within a prompt's hash.
+    of its own.  Ranks are taken within a prompt's hash, in sorted partitions, so a
+    prompt that many share is in no single task.
     """
-    ranked = lambda df, order: df.withColumn("_h", prompt_hash(F.col("prompt"))).withColumn("_n", F.row_number().over(Window.partitionBy("_h").orderBy(order)))
+    ranked = lambda df, order: row_index(df.withColumn("_h", prompt_hash(F.col("prompt"))), [order], ["_h"], "_n")
     r, p = ranked(requests, "ordinal").select("key", "_h", "_n"), ranked(lines, "position")
     return p.join(r, ["_h", "_n"]).drop("_h", "_n"), p.join(r, ["_h", "_n"], "left_anti").drop("_h", "_n")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexiloom.functions import hashing, text
+from lexiloom.functions import contracts, hashing, text
 from lexiloom.operators import identity, preparation
 from lexiloom.plans.catalogue import query
 from lexiloom.plans.fixture import table
@@ -141,20 +141,41 @@ def uri_parts(spark, sf_dir):
 
 @query("SELECT b.item_id, count(d.doc_id)::BIGINT AS n_docs FROM benchmark b LEFT JOIN (SELECT DISTINCT doc_id, text FROM documents) d ON contains(d.text, b.text) GROUP BY b.item_id")
 def contamination_lookup(spark, sf_dir):
-    """Documents that hold a benchmark passage whole: candidates share its rarest word run, then the passage is looked up.
-
-    Documents and passages are cut into runs of six words; a passage of fewer
-    words is looked up in every document, as there are few and short ones.
-    """
-    d, b = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("passage"))
-    words = lambda c: F.split(c, r"[\x20\x09-\x0D]+")
-    run = lambda w, i: F.xxhash64(F.array_join(F.slice(w, i, 6), " "))
-    runs = lambda w, lo, hi: F.transform(F.sequence(lo, hi), lambda i: run(w, i))
-    b = b.withColumn("w", words(F.trim("passage"))).withColumn("m", F.size("w"))
-    # inner words only: the first and last of a passage may be parts of words of a document
-    anchor = b.where("m >= 8").select("item_id", "passage", run(F.col("w"), F.lit(2)).alias("h"))
-    held = d.withColumn("w", words("text")).where(F.size("w") >= 6).select("doc_id", "text", F.explode(F.array_distinct(runs(F.col("w"), F.lit(1), F.size("w") - 5))).alias("h"))
-    near = held.join(F.broadcast(anchor), "h").where(F.contains("text", F.col("passage"))).select("item_id", "doc_id")
-    short = d.join(F.broadcast(b.where("m < 8").select("item_id", "passage")), F.contains(d["text"], F.col("passage"))).select("item_id", "doc_id")
-    found = near.union(short).distinct().groupBy("item_id").agg(count("n_docs"))
+    """Documents that hold a benchmark passage whole."""
+    b = table(spark, sf_dir, "benchmark")
+    found = preparation.held_passages(table(spark, sf_dir, "documents"), b).groupBy("item_id").agg(count("n_docs"))
     return b.select("item_id").join(found, "item_id", "left").select("item_id", F.coalesce("n_docs", F.lit(0)).cast("long").alias("n_docs"))
+
+
+@query("SELECT b.item_id, d.doc_id, (strpos(d.text, b.text) - 1)::BIGINT AS answer_at, true AS extractive FROM benchmark b JOIN documents d ON contains(d.text, b.text)")
+def dq_passage_offsets(spark, sf_dir):
+    """Where benchmark passages stand in the documents that hold them."""
+    d, b = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = preparation.held_passages(d, b).join(d.select("doc_id", "text"), "doc_id").join(b.select("item_id", F.col("text").alias("passage")), "item_id")
+    return found.select("item_id", "doc_id", contracts.answer_offset(F.col("text"), F.col("passage")).alias("answer_at"), contracts.extractive(F.col("text"), F.array("passage")).alias("extractive"))
+
+
+@query("""SELECT count(*)::BIGINT AS n_rows, count(DISTINCT text)::BIGINT AS n_distinct, count(*) = count(DISTINCT text) AS is_unique, max(length(text))::BIGINT AS longest, sum((trim(text, ' \t\n\r') <> text)::INT)::BIGINT AS edited FROM documents""")
+def prep_reports(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    return preparation.uniqueness(d, "text").crossJoin(preparation.longest(d, "text")).crossJoin(preparation.edited_by_strip(d, "text"))  # a row each
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id % 7 = 0 OR trim(coalesce(text, ''), ' \t\n\r') = '' ORDER BY doc_id LIMIT 5")
+def blank_id_report(spark, sf_dir):
+    """The first ids with a blank column, of a table whose every seventh text is blank."""
+    d = table(spark, sf_dir, "documents").withColumn("text", F.when(F.col("doc_id") % 7 == 0, "  ").otherwise(F.col("text")))
+    return preparation.blank_ids(d, "doc_id", ["text"])
+
+
+@query(r"""WITH t AS (SELECT page_id, unnest(regexp_extract_all(coalesce(html, ''), '(<div\b|</div>)', 1)) AS tag, generate_subscripts(regexp_extract_all(coalesce(html, ''), '(<div\b|</div>)', 1), 1) AS i FROM pages),
+s AS (SELECT *, sum(CASE WHEN tag = '</div>' THEN -1 ELSE 1 END) OVER (PARTITION BY page_id ORDER BY i) AS depth FROM t)
+SELECT page_id, (min(i) FILTER (depth = 0) - 1)::BIGINT AS closed_at FROM s GROUP BY page_id""")
+def html_first_close(spark, sf_dir):
+    """Where the first div of each page closes; null where it never does."""
+    return preparation.first_close(preparation.div_depth(table(spark, sf_dir, "pages"), "page_id", "html"), "page_id").select("page_id", F.col("closed_at").cast("long").alias("closed_at"))
+
+
+@query("SELECT doc_id, source || '' AS name, n_chars AS size FROM documents")
+def column_rename(spark, sf_dir):
+    return preparation.rename(table(spark, sf_dir, "documents"), {"doc_id": "doc_id", "source": "name", "n_chars": "size"})

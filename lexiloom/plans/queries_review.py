@@ -224,3 +224,24 @@ FROM documents d LEFT JOIN labels l USING (doc_id) GROUP BY d.lang""")
 def label_pass_rate(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", "lang").join(table(spark, sf_dir, "labels"), "doc_id", "left")
     return d.groupBy("lang").agg(count("n_docs"), F.count("quality").alias("judged"), F.coalesce(F.sum("quality"), F.lit(0)).cast("long").alias("n_passed"), F.round(F.try_divide(F.sum("quality"), F.count("quality")), 4).alias("pass_rate"))
+
+
+@query(f"""WITH {BASE} SELECT 'judge' AS stage, round, count(*)::BIGINT AS n FROM judged CROSS JOIN (VALUES (1), (2)) r(round) GROUP BY round
+UNION ALL SELECT 'correct', 1, count(*)::BIGINT FROM judged WHERE fixed HAVING count(*) > 0""")
+def rounds_seen(spark, sf_dir):
+    """The rounds of judgements and corrections that review rows passed through."""
+    rows = review.review_rows(review.history(fixture.records(spark, sf_dir)))
+    of = lambda c, stage: rows.select(F.explode(c).alias("round")).groupBy("round").agg(F.count(F.lit(1)).alias("n")).join(review.rounds_used(rows, c), "round").select(F.lit(stage).alias("stage"), "round", "n")
+    return of("judge_rounds", "judge").unionByName(of("correction_rounds_applied", "correct"))
+
+
+@query(f"WITH {BASE} SELECT split, count(*)::BIGINT AS n FROM items WHERE split IN ('en', 'fr') GROUP BY split")
+def records_in_units(spark, sf_dir):
+    units = spark.range(1).select(F.lit("default").alias("dataset_config"), F.explode(F.array(F.lit("en"), F.lit("fr"))).alias("split"))
+    return selection.in_units(fixture.items(spark, sf_dir), units).groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"WITH {BASE} SELECT stage, round, sum((mode = 'batch')::INT)::BIGINT AS n_batch, round(sum(total_tokens / 1000.0), 6) AS recorded FROM usage GROUP BY stage, round")
+def usage_as_recorded(spark, sf_dir):
+    u = cost.repriced(fixture.usage(spark, sf_dir).withColumn("model", F.lit("m")), cost.price_table(spark), "gaps")
+    return u.groupBy("stage", "round").agg(F.count_if(F.col("mode") == "batch").cast("long").alias("n_batch"), F.round(F.sum("cost_usd"), 6).alias("recorded"))

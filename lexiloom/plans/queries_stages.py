@@ -10,6 +10,7 @@ from lexiloom.operators import fanout, identity, inference, routing
 from lexiloom.plans import fixture
 from lexiloom.plans.catalogue import query
 from lexiloom.plans.fixture import BASE, table
+from lexiloom.sources.shared import stored
 
 PROMPT = "Translate into {language} ({script}). Keep {braces}.\n{text}"
 PROMPT_SQL = "('Translate into ' || language || ' (' || script || '). Keep {braces}.' || chr(10) || coalesce(text, ''))"
@@ -26,7 +27,7 @@ def echo(key, attempt):
     """The deterministic model: prose on the first attempt for every seventh document, else the source as JSON."""
     body = F.to_json(F.struct(F.concat(F.lit("["), F.col("language"), F.lit("] "), F.coalesce("source", F.lit(""))).alias("text")))
     out = F.when((F.col("doc_id") % 7 == 0) & (attempt == 1), "I cannot help with that.").otherwise(body)
-    i, o = F.length("prompt").cast("long"), F.length(out).cast("long")
+    i, o = F.length("source").cast("long"), F.length(out).cast("long")
     return F.struct(out.alias("text"), F.lit(None).cast("string").alias("error"), i.alias("input_tokens"), o.alias("output_tokens"), F.lit(0).cast("long").alias("reasoning_tokens"), (i + o).alias("total_tokens"))
 
 
@@ -34,13 +35,18 @@ def echo(key, attempt):
   sum(CASE WHEN doc_id % 7 = 0 THEN 2 ELSE 1 END)::BIGINT AS n_attempts, sum(length(coalesce(text, '')) + length(language) + 3)::BIGINT AS translated_chars
 FROM items GROUP BY language""")
 def translate_summary(spark, sf_dir):
-    """Fan out, render, answer, parse, validate, answer again what failed, and sum by language."""
-    asked = requests(spark, sf_dir).withColumnRenamed("text", "source")
-    first, second = echo(F.col("key"), F.lit(1))["text"], echo(F.col("key"), F.lit(2))["text"]
-    tried = asked.select("language", "source", parse.json_object(first).alias("a"), first.alias("t1"), second.alias("t2"))
-    tried = tried.withColumn("attempts", F.when(F.col("a.error").isNull(), 1).otherwise(2)).withColumn("p", F.when(F.col("a.error").isNull(), F.col("a")).otherwise(parse.json_object(F.col("t2"))))
-    out = tried.select("language", "attempts", validate.translation_error(F.col("p.value"), F.struct(F.coalesce("source", F.lit("")).alias("text")), TEXT).alias("error"), F.get_json_object("p.value", "$.text").alias("translation"))
-    return out.groupBy("language").agg(F.count(F.lit(1)).alias("n_items"), F.count_if(F.col("error").isNull()).cast("long").alias("n_valid"), F.sum("attempts").cast("long").alias("n_attempts"), F.sum(F.length("translation")).cast("long").alias("translated_chars"))
+    """Fan out, render, answer, parse, validate, ask again what failed, and sum by language; every attempt is stored."""
+    asked = requests(spark, sf_dir).select("key", "language", "doc_id", F.col("text").alias("source"))
+    plan = inference.phases(inference.Phase("primary", "batch", "m", 2, answer=echo), inference.Phase("fallback", "parallel", "m", 1, answer=echo))
+
+    def error_of(response):
+        source = F.struct(F.coalesce("source", F.lit("")).alias("text"))
+        return text.let(parse.json_object(response), lambda p: F.coalesce(p["error"], validate.translation_error(p["value"], source, TEXT)))
+
+    keep = ["key", "language", "doc_id", "source", "text", "attempt", "ok"]
+    _, final = inference.run_with_retries(asked, plan, error_of, lambda df, i: stored(df.select(*keep), f"attempt{i}"))
+    size = F.length(F.get_json_object(parse.json_object(F.col("text"))["value"], "$.text"))
+    return final.groupBy("language").agg(F.count(F.lit(1)).alias("n_items"), F.count_if("ok").cast("long").alias("n_valid"), F.sum("attempt").cast("long").alias("n_attempts"), F.sum(size).cast("long").alias("translated_chars"))
 
 
 @query("SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1)::BIGINT AS row_index, concat_ws('|', 'docs', 'default', lang, doc_id::VARCHAR, 'Hindi', 'g0') AS record_id FROM documents")
@@ -100,12 +106,61 @@ def template_render(spark, sf_dir):
     return requests(spark, sf_dir).select("record_id", F.length("prompt").cast("long").alias("prompt_chars"), F.substring(hashing.prompt_hash(F.col("prompt")), 1, 16).alias("prompt_hash"))
 
 
-@query("SELECT doc_id, 'b,n' || doc_id % 3 AS unfilled FROM documents")
+@query(r"""SELECT doc_id, array_to_string(list_sort(list_filter(list_distinct(regexp_extract_all('{known} {b} ' || coalesce(text, '') || ' {n' || doc_id % 3 || '} {not closed', '\{([A-Za-z_][A-Za-z0-9_]*)\}', 1)), lambda x: x <> 'known')), ',') AS unfilled FROM documents""")
 def missing_placeholders(spark, sf_dir):
-    t = F.concat(F.lit("{known} {b} {n"), (F.col("doc_id") % 3).cast("string"), F.lit("} {b} {not closed "), F.lit("{known}"))
+    t = F.concat(F.lit("{known} {b} "), F.coalesce("text", F.lit("")), F.lit(" {n"), (F.col("doc_id") % 3).cast("string"), F.lit("} {not closed"))
     return table(spark, sf_dir, "documents").select("doc_id", F.array_join(template.unfilled_in(t, ["known"]), ",").alias("unfilled"))
 
 
+JUDGE_PROMPT = "{target_language} {target_script} ({language_code}): {source} -> {source_translation}; {field_names} {translation_json} {pass_threshold} {nothing}"
+
+
+@query(f"""WITH {BASE}, d AS (SELECT doc_id, source FROM documents)
+SELECT record_id, sha256(i.language || ' ' || i.script || ' (' || i.language_code || '): ' || d.source || ' -> [' || i.language || '] ' || d.source || '; source {{"source":"[' || i.language || '] ' || d.source || '"}} 98 {{nothing}}') AS prompt_hash
+FROM items i JOIN d USING (doc_id)""")
+def judge_prompt(spark, sf_dir):
+    """A judge's prompt from records alone: fields, their translations and the names of every stage; other names stay."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "source")
+    r = fixture.items(spark, sf_dir).join(d, "doc_id")
+    one = lambda text: F.to_json(F.struct(text.alias("source")))
+    r = r.select("record_id", "language", "language_code", "script", one(F.col("source")).alias("source"), one(F.concat(F.lit("["), F.col("language"), F.lit("] "), F.col("source"))).alias("translation"))
+    values = template.record_values(JUDGE_PROMPT, F.col("source"), F.col("translation"), F.col("language"), F.col("script"), F.col("language_code"), {"translation_json": F.col("translation"), "pass_threshold": F.lit("98")})
+    return r.select("record_id", hashing.prompt_hash(template.render(JUDGE_PROMPT, values)).alias("prompt_hash"))
+
+
+@query("""SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN '{"score":' || doc_id % 11 || ',"error_analysis":[{"severity":"major"}]}' ELSE '{"score":' || (doc_id % 11)::DOUBLE || ',"pass":' || CASE doc_id % 3 WHEN 1 THEN 'false' ELSE 'null' END || ',"reasoning":"' || CASE doc_id % 3 WHEN 1 THEN lang ELSE '' END || '"}' END AS audit,
+  CASE doc_id % 3 WHEN 0 THEN '[{"severity":"major"}]' ELSE '[]' END AS errors FROM documents""")
+def audit_payload(spark, sf_dir):
+    """What a corrector is told: the judge's whole object, or score, pass and reasoning."""
+    i = F.col("doc_id")
+    parsed = F.when(i % 3 == 0, F.concat(F.lit('{"score":'), (i % 11).cast("string"), F.lit(',"error_analysis":[{"severity":"major"}]}'))).when(i % 3 == 1, F.lit("{}"))
+    d = table(spark, sf_dir, "documents").select("doc_id", judgement.audit_payload(parsed, (i % 11).cast("double"), F.when(i % 3 == 1, False), F.when(i % 3 == 1, F.col("lang"))).alias("audit"))
+    return d.select("doc_id", "audit", judgement.audit_errors(F.col("audit")).alias("errors"))
+
+
+@query("""SELECT doc_id, '{"request":{"contents":[{"role":"user","parts":[{"text":"Translate ' || source || ' (' || lang || ')"}]}],"generationConfig":{"temperature":0.2,"maxOutputTokens":8192,"responseMimeType":"application/json"' ||
+  '}}}' AS line, 'Translate ' || source || ' (' || lang || ')' AS prompt FROM documents""")
+def batch_lines(spark, sf_dir):
+    """Request lines of a batch, and the prompt read back from the line that a prediction repeats."""
+    prompt = F.concat(F.lit("Translate "), F.col("source"), F.lit(" ("), F.col("lang"), F.lit(")"))
+    d = table(spark, sf_dir, "documents").select("doc_id", routing.encode_request(prompt, 0.2, 8192).alias("line"))
+    return d.select("doc_id", "line", routing.echoed_prompt(F.col("line")).alias("prompt"))
+
+
+@query("""SELECT doc_id, (doc_id % 90)::BIGINT AS input_tokens, greatest(doc_id % 70 - doc_id % 30, 0)::BIGINT AS output_tokens, (doc_id % 30)::BIGINT AS reasoning_tokens,
+  (doc_id % 90 + greatest(doc_id % 70 - doc_id % 30, 0) + doc_id % 30)::BIGINT AS total_tokens FROM documents""")
+def interactive_usage(spark, sf_dir):
+    i = F.col("doc_id")
+    return table(spark, sf_dir, "documents").select("doc_id", routing.interactive_usage(i % 90, i % 70, i % 30).alias("u")).select("doc_id", "u.*")
+
+
+@query("""SELECT doc_id, printf('%06d', doc_id) || '-' || regexp_replace(source, '[^A-Za-z0-9_.-]+', '_', 'g') || '--a' || (doc_id % 3 + 1) AS key, regexp_replace(lang || '/' || source || ' x', '[^A-Za-z0-9._-]+', '_', 'g') AS file,
+  CASE WHEN contains(source, '.') THEN regexp_extract(source, '[^.]*$') ELSE source END AS state FROM documents""")
+def attempt_keys(spark, sf_dir):
+    d, i = table(spark, sf_dir, "documents"), F.col("doc_id")
+    return d.select("doc_id", text.attempt_key(text.request_key(i, F.col("source")), i % 3 + 1).alias("key"), text.file_safe(F.concat("lang", F.lit("/"), "source", F.lit(" x"))).alias("file"), text.state_name(F.col("source")).alias("state"))
+
+
 @query("""SELECT vec_id, CASE WHEN embedding IS NULL THEN '{"items":[]}' ELSE '{"items":[' || coalesce(array_to_string(list_transform(range(1, len(embedding) + 1), lambda i: '"<translated item ' || i || '>"'), ','), '') || ']}' END AS skeleton FROM embeddings""")
 def output_skeleton(spark, sf_dir):
     kind = T.StructType([T.StructField("items", T.ArrayType(T.StringType()))])
@@ -231,8 +286,7 @@ def retry_fixpoint(spark, sf_dir):
         return F.struct(t.alias("text"), F.lit(None).cast("string").alias("error"), zero.alias("input_tokens"), zero.alias("output_tokens"), zero.alias("reasoning_tokens"), zero.alias("total_tokens"))
 
     plan = inference.phases(inference.Phase("primary", "batch", "m", 3, answer=answer), inference.Phase("fallback", "parallel", "m", 1, answer=answer))
-    # written attempt by attempt in a run; here they are deterministic and stay lazy
-    _, final = inference.run_with_retries(d, plan, lambda t: F.lit(None).cast("string"), lambda df, i: df)
+    _, final = inference.run_with_retries(d, plan, lambda t: F.lit(None).cast("string"), lambda df, i: stored(df, f"attempt{i}"))
     return final.groupBy(F.col("attempt").cast("long").alias("attempt"), "phase").agg(F.count(F.lit(1)).alias("n_final"), F.count_if("ok").cast("long").alias("n_ok"))
 
 

@@ -29,6 +29,7 @@ def _known(cls, raw: dict, where: str):
     return cls(**raw)
 
 
+# The keys of users' files and their defaults, in the classes below.
 @dataclass(frozen=True)
 class Unit:
     config: str
@@ -182,7 +183,7 @@ def parse(raw: dict, base: Path) -> Config:
     source, languages = _need(raw, "source", "the configuration"), _need(raw, "languages", "the configuration")
     codes = {str(k): str(v) for k, v in (languages if isinstance(languages, dict) else raw.get("language_codes") or {}).items()}
     given = raw.get("stages") or {}
-    pick = lambda cls, key: cls(**{k: v for k, v in (raw.get(key) or {}).items() if k in {f.name for f in fields(cls)}})
+    pick = lambda cls, key: _known(cls, dict(raw.get(key) or {}), key)
     c = Config(
         benchmark=str(_need(raw, "benchmark", "the configuration")),
         units=_units(source, base),

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lexiloom.sources.shared import stored
+
+#: Folders of stages: the stage and its round.
 ROUND = r"(translate|judge|correct)(?:_r(\d+))?/"
 
 
@@ -18,7 +22,8 @@ def jsonl(spark: SparkSession, path: str, schema: T.StructType | str | None = No
 def jsonl_permissive(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """Rows, and the lines that do not parse with the file they are in."""
     full = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
-    rows = spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").option("lineSep", "\n").json(path).withColumn("file", F.input_file_name()).persist()
+    read = spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").option("lineSep", "\n").json(path)
+    rows = stored(read.withColumn("file", F.input_file_name()), "lines")  # a scan of _corrupt alone is not allowed
     return rows.where("_corrupt IS NULL").drop("_corrupt", "file"), rows.where("_corrupt IS NOT NULL").select("file", F.col("_corrupt").alias("line"))
 
 
@@ -34,8 +39,6 @@ def collect_records(spark: SparkSession, root: str, filename: str = "records.jso
     Without such a file: an error, or an empty table if not required (a schema is
     needed then).
     """
-    from pyspark.errors import AnalysisException
-
     reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", filename).option("lineSep", "\n").option("mode", "FAILFAST")
     try:
         df = (reader.schema(schema) if schema else reader).json(root)
@@ -80,11 +83,30 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """The names of the folders in a folder of a store; none if there is no such folder."""
+    if not exists(spark, path):
+        return []
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)
+    return sorted(f.getPath().getName() for f in found if f.isDirectory())
+
+
 def snapshot_or_source(spark: SparkSession, snapshot: str, load) -> DataFrame:
     """The saved rows of a unit if there are any, else a new scan."""
     return spark.read.parquet(snapshot) if exists(spark, snapshot) else load()
 
 
+def placed(df: DataFrame) -> DataFrame:
+    """Rows of files with their place: __file, __block (where the split of the file begins) and __at (the row in the split); for other rows __at alone tells."""
+    try:
+        of = df.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"))
+        of.schema  # noqa: B018  an error here if the rows are not of files
+    except AnalysisException:
+        of = df.withColumns({"__file": F.lit(""), "__block": F.lit(0).cast("long")})
+    return of.withColumn("__at", F.monotonically_increasing_id())
+
+
 def head(df: DataFrame, order: list, n: int) -> DataFrame:
     """The first n rows in an order; 0 means all."""
     return df.orderBy(*order).limit(n) if n else df

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import json
-from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiloom.functions.hashing import row_digest
@@ -36,10 +35,14 @@ def write_stage(df: DataFrame, root: str, stage: str, round_: int = 0) -> str:
     return path
 
 
-def write_document(row: dict, path: str) -> None:
-    """A summary or manifest of the driver."""
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    Path(path).write_text(json.dumps(row, indent=2, ensure_ascii=False, default=str), encoding="utf-8")
+def write_document(spark: SparkSession, row: dict, path: str) -> None:
+    """A summary or manifest: one JSON document in a file of the output store."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True)
+    try:
+        out.write(bytearray(json.dumps(row, indent=2, ensure_ascii=False, default=str).encode()))
+    finally:
+        out.close()
 
 
 def write_csv(df: DataFrame, path: str, files: int | None = None) -> None:
@@ -92,10 +95,10 @@ def write_chunks(requests: DataFrame, path: str, size: int = 50_000) -> None:
     chunked.repartition("chunk").sortWithinPartitions("chunk", "ordinal").write.mode("overwrite").partitionBy("chunk").option("maxRecordsPerFile", size).json(path)
 
 
-def reuse_or_write(df_of, spark, path: str) -> DataFrame:
-    """The table at a path if it was written to the end, else written now: how a stopped run resumes."""
+def reuse_or_write(df_of, spark, path: str, fresh: bool = False) -> DataFrame:
+    """The table at a path if it was written to the end, else (or if it must be `fresh`) written now: how a stopped run resumes."""
     from lexiloom.sources.readers import exists
 
-    if not exists(spark, f"{path}/_SUCCESS"):
+    if fresh or not exists(spark, f"{path}/_SUCCESS"):
         df_of().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

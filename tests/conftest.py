@@ -16,7 +16,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
-        .config("spark.executorEnv.PYTHONPATH", sys.path[0])
+        .config("spark.executorEnv.PYTHONPATH", f"{sys.path[0]}:{os.path.dirname(os.path.abspath(__file__))}")
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")

@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexiloom.plans import echo, stages
+import echo
+from lexiloom import cli
+from lexiloom.plans import stages
 from lexiloom.sources import config, readers, writers
 from lexiloom.streaming import incremental
 
@@ -41,9 +43,9 @@ def test_split_and_verify(spark, tmp_path):
 
 
 def raw(tmp_path, **more):
-    (tmp_path / "p.md").write_text("{output_json} {language}\nTASK translate {source_json}")
-    (tmp_path / "j.md").write_text("{source_json}\nTASK judge {translation_json}")
-    (tmp_path / "c.md").write_text("{feedback}\nTASK correct {translation_json}")
+    (tmp_path / "p.md").write_text("{output_schema_json} {field_names} {language} {language_code} {target_script} {q}\nTASK translate {source_json}")
+    (tmp_path / "j.md").write_text("{source_json} {target_script} {q} {q_translation} {pass_threshold} {score_scale}\nTASK judge {translation_json}")
+    (tmp_path / "c.md").write_text("{audit_json} {error_analysis_json} {judge_score} {judge_verdict} {judge_feedback} {previous_translation_json} {output_schema_json} {c_translation}\nTASK correct {translation_json}")
     (tmp_path / "rows.jsonl").write_text("".join(json.dumps({"id": f"r{i}", "q": f"question {i}", "c": ["a", "b"]}) + "\n" for i in range(6)))
     stage = lambda p: {"prompt": p, "model": "gemini-2.5-flash-001", "inference": {"mode": "parallel"}}
     return {
@@ -75,6 +77,20 @@ def test_run(spark, tmp_path):
     assert rows.count() == 12 and rows.where("was_corrected").count() == failed
     levels = {(r["level"], r["key"]): r["requests"] for r in stages.costs(run).collect()}
     assert levels["stage", "judge_r1"] == 12 and levels["run", "run"] == sum(n for (level, _), n in levels.items() if level == "stage")
+    for name in config.STAGES:
+        shown, unfilled = stages.preview(run, c.units[0], name)
+        assert unfilled == [] and "question 0" in shown
+    record = spark.read.parquet(f"{run.path('judge', 1)}/records").first()
+    assert {"prompt_path", "prompt_sha256", "timestamp", "judge_parsed", "pass_threshold", "score_scale", "request_key"} <= set(record.asDict()) and json.loads(record["judge_parsed"])["score"] == record["score"]
+    summary = stages.write_review(run)
+    assert summary["units"][0]["instances"] == 12 and summary["correction_rounds_seen"] == [1] and json.loads((tmp_path / "out/toy/review/summary.json").read_text())["units"] == json.loads(json.dumps(summary["units"], default=str))
+    sheet = readers.csv_with_quotes(spark, f"{run.root}/review/queue_csv/{c.units[0].label}")
+    assert sheet.count() == summary["units"][0]["queued"] and {"source_q", "translation_c", "human_verdict"} <= set(sheet.columns)
+    seen = {r["record_id"]: r for r in rows.collect()}
+    assert all(len(r["judge_views"]) == 1 + r["was_corrected"] and r["translate_view"]["prompt_path"].endswith("p.md") and r["judge_views"][0]["parsed"] for r in seen.values())
+    assert {r["attempt"]: (r["ok"], r["failed"]) for r in stages.attempt_totals(run).where("stage = 'translate'").collect()}[1][0] <= 12
+    free = stages.costs(run, "force").where("level = 'run'").first()["cost_usd"]
+    assert free == pytest.approx(stages.costs(run, "off").where("level = 'run'").first()["cost_usd"], rel=1e-6)
     plan = stages.recorrect(run, 101.0, dry=True)
     assert plan["correct_round"] == 2 and plan["judge_round"] == 3 and plan["selected"] == 12 - failed and plan["skipped"] == ({"already_corrected": failed} if failed else {})
 
@@ -87,3 +103,25 @@ def test_streaming(spark, tmp_path):
         stream = incremental.arriving(spark, source, schema)
         incremental.run_available(stream, lambda df: df.withColumn("m", F.col("n") * 2), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
         assert spark.read.parquet(str(tmp_path / "out")).agg(F.sum("m")).first()[0] == sum(2 * i for i in range(part * 5 + 5))
+
+
+def test_rounds_beyond_a_hundred(spark, tmp_path):
+    run = stages.Run(spark, config.parse(raw(tmp_path), tmp_path), {})
+    for name in ("translate", "correct_r120", "judge_r121", "other"):
+        spark.createDataFrame([("x", name)], "record_id string, stage string").write.parquet(f"{run.root}/{name}/records")
+    assert [x[2] for x in stages.stage_folders(run, "records")] == ["translate", "correct_r120", "judge_r121"]
+    assert stages.records_of(run).count() == 3
+
+
+def test_command_line(spark, tmp_path, capsys):
+    import yaml
+
+    (tmp_path / "c.yaml").write_text(yaml.safe_dump(raw(tmp_path)))
+    given = ["--config", str(tmp_path / "c.yaml")]
+    with pytest.raises(SystemExit):
+        cli.main(["run", *given])  # a model is needed
+    assert cli.main(["run", *given, "--backend", "echo:backend"]) == 0
+    assert cli.main(["review", *given, "--queue-only"]) == 0 and cli.main(["costs", *given, "--reprice"]) == 0
+    out = capsys.readouterr().out
+    assert "judge_r2" in out and '"units"' in out and (tmp_path / "out/toy/final/default/test/_SUCCESS").exists()
+    assert cli.main(["preview", *given, "--stage", "correct"]) == 0 and "unfilled: []" in capsys.readouterr().out
