@@ -165,7 +165,7 @@ def fit(sets: list[np.ndarray], grades: np.ndarray) -> tuple[np.ndarray, np.ndar
 def _fit_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sets, grades = [], []
     for batch in batches:
-        for part in W.pieces(batch, "text"):
+        for part in W.pieces(batch, "text", 1 << 20):
             sets.extend(features(part.column("text")))
             grades.extend(part.column("grade").to_pylist())
     chosen, weights, cuts = fit(sets, np.array(grades, np.int64))
@@ -203,7 +203,7 @@ def _scores(model: dict):
         weight = np.zeros(SPACE)
         weight[np.array(model["features"], np.int64)] = model["weights"]
         for batch in batches:
-            for part in W.pieces(batch, "text"):
+            for part in W.pieces(batch, "text", 1 << 20):
                 f = np.array([weight[x].sum() for x in features(part.column("text"))])
                 over = [_sigmoid(f - t) for t in model["cuts"]]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(over[0] + over[1]), pa.array(over[1])], [*part.schema.names, "expected_grade", "tail_probability"])
