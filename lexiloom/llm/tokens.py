@@ -64,7 +64,7 @@ class Cache(dict):
 class Coder:
     """Packed little-endian unsigned 32-bit ids of texts, given the ids of a pre-split word."""
 
-    def __init__(self, word: Callable[[str], list[int]], added: dict[str, int], most: int = 500_000):
+    def __init__(self, word: Callable[[str], list[int]], added: dict[str, int], most: int = 800_000):
         import regex
 
         self.added = added
