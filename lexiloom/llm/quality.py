@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexiloom.llm import words as W
+from lexiloom.llm.scratch import written
 
 #: Most labelled documents that a fit uses: the first by a hash of their ids.
 SAMPLE = 12_000
@@ -181,7 +182,7 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     grade = F.when(F.col("toxic") > 0, 0).when(F.col("quality") > 0, 2).otherwise(1)
     rated = labels.where("quality IS NOT NULL AND toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(grade).alias("grade"))
     there = rated.join(docs.select("doc_id").hint("merge"), "doc_id", "left_semi")  # both sides grow
-    chosen = there.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+    chosen = written(there.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE), "chosen")  # stored, so that only these rows meet the driver
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")  # SAMPLE rows at most
     return texts.groupBy("doc_id", "grade").agg(F.min("text").alias("text")).select("text", "grade")
 
