@@ -1,9 +1,8 @@
-"""Queries op1 to op10 and the pipeline, with SQL where SQL can express them."""
+"""Queries op1 to op13 and the pipeline, with SQL where SQL can express them."""
 
 from __future__ import annotations
 
-from lexiloom.llm import bpe, chat, minhash, neighbours, packing, pages, quality, slices, substrings, tokenfiles
-
+from lexiloom.llm import bpe, chat, minhash, neighbours, packing, pages, quality, recipes, slices, substrings, tokenfiles
 
 
 def pipeline(spark, sf_dir: str):
@@ -23,6 +22,7 @@ QUERIES = {
     "op8_substring_dedup": substrings.op8,
     "op9_minhash_near_dedup": minhash.op9,
     "op10_quality_classifier": quality.op10,
+    "op11_exact_dedup": recipes.op11,
     "pipeline": pipeline,
 }
 
@@ -33,4 +33,5 @@ ORACLES = {
     "op4_html_extraction": pages.OP4_SQL,
     "op8_substring_dedup": substrings.OP8_SQL,
     "op9_minhash_near_dedup": minhash.OP9_SQL,
+    "op11_exact_dedup": recipes.OP11_SQL,
 }
