@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lexiloom.llm import bpe, chat, minhash, neighbours, packing, pages, quality, recipes, slices, substrings, tokenfiles
+from lexiloom.llm import alignment, bpe, chat, minhash, neighbours, packing, pages, quality, recipes, slices, substrings, tokenfiles
 
 
 def pipeline(spark, sf_dir: str):
@@ -23,6 +23,7 @@ QUERIES = {
     "op9_minhash_near_dedup": minhash.op9,
     "op10_quality_classifier": quality.op10,
     "op11_exact_dedup": recipes.op11,
+    "op12_tokenizer_alignment": alignment.op12,
     "pipeline": pipeline,
 }
 

@@ -109,14 +109,14 @@ class Coder:
         return out
 
 
-def library_coder(path: str) -> Coder:
-    """A coder whose words are encoded by the tokenizers library's model of the file."""
+def library_coder(path: str, special: bool = True) -> Coder:
+    """A coder whose words are encoded by the tokenizers library's model of the file; unless `special`, strings of added tokens are plain text."""
     from tokenizers import Tokenizer
 
     spec = vocabulary(path)
     tokenizer = Tokenizer.from_file(path)
     tokenize, sign = tokenizer.model.tokenize, {b: s for s, b in byte_signs().items()}
-    added, space = {t["content"]: t["id"] for t in spec.get("added_tokens") or []}, sign[0x20]
+    added, space = {t["content"]: t["id"] for t in (spec.get("added_tokens") or []) if special}, sign[0x20]
 
     def word(w: str) -> list[int]:
         plain = w.isascii() and w.isprintable()  # all signs but the space stand for themselves
