@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lexiloom.llm import alignment, bpe, chat, minhash, neighbours, packing, pages, quality, recipes, slices, substrings, tokenfiles
+from lexiloom.llm import alignment, bpe, chat, infill, minhash, neighbours, packing, pages, quality, recipes, slices, substrings, tokenfiles
 
 
 def pipeline(spark, sf_dir: str):
@@ -24,6 +24,7 @@ QUERIES = {
     "op10_quality_classifier": quality.op10,
     "op11_exact_dedup": recipes.op11,
     "op12_tokenizer_alignment": alignment.op12,
+    "op13_fill_in_middle": infill.op13,
     "pipeline": pipeline,
 }
 
@@ -35,4 +36,5 @@ ORACLES = {
     "op8_substring_dedup": substrings.OP8_SQL,
     "op9_minhash_near_dedup": minhash.OP9_SQL,
     "op11_exact_dedup": recipes.OP11_SQL,
+    "op13_fill_in_middle": infill.OP13_SQL,
 }
