@@ -10,7 +10,7 @@ from lexiloom.operators import cost
 from lexiloom.plans import stages
 from lexiloom.session import session
 from lexiloom.sources import config as configs
-from lexiloom.sources import writers
+from lexiloom.sources import versions, writers
 
 
 NO_MODEL = ("assemble", "review", "costs", "preview")
@@ -23,7 +23,7 @@ def parser() -> argparse.ArgumentParser:
         s = sub.add_parser(name)
         s.add_argument("--config", required=True)
         if name not in NO_MODEL:
-            s.add_argument("--backend", required=True, metavar="MODULE:NAME", help="a pandas iterator function for mapInPandas")
+            s.add_argument("--backend", required=True, metavar="MODULE:NAME", help="a pandas iterator function for mapInPandas, or operators.calls.Calls of single requests")
         s.add_argument("--output-root")
         s.add_argument("--mode", choices=configs.MODES)
         s.add_argument("--model")
@@ -77,11 +77,12 @@ def _run(args: argparse.Namespace) -> stages.Run:
             setattr(c.review, key, getattr(args, key))
     configs.check(c)
     c.units = c.select_units(args.dataset_config, args.split)
+    only = [(u.config, u.split) for u in c.units] if args.dataset_config or args.split else None
     if args.command in NO_MODEL:
-        return stages.Run(session(), c, {})
+        return stages.Run(session(), c, {}, only=only)
     module, _, name = args.backend.partition(":")
     backend = getattr(importlib.import_module(module), name)
-    return stages.Run(session(), c, {m: backend for m in configs.MODES})
+    return stages.Run(session(), c, {m: backend for m in configs.MODES}, only=only)
 
 
 def _assemble(run: stages.Run, names: list[str] | None = None, limit: int = 0) -> None:
@@ -96,13 +97,13 @@ def _assemble(run: stages.Run, names: list[str] | None = None, limit: int = 0) -
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     run = _run(args)
-    read = lambda stage, n: run.spark.read.parquet(args.input or f"{run.path(stage, n)}/records")
+    read = lambda stage, n: versions.read(run.spark, args.input) if args.input else run.table(stage, n)
     if args.command == "translate":
         stages.translate(run, limit=args.limit)
     elif args.command == "judge":
-        stages.judge(run, read("correct", args.round - 1) if args.round > 1 else read("translate", 0), args.round)
+        stages.judge(run, read("correct", args.round - 1) if args.round > 1 else read("translate", 0), args.round, part=bool(args.input))
     elif args.command == "correct":
-        stages.correct(run, read("judge", args.round), args.round)
+        stages.correct(run, read("judge", args.round), args.round, part=bool(args.input))
     elif args.command == "recorrect":
         print(json.dumps(stages.recorrect(run, args.threshold, args.include_recorrected, args.dry_run, args.correct_round, args.judge_round, args.skip_judge)))
     elif args.command == "assemble":

@@ -1,105 +1,160 @@
-"""Model steps: pluggable backends, validated retries, fallback phases.
+"""Model steps: pluggable backends, validated retries, fallback phases, answers that are paid for once.
 
 A backend maps an iterator of pandas frames with key, prompt and attempt to
 frames with key, text, error and token counts; errors are rows, never raised.
-Each attempt is written before the next one is planned, so a lost executor
-repeats at most its own tasks and no paid answer is asked for twice by a later
-stage of the plan.
+
+Every answer is kept in a log under the digest of what was asked: the key, the
+prompt, the model and its settings, and the number of the attempt.  A run asks
+what the log lacks and nothing else, whatever ran before it: with a limit, other
+rows, another prompt or model, or stopped half way.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from lexiloom.operators.calls import Calls
+from lexiloom.sources.readers import exists
+from lexiloom.sources.shared import stored
 
 Backend = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 RESULT = "key string, text string, error string, input_tokens long, output_tokens long, reasoning_tokens long, total_tokens long"
+ANSWER = ["request", *[c.split()[0] for c in RESULT.split(", ")], "attempt", "phase", "mode", "model", "failure", "ok"]
 
 
 @dataclass(frozen=True)
 class Phase:
-    """So many attempts with one backend and model; `answer` may be a Column instead of a backend."""
+    """So many attempts with one backend, model and settings.
+
+    The backend is an iterator function, `Calls` of single requests, or anything
+    with a method configured(model, settings) that gives one of the two.
+    """
 
     name: str
     mode: str
     model: str
     attempts: int
-    backend: Backend | None = None
-    answer: Callable[[Column, Column], Column] | None = None
+    backend: Backend | Calls
+    settings: dict = field(default_factory=dict)
+    #: What an answer does not depend on, such as the number of workers.
+    transport: dict = field(default_factory=dict)
 
 
 def phases(primary: Phase, fallback: Phase | None = None) -> list[Phase]:
     return [primary] + ([fallback] if fallback and fallback.attempts > 0 else [])
 
 
-def threaded(call: Callable[[str, str], dict], workers: int = 16) -> Backend:
-    """A backend that calls a function of (key, prompt) from a pool of threads; what it raises becomes an error row."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from concurrent.futures import ThreadPoolExecutor
-
-        names = [x.split()[0] for x in RESULT.split(", ")]
+def request_id(phase: Phase, attempt: int) -> Column:
+    """The digest of a request (key, prompt) in an attempt of a phase."""
+    asked = json.dumps([phase.mode, phase.model, phase.settings, attempt], sort_keys=True, default=str)
+    return F.unhex(F.sha2(F.concat_ws("\x00", F.col("key"), F.sha2("prompt", 256), F.lit(asked)), 256))
 
-        def one(pair: tuple[str, str]) -> dict:
-            try:
-                return {"key": pair[0], **call(*pair)}
-            except Exception as e:  # noqa: BLE001  one failed call must not lose the others
-                return {"key": pair[0], "error": f"{type(e).__name__}: {e}"[:500]}
 
-        with ThreadPoolExecutor(workers) as pool:
-            for frame in frames:
-                out = pd.DataFrame(list(pool.map(one, zip(frame["key"], frame["prompt"], strict=True))), columns=names)
-                yield out.astype({c: "Int64" for c in names if c.endswith("_tokens")})
+def infer(requests: DataFrame, phase: Phase, attempt: int) -> DataFrame:
+    """One attempt: requests (key, prompt, ...) with text, error, token counts, attempt, phase, mode and model.
 
-    return run
-
-
-def infer(requests: DataFrame, phase: Phase, attempt: int, width: int | None = None) -> DataFrame:
-    """One attempt: requests (key, prompt, ...) with text, error, token counts, attempt, phase, mode and model."""
+    Single calls come from as many tasks as there are workers, at most the
+    parallelism of the cluster; their windows add up to the number of workers.
+    """
+    backend = phase.backend.configured(phase.model, phase.settings | phase.transport) if hasattr(phase.backend, "configured") else phase.backend
     asked = requests.withColumn("attempt", F.lit(attempt))
-    if phase.answer is not None:
-        out = asked.withColumn("r", phase.answer(F.col("key"), F.col("attempt"))).select(*asked.columns, "r.*")
-    else:
-        sent = asked.select("key", "prompt", "attempt")
-        sent = sent.repartition(width, "key") if width else sent
-        out = asked.join(sent.mapInPandas(phase.backend, RESULT), "key", "left")
+    sent = asked.select("key", "prompt", "attempt")
+    if isinstance(backend, Calls):
+        tasks = max(1, min(backend.workers, requests.sparkSession.sparkContext.defaultParallelism))
+        sent, backend = sent.repartition(tasks, "key"), backend.share(tasks).run
+    out = asked.join(sent.mapInPandas(backend, RESULT), "key", "left")
     return out.withColumns({"phase": F.lit(phase.name), "mode": F.lit(phase.mode), "model": F.lit(phase.model)})
 
 
-def run_with_retries(requests: DataFrame, plan: list[Phase], error_of: Callable[[Column], Column], store: Callable[[DataFrame, int], DataFrame], width: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """All attempts, and the final one of each key; keys must be unique.
+class Answers:
+    """The log of answers in a folder, by attempt; `keep` names columns of requests that go with them.
+
+    Tasks add their files as they end, so what is answered before a run is killed
+    stays; rows that a repeated task adds twice count once.
+    """
+
+    def __init__(self, path: str, keep: list[str] | None = None):
+        self.path, self.keep = path, keep or []
+
+    def read(self, spark: SparkSession, attempt: int, schema: T.StructType) -> DataFrame | None:
+        folder = f"{self.path}/attempt={attempt}"
+        return spark.read.schema(schema).parquet(folder) if exists(spark, folder) else None
+
+    def ask(self, due: DataFrame, phase: Phase, attempt: int, error_of: Callable[[Column], Column]) -> T.StructType:
+        """Ask what is due and add the answers, each with what its validation says."""
+        got = infer(due, phase, attempt)
+        blank = F.coalesce(F.trim("text") == "", F.lit(True))
+        failed = F.coalesce(F.col("error"), F.when(F.col("input_tokens").isNull() & F.col("text").isNull(), "no result returned by backend"), F.when(blank, "empty response"), error_of(F.col("text")))
+        rows = got.withColumn("failure", failed).withColumn("ok", F.col("failure").isNull()).select(*ANSWER, *self.keep, F.expr("uuid()").alias("answer"))
+        rows.write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(f"{self.path}/attempt={attempt}")
+        return rows.schema
+
+    def turn(self, due: DataFrame, phase: Phase, attempt: int, error_of: Callable[[Column], Column]) -> DataFrame:
+        """One answer for each request that is due, asked now where there is none."""
+        spark, request = due.sparkSession, request_id(phase, attempt)
+        due = due.withColumn("request", request)
+        schema = infer_schema(due, self.keep)
+        known = self.read(spark, attempt, schema)
+        if known is None:
+            self.ask(due, phase, attempt, error_of)
+            rows = self.read(spark, attempt, schema)
+        else:
+            mine = stored(due.select("key", "request"), f"due{attempt}")
+            lacking = mine.join(known.select("request"), "request", "left_anti")
+            if not lacking.isEmpty():
+                self.ask(due.join(lacking.select("key"), "key", "left_semi"), phase, attempt, error_of)
+            rows = self.read(spark, attempt, schema).join(mine.select("request"), "request", "left_semi")
+        several = rows.groupBy("request").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("ok", "answer")).alias("best")).where("n > 1")
+        if several.isEmpty():
+            return rows.drop("answer")
+        other = several.select("request", F.col("best.answer").alias("chosen"))
+        return rows.join(other, "request", "left").where("chosen IS NULL OR chosen = answer").drop("answer", "chosen")
+
+
+def infer_schema(due: DataFrame, keep: list[str]) -> T.StructType:
+    """The columns of the log."""
+    types = {"request": "binary", **dict(x.split() for x in RESULT.split(", ")), "attempt": "int", "phase": "string", "mode": "string", "model": "string", "failure": "string", "ok": "boolean"}
+    kept = [T.StructField(c, due.schema[c].dataType) for c in keep]
+    return T.StructType([*T._parse_datatype_string(", ".join(f"{c} {types[c]}" for c in ANSWER)).fields, *kept, T.StructField("answer", T.StringType())])
+
+
+def check_unique(requests: DataFrame) -> None:
+    """An error if two requests have one key: their answers could not be told apart."""
+    twice = requests.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR key IS NULL").first()
+    if twice:
+        raise ValueError(f"{twice['n']} requests have the key {twice['key']!r}")
+
+
+def run_with_retries(requests: DataFrame, plan: list[Phase], error_of: Callable[[Column], Column], log: Answers) -> tuple[DataFrame, DataFrame]:
+    """All attempts (the log's columns), and each request with the last of its own.
 
     `error_of` gives the validation error of a text column, null if it is fine.
-    `store(attempt_rows, number)` writes the rows and reads them back.  Attempts are
-    numbered on through the phases; what is right is not asked again.  `width` is
-    the number of tasks that call a backend at once.
+    Attempts are numbered on through the phases; what is right is not asked again.
     """
-    done, final, pending, number = None, None, requests, 0
+    check_unique(requests)
+    turns, pending = [], requests
     for phase in plan:
         for _ in range(phase.attempts):
-            number += 1
-            got = infer(pending, phase, number, width)
-            blank = F.coalesce(F.trim("text") == "", F.lit(True))
-            failed = F.coalesce(F.col("error"), F.when(blank, "empty response"), error_of(F.col("text")))
-            got = store(got.withColumn("failure", failed).withColumn("ok", F.col("failure").isNull()), number)
-            done = got if done is None else done.unionByName(got)
-            good = got.where("ok")  # what is right is not asked again, so each key ends in one of these
-            final = good if final is None else final.unionByName(good)
-            left = got.where("NOT ok")
-            pending = left.select(*requests.columns)
+            turns.append(log.turn(pending, phase, len(turns) + 1, error_of))
+            left = turns[-1].where("NOT ok")
             if left.isEmpty():
-                return done, final
-    return done, final.unionByName(left)
+                return _ended(requests, turns)
+            pending = requests.join(left.select("key"), "key", "left_semi")
+    return _ended(requests, turns)
 
 
-def final_attempts(attempts: DataFrame) -> DataFrame:
-    """The last attempt of each key."""
-    rest = [c for c in attempts.columns if c != "key"]
-    return attempts.groupBy("key").agg(F.max_by(F.struct(*rest), "attempt").alias("r")).select("key", "r.*")
+def _ended(requests: DataFrame, turns: list[DataFrame]) -> tuple[DataFrame, DataFrame]:
+    both = lambda dfs: reduce(DataFrame.unionByName, dfs)
+    last = both([*[t.where("ok") for t in turns[:-1]], turns[-1]])  # what failed before the last turn was asked again
+    return both(turns), requests.join(last.drop(*[c for c in last.columns if c in requests.columns and c != "key"]), "key")
 
 
 def distinct_prompts(requests: DataFrame) -> tuple[DataFrame, DataFrame]:

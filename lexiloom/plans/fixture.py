@@ -8,6 +8,10 @@ relations are written as SQL in BASE.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +35,32 @@ def items(spark: SparkSession, sf_dir: str, texts: bool = False) -> DataFrame:
     return with_record_id(fan_out(rows, list(LANGUAGES)), "docs").withColumn("script", language_script(F.col("language")))
 
 
+def model(answer: Callable[[str, str, int], str]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """A backend that answers answer(key, prompt, attempt); tokens are characters."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            text = [answer(k, p, int(a)) for k, p, a in zip(f["key"], f["prompt"], f["attempt"], strict=True)]
+            i, o = f["prompt"].str.len(), pd.Series([len(t) for t in text], index=f.index)
+            yield pd.DataFrame({"key": f["key"], "text": text, "error": None, "input_tokens": i, "output_tokens": o, "reasoning_tokens": 0, "total_tokens": i + o})
+
+    return run
+
+
+def translator(key: str, prompt: str, attempt: int) -> str:
+    """Prose on the first attempt for every seventh document, else what follows the prompt's first line, marked with its language."""
+    if attempt == 1 and int(key.split("|")[3]) % 7 == 0:
+        return "I cannot help with that."
+    head, _, body = prompt.partition("\n")
+    return json.dumps({"text": f"[{head.removeprefix('Translate into ').rpartition(' (')[0]}] {body}"}, ensure_ascii=False)
+
+
+def count_characters(prompt: str, settings: dict) -> dict:
+    if not prompt:
+        raise ValueError("empty")
+    return {"text": str(len(prompt)), "input_tokens": len(prompt) % 97, "output_tokens": 0, "reasoning_tokens": 0, "total_tokens": len(prompt) % 97}
+
+
 def judged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both rounds' judgements in one row for each work item: score_1, fixed, score_2."""
     i = items(spark, sf_dir)

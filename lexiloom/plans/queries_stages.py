@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexiloom.functions import contracts, hashing, judgement, parse, template, text, validate
-from lexiloom.operators import fanout, identity, inference, routing
+from lexiloom.operators import calls, fanout, identity, inference, routing
 from lexiloom.plans import fixture
 from lexiloom.plans.catalogue import query
 from lexiloom.plans.fixture import BASE, table
-from lexiloom.sources.shared import stored
+from lexiloom.sources import versions
+from lexiloom.sources.shared import new_path, stored
 
 PROMPT = "Translate into {language} ({script}). Keep {braces}.\n{text}"
 PROMPT_SQL = "('Translate into ' || language || ' (' || script || '). Keep {braces}.' || chr(10) || coalesce(text, ''))"
@@ -23,28 +24,20 @@ def requests(spark, sf_dir):
     return items.withColumns({"prompt": prompt, "key": F.col("record_id")})
 
 
-def echo(key, attempt):
-    """The deterministic model: prose on the first attempt for every seventh document, else the source as JSON."""
-    body = F.to_json(F.struct(F.concat(F.lit("["), F.col("language"), F.lit("] "), F.coalesce("source", F.lit(""))).alias("text")))
-    out = F.when((F.col("doc_id") % 7 == 0) & (attempt == 1), "I cannot help with that.").otherwise(body)
-    i, o = F.length("source").cast("long"), F.length(out).cast("long")
-    return F.struct(out.alias("text"), F.lit(None).cast("string").alias("error"), i.alias("input_tokens"), o.alias("output_tokens"), F.lit(0).cast("long").alias("reasoning_tokens"), (i + o).alias("total_tokens"))
-
-
 @query(f"""WITH {BASE} SELECT language, count(*)::BIGINT AS n_items, count(*)::BIGINT AS n_valid,
   sum(CASE WHEN doc_id % 7 = 0 THEN 2 ELSE 1 END)::BIGINT AS n_attempts, sum(length(coalesce(text, '')) + length(language) + 3)::BIGINT AS translated_chars
 FROM items GROUP BY language""")
 def translate_summary(spark, sf_dir):
-    """Fan out, render, answer, parse, validate, ask again what failed, and sum by language; every attempt is stored."""
-    asked = requests(spark, sf_dir).select("key", "language", "doc_id", F.col("text").alias("source"))
-    plan = inference.phases(inference.Phase("primary", "batch", "m", 2, answer=echo), inference.Phase("fallback", "parallel", "m", 1, answer=echo))
+    """Fan out, render, send the prompts to a model, parse, validate, ask again what failed, and sum by language; every answer is logged."""
+    asked = requests(spark, sf_dir).select("key", "language", "prompt", F.col("text").alias("source"))
+    model = fixture.model(fixture.translator)
+    plan = inference.phases(inference.Phase("primary", "batch", "m", 2, model), inference.Phase("fallback", "parallel", "m", 1, model))
 
     def error_of(response):
         source = F.struct(F.coalesce("source", F.lit("")).alias("text"))
         return text.let(parse.json_object(response), lambda p: F.coalesce(p["error"], validate.translation_error(p["value"], source, TEXT)))
 
-    keep = ["key", "language", "doc_id", "source", "text", "attempt", "ok"]
-    _, final = inference.run_with_retries(asked, plan, error_of, lambda df, i: stored(df.select(*keep), f"attempt{i}"))
+    _, final = inference.run_with_retries(asked, plan, error_of, inference.Answers(new_path(spark, "answers")))
     size = F.length(F.get_json_object(parse.json_object(F.col("text"))["value"], "$.text"))
     return final.groupBy("language").agg(F.count(F.lit(1)).alias("n_items"), F.count_if("ok").cast("long").alias("n_valid"), F.sum("attempt").cast("long").alias("n_attempts"), F.sum(size).cast("long").alias("translated_chars"))
 
@@ -278,16 +271,58 @@ def decode_predictions(spark, sf_dir):
 def retry_fixpoint(spark, sf_dir):
     """Attempts 1 to 3 of the primary phase, then the fallback; a document's id says which attempt succeeds."""
     d = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("key"), "doc_id", F.lit("p").alias("prompt"))
-    due = F.when(F.col("doc_id") % 6 == 0, 4).when(F.col("doc_id") % 3 == 0, 3).when(F.col("doc_id") % 2 == 0, 2).otherwise(1)
-    zero = F.lit(0).cast("long")
+    due = lambda key: next(n for m, n in ((6, 4), (3, 3), (2, 2), (1, 1)) if int(key) % m == 0)
+    model = fixture.model(lambda key, prompt, attempt: "fine" if attempt >= due(key) else " ")
+    plan = inference.phases(inference.Phase("primary", "batch", "m", 3, model), inference.Phase("fallback", "parallel", "m", 1, model))
+    _, final = inference.run_with_retries(d, plan, lambda t: F.lit(None).cast("string"), inference.Answers(new_path(spark, "answers")))
+    return final.groupBy(F.col("attempt").cast("long").alias("attempt"), "phase").agg(F.count(F.lit(1)).alias("n_final"), F.count_if("ok").cast("long").alias("n_ok"))
 
-    def answer(key, attempt):
-        t = F.when(attempt >= due, "fine").otherwise(" ")
-        return F.struct(t.alias("text"), F.lit(None).cast("string").alias("error"), zero.alias("input_tokens"), zero.alias("output_tokens"), zero.alias("reasoning_tokens"), zero.alias("total_tokens"))
 
-    plan = inference.phases(inference.Phase("primary", "batch", "m", 3, answer=answer), inference.Phase("fallback", "parallel", "m", 1, answer=answer))
-    _, final = inference.run_with_retries(d, plan, lambda t: F.lit(None).cast("string"), lambda df, i: stored(df, f"attempt{i}"))
-    return final.groupBy(F.col("attempt").cast("long").alias("attempt"), "phase").agg(F.count(F.lit(1)).alias("n_final"), F.count_if("ok").cast("long").alias("n_ok"))
+@query("""WITH r(run) AS (VALUES (1), (2), (3), (4))
+SELECT run, lang, count(*)::BIGINT AS n_due, CASE WHEN run = 1 OR (run = 2 AND lang <> 'en') OR (run = 3 AND lang = 'de') THEN count(*) ELSE 0 END::BIGINT AS n_asked,
+  sum(length(coalesce(text, '')) + CASE WHEN run >= 3 AND lang = 'de' THEN 9 ELSE 6 END)::BIGINT AS chars_answered
+FROM documents CROSS JOIN r WHERE run > 1 OR lang = 'en' GROUP BY run, lang""")
+def resume_plan(spark, sf_dir):
+    """Four runs over one log: a part of the rows, all, all with another prompt for some, and the same again; each asks what is new."""
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("key"), "lang", F.coalesce("text", F.lit("")).alias("body"))
+    log = inference.Answers(new_path(spark, "answers"), ["lang"])
+    plan = [inference.Phase("primary", "batch", "m", 1, fixture.model(lambda key, prompt, attempt: prompt))]
+    render = lambda df, changed: df.select("key", "lang", F.concat(F.when((F.col("lang") == "de") & F.lit(changed), "Rewrite: ").otherwise("Write "), "body").alias("prompt"))
+    out, before = None, None
+    for run, rows in enumerate([render(d.where("lang = 'en'"), False), render(d, False), render(d, True), render(d, True)], 1):
+        _, final = inference.run_with_retries(rows, plan, lambda t: F.lit(None).cast("string"), log)
+        logged = log.read(spark, 1, inference.infer_schema(rows, log.keep)).groupBy("lang").agg(F.count(F.lit(1)).alias("logged"))
+        logged = stored(logged, "logged")
+        asked = logged.join(before.withColumnRenamed("logged", "earlier"), "lang", "left") if before else logged.withColumn("earlier", F.lit(0))
+        answered = final.groupBy("lang").agg(F.count(F.lit(1)).alias("n_due"), F.sum(F.length("text")).alias("chars_answered"))
+        one = answered.join(asked, "lang").select(F.lit(run).alias("run"), "lang", "n_due", (F.col("logged") - F.coalesce("earlier", F.lit(0))).alias("n_asked"), "chars_answered")
+        out, before = (one if out is None else out.unionByName(one)), logged
+    return out
+
+
+@query("""SELECT lang, count(*)::BIGINT AS n_answers, sum(length(coalesce(text, '')))::BIGINT AS prompt_chars, sum(length(coalesce(text, '')) % 97)::BIGINT AS total_tokens,
+  count(CASE WHEN coalesce(text, '') = '' THEN 1 END)::BIGINT AS n_failed FROM documents GROUP BY lang""")
+def windowed_calls(spark, sf_dir):
+    """Single calls from a bounded window in each task; a call about an empty text raises, which gives an error row."""
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("key"), "lang", F.coalesce("text", F.lit("")).alias("prompt"))
+    model = calls.Calls(fixture.count_characters, workers=32, retries=1, pause=0.001)
+    attempts, _ = inference.run_with_retries(d, [inference.Phase("primary", "parallel", "m", 1, model)], lambda t: F.lit(None).cast("string"), inference.Answers(new_path(spark, "answers"), ["lang"]))
+    size = F.coalesce(F.col("text").cast("long"), F.lit(0))
+    return attempts.groupBy("lang").agg(F.count(F.lit(1)).alias("n_answers"), F.sum(size).alias("prompt_chars"), F.sum(F.coalesce("total_tokens", F.lit(0))).alias("total_tokens"), F.count_if(F.col("error") == "ValueError: empty").alias("n_failed"))
+
+
+@query("""SELECT 'default' AS dataset_config, lang AS split, count(*)::BIGINT AS n, sum(length(coalesce(text, '')) + CASE WHEN lang = 'en' THEN 1 ELSE 0 END)::BIGINT AS chars, 4::BIGINT AS last_version FROM documents GROUP BY lang""")
+def unit_commits(spark, sf_dir):
+    """Units of a table committed one after the other, one of them twice; all are there, the last commit of each."""
+    d = table(spark, sf_dir, "documents").select(F.lit("default").alias("dataset_config"), F.col("lang").alias("split"), F.length(F.coalesce("text", F.lit(""))).alias("chars"))
+    others = sorted(r["split"] for r in d.select("split").distinct().collect())  # the languages
+    t = new_path(spark, "units")
+    versions.commit(d.where("split = 'en'"), t, [("default", "en")])
+    versions.commit(d.where("split <> 'en'"), t, [("default", s) for s in others if s != "en"])
+    versions.commit(d.where("split = 'en'").limit(0), t, [("default", "en")])
+    versions.commit(d.where("split = 'en'").withColumn("chars", F.col("chars") + 1), t, [("default", "en")])
+    n = F.lit(versions.version(spark, t)["number"]).cast("long")
+    return versions.read(spark, t).groupBy("dataset_config", "split").agg(F.count(F.lit(1)).alias("n"), F.sum("chars").cast("long").alias("chars")).withColumn("last_version", n)
 
 
 @query("SELECT count(*)::BIGINT AS n_requests, count(DISTINCT coalesce(text, ''))::BIGINT AS n_asked, sum(length(coalesce(text, '')))::BIGINT AS chars_answered FROM documents")

@@ -1,8 +1,9 @@
 """The stages of a benchmark run, each reading tables and writing tables.
 
-A stage writes each attempt before the next is planned and its records at the
-end, under <root>/<benchmark>/<stage>[_rN]; a stage that was written to the end
-is read, not run, when a run resumes.
+A stage adds its answers to a log, attempt by attempt, and commits its records,
+failures and usage at the end, unit by unit, under <root>/<benchmark>/<stage>[_rN].
+A second run asks only what the log lacks, and replaces only the units it was
+about; one over a part of a unit replaces the records of that part.
 """
 
 from __future__ import annotations
@@ -10,7 +11,8 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,8 +22,8 @@ from pyspark.sql import types as T
 from lexiloom.functions import judgement, parse, template, validate
 from lexiloom.functions.text import let
 from lexiloom.operators import assembly, cost, fanout, identity, inference, review, selection
-from lexiloom.sources import readers, writers
-from lexiloom.sources.config import Config, Stage, Unit
+from lexiloom.sources import readers, versions, writers
+from lexiloom.sources.config import Config, Inference, Stage, Unit
 
 STAGE = re.compile(r"(translate|judge|correct)(?:_r(\d+))?")
 ORDER = {"translate": 0, "correct": 1, "judge": 2}
@@ -36,7 +38,8 @@ class Run:
     config: Config
     backends: dict[str, inference.Backend]
     load: Callable[[Unit], DataFrame] | None = None
-    written: dict[str, DataFrame] = field(default_factory=dict)
+    #: The units that a run is about; None means all.
+    only: list[versions.UnitKey] | None = None
 
     @property
     def root(self) -> str:
@@ -46,28 +49,40 @@ class Run:
         return f"{self.root}/{stage}{f'_r{round_}' if round_ else ''}"
 
 
+    def table(self, stage: str, round_: int = 0, part: str = "records") -> DataFrame:
+        """The committed records, failures or usage of a stage."""
+        return versions.read(self.spark, f"{self.path(stage, round_)}/{part}")
+
+    def chosen(self, df: DataFrame) -> DataFrame:
+        """The rows of the units that the run is about."""
+        return df if self.only is None else df.where(versions.in_units(self.only))
+
+
+#: Settings of a stage that an answer depends on, and those that it does not.
+ASKED = ("temperature", "max_output_tokens", "json_mode", "thinking_budget", "api_base", "extra_params")
+TRANSPORT = ("num_workers", "num_retries", "request_timeout", "max_requests_per_batch", "api_key_env", "poll_interval_seconds", "poll_timeout_hours", "delete_uploaded_files")
+#: Columns of requests that go into the log, for the usage of units and languages.
+LOGGED = ["dataset_config", "split", "language"]
+
+
 def _phases(run: Run, stage: Stage) -> list[inference.Phase]:
-    one = lambda name, i, model, n: inference.Phase(name, i.mode, model, n, backend=run.backends[i.mode])
+    def one(name: str, i: Inference, model: str, n: int) -> inference.Phase:
+        asked = {k: getattr(i, k) for k in ASKED} | {"provider_model": i.provider_model(model)}
+        return inference.Phase(name, i.mode, model, n, run.backends[i.mode], asked, {k: getattr(i, k) for k in TRANSPORT})
+
     back = stage.fallback
     later = one("fallback", back.inference, back.model or stage.model, back.max_attempts) if back.enabled else None
     return inference.phases(one("primary", stage.inference, stage.model, stage.max_attempts), later)
 
 
-def _answered(run: Run, stage: Stage, requests: DataFrame, error_of: Callable[[Column], Column], where: str) -> DataFrame:
-    """The final attempt of each request; every attempt stays in the audit log."""
-    log = f"{where}/attempts"
-
-    def store(df: DataFrame, number: int) -> DataFrame:
-        return writers.reuse_or_write(lambda: df, run.spark, f"{log}/attempt={number}")
-
-    attempts, final = inference.run_with_retries(requests, _phases(run, stage), error_of, store)
-    _usage(run, attempts).write.mode("overwrite").parquet(f"{where}/usage")
-    return final
+def _answered(run: Run, stage: Stage, requests: DataFrame, error_of: Callable[[Column], Column], where: str) -> tuple[DataFrame, DataFrame]:
+    """All attempts, and the final one of each request; every attempt stays in the log."""
+    return inference.run_with_retries(requests, _phases(run, stage), error_of, inference.Answers(f"{where}/attempts", LOGGED))
 
 
 def _usage(run: Run, attempts: DataFrame) -> DataFrame:
     """A priced usage row for each attempt sent."""
-    counted = attempts.select("dataset_config", "split", "language", "attempt", "phase", "mode", "ok", "model", *[F.coalesce(F.col(t), F.lit(0)).alias(t) for t in cost.TOKENS])
+    counted = attempts.select("key", "dataset_config", "split", "language", "attempt", "phase", "mode", "ok", "model", *[F.coalesce(F.col(t), F.lit(0)).alias(t) for t in cost.TOKENS])
     return cost.estimate(counted, cost.price_table(run.spark, run.config.pricing), F.col("mode") == "batch")
 
 
@@ -99,9 +114,11 @@ def _items(run: Run, unit: Unit, number: int, group: list[str], limit: int) -> t
 
 
 def translate(run: Run, units: list[Unit] | None = None, limit: int = 0) -> DataFrame:
-    stage, out = run.config.stage("translate"), []
+    """Translate the rows of the units; with a limit the first so many of each, and what is there of the others stays."""
+    stage, out, used = run.config.stage("translate"), [], []
     prompt = Path(stage.prompt).read_text(encoding="utf-8")
-    for unit in units or run.config.units:
+    units = units or [u for u in run.config.units if run.only is None or (u.config, u.split) in run.only]
+    for unit in units:
         for number, group in enumerate(identity.groups_for(run.config.fields, unit.config, unit.split)):
             items, kind = _items(run, unit, number, group, limit)
             values = template.prompt_values(F.col("source"), kind, F.col("language"), F.col("script"), F.col("language_code"))
@@ -110,7 +127,8 @@ def translate(run: Run, units: list[Unit] | None = None, limit: int = 0) -> Data
             def error_of(text: Column, kind: T.StructType = kind) -> Column:
                 return let(_object(stage, text), lambda p: F.coalesce(p["error"], validate.translation_error(p["value"], F.col("source"), kind)))
 
-            final = _answered(run, stage, requests, error_of, f"{run.path('translate')}/{unit.label}/g{number}")
+            attempts, final = _answered(run, stage, requests, error_of, f"{run.path('translate')}/{unit.label}/g{number}")
+            used.append(attempts)
             value = _object(stage, F.col("text"))["value"]
             out.append(
                 final.select(
@@ -119,7 +137,7 @@ def translate(run: Run, units: list[Unit] | None = None, limit: int = 0) -> Data
                     F.col("failure").alias("validation_error"), F.col("attempt").alias("attempts"), "model", F.col("mode").alias("inference_mode"), *_provenance(stage, prompt),
                 )
             )
-    return _write(run, out, "translate", 0)
+    return _write(run, out, used, "translate", 0, [(u.config, u.split) for u in units], part=bool(limit))
 
 
 def _provenance(stage: Stage, prompt: str) -> list[Column]:
@@ -128,13 +146,19 @@ def _provenance(stage: Stage, prompt: str) -> list[Column]:
     return [F.lit(stage.prompt).alias("prompt_path"), F.lit(hashlib.sha256(prompt.encode()).hexdigest()).alias("prompt_sha256"), F.substring(F.sha2("prompt", 256), 1, 16).alias("prompt_hash"), F.col("key").alias("request_key"), now.alias("timestamp")]
 
 
-def _write(run: Run, parts: list[DataFrame], stage: str, round_: int) -> DataFrame:
-    df = parts[0]
-    for p in parts[1:]:
-        df = df.unionByName(p, allowMissingColumns=True)
-    path = f"{run.path(stage, round_)}/records"
-    df.write.mode("overwrite").partitionBy("dataset_config", "split").parquet(path)
-    return run.spark.read.parquet(path)
+def _write(run: Run, parts: list[DataFrame], attempts: list[DataFrame], stage: str, round_: int, units: list[versions.UnitKey], part: bool) -> DataFrame:
+    """Commit the units' records, those of failed requests apart as well, and their usage; the records."""
+    both = lambda dfs: reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)
+    top, df = run.path(stage, round_), both(parts)
+    versions.commit(both([_usage(run, a) for a in attempts]), f"{top}/usage", units, key="key" if part else None)
+    records = versions.commit(df, f"{top}/records", units, key="record_id" if part else None)
+    versions.commit(versions.read(run.spark, f"{top}/records", units).where("validation_error IS NOT NULL"), f"{top}/failures", units)
+    return records
+
+
+def _units_of(df: DataFrame) -> list[versions.UnitKey]:
+    """The units that records are of: as few as a benchmark has."""
+    return sorted((r["dataset_config"], r["split"]) for r in df.select(*versions.UNIT).distinct().collect())
 
 
 def _about(run: Run, prompt: str, translation: str, more: dict[str, Column]) -> Column:
@@ -164,9 +188,9 @@ def _with(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.withColumns({c: F.lit(None).cast(t) for c, t in columns.items() if c not in df.columns})
 
 
-def judge(run: Run, records: DataFrame, round_: int = 1) -> DataFrame:
-    """Judge usable translations; others are counted out by the caller's filter."""
-    stage = run.config.stage("judge")
+def judge(run: Run, records: DataFrame, round_: int = 1, part: bool = False) -> DataFrame:
+    """Judge usable translations of the run's units; if they are a `part` of their units, judgements of others stay."""
+    stage, records = run.config.stage("judge"), run.chosen(records)
     prompt = Path(stage.prompt).read_text(encoding="utf-8")
     usable, _ = selection.for_judging(_with(records, {"prompt_path": "string", "prompt_sha256": "string"}))
     of = {"translation_stage": "stage", "translation_round": "round", "translation_model": "model", "translation_prompt_path": "prompt_path", "translation_prompt_sha256": "prompt_sha256"}
@@ -179,18 +203,18 @@ def judge(run: Run, records: DataFrame, round_: int = 1) -> DataFrame:
     def error_of(response: Column) -> Column:
         return let(_object(stage, response), lambda p: F.coalesce(p["error"], verdict(p["value"])["error"]))
 
-    final = _answered(run, stage, requests, error_of, run.path("judge", round_))
+    attempts, final = _answered(run, stage, requests, error_of, run.path("judge", round_))
     final = final.withColumn("parsed", F.when(F.col("ok"), _object(stage, F.col("text"))["value"]))
     out = final.withColumn("v", verdict(F.col("parsed"))).select(
         *IDENTITY, "source", "translation", *of, F.lit("judge").alias("stage"), F.lit(round_).alias("round"), "v.score", "v.passed", "v.feedback", F.lit(stage.pass_threshold).alias("pass_threshold"),
         F.lit(stage.score_scale).alias("score_scale"), F.col("parsed").alias("judge_parsed"), F.col("ok").alias("valid"), F.col("failure").alias("validation_error"), F.col("text").alias("judge_raw_response"),
         F.col("attempt").alias("attempts"), F.col("model").alias("judge_model"), "model", F.col("mode").alias("inference_mode"), *_provenance(stage, prompt),
     )
-    return _write(run, [out], "judge", round_)
+    return _write(run, [out], [attempts], "judge", round_, _units_of(records), part)
 
 
-def correct(run: Run, judged: DataFrame, round_: int = 1, max_score: float | None = None) -> DataFrame:
-    """Rewrite what failed; a failed rewrite keeps the translation it was to replace.
+def correct(run: Run, judged: DataFrame, round_: int = 1, max_score: float | None = None, part: bool = False) -> DataFrame:
+    """Rewrite what failed of the run's units; a failed rewrite keeps the translation it was to replace.
 
     Fields of a rewrite must have the kind (text, list or object) that they have in
     the translation before.
@@ -199,7 +223,7 @@ def correct(run: Run, judged: DataFrame, round_: int = 1, max_score: float | Non
     prompt = Path(stage.prompt).read_text(encoding="utf-8")
     bound = stage.max_score if max_score is None else max_score
     of = {"previous_translation": "translation", "judge_score": "score", "judge_passed": "passed", "judge_feedback": "feedback", "judge_parsed": "judge_parsed", "judge_model": "judge_model", "score_scale": "score_scale"}
-    judged = _with(judged, {"judge_parsed": "string", "judge_model": "string", "score_scale": "double"})
+    judged = _with(run.chosen(judged), {"judge_parsed": "string", "judge_model": "string", "score_scale": "double"})
     asked = selection.for_correction(judged, bound).select(*IDENTITY, "source", *[F.col(c).alias(n) for n, c in of.items()])
     requests = asked.withColumns({"key": F.col("record_id"), "prompt": correct_prompt(run, prompt)})
     shape = lambda text, k: F.substring(F.to_json(F.element_at(F.try_variant_get(F.try_parse_json(text), "$", "map<string,variant>"), k)), 1, 1)  # noqa: E731  the first sign of a value
@@ -213,27 +237,27 @@ def correct(run: Run, judged: DataFrame, round_: int = 1, max_score: float | Non
 
         return let(_object(stage, response), wrong)
 
-    final = _answered(run, stage, requests, error_of, run.path("correct", round_))
+    attempts, final = _answered(run, stage, requests, error_of, run.path("correct", round_))
     final = final.withColumn("new", F.when(F.col("ok"), _object(stage, F.col("text"))["value"]))
     out = final.select(
         *IDENTITY, "source", F.lit("correct").alias("stage"), F.lit(round_).alias("round"), F.coalesce("new", "previous_translation").alias("translation"), F.col("ok").alias("corrected"), "previous_translation",
         "judge_score", "judge_feedback", F.get_json_object("new", "$.source_mistake").alias("source_mistake"), F.lit(True).alias("valid"), F.col("failure").alias("validation_error"), F.col("text").alias("raw_response"),
         F.col("attempt").alias("attempts"), "model", F.col("mode").alias("inference_mode"), *_provenance(stage, prompt),
     )
-    return _write(run, [out], "correct", round_)
+    return _write(run, [out], [attempts], "correct", round_, _units_of(judged), part)
 
 
 def stage_folders(run: Run, part: str) -> list[tuple[str, int, str]]:
-    """(stage, round, folder) of all rounds in the store whose folder has a part, in reading order."""
+    """(stage, round, folder) of all rounds in the store that have committed a part, in reading order."""
     names = [(m[1], int(m[2] or 0), m[0]) for m in map(STAGE.fullmatch, readers.folders(run.spark, run.root)) if m]
-    return [x for x in sorted(names, key=lambda x: (x[1], ORDER[x[0]])) if readers.exists(run.spark, f"{run.root}/{x[2]}/{part}")]
+    return [x for x in sorted(names, key=lambda x: (x[1], ORDER[x[0]])) if versions.exists(run.spark, f"{run.root}/{x[2]}/{part}")]
 
 
 def records_of(run: Run, names: list[str] | None = None) -> DataFrame:
     """All records of all stages and rounds in the store, or of the stage folders named, with a place in reading order."""
     out = None
     for place, (_, _, name) in enumerate(x for x in stage_folders(run, "records") if not names or x[2] in names):
-        df = run.spark.read.parquet(f"{run.root}/{name}/records").withColumn("position", F.lit(place).cast("long"))
+        df = run.chosen(versions.read(run.spark, f"{run.root}/{name}/records")).withColumn("position", F.lit(place).cast("long"))
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
     if out is None:
         raise FileNotFoundError(f"no records under {run.root}")
@@ -280,7 +304,8 @@ def review_run(run: Run, names: list[str] | None = None) -> DataFrame:
 def write_review(run: Run, queue_only: bool = False, names: list[str] | None = None) -> dict:
     """Rows, queue, spreadsheets and summary under <root>/review; the summary."""
     c, folder = run.config, f"{run.root}/review"
-    rows = writers.reuse_or_write(lambda: review_run(run, names), run.spark, f"{folder}/rows", fresh=True)
+    review_run(run, names).write.mode("overwrite").parquet(f"{folder}/rows")
+    rows = run.spark.read.parquet(f"{folder}/rows")
     order = ["dataset_config", "split", "row_index", "language"]
     queue = rows.where("review_selected")
     if c.review.include_all_rows and not queue_only:
@@ -319,8 +344,8 @@ def recorrect(run: Run, threshold: float, again: bool = False, dry: bool = False
     folder = f"{run.root}/recorrect_r{out['correct_round']}"
     writers.write_document(run.spark, out | {"record_ids": f"{folder}/input"}, f"{folder}/manifest.json")
     if out["selected"]:
-        chosen = writers.reuse_or_write(lambda: plan.where("decision = 'selected'").orderBy("dataset_config", "split", "row_index", "language"), run.spark, f"{folder}/input")
-        fixed = correct(run, chosen, out["correct_round"], threshold)
+        plan.where("decision = 'selected'").orderBy("dataset_config", "split", "row_index", "language").write.mode("overwrite").parquet(f"{folder}/input")
+        fixed = correct(run, run.spark.read.parquet(f"{folder}/input"), out["correct_round"], threshold)
         if not skip_judge:
             judge(run, fixed, out["judge_round"])
     return out
@@ -329,8 +354,8 @@ def recorrect(run: Run, threshold: float, again: bool = False, dry: bool = False
 def usage_of(run: Run, policy: str = "gaps") -> DataFrame:
     """The usage rows of all stages, priced again by `policy`: stages that cost nothing so far ("gaps"), all ("force"), none ("off")."""
     out = None
-    for stage, number, name in [x for x in stage_folders(run, "") if _usage_folders(run, x[2])]:
-        df = run.spark.read.option("recursiveFileLookup", True).parquet(*_usage_folders(run, name)).select("dataset_config", "split", "language", "mode", "model", "attempt", "ok", *cost.TOKENS, "cost_usd").withColumns({"stage": F.lit(stage), "round": F.lit(number)})
+    for stage, number, name in stage_folders(run, "usage"):
+        df = run.chosen(versions.read(run.spark, f"{run.root}/{name}/usage")).select("dataset_config", "split", "language", "mode", "model", "attempt", "ok", *cost.TOKENS, "cost_usd").withColumns({"stage": F.lit(stage), "round": F.lit(number)})
         out = df if out is None else out.unionByName(df)
     if out is None:
         raise FileNotFoundError(f"no usage under {run.root}")
@@ -347,16 +372,9 @@ def attempt_totals(run: Run) -> DataFrame:
     return usage_of(run, "off").groupBy("stage", "round", "attempt").agg(F.count_if("ok").alias("ok"), F.count_if(~F.col("ok")).alias("failed"))
 
 
-def _usage_folders(run: Run, name: str) -> list[str]:
-    """The usage tables of a stage folder: its own, or those of its units and groups."""
-    c, top = run.config, f"{run.root}/{name}"
-    found = [f"{top}/usage", *[f"{top}/{u.label}/g{i}/usage" for u in c.units for i in range(len(identity.groups_for(c.fields, u.config, u.split)))]]
-    return [p for p in found if readers.exists(run.spark, p)]
-
-
 def chain(run: Run, rounds: int = 1, stages: tuple[str, ...] = ("translate", "judge", "correct"), limit: int = 0) -> DataFrame:
     """translate, then judge and correct so many times, and a last judgement; stages that are left out are read from the store."""
-    current = translate(run, limit=limit) if "translate" in stages else run.spark.read.parquet(f"{run.path('translate')}/records")
+    current = translate(run, limit=limit) if "translate" in stages else run.table("translate")
     if "judge" not in stages:
         return current
     for n in range(1, rounds + 1):

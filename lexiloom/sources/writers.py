@@ -94,11 +94,3 @@ def write_chunks(requests: DataFrame, path: str, size: int = 50_000) -> None:
     chunked = requests.withColumn("chunk", chunk_of(F.col("ordinal"), size))
     chunked.repartition("chunk").sortWithinPartitions("chunk", "ordinal").write.mode("overwrite").partitionBy("chunk").option("maxRecordsPerFile", size).json(path)
 
-
-def reuse_or_write(df_of, spark, path: str, fresh: bool = False) -> DataFrame:
-    """The table at a path if it was written to the end, else (or if it must be `fresh`) written now: how a stopped run resumes."""
-    from lexiloom.sources.readers import exists
-
-    if fresh or not exists(spark, f"{path}/_SUCCESS"):
-        df_of().write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
