@@ -86,20 +86,10 @@ def record_id(benchmark: Column, config: Column, split: Column, row_id: Column,
     return F.concat_ws("|", benchmark, config, split, row_id, language, F.concat(F.lit("g"), group.cast("string")))
 
 
-# What normalised text has in place of other forms.
-FORMS = {r"\r\n": "\n", "\xa0": " ", r"[ \t]+\n": "\n", r"\n{3,}": "\n\n"}
-
-
-def replaced(text: Column, rules: dict[str, str]) -> Column:
-    """The text with each pattern replaced, in the order of the rules."""
-    for pattern, sign in rules.items():
-        text = F.regexp_replace(text, pattern, sign)
-    return text
-
-
 def normalise(text: Column) -> Column:
-    """One kind of line end and space, no blanks at line ends, at most one empty line, stripped."""
-    return strip(replaced(text, FORMS))
+    """Lines end in \\n and not in blanks, spaces are plain, at most one line in a row is empty, nothing surrounds the text."""
+    lines = F.split(F.replace(text, F.lit("\xa0"), F.lit(" ")), r"\r?\n")
+    return strip(F.regexp_replace(F.array_join(F.transform(lines, lambda x: F.rtrim(x, F.lit(" \t"))), "\n"), r"\n{3,}", "\n\n"))
 
 
 # The character references that unescape_basic decodes.
@@ -120,25 +110,31 @@ def unescape(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield s.map(html.unescape, na_action="ignore")
 
 
-# What each kind of mark becomes in plain text; code keeps the name of its language.
-MARKS = {
-    r"(?s)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>": "",
-    r"(?s)<pre[^>]*?\bdata-language=\"([^\"]*)\"[^>]*>(.*?)</pre>": "\n\n```$1\n$2\n```\n\n",
-    r"(?s)<pre[^>]*>\s*<code(?:\s+class=\"language-(\w+)\")?[^>]*>(.*?)</code>\s*</pre>": "\n\n```$1\n$2\n```\n\n",
-    r"</span></span>\s*(?=<span class=\"line\">)": "\n",
-    r"<br\s*/?>": "\n",
-    r"</p>\s*|</li>\s*|</div>\s*": "\n\n",
-    r"<li[^>]*>": "- ",
-    r"<[^>]+>": "",
-}
+#: The pieces of a fragment: what is left out whole, a tag, or text between tags.
+PIECE = r"(?s)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>|<[^>]+>|[^<]+|<"
+
+
 # The headings of the parts of a panel.
 ANSWER = r"<strong>\s*Answer\s*:?\s*</strong>\s*:?\s*"
 SOLUTION = r"<strong>\s*Solution\s*:?\s*</strong>\s*:?\s*"
 
 
+def _plain(piece: Column, before: Column, after: Column) -> Column:
+    """What a piece stands for in plain text, between the pieces before and after it."""
+    name = F.lower(F.regexp_extract(piece, r"^<(/?\w+)", 1))
+    language = F.coalesce(F.nullif(F.regexp_extract(piece, r'data-language="([^"]*)"', 1), F.lit("")), F.regexp_extract(after, r'^<code class="language-(\w+)"', 1))
+    space, line = F.trim(piece, F.lit(SPACES)) == "", F.startswith(after, F.lit('<span class="line">'))
+    closed = before.isin("</p>", "</li>", "</div>")  # white space after these is none of the text
+    text = F.when(closed, F.ltrim(piece, F.lit(SPACES))).when(space & line & (before == "</span>"), "\n").otherwise(piece)
+    mark = F.when(name == "pre", F.concat(F.lit("\n\n```"), language, F.lit("\n"))).when(name == "/pre", "\n```\n\n").when(name == "br", "\n").when(name == "li", "- ").when(name.isin("/p", "/li", "/div"), "\n\n").when((name == "/span") & line, "\n").otherwise("")
+    return F.when(piece == "<", piece).when(F.startswith(piece, F.lit("<")), mark).otherwise(text)
+
+
 def strip_tags(fragment: Column, decode=unescape_basic) -> Column:
     """HTML fragment to plain text: paragraphs and items apart, `pre` as fenced code, other tags dropped."""
-    return normalise(decode(replaced(fragment, MARKS)))
+    at = lambda pieces, i: F.coalesce(F.get(pieces, i), F.lit(""))
+    plain = let(F.regexp_extract_all(fragment, F.lit(PIECE), F.lit(0)), lambda pieces: F.array_join(F.transform(pieces, lambda p, i: _plain(p, at(pieces, i - 1), at(pieces, i + 1))), ""))
+    return normalise(decode(plain))
 
 
 def split_answer(panel: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexiloom.functions.exact import exact_sum
+
 TOKENS = ("input_tokens", "output_tokens", "reasoning_tokens", "total_tokens")
 BATCH_DISCOUNT = 0.5
 # Built-in prices, USD for a million tokens in and out.
@@ -58,7 +60,7 @@ def estimate(usage: DataFrame, prices: DataFrame, batch: Column) -> DataFrame:
 
 def totals() -> list[Column]:
     """Sums of a usage table; requests are the rows with usage."""
-    return [F.count("total_tokens").alias("requests"), *[F.coalesce(F.sum(t), F.lit(0)).cast("long").alias(t) for t in TOKENS], F.round(F.coalesce(F.sum("cost_usd"), F.lit(0.0)), 8).alias("cost_usd")]
+    return [F.count("total_tokens").alias("requests"), *[F.coalesce(F.sum(t), F.lit(0)).cast("long").alias(t) for t in TOKENS], F.coalesce(exact_sum("cost_usd"), F.lit(0.0)).alias("cost_usd")]
 
 
 def summarise(usage: DataFrame, keys: list[str]) -> DataFrame:
@@ -78,7 +80,7 @@ def roll_up(usage: DataFrame) -> DataFrame:
 
 def merge(parts: DataFrame, keys: list[str]) -> DataFrame:
     """Sum totals that were summed before."""
-    return parts.groupBy(*keys).agg(*[F.sum(c).cast("long").alias(c) for c in ("requests", *TOKENS)], F.round(F.sum("cost_usd"), 8).alias("cost_usd"))
+    return parts.groupBy(*keys).agg(*[F.sum(c).cast("long").alias(c) for c in ("requests", *TOKENS)], exact_sum("cost_usd").alias("cost_usd"))
 
 
 def reprice(by_mode: DataFrame, groups: DataFrame, prices: DataFrame, policy: str = "gaps") -> tuple[DataFrame, DataFrame]:
@@ -92,7 +94,7 @@ def reprice(by_mode: DataFrame, groups: DataFrame, prices: DataFrame, policy: st
         raise ValueError(f"no repricing policy {policy!r}")
     p = match_prices(by_mode, prices)
     p = p.withColumns({"new": cost_of(F.col("mode") == "batch"), "flat": cost_of(F.lit(False)), "used": sum((F.col(t) for t in TOKENS[:3]), F.lit(0))})
-    stage = p.groupBy("stage", "model").agg(F.sum("cost_usd").alias("old"), F.sum("new").alias("new"), F.sum("flat").alias("flat"), F.sum("used").alias("used"), F.max("price_key").alias("price_key"), F.max("input_per_1m").alias("input_per_1m"), F.max("output_per_1m").alias("output_per_1m"))
+    stage = p.groupBy("stage", "model").agg(exact_sum("cost_usd").alias("old"), exact_sum("new", 12).alias("new"), exact_sum("flat", 12).alias("flat"), F.sum("used").alias("used"), F.max("price_key").alias("price_key"), F.max("input_per_1m").alias("input_per_1m"), F.max("output_per_1m").alias("output_per_1m"))
     due = F.lit(policy != "off") & (F.col("used") > 0) & F.col("price_key").isNotNull() & (F.lit(policy == "force") | (F.col("old") <= 0))
     stage = stage.withColumn("due", due).withColumn("factor", F.when(F.col("flat") != 0, F.col("new") / F.col("flat")).otherwise(F.lit(1.0)))
     out = stage.select("stage", "model", F.when(F.col("due"), F.round("new", 6)).otherwise(F.col("old")).alias("cost_usd"), F.when(F.col("due"), "repriced").otherwise("recorded").alias("cost_source"))
@@ -107,7 +109,7 @@ def repriced(usage: DataFrame, prices: DataFrame, policy: str = "gaps") -> DataF
         raise ValueError(f"no repricing policy {policy!r}")
     if policy == "off":
         return usage
-    stages = usage.groupBy("stage", "round").agg((F.coalesce(F.sum("cost_usd"), F.lit(0.0)) <= 0).alias("_free"))
+    stages = usage.groupBy("stage", "round").agg((F.coalesce(exact_sum("cost_usd"), F.lit(0.0)) <= 0).alias("_free"))
     new = match_prices(usage.join(stages, ["stage", "round"]), prices)
     due = (F.col("_free") | F.lit(policy == "force")) & F.col("price_key").isNotNull()
     return new.withColumn("cost_usd", F.when(due, F.round(cost_of(F.col("mode") == "batch"), 8)).otherwise(F.col("cost_usd"))).drop("_free", *prices.columns)

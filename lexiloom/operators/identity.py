@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lexiloom.functions.canonical import canonical_row
 from lexiloom.functions.hashing import uuid5
 from lexiloom.sources.shared import stored
 
@@ -42,21 +43,17 @@ def numbered_slugs(df: DataFrame, slug_col: str, order: list, name: str = "id")
     return out.withColumn(name, F.when(n > 1, F.concat_ws("-", slug_col, n.cast("string"))).otherwise(F.col(slug_col))).drop("_repeat")
 
 
-def content_id(benchmark: str, config: Column, split: Column, index: Column, columns: dict[str, Column]) -> Column:
-    """A UUID from a row's place and content, for rows without an id of their own.
-
-    The content is a JSON object of the columns in order of their names, nulls
-    kept, so the order of columns in a source does not matter.
-    """
-    digest = F.substring(F.sha2(F.to_json(F.struct(*[columns[c].alias(c) for c in sorted(columns)]), {"ignoreNullFields": "false"}), 256), 1, 16)
+def content_id(benchmark: str, config: Column, split: Column, index: Column, content: Column) -> Column:
+    """A UUID from a row's place and its canonical JSON, for rows without an id of their own."""
+    digest = F.substring(F.sha2(content, 256), 1, 16)
     return uuid5(F.concat_ws("|", F.lit(benchmark), config, split, index.cast("string"), digest))
 
 
 def attach_row_ids(rows: DataFrame, benchmark: str, config: str, split: str, order: list, id_field: str = "id") -> DataFrame:
     """Add row_index and row_id: the row's own id, or a generated one where it is null or empty, made unique."""
     indexed = row_index(rows, order)
-    others = {c: F.col(f"`{c}`") for c in rows.columns if c != id_field and not c.startswith("__")}
-    made = content_id(benchmark, F.lit(config), F.lit(split), F.col("row_index"), others)
+    content = canonical_row(rows.schema, [c for c in rows.columns if not c.startswith("__")])
+    made = content_id(benchmark, F.lit(config), F.lit(split), F.col("row_index"), content)
     if id_field not in rows.columns:
         return disambiguate(indexed.withColumn(id_field, made), id_field, ["row_index"])
     own = F.col(f"`{id_field}`").cast("string")

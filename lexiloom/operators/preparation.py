@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexiloom.functions.text import is_blank, strip
-from lexiloom.sources.shared import stored
 
 
 def keep_equal(df: DataFrame, column: str, value) -> DataFrame:
@@ -100,41 +99,3 @@ def section_of(df: DataFrame, key: str, page: str, heading: str, item: str) -> D
 
 def typed_json(df: DataFrame, column: str, kind: T.StructType | str) -> DataFrame:
     return df.withColumn(column, F.from_json(column, kind))
-
-
-#: Words of the runs that passages are looked up by.
-RUN = 6
-
-
-def _grams(text: Column, n: int) -> Column:
-    """The distinct runs of n characters of a text."""
-    signs = F.split(text, "")
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(text) - (n - 1)), lambda i: F.array_join(F.slice(signs, i, n), "")))
-
-
-def held_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
-    """(item_id, doc_id) where the text of a document holds the text of a passage; nulls hold nothing.
-
-    `docs` has doc_id and text, `passages` item_id and text.  A passage is looked up
-    by the run of RUN inner words (its first and last may be parts of words) that
-    the fewest documents have, one with fewer words by its first characters; all
-    joins are on such keys, and what they find is compared whole.
-    """
-    d, b = docs.select("doc_id", "text").where("text IS NOT NULL"), passages.select("item_id", F.col("text").alias("passage")).where("text IS NOT NULL")
-    words = lambda c: F.split(c, r"[\x20\x09-\x0D]+")
-    runs = lambda w, lo, hi: F.array_distinct(F.transform(F.sequence(lo, hi), lambda i: F.xxhash64(*[F.element_at(w, i + k) for k in range(RUN)])))
-    b = b.withColumn("w", words(F.trim("passage"))).withColumn("m", F.size("w"))
-    held = d.withColumn("w", words("text")).where(F.size("w") >= RUN).select("doc_id", F.explode(runs(F.col("w"), F.lit(1), F.size("w") - (RUN - 1))).alias("h"))
-    inner = b.where(F.col("m") >= RUN + 2).select("item_id", F.explode(runs(F.col("w"), F.lit(2), F.col("m") - RUN)).alias("h"))
-    held = stored(held.join(inner.select("h").distinct(), "h", "left_semi"), "held")
-    often = held.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
-    anchor = inner.join(often, "h", "left").groupBy("item_id").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.col("h"))).alias("a")).where("a.n > 0").select("item_id", F.col("a.h").alias("h"))
-    near = held.join(anchor, "h").select("item_id", "doc_id")
-    short = b.where(F.col("m") < RUN + 2)
-    sizes = [r["n"] for r in short.select(F.least(F.length("passage"), F.lit(8)).alias("n")).distinct().collect()]  # 0 to 8
-    for n in sizes:
-        some = short.where(F.least(F.length("passage"), F.lit(8)) == n).select("item_id", F.substring("passage", 1, n).alias("gram"))
-        of = d.where(F.length("text") >= n).select("doc_id", F.explode(_grams(F.col("text"), n)).alias("gram")) if n else d.select("doc_id", F.lit("").alias("gram"))
-        near = near.unionByName(of.join(some, "gram").select("item_id", "doc_id"))
-    found = near.distinct().join(d, "doc_id").join(b.select("item_id", "passage"), "item_id")
-    return found.where(F.contains("text", F.col("passage"))).select("item_id", "doc_id")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexiloom.functions.exact import exact_mean
 from lexiloom.functions.hashing import sample_fraction
 
 UNJUDGED, FAILED, REGRESSED, SAMPLED = "never_judged", "failed_after_final_judge", "score_regressed", "random_sample"
@@ -145,6 +146,6 @@ def judge_stats(judged: DataFrame, keys: list[str]) -> DataFrame:
         F.count_if(valid).cast("long").alias("judged"),
         F.count_if(valid & F.col("passed")).cast("long").alias("n_passed"),
         F.count_if(~valid).cast("long").alias("failed_judgement"),
-        F.round(F.avg("score"), 3).alias("mean_score"),
+        F.round(exact_mean("score"), 3).alias("mean_score"),
         F.round(F.try_divide(F.count_if(valid & F.col("passed")), F.count_if(valid)), 4).alias("pass_rate"),
     )

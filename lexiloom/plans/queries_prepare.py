@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexiloom.functions import contracts, hashing, text
-from lexiloom.operators import identity, preparation
+from lexiloom.functions import canonical, contracts, exact, hashing, text
+from lexiloom.operators import asof, identity, passages, preparation, records
 from lexiloom.plans.catalogue import query
 from lexiloom.plans.fixture import table
 from lexiloom.sources import writers
@@ -143,7 +143,7 @@ def uri_parts(spark, sf_dir):
 def contamination_lookup(spark, sf_dir):
     """Documents that hold a benchmark passage whole."""
     b = table(spark, sf_dir, "benchmark")
-    found = preparation.held_passages(table(spark, sf_dir, "documents"), b).groupBy("item_id").agg(count("n_docs"))
+    found = passages.held_passages(table(spark, sf_dir, "documents"), b).groupBy("item_id").agg(F.count_distinct("doc_id").alias("n_docs"))
     return b.select("item_id").join(found, "item_id", "left").select("item_id", F.coalesce("n_docs", F.lit(0)).cast("long").alias("n_docs"))
 
 
@@ -151,8 +151,7 @@ def contamination_lookup(spark, sf_dir):
 def dq_passage_offsets(spark, sf_dir):
     """Where benchmark passages stand in the documents that hold them."""
     d, b = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-    found = preparation.held_passages(d, b).join(d.select("doc_id", "text"), "doc_id").join(b.select("item_id", F.col("text").alias("passage")), "item_id")
-    return found.select("item_id", "doc_id", contracts.answer_offset(F.col("text"), F.col("passage")).alias("answer_at"), contracts.extractive(F.col("text"), F.array("passage")).alias("extractive"))
+    return passages.held_passages(d, b).select("item_id", "doc_id", F.col("at").alias("answer_at"), F.lit(True).alias("extractive"))
 
 
 @query("""SELECT count(*)::BIGINT AS n_rows, count(DISTINCT text)::BIGINT AS n_distinct, count(*) = count(DISTINCT text) AS is_unique, max(length(text))::BIGINT AS longest, sum((trim(text, ' \t\n\r') <> text)::INT)::BIGINT AS edited FROM documents""")
@@ -179,3 +178,65 @@ def html_first_close(spark, sf_dir):
 @query("SELECT doc_id, source || '' AS name, n_chars AS size FROM documents")
 def column_rename(spark, sf_dir):
     return preparation.rename(table(spark, sf_dir, "documents"), {"doc_id": "doc_id", "source": "name", "n_chars": "size"})
+
+
+@query("""WITH e AS (SELECT event_id, user_id, ts - INTERVAL 9131 DAY AS ts FROM events),
+o AS (SELECT o_custkey, o_orderdate, max(o_orderkey) AS o_orderkey FROM orders GROUP BY o_custkey, o_orderdate)
+SELECT e.event_id, o.o_orderkey, date_diff('second', o.o_orderdate, e.ts)::BIGINT // 86400 AS days_since FROM e ASOF LEFT JOIN o ON e.user_id = o.o_custkey AND e.ts >= o.o_orderdate""")
+def asof_last_order(spark, sf_dir):
+    """Each event with the customer's last order before it, events put 25 years back into the time of the orders."""
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", F.expr("ts - INTERVAL 9131 DAYS").alias("ts"))
+    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("user_id"), "o_orderdate", "o_orderkey")
+    got = asof.asof_join(e, o, ["user_id"], "ts", "o_orderdate")
+    return got.select("event_id", "o_orderkey", F.expr("timestampdiff(SECOND, o_orderdate, ts) div 86400").alias("days_since"))
+
+
+_PAGE_TEXT = f"trim({_NORMAL}, ' \t\n\r')"
+
+
+@query(rf"""WITH t AS (SELECT page_id, url, {_PAGE_TEXT} AS problem FROM pages), s AS (SELECT page_id, problem, 'page ' || lower(regexp_extract(url, '://([^/]*)', 1)) AS title, page_id % 4 + 1 AS tier FROM t),
+g AS (SELECT *, regexp_replace(title, '[^a-z0-9]+', '-', 'g') AS slug FROM s), n AS (SELECT *, row_number() OVER (PARTITION BY slug ORDER BY page_id) AS k FROM g)
+SELECT page_id, 'problem-tier' || tier || '-' || slug || CASE WHEN k > 1 THEN '-' || k ELSE '' END AS id, tier::INT AS tier, title, sha256(problem) AS problem_sha256, page_id || ' & more' AS answer, 'Since ' || page_id || '.' AS solution FROM n""")
+def page_records(spark, sf_dir):
+    """Records from pages of problems: the whole of a page of the table, with its own nested elements, is a problem's panel."""
+    p = table(spark, sf_dir, "pages")
+    i, host = F.col("page_id").cast("string"), F.lower(F.regexp_extract("url", "://([^/]*)", 1))
+    scroll = lambda shown, inside: [F.lit(f'<div style="display: {shown};" class="problem-content-scroll x">'), *inside, F.lit("</div>")]
+    page = F.concat(
+        F.lit('<h3 class="display-4">before any tier</h3><h2 id="tier-'), (F.col("page_id") % 4 + 1).cast("string"), F.lit('" class="t">Tier</h2><div><h3 class="display-4">Page <i>'), host, F.lit("</i></h3><div>"), *scroll("block", [F.coalesce("html", F.lit(""))]),
+        *scroll("none", [F.lit("<p><strong>Answer:</strong> "), i, F.lit(" &amp; more.</p><p><strong>Solution</strong>: <div>Since <b>"), i, F.lit("</b>.</div></p>")]), F.lit("</div></div>"),
+    )
+    got = records.page_records(p.select("page_id", page.alias("page")), "page_id", "page")
+    return got.select("page_id", "id", "tier", F.lower("title").alias("title"), F.sha2("problem", 256).alias("problem_sha256"), "answer", "solution")
+
+
+@query("""WITH a AS (SELECT lang, doc_id, text, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS k FROM documents),
+e AS (SELECT lang, min(k) FILTER (text IS DISTINCT FROM other) AS first_at, count(*) FILTER (text IS DISTINCT FROM other) AS n_differ FROM (
+  SELECT x.lang, x.k, x.text, y.text AS other FROM a x JOIN a y ON x.lang = y.lang AND y.k = CASE WHEN x.lang <> 'en' THEN x.k WHEN x.k % 100 = 3 THEN greatest(x.k - 1, 0) WHEN x.k % 100 = 2 THEN x.k + 1 ELSE x.k END) GROUP BY lang)
+SELECT lang AS value, first_at::BIGINT AS first_at, n_differ::BIGINT AS n_differ, 0::BIGINT AS n_missing, 0::BIGINT AS n_extra FROM e WHERE n_differ > 0""")
+def ordered_verify(spark, sf_dir):
+    """A copy in which neighbours of one language are exchanged here and there: the same rows in another order."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    k = F.col("row_index") % 100
+    moved = F.when(F.col("lang") != "en", F.col("row_index")).when(k == 2, F.col("row_index") + 1).when(k == 3, F.col("row_index") - 1).otherwise(F.col("row_index"))
+    copy = identity.row_index(d, ["doc_id"], ["lang"]).withColumn("place", moved)
+    last = copy.groupBy("lang").agg(F.max("row_index").alias("last"))
+    copy = copy.join(last, "lang").withColumn("place", F.when((F.col("place") > F.col("last")), F.col("row_index")).otherwise(F.col("place")))
+    return writers.verify_order(d.select("lang", "text", "doc_id"), copy.select("lang", "text", "place"), "lang", ["text"], ["doc_id"], ["place"])
+
+
+@query("""SELECT l_returnflag, l_linestatus, count(*)::BIGINT AS n, sum(round(l_extendedprice * (1 - l_discount), 8)::DECIMAL(28, 8))::DOUBLE AS revenue,
+  sum(round(l_discount, 8)::DECIMAL(28, 8))::DOUBLE / count(*) AS mean_discount FROM lineitem GROUP BY l_returnflag, l_linestatus""")
+def exact_sums(spark, sf_dir):
+    """Money summed as whole numbers of a smallest unit, whatever the partitions."""
+    price = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    return table(spark, sf_dir, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(count(), exact.exact_sum(price).alias("revenue"), exact.exact_mean("l_discount").alias("mean_discount"))
+
+
+@query("""SELECT doc_id, sha256('{"doc_id": ' || doc_id || ', "half": ' || (doc_id / 2.0)::DOUBLE || ', "lang": "' || lang || '", "nested": {"a": [' || coalesce('"' || source || '"', 'null') || ', null], "b": ' || CASE WHEN n_chars > 500 THEN 'true' ELSE 'false' END || '}}') AS digest FROM documents""")
+def canonical_json(spark, sf_dir):
+    """Digests of rows as JSON with sorted keys at every level."""
+    d = table(spark, sf_dir, "documents")
+    nested = F.struct((F.col("n_chars") > 500).alias("b"), F.array("source", F.lit(None).cast("string")).alias("a"))
+    rows = d.select("doc_id", nested.alias("nested"), "lang", (F.col("doc_id") / 2.0).alias("half"))
+    return rows.select("doc_id", F.sha2(canonical.canonical_row(rows.schema), 256).alias("digest"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,9 +28,18 @@ def jsonl_permissive(spark: SparkSession, path: str, schema: T.StructType) -> tu
 
 
 def bad_lines(spark: SparkSession, path: str) -> DataFrame:
-    """File and number (from 1) of each line of one-split files that is not JSON, for error messages."""
-    lines = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.posexplode(F.split("value", "\n")).alias("at", "line"))
-    return lines.where((F.trim("line") != "") & F.try_parse_json("line").isNull()).select("file", (F.col("at") + 1).alias("line_number"), "line")
+    """File and number (from 1) of each line that is not JSON, for error messages; files are read in splits.
+
+    Each split counts its lines and keeps its bad ones; the lines of the splits
+    before it, a row for each split, give their numbers in the file.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"))
+    bad = (F.trim("line") != "") & F.try_parse_json("line").isNull()
+    splits = lines.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"), F.collect_list(F.when(bad, F.struct("at", "line"))).alias("bad"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    placed = splits.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    found = placed.select("file", "before", "first", F.inline("bad"))
+    return found.select("file", (F.col("before") + F.col("at") - F.col("first") + 1).alias("line_number"), "line")
 
 
 def collect_records(spark: SparkSession, root: str, filename: str = "records.jsonl", schema: T.StructType | str | None = None, required: bool = True) -> DataFrame:

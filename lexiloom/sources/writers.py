@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lexiloom.functions.hashing import row_digest
 from lexiloom.functions.text import cell, file_safe
+from lexiloom.operators.identity import row_index
 from lexiloom.operators.preparation import chunk_of
 
 
@@ -89,6 +90,37 @@ def verify_split(source: DataFrame, parts: DataFrame, value: str, columns: list[
     return out.where("missing > 0 OR extra > 0")
 
 
+def ordered(df: DataFrame, value: str, columns: list[str], order: list[str]) -> DataFrame:
+    """value, ordinal (within the value, by the order) and digest of each row; stored once, so no uses differ."""
+    rows = df.select(F.col(f"`{value}`").alias("value"), *[F.col(f"`{c}`").alias(f"_o{i}") for i, c in enumerate(order)], row_digest([F.col(f"`{c}`") for c in columns]).alias("digest"))
+    return row_index(rows, [f"_o{i}" for i in range(len(order))], ["value"], "ordinal").select("value", "ordinal", "digest")
+
+
+def order_digests(rows: DataFrame) -> DataFrame:
+    """For each value its rows and two digests of `ordered` rows that depend on their order.
+
+    A digest is a sum of hashes of ordinal and row, so those of parts add up to that
+    of the whole, however rows are dealt over tasks.
+    """
+    total = lambda *cols: F.sum(F.xxhash64(*cols).cast("decimal(38,0)"))
+    return rows.groupBy("value").agg(F.count(F.lit(1)).alias("n"), F.struct(total("ordinal", "digest"), total("digest", "ordinal")).alias("d"))
+
+
+def verify_order(source: DataFrame, parts: DataFrame, value: str, columns: list[str], source_order: list[str], parts_order: list[str]) -> DataFrame:
+    """Values whose rows are not the same in the same order: value, first_at (ordinal), n_differ, n_missing, n_extra.
+
+    Only rows of values whose digests differ are compared one by one.
+    """
+    a, b = ordered(source, value, columns, source_order), ordered(parts, value, columns, parts_order)
+    both = order_digests(a).alias("a").join(order_digests(b).alias("b"), F.col("a.value").eqNullSafe(F.col("b.value")), "full")
+    odd = both.where("NOT a.d <=> b.d").select(F.coalesce("a.value", "b.value").alias("odd"))
+    few = lambda rows: rows.join(odd, F.col("value").eqNullSafe(F.col("odd")), "left_semi")
+    same = F.col("x.value").eqNullSafe(F.col("y.value")) & (F.col("x.ordinal") == F.col("y.ordinal"))
+    rows = few(a).alias("x").join(few(b).alias("y"), same, "full").where("NOT x.digest <=> y.digest")
+    rows = rows.select(F.coalesce("x.value", "y.value").alias("value"), F.coalesce("x.ordinal", "y.ordinal").alias("ordinal"), F.col("y.digest").isNull().alias("missing"), F.col("x.digest").isNull().alias("extra"))
+    return rows.groupBy("value").agg(F.min("ordinal").alias("first_at"), F.count(F.lit(1)).alias("n_differ"), F.count_if("missing").cast("long").alias("n_missing"), F.count_if("extra").cast("long").alias("n_extra"))
+
+
 def write_chunks(requests: DataFrame, path: str, size: int = 50_000) -> None:
     """Request lines in files of at most `size`, by ordinal."""
     chunked = requests.withColumn("chunk", chunk_of(F.col("ordinal"), size))
