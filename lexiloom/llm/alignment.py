@@ -2,8 +2,8 @@
 
 Tokenizer A is a byte-level BPE, B a BPE of pieces whose U+2581 is a space.
 Neither merges over the place before a space that follows a character other than
-white space, so the stretches between such places are encoded and aligned on
-their own, and a worker keeps those that it has met.  Offsets where tokens of
+white space, so the stretches between such places are encoded on their own,
+and a worker keeps the ids of those that it has met.  Offsets where tokens of
 both end cut a text into groups; the last tokens of a group are a link.
 
 A link's pair of ids is one integer, b * 2 ** 32 + a.  Tasks count their pairs
@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from lexiloom.llm.scratch import new_path, written
 from lexiloom.llm.tokenfiles import _open
-from lexiloom.llm.tokens import SPACES, Cache, byte_signs, library_coder, vocabulary
+from lexiloom.llm.tokens import SPACES, byte_signs, library_coder, vocabulary
 from lexiloom.llm.words import pieces
 
 #: Pairs that a task counts before it hands them on, stretches that a worker keeps and the longest of these, stretches in work at once.
@@ -47,12 +48,16 @@ class Aligner:
         if any(regex.search("[^▁]▁", p) for p in names):
             raise ValueError("a piece goes on after the space that ends a word")
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(names)]
-        sign = byte_signs()
-        self.bytes_a = {i: bytes(map(sign.__getitem__, t)) for t, i in vocabulary(path_a)["model"]["vocab"].items() if all(c in sign for c in t)}
+        sign, vocab = byte_signs(), vocabulary(path_a)["model"]["vocab"]
+        self.size_a, self.size_b = np.zeros(max(vocab.values()) + 1, np.int64), np.array([len(x) for x in self.bytes_b])
+        for t, i in vocab.items():
+            self.size_a[i] = sum(c in sign for c in t)
+        #: Ids as text, each with the sign that follows within a group and at its end.
+        self.signs = [f"{i}{end}" for size, last in ((len(self.size_a), "|"), (len(self.size_b), ";")) for i in range(size) for end in (",", last)]
         self.coder = library_coder(path_a, special=False)
         self.cuts = regex.compile(rf"(?<=[^{SPACES}])(?= )").split
         self.lead = len(self.model.encode("a"))
-        self.met = Cache(self._aligned, KEPT)
+        self.met, self.before, self.long = {}, {}, []
 
     def stretches(self, text: str) -> list[str]:
         """The stretches of space + text, each without the space that it begins with."""
@@ -60,27 +65,41 @@ class Aligner:
             return [s[1:] for s in self.cuts(" " + text)]
         return text.split(" ")
 
-    def _aligned(self, stretch: str) -> tuple[int, int, int, str, bytes] | None:
-        """Numbers of A tokens, B tokens and groups, the groups as text and the packed pairs; None if the bytes of a side are not the stretch."""
-        whole = " " + stretch
-        a = np.frombuffer(b"".join([self.coder.words[w] for w in self.coder.split(whole)]), "<u4").tolist()
-        b = self.model.encode("a" + whole)[self.lead :]
-        bytes_a, bytes_b, data = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b], whole.encode()
-        if b"".join(bytes_a) != data or b"".join(bytes_b) != data:
-            return None
-        groups, links, i, j, at = [], [], 0, 0, 0
-        while i < len(a):
-            first_a, first_b, end_a, end_b = i, j, at + len(bytes_a[i]), at + len(bytes_b[j])
-            i, j = i + 1, j + 1
-            while end_a != end_b:
-                if end_a < end_b:
-                    end_a, i = end_a + len(bytes_a[i]), i + 1
-                else:
-                    end_b, j = end_b + len(bytes_b[j]), j + 1
-            at = end_a
-            groups.append(",".join(map(str, a[first_a:i])) + "|" + ",".join(map(str, b[first_b:j])))
-            links.append(b[j - 1] << 32 | a[i - 1])
-        return len(a), len(b), len(groups), ";".join(groups), np.array(links, "<i8").tobytes()
+    def _meet(self, stretches: list[str]) -> None:
+        """The ids of stretches under both vocabularies, None if those of B do not give the stretch back; B encodes all new ones in one call."""
+        for s in stretches:
+            if s in self.before:
+                self.met[s] = self.before[s]
+        new, words = [s for s in stretches if s not in self.met], self.coder.words
+        for s, ids in zip(new, self.model.encode(["a " + s for s in new], num_threads=1), strict=True):
+            b, whole = ids[self.lead :], " " + s
+            same = b"".join([self.bytes_b[i] for i in b]) == whole.encode()
+            self.met[s] = (b"".join([words[w] for w in self.coder.split(whole)]), array("I", b).tobytes()) if same else None
+            if len(s) > LONGEST:
+                self.long.append(s)
+
+    def _forget(self) -> None:
+        """Keep memory bounded: long stretches go at once, others when KEPT later ones were met."""
+        for s in self.long:
+            del self.met[s]
+        self.long.clear()
+        if len(self.met) > KEPT:
+            self.before, self.met = self.met, {}
+        self.coder.words.turn()
+
+    def _groups(self, a: np.ndarray, b: np.ndarray) -> tuple[int, str, np.ndarray]:
+        """The number of groups of two sides with the same bytes, the groups as text and the pairs of their last tokens."""
+        ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        at = np.searchsorted(ends_b, ends_a)  # no token is empty, so ends rise
+        last_a = ends_b[at] == ends_a
+        last = at[last_a]
+        last_b = np.zeros(len(b), bool)
+        last_b[last] = True
+        before_a, before_b = np.concatenate([[0], np.flatnonzero(last_a) + 1]), np.concatenate([[0], last + 1])  # tokens before each group
+        signs = np.empty(len(a) + len(b), np.int64)
+        signs[np.arange(len(a)) + before_b[np.cumsum(last_a) - last_a]] = 2 * a + last_a
+        signs[np.arange(len(b)) + before_a[np.cumsum(last_b) - last_b + 1]] = 2 * (len(self.size_a) + b) + last_b
+        return len(last), "".join(map(self.signs.__getitem__, signs.tolist())), b[last] << SHIFT | a[last_a]
 
     def text(self, text: str | None) -> tuple[int, int, int, str, np.ndarray, np.ndarray]:
         """n_a, n_b, n_groups, the digest of the groups, and the distinct pairs with how often each occurs; zeros where a side does not give the text back."""
@@ -89,15 +108,17 @@ class Aligner:
             return none
         digest, totals, links, stretches = hashlib.sha256(), np.zeros(3, np.int64), [], self.stretches(text)
         for at in range(0, len(stretches), AT_ONCE):
-            found = [self.met[s] if len(s) <= LONGEST else self._aligned(s) for s in stretches[at : at + AT_ONCE]]
+            part = stretches[at : at + AT_ONCE]
+            self._meet(list(dict.fromkeys([s for s in part if s not in self.met])))
+            found = list(map(self.met.__getitem__, part))
+            self._forget()
             if None in found:
                 return none
-            n_a, n_b, n_groups, groups, packed = zip(*found, strict=True)
-            totals += (sum(n_a), sum(n_b), sum(n_groups))
-            digest.update(((";" if at else "") + ";".join(groups)).encode())
-            links.append(np.frombuffer(b"".join(packed), "<i8"))
-            self.met.turn()
-            self.coder.words.turn()
+            a, b = (np.frombuffer(b"".join(x), "<u4").astype(np.int64) for x in zip(*found, strict=True))
+            n, groups, pairs = self._groups(a, b)
+            totals += (len(a), len(b), n)
+            digest.update(((";" if at else "") + groups[:-1]).encode())
+            links.append(pairs)
         keys, times = np.unique(np.concatenate(links), return_counts=True)
         return (*totals.tolist(), digest.hexdigest(), keys, times)
 
