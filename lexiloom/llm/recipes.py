@@ -1,7 +1,7 @@
 """Exact dedup by recipes of content-defined chunks, with DataFrame expressions only.
 
 A text is cut where the bytes before a place look alike in every text: the last
-WINDOW bytes must each be in a set of a quarter of all byte values, a set of its
+WINDOW bytes must each be in a set of a quarter of each kind of byte, a set of its
 own for each place in the window.  So equal passages of different texts are cut
 alike, whatever stands before them.  A chunk has LEAST to MOST bytes (the last
 one of a text may be shorter).
@@ -28,9 +28,18 @@ from lexiloom.llm.skew import heavy_keys, spread_join
 WINDOW, LEAST, MOST = 5, 256, 8192
 
 
+def _mixed(place: int, byte: int) -> int:
+    x = (byte + 1) * 0x9E3779B1 ^ (place + 1) * 0x85EBCA6B
+    return ((x ^ x >> 15) * 0xC2B2AE35 >> 9) & 0xFFFF
+
+
 def _quarter(place: int) -> str:
-    """A character class of 64 of the 256 byte values, by a bit of a multiplicative hash of place and value."""
-    chosen = sorted(range(256), key=lambda b: ((b + 1) * 0x9E3779B1 * (2 * place + 3) ^ (b * 0x85EBCA6B >> 7)) & 0xFFFFFFFF)[:64]
+    """A character class of a quarter of each kind of byte, by a hash of place and value; bytes that begin a longer character are all in it."""
+    kinds = [range(0x20), b" ", b"0123456789", *[[b for b in range(0x21, 0x7F) if test(chr(b))] for test in (str.islower, str.isupper, lambda c: not c.isalnum())], range(0x80, 0xC0)]
+    chosen = set(range(0xC0, 0x100))
+    for kind in kinds:
+        most = (len(kind) + 2 + place % 2) // 4  # of ten digits two or three
+        chosen.update(sorted(kind, key=lambda b: _mixed(place, b))[:most])
     return "[" + "".join(f"\\x{b:02x}" for b in sorted(chosen)) + "]"
 
 
