@@ -2,16 +2,22 @@
 
 A page is cut into blocks at block-level tags.  Blocks inside menus, headers,
 footers, sidebars, notices, adverts, forms and reader comments are left out by
-their tags, roles and class names.  The first pass labels each of the others good, bad
+their tags, roles and class names.  Class names that only say how a page is laid
+out (has-sidebar, comments-off, search-page) say nothing, and an element that
+holds half of the page's text that is not links, or more, is left out only if its
+name is a word of its own, or one of comments, and no article is inside.
+The first pass labels each of the others good, bad
 or ambiguous: bad if links make up most of it, else by its length and stop-word
-density.  An article or main element sets the thresholds: inside it a block needs
+density.  A page whose longer blocks have next to no stop words is in a language
+that they do not tell, so length alone does; signs of scripts that are written
+without spaces count as WIDE letters each.  An article or main element sets the thresholds: inside it a block needs
 little to be good and is never bad by density; outside it a block needs both a
 high density and length, unless the elements hold less than half of the page's
 text that is not links (a teaser), where the usual thresholds hold outside.
 In the second pass an ambiguous block takes the label of its nearest decided
 neighbour on its side of the element; between two at one distance a heading
 follows the one below, others are good if both are, or inside the element if one
-is.  A side without good blocks has its ambiguous ones good, but not outside an
+is, and what the element begins with is good.  A side without good blocks has its ambiguous ones good, but not outside an
 element that holds half of the text or more.  A heading inside the element that
 is a link follows the block below it, if that is no such heading.
 """
@@ -45,6 +51,9 @@ HINTS = frozenset(
     "header login masthead menu modal nav navbar navigation newsletter notice notices pager pagination paywall popup promo promoted promotion related reply replies respond rss search share sharing sidebar signup skip social "
     "sponsor sponsored subscribe subscription tags toolbar topbar widget widgets".split()
 )
+#: Parts of compound names that make them names of a layout or a state, in front and at the end.
+BEFORE, AFTER = frozenset("has no with without is not".split()), frozenset("on off open opened closed enabled disabled active visible page layout template".split())
+COMMENTS = frozenset("comment comments commentary disqus reply replies respond".split())
 MAIN_HINTS = frozenset("header masthead tags related".split())  # inside an article these may be its own
 #: Frequent short words of English, French, German and Spanish.
 STOP = frozenset(
@@ -55,6 +64,8 @@ STOP = frozenset(
 )
 SHORT, LONG = 70, 200
 LINKS, LOW, HIGH = 0.5, 0.2, 0.3
+#: Scripts without spaces: Thai to Tibetan, Burmese, Khmer, Chinese, Japanese; letters that one of their signs counts as.
+UNSPACED, WIDE = re.compile(r"[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\U00020000-\U0002ffff]"), 3
 
 # Possessive, so that no long run without its end is read again from each of its characters.
 _TOKEN = re.compile(
@@ -82,41 +93,53 @@ def decoded(text: str) -> str:
     return html.unescape(_NUMBER.sub(short, text) if "&#" in text else text)
 
 
-def _names(attrs: str) -> tuple[set[str], str]:
-    """The words of class, id and role, and the role."""
-    words, role = set(), ""
+def _names(attrs: str) -> tuple[set[str], bool, str]:
+    """The hint words of class, id and role, whether one is a name of its own, and the role."""
+    words, own, role = set(), False, ""
     for m in _ATTR.finditer(attrs):
         key = m[1].lower()
         if key in ("class", "id", "role"):
             value = decoded(m[2] or m[3] or m[4] or "")
-            words.update(w.lower() for w in _PART.findall(value))
             role = value.strip().lower() if key == "role" else role
-    return words, role
+            for name in value.split():
+                parts = [w.lower() for w in _PART.findall(name)]
+                found = HINTS.intersection(parts)
+                if found and not (len(parts) > 1 and (parts[0] in BEFORE or parts[-1] in AFTER)):
+                    words |= found
+                    own |= len(parts) == 1
+    return words, own, role
 
 
 class Reader:
-    """Blocks of one page: (text, share of link characters, in main, is heading)."""
+    """Blocks of one page: (text, share of link characters, in main, is heading), and the named elements that each is in."""
 
     def __init__(self):
         self.blocks: list[tuple[str, float, bool, bool]] = []
-        self.open: list[tuple[str, bool, bool]] = []  # tag, left out, main
+        self.named_of: list[tuple[int, ...]] = []  # of each block
+        self.named: list[bool] = []  # of each element with a hint: whether it is left out even if it holds most of the text
+        self.within: list[int] = []  # those open
+        self.open: list[tuple[str, bool, bool, int]] = []  # tag, left out, main, number of a named element or -1
         self.places: dict[str, list[int]] = {}  # of each tag that is open
         self.left_out = self.mains = 0  # of those open
         self.text: list[str] = []
         self.linked = self.anchors = 0
         self.heading = False
 
-    def push(self, tag: str, out: bool, main: bool) -> None:
+    def push(self, tag: str, out: bool, main: bool, named: int) -> None:
         self.places.setdefault(tag, []).append(len(self.open))
-        self.open.append((tag, out, main))
+        self.open.append((tag, out, main, named))
+        if named >= 0:
+            self.within.append(named)
         self.left_out += out
         self.mains += main
 
     def close(self, place: int) -> None:
         """Close what is open from a place on."""
         while len(self.open) > place:
-            tag, out, main = self.open.pop()
+            tag, out, main, named = self.open.pop()
             self.places[tag].pop()
+            if named >= 0:
+                self.within.pop()
             self.left_out -= out
             self.mains -= main
 
@@ -124,6 +147,7 @@ class Reader:
         text = " ".join(decoded("".join(self.text)).split())
         if text:
             self.blocks.append((text, min(1.0, self.linked / len(text)), self.mains > 0, self.heading))
+            self.named_of.append(tuple(self.within))
         self.text, self.linked = [], 0
 
     def data(self, text: str) -> None:
@@ -144,15 +168,22 @@ class Reader:
             self.data(" ")
         if tag == "a":
             self.anchors = 1
-        words, role = _names(attrs) if "=" in attrs else (set(), "")
+        words, own, role = _names(attrs) if "=" in attrs else (set(), False, "")
         main = tag in ("article", "main") or role in ("main", "article")
         inside = self.mains > 0
-        hints = words & HINTS
+        hints = words
         if inside or tag in ("html", "body"):
             hints = hints - MAIN_HINTS if inside else set()
-        out = tag in APART or tag in UNREAD or bool(hints) or (tag == "header" and not inside) or bool(_HIDDEN.search(attrs))
+        out = tag in APART or tag in UNREAD or bool(hints and tag not in BLOCKS) or (tag == "header" and not inside) or bool(_HIDDEN.search(attrs))
+        if main and not out:
+            for i in self.within:  # it may be the story
+                self.named[i] = False
         if tag not in VOID and not attrs.rstrip().endswith("/") and (tag in BLOCKS or out or main):
-            self.push(tag, out, main and not out)
+            named = -1
+            if hints and not out:
+                named = len(self.named)
+                self.named.append(own or bool(hints & COMMENTS))
+            self.push(tag, out, main and not out, named)
 
     def end(self, tag: str) -> None:
         if tag == "a":
@@ -187,7 +218,21 @@ def read_blocks(page: str) -> list[tuple[str, float, bool, bool]]:
             at = end.end() if end else len(page)
             reader.end(tag)
     reader.end_block()
-    return reader.blocks
+    return _kept(reader)
+
+
+def _kept(reader: Reader) -> list[tuple[str, float, bool, bool]]:
+    """The blocks outside named elements, but for names of elements that hold half of the text or more."""
+    if not reader.named:
+        return reader.blocks
+    held, total = [0] * len(reader.named), 0
+    for (text, links, _, _), within in zip(reader.blocks, reader.named_of, strict=True):
+        if links <= LINKS:
+            total += len(text)
+            for i in within:
+                held[i] += len(text)
+    out = [strict or 2 * h < total or not h for strict, h in zip(reader.named, held, strict=True)]
+    return [b for b, within in zip(reader.blocks, reader.named_of, strict=True) if not any(out[i] for i in within)]
 
 
 Block = tuple[str, float, bool, bool]
@@ -204,25 +249,40 @@ def _linked_title(block: Block) -> bool:
     return links > LINKS and inside and heading and len(text) <= LONG
 
 
+def _stops(text: str) -> float:
+    """The share of stop words among the words of a text."""
+    words = text.split()
+    return sum(m[0].lower() in STOP for m in map(_INNER.search, words) if m) / len(words)
+
+
+def _size(text: str) -> int:
+    """The length of a text in letters."""
+    return len(text) + (WIDE - 1) * len(UNSPACED.findall(text))
+
+
 def first_pass(blocks: list[Block]) -> list[bool | None]:
     """Good, bad or ambiguous by link density, length and stop-word density."""
     strong, out = _strong(blocks), []
-    for block in blocks:
-        text, links, inside, _ = block
-        words = text.split()
-        stops = sum(m[0].lower() in STOP for m in map(_INNER.search, words) if m) / len(words)
+    sizes, shares = [_size(b[0]) for b in blocks], [_stops(b[0]) for b in blocks]
+    longer = [(size, share) for b, size, share in zip(blocks, sizes, shares, strict=True) if b[1] <= LINKS and size >= SHORT]
+    total = sum(a for a, _ in longer)
+    told = total < LONG or sum(a * b for a, b in longer) >= LOW / 2 * total
+    for block, size, stops in zip(blocks, sizes, shares, strict=True):
+        _, links, inside, _ = block
         if links > LINKS:
             label = None if _linked_title(block) else False
         elif inside:
-            label = True if len(text) >= SHORT and stops >= LOW / 2 else None
-        elif len(text) < SHORT:
+            label = True if size >= SHORT and (stops >= LOW / 2 or not told) else None
+        elif size < SHORT:
             label = None
+        elif not told:
+            label = True if size > LONG else None
         elif strong:
-            label = False if stops < HIGH else True if len(text) > LONG else None
+            label = False if stops < HIGH else True if size > LONG else None
         elif stops >= HIGH:
             label = True
         elif stops >= LOW:
-            label = True if len(text) > LONG else None
+            label = True if size > LONG else None
         else:
             label = False
         out.append(label)
@@ -269,7 +329,7 @@ def _neighbours(first: list[bool | None], headings: list[bool], one: bool) -> li
             continue
         (b, up), (a, down) = before[i], after[i]
         if up is None or down is None:
-            out.append(bool(up or down))
+            out.append(bool(up or down) or (one and up is None))  # a title above a list of links
         elif i - b != a - i:
             out.append(up if i - b < a - i else down)
         elif headings[i]:
