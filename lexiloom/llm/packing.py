@@ -9,12 +9,11 @@ Crossover injects well-filled bins of one parent whole into the other, removes
 the bins that hold duplicates of their pieces, and puts the displaced pieces
 back: in place of one or two smaller pieces of a bin where that fills it better,
 then by best fit, longest first.  Mutation empties the least filled bins and
-some others and puts their pieces back in the same way.  A shard begins with one
-island and is finished when an island meets the lower bound; shards that are not
-get all islands for the next epoch.  After each epoch an island sends its elite
-to the next one of its shard, where it takes the places of the worst.  At the end the best
-individual of a shard gives its sequences, or best fit decreasing if that has
-fewer.
+some others and puts their pieces back in the same way.  A shard is finished when
+an island meets the lower bound; the islands of the others go on for another
+epoch, for which each sends its elite to the next one of its shard, where it takes
+the places of the worst.  At the end the best individual of a shard gives its
+sequences, or best fit decreasing if that has fewer.
 """
 
 from __future__ import annotations
@@ -35,7 +34,7 @@ from lexiloom.llm.tokens import packed_texts
 
 SHARD, ISLANDS, EPOCHS = 4096, 2, 3
 #: Individuals of a population, children of an epoch, guests that an island sends on.
-SIZE, CHILDREN, ELITE = 8, 24, 2
+SIZE, CHILDREN, ELITE = 10, 40, 2
 #: Bins whose free space is under one in so many of the capacity count as well filled.
 FULL = 64
 #: Shares of bins that are injected and that mutation empties; chance of a mutation.
@@ -247,7 +246,8 @@ def pack(pieces: DataFrame, capacity: int) -> DataFrame:
     packed = written(dealt.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("length", "piece_key", *names)), asc=False).alias("items")), "shards")
     sizes = packed.select("shard", F.col("items.length").alias("sizes"))
     many = max(2, min(ISLANDS * shards, spark_width(pieces)))
-    waiting = sizes.withColumns({"island": F.lit(0), "individuals": F.lit(None).cast("array<array<int>>")})
+    islands = F.explode(F.array(*[F.lit(i) for i in range(ISLANDS)]))
+    waiting = sizes.withColumn("island", islands).withColumn("individuals", F.lit(None).cast("array<array<int>>"))
     ended = None
     for epoch in range(EPOCHS):
         now = waiting.select("shard", "island", "sizes", "individuals").repartition(many, "shard", "island")
@@ -261,7 +261,7 @@ def pack(pieces: DataFrame, capacity: int) -> DataFrame:
         state = state.join(open_shards, "shard")
         own = state.select("shard", "island", F.slice("individuals", 1, SIZE - ELITE).alias("own"))
         guests = state.select("shard", F.pmod(F.col("island") + 1, F.lit(ISLANDS)).cast("int").alias("island"), F.slice("individuals", 1, ELITE).alias("guests"))
-        places = open_shards.withColumn("island", F.explode(F.array(*[F.lit(i) for i in range(ISLANDS)])))
+        places = open_shards.withColumn("island", islands)
         none = F.array().cast("array<array<int>>")
         came = places.join(own, ["shard", "island"], "left").join(guests, ["shard", "island"], "left")
         waiting = sizes.join(came.select("shard", "island", F.concat(F.coalesce("guests", none), F.coalesce("own", none)).alias("individuals")), "shard")
