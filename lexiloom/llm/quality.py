@@ -30,6 +30,8 @@ SAMPLE = 12_000
 SPACE, FEATURES = 1 << 20, 6_000
 #: PRIOR is the precision of the weights, so a small sample is held more closely to none.
 STEPS, PRIOR = 200, 2.4
+#: A gradient whose parts are all smaller is none.
+FLAT = 1e-6
 #: Documents with at least this probability of the highest grade are kept.
 TAIL = 0.5
 
@@ -116,12 +118,15 @@ def loss(x: np.ndarray, row: np.ndarray, column: np.ndarray, grades: np.ndarray)
     return value, g
 
 
-def minimise(f, x: np.ndarray, steps: int = STEPS, memory: int = 8) -> np.ndarray:
-    """A minimum of f, which gives value and gradient: quasi-Newton steps from the last `memory` changes, halved until f falls."""
+def minimise(f, x: np.ndarray, steps: int = STEPS, memory: int = 8) -> tuple[np.ndarray, float]:
+    """A minimum of f, which gives value and gradient, and the largest part of the gradient there: under FLAT it is one.
+
+    Quasi-Newton steps from the last `memory` changes, halved until f falls.
+    """
     value, g = f(x)
     moves: list[tuple[np.ndarray, np.ndarray]] = []
     for _ in range(steps):
-        if np.abs(g).max() < 1e-6:
+        if np.abs(g).max() < FLAT:
             break
         d, used = g.copy(), []
         for s, y in reversed(moves):
@@ -143,13 +148,18 @@ def minimise(f, x: np.ndarray, steps: int = STEPS, memory: int = 8) -> np.ndarra
         x, value, g = x + s, there, h
         if s @ y > 1e-12:
             moves = [*moves, (s, y)][-memory:]
-    return x
+    return x, float(np.abs(g).max())
 
 
 def fit(sets: list[np.ndarray], grades: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Feature numbers, their weights and the two thresholds, from feature sets and grades 0 to 2."""
+    return fit_and_slope(sets, grades)[:3]
+
+
+def fit_and_slope(sets: list[np.ndarray], grades: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """What `fit` gives, and the largest part of the gradient at the end: it has converged under FLAT."""
     if not len(sets):
-        return np.zeros(0, np.int32), np.zeros(0), np.array([-1.0, 0.0])
+        return np.zeros(0, np.int32), np.zeros(0), np.array([-1.0, 0.0]), 0.0
     chosen = screened(sets, grades)
     place = np.full(SPACE, -1)
     place[chosen] = np.arange(len(chosen))
@@ -159,8 +169,8 @@ def fit(sets: list[np.ndarray], grades: np.ndarray) -> tuple[np.ndarray, np.ndar
     shares = [np.clip((grades > j).mean(), 0.01, 0.99) for j in (0, 1)]
     cut = [-np.log(p / (1 - p)) for p in shares]
     begin = np.concatenate([np.zeros(len(chosen)), [cut[0], np.log(max(cut[1] - cut[0], 0.1))]])
-    x = minimise(lambda x: loss(x, row, column, grades), begin)
-    return chosen, x[:-2], np.array([x[-2], x[-2] + np.exp(x[-1])])
+    x, slope = minimise(lambda x: loss(x, row, column, grades), begin)
+    return chosen, x[:-2], np.array([x[-2], x[-2] + np.exp(x[-1])]), slope
 
 
 def _fit_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,8 +179,8 @@ def _fit_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in W.pieces(batch, "text", 1 << 20):
             sets.extend(features(part.column("text")))
             grades.extend(part.column("grade").to_pylist())
-    chosen, weights, cuts = fit(sets, np.array(grades, np.int64))
-    yield pa.RecordBatch.from_pydict({"features": pa.array([chosen.tolist()], pa.list_(pa.int32())), "weights": pa.array([weights.tolist()], pa.list_(pa.float64())), "cuts": pa.array([cuts.tolist()], pa.list_(pa.float64()))})
+    chosen, weights, cuts, slope = fit_and_slope(sets, np.array(grades, np.int64))
+    yield pa.RecordBatch.from_pydict({"features": pa.array([chosen.tolist()], pa.list_(pa.int32())), "weights": pa.array([weights.tolist()], pa.list_(pa.float64())), "cuts": pa.array([cuts.tolist()], pa.list_(pa.float64())), "slope": [slope]})
 
 
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -188,15 +198,17 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> dict:
-    """Fit on labelled documents, at most SAMPLE of them: dict of features, weights and cuts.
+    """Fit on labelled documents, at most SAMPLE of them: dict of features, weights, cuts and slope (see fit_and_slope).
 
     `labels` has doc_id, quality (0 or 1) and toxic (0 or 1); rows with a null
     there or a doc_id that `docs` lacks are left out.  Without any usable label the
     model has no weights and keeps every document.
     """
     rows = labelled(docs, labels).sort(F.xxhash64("text"), "text", "grade").coalesce(1)
-    got = rows.mapInArrow(_fit_task, "features array<int>, weights array<double>, cuts array<double>").first()
-    return got.asDict() if got else dict(zip(("features", "weights", "cuts"), (x.tolist() for x in fit([], np.zeros(0, np.int64))), strict=True))
+    got = rows.mapInArrow(_fit_task, "features array<int>, weights array<double>, cuts array<double>, slope double").first()
+    if got:
+        return got.asDict()
+    return dict(zip(("features", "weights", "cuts", "slope"), (np.asarray(x).tolist() for x in fit_and_slope([], np.zeros(0, np.int64))), strict=True))
 
 
 def _scores(model: dict):
