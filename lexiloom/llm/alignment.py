@@ -2,8 +2,8 @@
 
 Tokenizer A is a byte-level BPE, B a BPE of pieces whose U+2581 is a space.
 Neither merges over the place before a space that follows a character other than
-white space, so the stretches between such places are encoded on their own,
-and a worker keeps the ids of those that it has met.  Offsets where tokens of
+white space, so the stretches between such places are encoded and aligned on
+their own, and a worker keeps those that it has met.  Offsets where tokens of
 both end cut a text into groups; the last tokens of a group are a link.
 
 A link's pair of ids is one integer, b * 2 ** 32 + a.  Tasks count their pairs
@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,11 +27,11 @@ from pyspark.sql import functions as F
 
 from lexiloom.llm.scratch import new_path, written
 from lexiloom.llm.tokenfiles import _open
-from lexiloom.llm.tokens import SPACES, byte_signs, library_coder, vocabulary
+from lexiloom.llm.tokens import SPACES, byte_signs, vocabulary
 from lexiloom.llm.words import pieces
 
-#: Pairs that a task counts before it hands them on, stretches that a worker keeps and the longest of these, stretches in work at once.
-PAIRS, KEPT, LONGEST, AT_ONCE = 1 << 20, 200_000, 64, 50_000
+#: Pairs that a task counts before it hands them on, stretches that a worker keeps and the longest of these, stretches in work at once and encoded in one row.
+PAIRS, KEPT, LONGEST, AT_ONCE, TOGETHER = 1 << 20, 200_000, 64, 50_000, 256
 SHIFT = np.int64(32)
 
 
@@ -42,6 +41,7 @@ class Aligner:
     def __init__(self, path_a: str, path_b: str):
         import regex
         import sentencepiece
+        from tokenizers import Tokenizer
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path_b)
         names = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
@@ -54,29 +54,60 @@ class Aligner:
             self.size_a[i] = sum(c in sign for c in t)
         #: Ids as text, each with the sign that follows within a group and at its end.
         self.signs = [f"{i}{end}" for size, last in ((len(self.size_a), "|"), (len(self.size_b), ";")) for i in range(size) for end in (",", last)]
-        self.coder = library_coder(path_a, special=False)
+        self.tokenizer = Tokenizer.from_file(path_a)
+        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.odd = [c + " " for c in map(chr, range(0x3001)) if regex.match(f"[{SPACES}]", c)]  # where a space may be no cut
         self.cuts = regex.compile(rf"(?<=[^{SPACES}])(?= )").split
         self.lead = len(self.model.encode("a"))
         self.met, self.before, self.long = {}, {}, []
 
     def stretches(self, text: str) -> list[str]:
         """The stretches of space + text, each without the space that it begins with."""
-        if any(x in text for x in self.coder.odd) or text[:1] == " ":
+        if any(x in text for x in self.odd) or text[:1] == " ":
             return [s[1:] for s in self.cuts(" " + text)]
         return text.split(" ")
 
     def _meet(self, stretches: list[str]) -> None:
-        """The ids of stretches under both vocabularies, None if those of B do not give the stretch back; B encodes all new ones in one call."""
+        """Align stretches: numbers of A tokens, B tokens and groups, the groups as text and the packed pairs of each; empty if the bytes of B are not the stretch."""
+        new = []
         for s in stretches:
-            if s in self.before:
-                self.met[s] = self.before[s]
-        new, words = [s for s in stretches if s not in self.met], self.coder.words
-        for s, ids in zip(new, self.model.encode(["a " + s for s in new], num_threads=1), strict=True):
-            b, whole = ids[self.lead :], " " + s
-            same = b"".join([self.bytes_b[i] for i in b]) == whole.encode()
-            self.met[s] = (b"".join([words[w] for w in self.coder.split(whole)]), array("I", b).tobytes()) if same else None
+            known = self.before.get(s)
+            if known is None:
+                new.append(s)
+            else:
+                self.met[s] = known
             if len(s) > LONGEST:
                 self.long.append(s)
+        rows = [s for s in new if s and not s[-1].isspace()]
+        for at in range(0, len(rows), TOGETHER):
+            self._together(rows[at : at + TOGETHER])
+        for s in new:
+            if s not in self.met:  # it may be the end of a text only
+                self._together([s])
+
+    def _together(self, part: list[str]) -> None:
+        """Encode and align stretches in a row, as one text that is cut again where they end."""
+        text = " " + " ".join(part)
+        data = text.encode()
+        a = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
+        ids = self.model.encode("a" + text)[self.lead :]
+        if b"".join(map(self.bytes_b.__getitem__, ids)) != data:
+            for s in part if len(part) > 1 else ():
+                self._together([s])
+            if len(part) == 1:
+                self.met[part[0]] = ()
+            return
+        b = np.array(ids, np.int64)
+        ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        ends, signs, pairs = self._groups(a, b, ends_a, ends_b)
+        stops = np.cumsum([len(s) + 1 if s.isascii() else len(s.encode()) + 1 for s in part])  # tokens of both sides and a group end there
+        until = [np.concatenate([[0], np.searchsorted(x, stops) + 1]) for x in (ends_a, ends_b, ends)]
+        n_a, n_b, n_groups = (np.diff(x).tolist() for x in until)
+        groups, packed, at = signs.split(";"), pairs.tobytes(), until[2].tolist()
+        for i, s in enumerate(part):
+            self.met[s] = (n_a[i], n_b[i], n_groups[i], ";".join(groups[at[i] : at[i + 1]]), packed[8 * at[i] : 8 * at[i + 1]])
 
     def _forget(self) -> None:
         """Keep memory bounded: long stretches go at once, others when KEPT later ones were met."""
@@ -85,11 +116,9 @@ class Aligner:
         self.long.clear()
         if len(self.met) > KEPT:
             self.before, self.met = self.met, {}
-        self.coder.words.turn()
 
-    def _groups(self, a: np.ndarray, b: np.ndarray) -> tuple[int, str, np.ndarray]:
-        """The number of groups of two sides with the same bytes, the groups as text and the pairs of their last tokens."""
-        ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+    def _groups(self, a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, str, np.ndarray]:
+        """The end of each group of two sides with the same bytes, the groups as text and the pairs of their last tokens."""
         at = np.searchsorted(ends_b, ends_a)  # no token is empty, so ends rise
         last_a = ends_b[at] == ends_a
         last = at[last_a]
@@ -99,7 +128,7 @@ class Aligner:
         signs = np.empty(len(a) + len(b), np.int64)
         signs[np.arange(len(a)) + before_b[np.cumsum(last_a) - last_a]] = 2 * a + last_a
         signs[np.arange(len(b)) + before_a[np.cumsum(last_b) - last_b + 1]] = 2 * (len(self.size_a) + b) + last_b
-        return len(last), "".join(map(self.signs.__getitem__, signs.tolist())), b[last] << SHIFT | a[last_a]
+        return ends_a[last_a], "".join(map(self.signs.__getitem__, signs.tolist())), b[last] << SHIFT | a[last_a]
 
     def text(self, text: str | None) -> tuple[int, int, int, str, np.ndarray, np.ndarray]:
         """n_a, n_b, n_groups, the digest of the groups, and the distinct pairs with how often each occurs; zeros where a side does not give the text back."""
@@ -109,16 +138,17 @@ class Aligner:
         digest, totals, links, stretches = hashlib.sha256(), np.zeros(3, np.int64), [], self.stretches(text)
         for at in range(0, len(stretches), AT_ONCE):
             part = stretches[at : at + AT_ONCE]
-            self._meet(list(dict.fromkeys([s for s in part if s not in self.met])))
-            found = list(map(self.met.__getitem__, part))
-            self._forget()
+            found = list(map(self.met.get, part))
             if None in found:
+                self._meet(list(dict.fromkeys([s for s, f in zip(part, found, strict=True) if f is None])))
+                found = list(map(self.met.get, part))
+                self._forget()
+            if () in found:
                 return none
-            a, b = (np.frombuffer(b"".join(x), "<u4").astype(np.int64) for x in zip(*found, strict=True))
-            n, groups, pairs = self._groups(a, b)
-            totals += (len(a), len(b), n)
-            digest.update(((";" if at else "") + groups[:-1]).encode())
-            links.append(pairs)
+            n_a, n_b, n_groups, groups, packed = zip(*found, strict=True)
+            totals += (sum(n_a), sum(n_b), sum(n_groups))
+            digest.update(((";" if at else "") + ";".join(groups)).encode())
+            links.append(np.frombuffer(b"".join(packed), "<i8"))
         keys, times = np.unique(np.concatenate(links), return_counts=True)
         return (*totals.tolist(), digest.hexdigest(), keys, times)
 
