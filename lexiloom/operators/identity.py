@@ -60,17 +60,6 @@ def attach_row_ids(rows: DataFrame, benchmark: str, config: str, split: str, ord
     return disambiguate(indexed.withColumn("_id", F.when(own.isNull() | (own == ""), made).otherwise(own)), "_id", ["row_index"]).drop("_id")
 
 
-def duplicates(df: DataFrame, key: str) -> DataFrame:
-    """Keys that occur more than once."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-
-
-def assert_unique(df: DataFrame, key: str) -> None:
-    some = duplicates(df, key).limit(5).collect()
-    if some:
-        raise ValueError(f"{key} is not unique, for example {[r[key] for r in some]}")
-
-
 def has_path(schema: T.StructType, path: str) -> bool:
     """Whether a column, or a dotted path into structs, is in the schema; a column of that very name wins."""
     if path in schema.fieldNames():
@@ -116,7 +105,7 @@ def resolve_groups(units: DataFrame, spec: DataFrame) -> DataFrame:
     """The same choice as joins: units (config, split) and spec (key, fields) to config, split, matched, fields."""
     keys = F.array(F.concat_ws("/", "config", "split"), F.col("split"), F.col("config"), F.lit("default"))
     tried = units.select("config", "split", F.posexplode(keys).alias("rank", "key"))
-    best = tried.join(F.broadcast(spec), "key").groupBy("config", "split").agg(F.min_by(F.struct("key", "fields"), "rank").alias("m"))
+    best = tried.join(spec, "key").groupBy("config", "split").agg(F.min_by(F.struct("key", "fields"), "rank").alias("m"))
     return units.join(best, ["config", "split"], "left").select("config", "split", F.col("m.key").alias("matched"), F.col("m.fields").alias("fields"))
 
 

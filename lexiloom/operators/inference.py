@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lexiloom.operators.batches import FileJobs
 from lexiloom.operators.calls import Calls
 from lexiloom.sources.readers import exists
 from lexiloom.sources.shared import stored
@@ -34,15 +35,15 @@ ANSWER = ["request", *[c.split()[0] for c in RESULT.split(", ")], "attempt", "ph
 class Phase:
     """So many attempts with one backend, model and settings.
 
-    The backend is an iterator function, `Calls` of single requests, or anything
-    with a method configured(model, settings) that gives one of the two.
+    The backend is an iterator function, `Calls` of single requests, `FileJobs` of
+    many, or anything with a method configured(model, settings) that gives one.
     """
 
     name: str
     mode: str
     model: str
     attempts: int
-    backend: Backend | Calls
+    backend: Backend | Calls | FileJobs
     settings: dict = field(default_factory=dict)
     #: What an answer does not depend on, such as the number of workers.
     transport: dict = field(default_factory=dict)
@@ -70,7 +71,8 @@ def infer(requests: DataFrame, phase: Phase, attempt: int) -> DataFrame:
     if isinstance(backend, Calls):
         tasks = max(1, min(backend.workers, requests.sparkSession.sparkContext.defaultParallelism))
         sent, backend = sent.repartition(tasks, "key"), backend.share(tasks).run
-    out = asked.join(sent.mapInPandas(backend, RESULT), "key", "left")
+    got = backend.results(sent) if isinstance(backend, FileJobs) else sent.mapInPandas(backend, RESULT)
+    out = asked.join(got, "key", "left")
     return out.withColumns({"phase": F.lit(phase.name), "mode": F.lit(phase.mode), "model": F.lit(phase.model)})
 
 

@@ -13,6 +13,11 @@ def keep_equal(df: DataFrame, column: str, value) -> DataFrame:
     return df.where(F.col(column) == value)
 
 
+def keep_in(df: DataFrame, column: str, values: list) -> DataFrame:
+    """Rows with one of the values; none for an empty list."""
+    return df.where(F.col(column).isin(*values) if values else F.lit(False))
+
+
 def drop_equal(df: DataFrame, column: str, value) -> DataFrame:
     """Rows other than those of a value; nulls stay."""
     return df.where(~F.col(column).eqNullSafe(F.lit(value)))
@@ -99,3 +104,14 @@ def section_of(df: DataFrame, key: str, page: str, heading: str, item: str) -> D
 
 def typed_json(df: DataFrame, column: str, kind: T.StructType | str) -> DataFrame:
     return df.withColumn(column, F.from_json(column, kind))
+
+
+def prepared_facts(df: DataFrame, id_col: str, columns: list[str], held: Column) -> DataFrame:
+    """What a prepared table should show, as counts of rows that do not: a filter that is not held, a blank column, an id made unique by a `#` and a number, an id that others have."""
+    blank = F.lit(False)
+    for c in columns:
+        blank = blank | is_blank(F.coalesce(F.col(c).cast("string"), F.lit("")))
+    ids = F.col(id_col).cast("string")
+    ends = F.coalesce(ids.rlike("#[0-9]+$"), F.lit(False))
+    n = lambda x: F.count_if(x).cast("long")
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), n(~F.coalesce(held, F.lit(False))).alias("not_held"), n(blank).alias("blank"), n(ends).alias("suffixed"), (F.count(F.lit(1)) - F.count_distinct(ids)).alias("repeated"))

@@ -72,4 +72,4 @@ def recorrect_plan(judged: DataFrame, corrections: DataFrame, threshold: float,
 
 
 def in_units(records: DataFrame, units: DataFrame) -> DataFrame:
-    return records.join(F.broadcast(units.select("dataset_config", "split").distinct()), ["dataset_config", "split"], "left_semi")
+    return records.join(units.select("dataset_config", "split").distinct(), ["dataset_config", "split"], "left_semi")

@@ -8,6 +8,7 @@ relations are written as SQL in BASE.
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Callable, Iterator
 
@@ -55,6 +56,16 @@ def translator(key: str, prompt: str, attempt: int) -> str:
     return json.dumps({"text": f"[{head.removeprefix('Translate into ').rpartition(' (')[0]}] {body}"}, ensure_ascii=False)
 
 
+def task(key: str, prompt: str, attempt: int) -> str:
+    """Answers a prompt that ends in TASK <stage> <json>: translations are the values with a mark, scores hashes of the key."""
+    kind, _, body = prompt.rpartition("TASK ")[2].partition(" ")
+    if kind == "judge":
+        return json.dumps({"score": int(hashlib.md5(key.encode()).hexdigest()[:4], 16) % 101, "feedback": "seen"})
+    if kind == "translate" and attempt == 1 and int(key.split("|")[3]) % 7 == 0:
+        return "I cannot help with that."
+    return json.dumps({k: f"[{kind}] {v}" for k, v in json.loads(body).items()}, ensure_ascii=False)
+
+
 def count_characters(prompt: str, settings: dict) -> dict:
     if not prompt:
         raise ValueError("empty")

@@ -240,3 +240,18 @@ def canonical_json(spark, sf_dir):
     nested = F.struct((F.col("n_chars") > 500).alias("b"), F.array("source", F.lit(None).cast("string")).alias("a"))
     rows = d.select("doc_id", nested.alias("nested"), "lang", (F.col("doc_id") / 2.0).alias("half"))
     return rows.select("doc_id", F.sha2(canonical.canonical_row(rows.schema), 256).alias("digest"))
+
+
+@query("""SELECT lang, count(*)::BIGINT AS n FROM documents WHERE lang IN ('en', 'fr', 'xx') GROUP BY lang""")
+def keep_in_set(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    return preparation.value_counts(preparation.keep_in(d, "lang", ["en", "fr", "xx"]), "lang")
+
+
+@query("""WITH k AS (SELECT source, text, lang, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS k FROM documents)
+SELECT count(*)::BIGINT AS n_rows, count(*) FILTER (lang IS DISTINCT FROM 'en')::BIGINT AS not_held, count(*) FILTER (trim(coalesce(text, ''), ' \t\n\r') = '')::BIGINT AS blank,
+  count(*) FILTER (k > 0)::BIGINT AS suffixed, 0::BIGINT AS repeated FROM k""")
+def prepared_facts(spark, sf_dir):
+    """Ids made unique show as such: sources as ids of documents."""
+    d = identity.disambiguate(table(spark, sf_dir, "documents").select("doc_id", "source", "text", "lang"), "source", ["doc_id"])
+    return preparation.prepared_facts(d, "row_id", ["text"], F.col("lang") == "en")

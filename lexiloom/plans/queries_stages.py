@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexiloom.functions import contracts, hashing, judgement, parse, template, text, validate
-from lexiloom.operators import calls, fanout, identity, inference, routing
-from lexiloom.plans import fixture
+from lexiloom.operators import batches, calls, fanout, identity, inference, routing
+from lexiloom.plans import fixture, stages
 from lexiloom.plans.catalogue import query
 from lexiloom.plans.fixture import BASE, table
+from lexiloom.sources import config as configs
 from lexiloom.sources import versions
 from lexiloom.sources.shared import new_path, stored
 
@@ -379,3 +380,49 @@ def model_resolution(spark, sf_dir):
     rows = F.array(*[F.struct(F.lit(a).alias("model"), F.lit(b).alias("mode"), F.lit(c).cast("string").alias("given")) for a, b, c in cases])
     d = table(spark, sf_dir, "documents").groupBy("lang").agg(F.count(F.lit(1)).alias("n")).select("lang", "n", F.inline(rows))
     return d.select("lang", "model", "mode", text.qualified_model(F.col("model"), F.col("mode"), F.col("given")).alias("sent"), "n")
+
+
+@query("""SELECT lang, count(*)::BIGINT AS n, sum(length('Say: ' || coalesce(text, '')))::BIGINT AS chars, sum(length('Say: ' || coalesce(text, '')) % 1000)::BIGINT AS input_tokens, 0::BIGINT AS n_failed FROM documents GROUP BY lang""")
+def batch_jobs(spark, sf_dir):
+    """Prompts through files of requests, jobs of at most 400 of them, and prediction lines that are matched back by their prompts."""
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("key"), "lang", F.concat(F.lit("Say: "), F.coalesce("text", F.lit(""))).alias("prompt"))
+
+    def job(model, source, target, settings):
+        line = F.col("value")
+        size = F.length(routing.echoed_prompt(line)).cast("string")
+        answer = F.concat(F.lit(', "response": {"candidates": [{"content": {"parts": [{"text": "'), size, F.lit('"}]}}], "usageMetadata": {"promptTokenCount": '), (F.length(routing.echoed_prompt(line)) % 1000).cast("string"), F.lit("}}}"))
+        spark.read.option("lineSep", "\n").text(source).select(F.concat(F.substring(line, F.lit(1), F.length(line) - 1), answer)).write.option("lineSep", "\n").text(target)
+
+    plan = [inference.Phase("primary", "batch", "m", 1, batches.FileJobs(job, size=400), {"temperature": 0.2})]
+    _, final = inference.run_with_retries(d, plan, lambda t: F.lit(None).cast("string"), inference.Answers(new_path(spark, "answers")))
+    return final.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("text").cast("long")).alias("chars"), F.sum("input_tokens").alias("input_tokens"), F.count_if(~F.col("ok")).cast("long").alias("n_failed"))
+
+
+_RUN_ID = "'docs|default|' || lang || '|' || doc_id || '|Hindi|g0'"
+
+
+@query(f"""WITH r AS (SELECT lang AS split, doc_id, {fixture._hex(f"md5({_RUN_ID})", 4)} % 101 AS score FROM documents)
+SELECT 'translate' AS stage, 0::BIGINT AS round, split, count(*)::BIGINT AS n, count(*)::BIGINT AS n_valid, sum(CASE WHEN doc_id % 7 = 0 THEN 2 ELSE 1 END)::BIGINT AS n_attempts FROM r GROUP BY split
+UNION ALL SELECT 'judge', 1, split, count(*), count(*), count(*) FROM r GROUP BY split
+UNION ALL SELECT 'correct', 1, split, count(*), count(*), count(*) FROM r WHERE score < 60 GROUP BY split
+UNION ALL SELECT 'judge', 2, split, count(*), count(*), count(*) FROM r WHERE score < 60 GROUP BY split""")
+def stages_by_unit(spark, sf_dir):
+    """A whole run over the documents, a language a unit: one unit first, then all, so the second run asks about the others only; judged, corrected, judged."""
+    import tempfile
+    from pathlib import Path
+
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), "lang", F.coalesce("text", F.lit("")).alias("text"))
+    splits = sorted(r["lang"] for r in docs.select("lang").distinct().collect())  # a row for each language
+    with tempfile.TemporaryDirectory() as folder:  # prompts, read on the driver
+        for name, field in (("translate", "source_json"), ("judge", "translation_json"), ("correct", "previous_translation_json")):
+            Path(folder, f"{name}.md").write_text(f"TASK {name} {{{field}}}")
+        stage = lambda n: {"prompt": f"{n}.md", "model": "gemini-2.5-flash", "inference": {"mode": "parallel"}, "max_attempts": 2}
+        given = {"benchmark": "docs", "source": {"type": "local", "files": {s: "none" for s in splits}}, "languages": {"Hindi": "hi"}, "fields": [["text"]], "output": {"root": new_path(spark, "run")}}
+        given["stages"] = {"translate": stage("translate"), "judge": stage("judge") | {"score_scale": 100, "pass_threshold": 60}, "correct": stage("correct") | {"max_score": 59}}
+        run = stages.Run(spark, configs.parse(given, Path(folder)), {m: fixture.model(fixture.task) for m in configs.MODES}, load=lambda unit: docs.where(F.col("lang") == unit.split))
+        run.only = [("default", splits[0])]
+        stages.translate(run)
+        run.only = None
+        stages.chain(run)
+    r = stages.records_of(run).groupBy("stage", F.col("round").cast("long").alias("round"), "split")
+    return r.agg(F.count(F.lit(1)).alias("n"), F.count_if("valid").cast("long").alias("n_valid"), F.sum("attempts").cast("long").alias("n_attempts"))

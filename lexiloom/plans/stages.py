@@ -94,6 +94,11 @@ def _object(stage: Stage, text: Column) -> Column:
     return F.struct(F.when(F.size(found) > 0, F.to_json(found)).alias("value"), F.when(F.size(found) == 0, "no '### key' sections found in response").alias("error"))
 
 
+def snapshot(run: Run, unit: Unit) -> str:
+    """Where the rows of a unit are kept as they were translated."""
+    return f"{run.root}/source/{unit.label}"
+
+
 def rows_of(run: Run, unit: Unit, limit: int = 0) -> DataFrame:
     """The unit's rows with row_index and row_id, in file order."""
     rows = run.load(unit) if run.load else readers.jsonl(run.spark, unit.path)
@@ -119,6 +124,8 @@ def translate(run: Run, units: list[Unit] | None = None, limit: int = 0) -> Data
     prompt = Path(stage.prompt).read_text(encoding="utf-8")
     units = units or [u for u in run.config.units if run.only is None or (u.config, u.split) in run.only]
     for unit in units:
+        place = {"dataset_config": F.lit(unit.config), "split": F.lit(unit.split)}
+        versions.commit(rows_of(run, unit, limit).withColumnsRenamed({c: f"source_{c}" for c in place}).withColumns(place), snapshot(run, unit), [(unit.config, unit.split)], key="row_id" if limit else None)
         for number, group in enumerate(identity.groups_for(run.config.fields, unit.config, unit.split)):
             items, kind = _items(run, unit, number, group, limit)
             values = template.prompt_values(F.col("source"), kind, F.col("language"), F.col("script"), F.col("language_code"))
@@ -265,7 +272,7 @@ def records_of(run: Run, names: list[str] | None = None) -> DataFrame:
 
 
 def assemble(run: Run, unit: Unit, names: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """The wide dataset of a unit, and its missing translations."""
+    """The wide dataset of a unit, of its rows as they were translated, and its missing translations."""
     c = run.config
     records = records_of(run, names)
     best = selection.newest_usable(records.where((F.col("stage") != "judge") & (F.col("dataset_config") == unit.config) & (F.col("split") == unit.split)))
@@ -275,7 +282,8 @@ def assemble(run: Run, unit: Unit, names: list[str] | None = None) -> tuple[Data
     parts = best.join(scores, "record_id", "left").select("row_id", "language", "stage", F.col("_score").alias("score"), *[F.get_json_object("translation", f"$['{k}']").alias(k) for k in keys])
     flat = parts.groupBy("row_id", "language").agg(F.max("stage").alias("stage"), F.max("score").alias("score"), *[F.max(k).alias(k) for k in keys])
     codes = {x: c.codes.get(x, fanout.LANGUAGES.get(x, (x,))[0]) for x in c.languages}
-    rows = rows_of(run, unit)
+    kept = snapshot(run, unit)
+    rows = versions.read(run.spark, kept).drop("dataset_config", "split").withColumnsRenamed({"source_dataset_config": "dataset_config", "source_split": "split"}) if versions.exists(run.spark, kept) else rows_of(run, unit)
     wide = assembly.wide(rows, flat, keys, codes, c.output.column_template, c.output.keep_source_columns, c.output.include_quality_columns)
     slots = None
     for i, g in enumerate(groups):

@@ -101,11 +101,6 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(f.getPath().getName() for f in found if f.isDirectory())
 
 
-def snapshot_or_source(spark: SparkSession, snapshot: str, load) -> DataFrame:
-    """The saved rows of a unit if there are any, else a new scan."""
-    return spark.read.parquet(snapshot) if exists(spark, snapshot) else load()
-
-
 def placed(df: DataFrame) -> DataFrame:
     """Rows of files with their place: __file, __block (where the split of the file begins) and __at (the row in the split); for other rows __at alone tells."""
     try:
@@ -119,8 +114,3 @@ def placed(df: DataFrame) -> DataFrame:
 def head(df: DataFrame, order: list, n: int) -> DataFrame:
     """The first n rows in an order; 0 means all."""
     return df.orderBy(*order).limit(n) if n else df
-
-
-def stage_rounds(records: DataFrame) -> DataFrame:
-    """Distinct (stage, round) of collected records."""
-    return records.select(F.col("stage_dir").alias("stage"), F.col("round_dir").alias("round")).distinct()

@@ -149,7 +149,8 @@ def commit(df: DataFrame, table: str, units: list[UnitKey], key: str | None = No
             put(_read(spark, table, last, units).join(mine, key, "left_anti"), names[1])
         there = {n: set(_names(spark, f"{table}/data/{n}")) for n in names}
         of = {_key(u): [f"{n}/unit={i}" for n in names if f"unit={i}" in there[n]] for i, u in enumerate(units)}
-        merged = _merged(T.StructType.fromJson(last["schema"]) if last["schema"] else None, schema)
+        stays = len(names) > 1 or any(of for k, of in last["units"].items() if k not in set(map(_key, units)))
+        merged = _merged(T.StructType.fromJson(last["schema"]) if stays else None, schema)
         document = {"schema": merged.jsonValue(), "units": last["units"] | of}
         if _publish(spark, f"{table}/_versions/{last['number'] + 1:012d}.json", document):
             return _read(spark, table, document)

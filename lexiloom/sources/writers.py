@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,18 +25,6 @@ def write_final(df: DataFrame, path: str, kind: str = "jsonl") -> None:
     write_jsonl(df, path) if kind == "jsonl" else df.write.mode("overwrite").parquet(path)
 
 
-def write_units(df: DataFrame, path: str) -> None:
-    """A partition for each unit; empty units leave nothing."""
-    df.write.mode("overwrite").partitionBy("dataset_config", "split").parquet(path)
-
-
-def write_stage(df: DataFrame, root: str, stage: str, round_: int = 0) -> str:
-    """Records under <root>/<stage>[_rN]/, partitioned by unit."""
-    path = f"{root}/{stage}{f'_r{round_}' if round_ else ''}"
-    df.write.mode("overwrite").partitionBy("dataset_config", "split").parquet(path)
-    return path
-
-
 def write_document(spark: SparkSession, row: dict, path: str) -> None:
     """A summary or manifest: one JSON document in a file of the output store."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -62,6 +51,20 @@ def review_sheet(rows: DataFrame, fields: list[str], human: list[str], rounds: l
     return rows.select("record_id", "row_id", "language", "review_reason", "final_score", "was_corrected", *part("source"), *part("translation"), "final_feedback", "first_score", *more, *[F.lit("").alias(h) for h in human])
 
 
+def sheet_prefix(path: str) -> str:
+    """A name for a spreadsheet that says what it is of without its folders: <benchmark>[_<config>]_<file>, from .../<benchmark>/review/<config>/<file>.csv.
+
+    A config called default, or like the benchmark, is left out; without a review
+    folder the file's own folder is the benchmark.
+    """
+    folders, _, name = path.rstrip("/").rpartition("/")
+    steps = [x for x in folders.split("/") if x]
+    config = steps[-1] if steps else ""
+    benchmark = steps[steps.index("review") - 1] if steps[1:].count("review") else config
+    words = [benchmark, config if config not in ("default", benchmark) else "", name.removesuffix(".csv")]
+    return re.sub(r"[^A-Za-z0-9._-]+", "_", "_".join(w for w in words if w))
+
+
 def split_by(df: DataFrame, column: str, path: str) -> DataFrame:
     """One folder of CSV files for each value of a column, which stays in the files; the index of the parts."""
     value = F.coalesce(F.nullif(F.col(column), F.lit("")), F.lit("_blank"))
@@ -122,7 +125,6 @@ def verify_order(source: DataFrame, parts: DataFrame, value: str, columns: list[
 
 
 def write_chunks(requests: DataFrame, path: str, size: int = 50_000) -> None:
-    """Request lines in files of at most `size`, by ordinal."""
+    """Request lines (ordinal, line) in folders chunk=<n> of at most `size` lines each, in order."""
     chunked = requests.withColumn("chunk", chunk_of(F.col("ordinal"), size))
-    chunked.repartition("chunk").sortWithinPartitions("chunk", "ordinal").write.mode("overwrite").partitionBy("chunk").option("maxRecordsPerFile", size).json(path)
-
+    chunked.repartition("chunk").sortWithinPartitions("chunk", "ordinal").select("chunk", "line").write.partitionBy("chunk").option("lineSep", "\n").text(path)

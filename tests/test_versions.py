@@ -70,5 +70,7 @@ def test_new_columns_and_other_types(spark, tmp_path):
     assert {r["split"]: r["more"] for r in versions.read(spark, t).collect()} == {"a": None, "b": "m"}
     with pytest.raises(ValueError, match="was bigint"):
         versions.commit(frame(spark, ("a", "x", 1)).withColumn("n", F.lit("text")), t, [("c", "a")])
+    other = versions.commit(frame(spark, ("a", "x", 1)).withColumn("n", F.lit("text")), t, [("c", "a"), ("c", "b")])
+    assert [r["n"] for r in other.collect()] == ["text"]  # nothing of the old type is left
     with pytest.raises(FileNotFoundError):
         versions.read(spark, str(tmp_path / "none"))
