@@ -53,8 +53,8 @@ def _normal(v: Column, given: Column, parsed: Column, threshold: float, scale: f
     def outcome(n: Column, passed: Column, why: Column, key: Column) -> Column:
         error = F.when(parsed.isNull(), "no JSON object").when(key.isNull(), "missing a score field").when(n.isNull(), F.concat(F.lit("field '"), key, F.lit("': not a number")))
         if scale:
-            error = error.when(~n.between(0, scale), f"score is outside the configured 0-{scale:g} scale")
-        error = error.when(~passed & (why == ""), "judge failed the translation but gave no feedback")
+            error = error.when(~n.between(0, scale), f"score is not within 0 to {scale:g}")
+        error = error.when(~passed & (why == ""), "a failed verdict needs feedback")
         pick = lambda e, x: F.when(e.isNull(), x)
         return let(error, lambda e: F.struct(pick(e, n).alias("score"), pick(e, passed).alias("passed"), pick(e, why).alias("feedback"), e.alias("error")))
 

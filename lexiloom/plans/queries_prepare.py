@@ -125,12 +125,11 @@ def chunk_assignment(spark, sf_dir):
     return d.groupBy(preparation.chunk_of(F.col("row_index"), 300).alias("chunk")).agg(count(), F.min("doc_id").alias("first_id"))
 
 
-@query("""WITH s AS (SELECT page_id, '<p>intro</p><strong>Answer:</strong> ' || page_id || CASE page_id % 3 WHEN 0 THEN '</p><strong>Solution</strong>: work' WHEN 1 THEN '</p>work' ELSE '' END AS p FROM pages)
-SELECT page_id, page_id || CASE page_id % 3 WHEN 0 THEN '</p>' ELSE '' END AS answer, CASE page_id % 3 WHEN 2 THEN '' ELSE 'work' END AS solution FROM s""")
+@query(r"""WITH h AS (SELECT page_id, coalesce(html, '') AS h FROM pages), r AS (SELECT page_id, h, strpos(h, '<h1>') AS pos, substr(h, strpos(h, '<h1>') + 4) AS rest FROM h)
+SELECT page_id, CASE WHEN pos = 0 THEN '' ELSE ltrim(split_part(rest, '</p>', 1)) END AS answer, CASE WHEN pos = 0 THEN h WHEN strpos(rest, '</p>') = 0 THEN '' ELSE substr(rest, strpos(rest, '</p>') + 4) END AS solution FROM r""")
 def answer_split(spark, sf_dir):
-    i = F.col("page_id")
-    tail = F.when(i % 3 == 0, "</p><strong>Solution</strong>: work").when(i % 3 == 1, "</p>work").otherwise("")
-    panel = F.concat(F.lit("<p>intro</p><strong>Answer:</strong> "), i.cast("string"), tail)
+    """Pages whose main heading is made the answer mark: the answer ends with its paragraph."""
+    panel = F.regexp_replace(F.coalesce("html", F.lit("")), "<h1>", "<strong>Answer:</strong> ")
     return table(spark, sf_dir, "pages").select("page_id", text.split_answer(panel).alias("s")).select("page_id", "s.answer", "s.solution")
 
 

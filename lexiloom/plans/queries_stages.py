@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexiloom.functions import contracts, hashing, judgement, parse, template, text, validate
+from lexiloom.functions import canonical, contracts, hashing, judgement, parse, template, text, validate
 from lexiloom.operators import batches, calls, fanout, identity, inference, routing
 from lexiloom.plans import fixture, stages
 from lexiloom.plans.catalogue import query
@@ -141,11 +141,13 @@ def batch_lines(spark, sf_dir):
     return d.select("doc_id", "line", routing.echoed_prompt(F.col("line")).alias("prompt"))
 
 
-@query("""SELECT doc_id, (doc_id % 90)::BIGINT AS input_tokens, greatest(doc_id % 70 - doc_id % 30, 0)::BIGINT AS output_tokens, (doc_id % 30)::BIGINT AS reasoning_tokens,
-  (doc_id % 90 + greatest(doc_id % 70 - doc_id % 30, 0) + doc_id % 30)::BIGINT AS total_tokens FROM documents""")
+@query(r"""WITH e AS (SELECT doc_id, length(coalesce(text, '')) AS n, length(coalesce(text, '')) - length(replace(coalesce(text, ''), ' ', '')) AS w, length(coalesce(text, '')) - length(replace(coalesce(text, ''), 'e', '')) AS r FROM documents)
+SELECT doc_id, n AS input_tokens, greatest(w - r, 0) AS output_tokens, r AS reasoning_tokens, n + greatest(w - r, 0) + r AS total_tokens FROM e""")
 def interactive_usage(spark, sf_dir):
-    i = F.col("doc_id")
-    return table(spark, sf_dir, "documents").select("doc_id", routing.interactive_usage(i % 90, i % 70, i % 30).alias("u")).select("doc_id", "u.*")
+    """Counts of calls whose completions include the reasoning: characters, spaces and letters of the texts."""
+    d = table(spark, sf_dir, "documents").withColumn("text", F.coalesce("text", F.lit("")))
+    count = lambda x: (F.length("text") - F.length(F.replace("text", F.lit(x), F.lit("")))).cast("long")
+    return d.select("doc_id", routing.interactive_usage(F.length("text").cast("long"), count(" "), count("e")).alias("u")).select("doc_id", "u.*")
 
 
 @query("""SELECT doc_id, printf('%06d', doc_id) || '-' || regexp_replace(source, '[^A-Za-z0-9_.-]+', '_', 'g') || '--a' || (doc_id % 3 + 1) AS key, regexp_replace(lang || '/' || source || ' x', '[^A-Za-z0-9._-]+', '_', 'g') AS file,
@@ -209,19 +211,22 @@ def control_char_guard(spark, sf_dir):
     return d.select(F.coalesce(validate.control_error("text", bad, F.col("text")), F.lit("")).alias("error")).groupBy("error").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("""SELECT doc_id, CASE WHEN doc_id % 6 IN (3, 4, 5) THEN NULL ELSE (doc_id % 11)::DOUBLE END AS score,
-  CASE WHEN doc_id % 6 IN (3, 4, 5) THEN NULL WHEN doc_id % 6 = 0 THEN doc_id % 11 >= 7 WHEN doc_id % 6 = 1 THEN false ELSE true END AS passed,
-  CASE doc_id % 6 WHEN 3 THEN 'missing a score field' WHEN 4 THEN 'field ''score'': not a number' WHEN 5 THEN 'score is outside the configured 0-10 scale' ELSE '' END AS error FROM documents""")
+@query(r"""WITH e AS (SELECT doc_id, length(coalesce(text, '')) % 11 AS k, length(coalesce(text, '')) % 6 AS f, coalesce(text, '') AS t FROM documents)
+SELECT doc_id, CASE WHEN f IN (3, 4, 5) THEN NULL ELSE k::DOUBLE END AS score, CASE WHEN f IN (3, 4, 5) THEN NULL WHEN f = 0 THEN k >= 7 WHEN f = 1 THEN false ELSE true END AS passed,
+  CASE f WHEN 3 THEN 'missing a score field' WHEN 4 THEN 'field ''score'': not a number' WHEN 5 THEN 'score is not within 0 to 10' ELSE '' END AS error, CASE WHEN f = 0 THEN 'because ' || t END AS feedback FROM e""")
 def validate_judgement(spark, sf_dir):
-    k = F.col("doc_id") % 11
+    """Verdicts of six forms about the texts, by their lengths."""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("t")).withColumn("n", F.length("t"))
+    k, f = F.col("n") % 11, F.col("n") % 6
     o = lambda *c: F.to_json(F.struct(*c))
-    why = F.lit("because").alias("feedback")
+    why = F.concat(F.lit("because "), "t").alias("feedback")
     forms = [
         o(k.alias("score"), why), o(k.alias("rating"), F.lit("NO").alias("verdict"), F.array(F.lit("x")).alias("issues")), o(k.cast("string").alias("overall_score"), F.lit(True).alias("pass")),
         o(why), o(F.lit("high").alias("score"), k.alias("rating"), why), o((k + 20).alias("score"), why),
     ]
-    chosen = F.coalesce(*[F.when(F.col("doc_id") % 6 == i, f) for i, f in enumerate(forms)])
-    return table(spark, sf_dir, "documents").select("doc_id", judgement.judgement(chosen, 7.0, 10.0).alias("j")).select("doc_id", "j.score", "j.passed", F.coalesce("j.error", F.lit("")).alias("error"))
+    chosen = F.coalesce(*[F.when(f == i, x) for i, x in enumerate(forms)])
+    j = d.select("doc_id", f.alias("f"), judgement.judgement(chosen, 7.0, 10.0).alias("j"))
+    return j.select("doc_id", "j.score", "j.passed", F.coalesce("j.error", F.lit("")).alias("error"), F.when(F.col("f") == 0, F.col("j.feedback")).alias("feedback"))
 
 
 def _lines(spark, sf_dir):
@@ -256,15 +261,19 @@ def result_join_default_error(spark, sf_dir):
     return routing.join_results(d, got, "v").select("key", "text", "error", "ok")
 
 
-@query("""WITH e AS (SELECT *, CASE WHEN doc_id % 4 = 1 THEN NULL ELSE 'x' || doc_id END AS t FROM documents)
-SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'answer ' || doc_id ELSE NULL END AS text,
-  CASE doc_id % 4 WHEN 1 THEN 'batch error: quota' WHEN 2 THEN 'empty response (finishReason=SAFETY)' WHEN 3 THEN 'batch line has no ''response''' END AS error,
-  CASE doc_id % 4 WHEN 0 THEN doc_id % 50 + 17 ELSE 0 END AS total_tokens FROM e""")
+@query(r"""WITH e AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n FROM documents)
+SELECT doc_id, CASE n % 4 WHEN 0 THEN 'answer ' || t ELSE NULL END AS text,
+  CASE n % 4 WHEN 1 THEN 'batch error: ' || substr('quota for ' || t, 1, 500) WHEN 2 THEN 'empty response (finishReason=SAFETY)' WHEN 3 THEN 'batch line has no ''response''' END AS error,
+  CASE n % 4 WHEN 0 THEN n + 17 ELSE 0 END AS total_tokens FROM e""")
 def decode_predictions(spark, sf_dir):
-    i = F.col("doc_id")
-    answered = F.concat(F.lit('{"response": {"candidates": [{"finishReason": "STOP", "content": {"parts": [{"text": "hm", "thought": true}, {"text": "answer "}, {"text": "'), i.cast("string"), F.lit('"}]}}], "usageMetadata": {"promptTokenCount": '), (i % 50).cast("string"), F.lit(', "candidatesTokenCount": 10, "thoughtsTokenCount": 7}}}'))
-    line = F.when(i % 4 == 0, answered).when(i % 4 == 1, F.lit('{"status": "quota"}')).when(i % 4 == 2, F.lit('{"response": {"candidates": [{"finish_reason": "SAFETY"}]}}')).otherwise(F.lit('{"response": {}}'))
-    return table(spark, sf_dir, "documents").select("doc_id", routing.decode_line(line).alias("r")).select("doc_id", "r.text", "r.error", "r.usage.total_tokens")
+    """Prediction lines of four kinds about the texts, by their lengths."""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("t")).withColumn("n", F.length("t").cast("long"))
+    quoted = lambda x: canonical.quoted(x)
+    answered = F.concat(F.lit('{"response": {"candidates": [{"finishReason": "STOP", "content": {"parts": [{"text": "hm", "thought": true}, {"text": "answer "}, {"text": '), quoted(F.col("t")), F.lit('}]}}], "usageMetadata": {"promptTokenCount": '), F.col("n").cast("string"), F.lit(', "candidatesTokenCount": 10, "thoughtsTokenCount": 7}}}'))
+    refused = F.concat(F.lit('{"status": '), quoted(F.concat(F.lit("quota for "), "t")), F.lit("}"))
+    k = F.col("n") % 4
+    line = F.when(k == 0, answered).when(k == 1, refused).when(k == 2, F.lit('{"response": {"candidates": [{"finish_reason": "SAFETY"}]}}')).otherwise(F.lit('{"response": {}}'))
+    return d.select("doc_id", routing.decode_line(line).alias("r")).select("doc_id", "r.text", "r.error", "r.usage.total_tokens")
 
 
 @query("""SELECT CASE WHEN doc_id % 6 = 0 THEN 4 WHEN doc_id % 3 = 0 THEN 3 WHEN doc_id % 2 = 0 THEN 2 ELSE 1 END::BIGINT AS attempt,
@@ -351,26 +360,34 @@ def dq_extractive(spark, sf_dir):
     return d.select("doc_id", contracts.extractive(F.col("text"), F.array("source")).alias("extractive"), contracts.answer_offset(F.col("text"), F.col("lang")).alias("answer_at"))
 
 
-@query("""SELECT conv_id, turn, doc_ok AS same_lines FROM (SELECT conv_id, turn, CASE WHEN turn % 3 = 2 THEN false ELSE true END AS doc_ok FROM conversations)""")
+@query(r"""WITH c AS (SELECT conv_id, turn, coalesce(text, '') || chr(10) || '#### ' || turn AS a, regexp_replace(coalesce(text, ''), '[aeiou], ', chr(10), 'g') || chr(10) || '#### ' || (turn - turn % 4) AS b FROM conversations)
+SELECT conv_id, turn, len(string_split(a, chr(10))) = len(string_split(b, chr(10))) AND string_split(a, chr(10))[-1] = string_split(b, chr(10))[-1] AS same_lines FROM c""")
 def dq_line_contract(spark, sf_dir):
-    c = table(spark, sf_dir, "conversations").withColumn("t", F.concat(F.coalesce("text", F.lit("")), F.lit("\n#### 12")))
-    other = F.when(F.col("turn") % 3 == 0, F.col("t")).when(F.col("turn") % 3 == 1, F.concat(F.regexp_replace(F.coalesce("text", F.lit("")), "[a-z]", "x"), F.lit("\n#### 12"))).otherwise(F.concat(F.coalesce("text", F.lit("")), F.lit("\n#### 13")))
-    return c.select("conv_id", "turn", contracts.same_lines(F.col("t"), other).alias("same_lines"))
+    """Conversations and copies in which some commas end lines and some last lines have another number."""
+    c = table(spark, sf_dir, "conversations").withColumn("text", F.coalesce("text", F.lit("")))
+    a, b = F.concat("text", F.lit("\n#### "), F.col("turn").cast("string")), F.concat(F.regexp_replace("text", "[aeiou], ", "\n"), F.lit("\n#### "), (F.col("turn") - F.col("turn") % 4).cast("string"))
+    return c.select("conv_id", "turn", contracts.same_lines(a, b).alias("same_lines"))
 
 
-@query("SELECT doc_id, (length(text) - length(replace(text, '_', '')))::BIGINT AS blanks, length(text || '_') - length(replace(text || '_', '_', '')) = 1 AS one_blank FROM documents WHERE text IS NOT NULL")
+@query(r"""SELECT doc_id, (length(coalesce(text, '')) - length(replace(coalesce(text, ''), 'th', 'h')))::BIGINT AS blanks, length(coalesce(text, '')) - length(replace(coalesce(text, ''), '%%%', '%%')) = 1 AS one_blank FROM documents""")
 def dq_blank_count(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").where("text IS NOT NULL")
-    return d.select("doc_id", contracts.blanks(F.col("text")).alias("blanks"), contracts.one_blank(F.concat("text", F.lit("_"))).alias("one_blank"))
+    """How often a mark stands in each text, and whether another stands there once; null texts are empty."""
+    d = table(spark, sf_dir, "documents").withColumn("text", F.coalesce("text", F.lit("")))
+    return d.select("doc_id", contracts.blanks(F.col("text"), "th").alias("blanks"), contracts.one_blank(F.col("text"), "%%%").alias("one_blank"))
 
 
-@query("""SELECT doc_id, doc_id % 3 <> 1 AS numbers_kept, doc_id % 2 = 0 AS options_kept, doc_id % 4 <> 3 AS same_length FROM documents""")
+@query(r"""WITH w AS (SELECT doc_id, coalesce(text, '') AS t, string_split(coalesce(text, ''), ' ') AS w FROM documents)
+SELECT doc_id, len(list_filter(w, lambda x: regexp_matches(x, '^[0-9][0-9.,:/%-]*$') AND regexp_matches(x, '[13579]'))) = 0 AS numbers_kept,
+  contains(t, 'a') AND contains(t, 'b') AND contains(t, 'c') AND contains(t, 'd') AS options_kept, len(w) = len(string_split(t, '. ')) AS same_length FROM w""")
 def dq_lists(spark, sf_dir):
-    i = F.col("doc_id")
-    source, other = F.array(F.lit("1,200"), F.lit("word")), F.array(F.when(i % 3 == 1, "1200").otherwise("1,200"), F.lit("mot"))
-    options = F.when(i % 2 == 0, "(A) x (B) y (C) z (D) w").otherwise("(A) x (B) y (C) z")
-    empty = F.array().cast("array<string>")
-    return table(spark, sf_dir, "documents").select("doc_id", contracts.numbers_kept(source, other).alias("numbers_kept"), contracts.options_kept(options).alias("options_kept"), contracts.same_length(empty, F.when(i % 4 == 3, F.array(F.lit("x"))).otherwise(empty)).alias("same_length"))
+    """Words of texts beside copies with other digits, letters as options, words beside sentences."""
+    d = table(spark, sf_dir, "documents").withColumn("text", F.coalesce("text", F.lit("")))
+    words = F.split("text", " ", -1)
+    options = F.col("text")
+    for x in "abcd":
+        options = F.replace(options, F.lit(x), F.lit(f"({x.upper()})"))
+    kept = contracts.numbers_kept(words, F.transform(words, lambda w: F.regexp_replace(w, "[13579]", "0")))
+    return d.select("doc_id", kept.alias("numbers_kept"), contracts.options_kept(options).alias("options_kept"), contracts.same_length(words, F.split("text", r"\. ", -1)).alias("same_length"))
 
 
 @query("""WITH m(model, mode, provider_model) AS (VALUES ('m-1', 'parallel', NULL), ('m-1', 'batch', NULL), ('x/m-1', 'parallel', NULL), ('m-1', 'parallel', 'p/q'))

@@ -98,9 +98,9 @@ def test_validation(spark, parsed, error):
         ({"rating": "9", "verdict": "FAIL", "issues": ["x"]}, (9.0, False, '["x"]', None)),
         ({"score": 9, "verdict": "NEEDS_REVIEW", "result": "no", "reason": "r"}, (9.0, False, "r", None)),
         ({"score": True, "pass": True}, (1.0, True, "", None)),
-        ({"score": 1}, (None, None, None, "judge failed the translation but gave no feedback")),
+        ({"score": 1}, (None, None, None, "a failed verdict needs feedback")),
         ({"score": "x", "rating": 3}, (None, None, None, "field 'score': not a number")),
-        ({"score": 11}, (None, None, None, "score is outside the configured 0-10 scale")),
+        ({"score": 11}, (None, None, None, "score is not within 0 to 10")),
         ({"verdict": "yes"}, (None, None, None, "missing a score field")),
     ],
 )
