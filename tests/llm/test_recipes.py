@@ -4,7 +4,6 @@ import hashlib
 import random
 import re
 
-import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,13 +69,3 @@ def test_chunks_are_cut_by_content(spark):
     assert len(cut[0]) > 50
     for other in cut[1:3]:
         assert len(set(cut[0]) - set(other)) <= 4  # after a change the cuts are the same again
-
-
-def test_query_against_its_sql(spark):
-    got = recipes.op11(spark, "/root/testdata/sf0.001").toPandas()
-    con = duckdb.connect()
-    con.execute("CREATE VIEW documents AS SELECT * FROM '/root/testdata/sf0.001/documents.parquet'")
-    want = con.execute(recipes.OP11_SQL).df()
-    assert sorted(got.columns) == sorted(want.columns)
-    rows = lambda df: sorted(df[sorted(want.columns)].itertuples(index=False, name=None))
-    assert rows(got) == rows(want)
