@@ -2,34 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
+from lexiloom.sources.shared import new_path, shared_folder
+from lexiloom.sources.shared import stored as written
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; where it is unset, a new temporary folder on a local master, as in tests, and an error on a cluster."""
-    sc = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not folder:
-        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        folder = "file://" + tempfile.mkdtemp(prefix="lexiloom-", dir="/tmp")
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(folder)
-    return folder
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/lexiloom/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows as a Parquet table in the shared folder: computed once, kept when executors are lost."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+__all__ = ["cut", "new_path", "shared_folder", "written"]
 
 
 def cut(df: DataFrame) -> DataFrame:
