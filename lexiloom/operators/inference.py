@@ -12,6 +12,7 @@ rows, another prompt or model, or stopped half way.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import reduce
@@ -87,8 +88,14 @@ class Answers:
         self.path, self.keep = path, keep or []
 
     def read(self, spark: SparkSession, attempt: int, schema: T.StructType) -> DataFrame | None:
+        """The answers that are there now.
+
+        Each read has an option of its own: Spark takes reads of one folder for the
+        same, whatever files they found, and would give a plan that unites reads from
+        before and after an answer the files of one of them twice.
+        """
         folder = f"{self.path}/attempt={attempt}"
-        return spark.read.schema(schema).parquet(folder) if exists(spark, folder) else None
+        return spark.read.schema(schema).option("lexiloom.read", uuid.uuid4().hex).parquet(folder) if exists(spark, folder) else None
 
     def ask(self, due: DataFrame, phase: Phase, attempt: int, error_of: Callable[[Column], Column]) -> T.StructType:
         """Ask what is due and add the answers, each with what its validation says."""

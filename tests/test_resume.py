@@ -109,6 +109,22 @@ def test_answers_written_twice_count_once(spark, tmp_path):
     assert attempts.count() == final.count() == 5
 
 
+def test_runs_over_one_log_in_one_plan(spark, tmp_path):
+    """Answers of two runs are united: each has the answers that the log held when it ran, also where joins shuffle."""
+    log, none = inference.Answers(str(tmp_path / "log"), ["part"]), lambda t: F.lit(None).cast("string")
+    plan = [inference.Phase("primary", "parallel", "m", 1, Calls(lambda prompt, settings: {"text": prompt}))]
+    rows = lambda word: spark.range(9).select(F.col("id").cast("string").alias("key"), (F.col("id") % 3).alias("part"), F.when(F.col("id") % 3 == 0, word).otherwise("same").alias("prompt"))
+    bound = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        inference.run_with_retries(rows("first").where("part = 1"), plan, none, log)  # so that both runs below find a log
+        both = [inference.run_with_retries(rows(w), plan, none, log)[1].groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.max("text").alias("text")).withColumn("run", F.lit(w)) for w in ("first", "then")]
+        got = {(r["run"], r["part"], r["n"], r["text"]) for r in both[0].unionByName(both[1]).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
+    assert got == {(w, p, 3, w if p == 0 else "same") for w in ("first", "then") for p in range(3)}
+
+
 def test_repeated_keys_are_an_error(spark, tmp_path):
     requests = spark.createDataFrame([("a", "p"), ("a", "q")], "key string, prompt string")
     plan = [inference.Phase("primary", "parallel", "m", 1, echo.backend)]
