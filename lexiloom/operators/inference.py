@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +30,9 @@ from lexiloom.sources.shared import stored
 
 Backend = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 RESULT = "key string, text string, error string, input_tokens long, output_tokens long, reasoning_tokens long, total_tokens long"
+COUNTS = ("input_tokens", "output_tokens", "reasoning_tokens", "total_tokens")
+#: Bits that tell which hashes of keys there are: 8 MB, whatever their number.
+BITS = 1 << 26
 ANSWER = ["request", *[c.split()[0] for c in RESULT.split(", ")], "attempt", "phase", "mode", "model", "failure", "ok"]
 
 
@@ -60,6 +64,48 @@ def request_id(phase: Phase, attempt: int) -> Column:
     return F.unhex(F.sha2(F.concat_ws("\x00", F.col("key"), F.sha2("prompt", 256), F.lit(asked)), 256))
 
 
+def _attached(backend: Backend):
+    """The backend over Arrow batches of requests with all their columns: each result goes back to its own request within the task.
+
+    A batch is held until its requests have results; the first result of a request counts.
+    """
+    kinds = {"text": pa.string(), "error": pa.string(), **dict.fromkeys(COUNTS, pa.int64())}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, pa.RecordBatch] = {}
+        places: dict[int, dict[str, int]] = {}
+        batch_of: dict[str, int] = {}
+
+        def frames() -> Iterator[pd.DataFrame]:
+            for i, batch in enumerate(batches):
+                if batch.num_rows:
+                    held[i], places[i] = batch, {str(k): r for r, k in enumerate(batch.column("key").to_pylist())}
+                    batch_of.update(dict.fromkeys(places[i], i))
+                    yield batch.select(["key", "prompt", "attempt"]).to_pandas()
+
+        def rows(i: int, at: list[int], got: dict[str, pa.Array]) -> pa.RecordBatch:
+            part = held[i].take(pa.array(at, pa.int64()))
+            return pa.RecordBatch.from_arrays([*part.columns, *got.values()], schema=pa.schema([*part.schema, *[pa.field(c, k) for c, k in kinds.items()]]))
+
+        for frame in backend(frames()):
+            of: dict[int, tuple[list[int], list[int]]] = {}
+            for k, key in enumerate(map(str, frame["key"])):
+                i = batch_of.pop(key, None)
+                if i is not None:
+                    at, mine = of.setdefault(i, ([], []))
+                    at.append(places[i].pop(key))
+                    mine.append(k)
+            for i, (at, mine) in of.items():
+                one = frame.iloc[mine]
+                yield rows(i, at, {c: pa.Array.from_pandas(one[c], type=k) for c, k in kinds.items()})
+                if not places[i]:
+                    del held[i], places[i]
+        for i, left in places.items():
+            yield rows(i, list(left.values()), {c: pa.nulls(len(left), k) for c, k in kinds.items()})
+
+    return run
+
+
 def infer(requests: DataFrame, phase: Phase, attempt: int) -> DataFrame:
     """One attempt: requests (key, prompt, ...) with text, error, token counts, attempt, phase, mode and model.
 
@@ -68,15 +114,31 @@ def infer(requests: DataFrame, phase: Phase, attempt: int) -> DataFrame:
     """
     backend = phase.backend.configured(phase.model, phase.settings | phase.transport) if hasattr(phase.backend, "configured") else phase.backend
     asked = requests.withColumn("attempt", F.lit(attempt))
-    sent = asked.select("key", "prompt", "attempt")
-    if isinstance(backend, Calls):
-        tasks = max(1, min(backend.workers, requests.sparkSession.sparkContext.defaultParallelism))
-        sent, backend = sent.repartition(tasks, "key"), backend.share(tasks).run
-    got = backend.results(sent) if isinstance(backend, FileJobs) else sent.mapInPandas(backend, RESULT)
-    out = asked.join(got, "key", "left")
+    if isinstance(backend, FileJobs):
+        out = asked.join(backend.results(asked.select("key", "prompt", "attempt")), "key", "left")
+    else:
+        if isinstance(backend, Calls):
+            tasks = max(1, min(backend.workers, requests.sparkSession.sparkContext.defaultParallelism))
+            asked, backend = asked.repartition(tasks, "key"), backend.share(tasks).run
+        out = asked.mapInArrow(_attached(backend), T.StructType([*asked.schema.fields, *T._parse_datatype_string(RESULT).fields[1:]]))
     return out.withColumns({"phase": F.lit(phase.name), "mode": F.lit(phase.mode), "model": F.lit(phase.model)})
 
 
+def of_keys(requests: DataFrame, keys: DataFrame) -> DataFrame:
+    """The requests with one of the keys.
+
+    Most others are left out before rows meet their keys in a shuffle, by a bitmap of
+    hashes of the keys, whose size does not grow with their number.
+    """
+    place = F.pmod(F.xxhash64("key"), F.lit(BITS)) + 1
+    maps = keys.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("_bits"))
+    bit = F.bitmap_bit_position("_place")
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    placed = requests.withColumn("_place", place)
+    maybe = placed.join(F.broadcast(maps), F.bitmap_bucket_number("_place") == F.col("_bucket")).where(F.getbit(byte, (bit % 8).cast("int")) == 1)
+    return maybe.select(*requests.columns).join(keys.select("key").distinct(), "key").select(*requests.columns)  # a semi-join would be moved below the bitmap
+
+
 class Answers:
     """The log of answers in a folder, by attempt; `keep` names columns of requests that go with them.
 
@@ -103,11 +165,11 @@ class Answers:
         blank = F.coalesce(F.trim("text") == "", F.lit(True))
         failed = F.coalesce(F.col("error"), F.when(F.col("input_tokens").isNull() & F.col("text").isNull(), "no result returned by backend"), F.when(blank, "empty response"), error_of(F.col("text")))
         rows = got.withColumn("failure", failed).withColumn("ok", F.col("failure").isNull()).select(*ANSWER, *self.keep, F.expr("uuid()").alias("answer"))
-        rows.write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(f"{self.path}/attempt={attempt}")
+        rows.write.mode("append").option("compression", "zstd").option("mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(f"{self.path}/attempt={attempt}")
         return rows.schema
 
-    def turn(self, due: DataFrame, phase: Phase, attempt: int, error_of: Callable[[Column], Column]) -> DataFrame:
-        """One answer for each request that is due, asked now where there is none."""
+    def turn(self, due: DataFrame, phase: Phase, attempt: int, error_of: Callable[[Column], Column]) -> tuple[DataFrame, bool]:
+        """One answer for each request that is due, asked now where there is none; and whether all were asked now."""
         spark, request = due.sparkSession, request_id(phase, attempt)
         due = due.withColumn("request", request)
         schema = infer_schema(due, self.keep)
@@ -119,13 +181,13 @@ class Answers:
             mine = stored(due.select("key", "request"), f"due{attempt}")
             lacking = mine.join(known.select("request"), "request", "left_anti")
             if not lacking.isEmpty():
-                self.ask(due.join(lacking.select("key"), "key", "left_semi"), phase, attempt, error_of)
+                self.ask(of_keys(due, lacking.select("key")), phase, attempt, error_of)
             rows = self.read(spark, attempt, schema).join(mine.select("request"), "request", "left_semi")
         several = rows.groupBy("request").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("ok", "answer")).alias("best")).where("n > 1")
         if several.isEmpty():
-            return rows.drop("answer")
+            return rows.drop("answer"), known is None
         other = several.select("request", F.col("best.answer").alias("chosen"))
-        return rows.join(other, "request", "left").where("chosen IS NULL OR chosen = answer").drop("answer", "chosen")
+        return rows.join(other, "request", "left").where("chosen IS NULL OR chosen = answer").drop("answer", "chosen"), known is None
 
 
 def infer_schema(due: DataFrame, keep: list[str]) -> T.StructType:
@@ -142,27 +204,33 @@ def check_unique(requests: DataFrame) -> None:
         raise ValueError(f"{twice['n']} requests have the key {twice['key']!r}")
 
 
-def run_with_retries(requests: DataFrame, plan: list[Phase], error_of: Callable[[Column], Column], log: Answers) -> tuple[DataFrame, DataFrame]:
+def run_with_retries(requests: DataFrame, plan: list[Phase], error_of: Callable[[Column], Column], log: Answers, prompts: bool = True) -> tuple[DataFrame, DataFrame]:
     """All attempts (the log's columns), and each request with the last of its own.
 
     `error_of` gives the validation error of a text column, null if it is fine.
     Attempts are numbered on through the phases; what is right is not asked again.
+    Requests at the end are without their prompts if these are not wanted: where the
+    log keeps all other columns and had no answers, nothing is joined then.
     """
     check_unique(requests)
-    turns, pending = [], requests
+    turns, pending, fresh = [], requests, True
     for phase in plan:
         for _ in range(phase.attempts):
-            turns.append(log.turn(pending, phase, len(turns) + 1, error_of))
-            left = turns[-1].where("NOT ok")
+            rows, asked = log.turn(pending, phase, len(turns) + 1, error_of)
+            turns.append(rows)
+            fresh = fresh and asked
+            left = rows.where("NOT ok")
             if left.isEmpty():
-                return _ended(requests, turns)
-            pending = requests.join(left.select("key"), "key", "left_semi")
-    return _ended(requests, turns)
+                return _ended(requests if prompts else requests.drop("prompt"), turns, log.keep if fresh else [])
+            pending = of_keys(requests, left.select("key"))
+    return _ended(requests if prompts else requests.drop("prompt"), turns, log.keep if fresh else [])
 
 
-def _ended(requests: DataFrame, turns: list[DataFrame]) -> tuple[DataFrame, DataFrame]:
+def _ended(requests: DataFrame, turns: list[DataFrame], kept: list[str]) -> tuple[DataFrame, DataFrame]:
     both = lambda dfs: reduce(DataFrame.unionByName, dfs)
     last = both([*[t.where("ok") for t in turns[:-1]], turns[-1]])  # what failed before the last turn was asked again
+    if set(requests.columns) <= {"key", *kept}:
+        return both(turns), last.select(*requests.columns, *[c for c in last.columns if c not in requests.columns])
     return both(turns), requests.join(last.drop(*[c for c in last.columns if c in requests.columns and c != "key"]), "key")
 
 

@@ -30,15 +30,15 @@ def requests(spark, sf_dir):
 FROM items GROUP BY language""")
 def translate_summary(spark, sf_dir):
     """Fan out, render, send the prompts to a model, parse, validate, ask again what failed, and sum by language; every answer is logged."""
-    asked = requests(spark, sf_dir).select("key", "language", "prompt", F.col("text").alias("source"))
+    asked = requests(spark, sf_dir).select("key", "language", "prompt")
     model = fixture.model(fixture.translator)
     plan = inference.phases(inference.Phase("primary", "batch", "m", 2, model), inference.Phase("fallback", "parallel", "m", 1, model))
 
     def error_of(response):
-        source = F.struct(F.coalesce("source", F.lit("")).alias("text"))
+        source = F.struct(F.substr("prompt", F.locate("\n", F.col("prompt")) + 1).alias("text"))
         return text.let(parse.json_object(response), lambda p: F.coalesce(p["error"], validate.translation_error(p["value"], source, TEXT)))
 
-    _, final = inference.run_with_retries(asked, plan, error_of, inference.Answers(new_path(spark, "answers")))
+    _, final = inference.run_with_retries(asked, plan, error_of, inference.Answers(new_path(spark, "answers"), ["language"]), prompts=False)
     size = F.length(F.get_json_object(parse.json_object(F.col("text"))["value"], "$.text"))
     return final.groupBy("language").agg(F.count(F.lit(1)).alias("n_items"), F.count_if("ok").cast("long").alias("n_valid"), F.sum("attempt").cast("long").alias("n_attempts"), F.sum(size).cast("long").alias("translated_chars"))
 

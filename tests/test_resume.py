@@ -125,6 +125,26 @@ def test_runs_over_one_log_in_one_plan(spark, tmp_path):
     assert got == {(w, p, 3, w if p == 0 else "same") for w in ("first", "then") for p in range(3)}
 
 
+def test_requests_meet_answers_within_tasks(spark, tmp_path):
+    """A first run moves no request but those that failed, and these past a bitmap; each answer is its own request's, in any order, or none."""
+    requests = spark.range(0, 60, 1, 3).select(F.concat(F.lit("k"), "id").alias("key"), F.concat(F.lit("p"), "id").alias("prompt"), F.struct("id", F.array("id").alias("a")).alias("more"))
+
+    def backwards(frames):
+        for f in frames:
+            f = f[(f["attempt"] > 1) | (f["key"].str[-1] != "3")].iloc[::-1]  # no result for some
+            yield f[["key"]].assign(text=f["prompt"].where((f["attempt"] > 1) | (f["key"].str[-1] != "5"), ""), error=None, input_tokens=1, output_tokens=1, reasoning_tokens=0, total_tokens=2)
+
+    phase = inference.Phase("primary", "batch", "m", 2, backwards)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan(inference.infer(requests, phase, 1))
+    log = inference.Answers(str(tmp_path / "log"), ["more"])
+    attempts, final = inference.run_with_retries(requests, [phase], lambda t: F.when(F.col("more.id") < 0, "never"), log, prompts=False)
+    assert "Join" not in plan(final) and attempts.count() == 72
+    assert {(r["key"], r["text"], r["more"]["a"][0], r["attempt"]) for r in final.collect()} == {(f"k{i}", f"p{i}", i, 2 if i % 10 in (3, 5) else 1) for i in range(60)}
+    some = inference.of_keys(requests, requests.where("more.id % 7 = 0").select("key"))
+    assert sorted(r["more"]["id"] for r in some.collect()) == list(range(0, 60, 7)) and "bitmap" in plan(some)
+
+
 def test_repeated_keys_are_an_error(spark, tmp_path):
     requests = spark.createDataFrame([("a", "p"), ("a", "q")], "key string, prompt string")
     plan = [inference.Phase("primary", "parallel", "m", 1, echo.backend)]
