@@ -220,7 +220,7 @@ def ordered_verify(spark, sf_dir):
     moved = F.when(F.col("lang") != "en", F.col("row_index")).when(k == 2, F.col("row_index") + 1).when(k == 3, F.col("row_index") - 1).otherwise(F.col("row_index"))
     copy = identity.row_index(d, ["doc_id"], ["lang"]).withColumn("place", moved)
     last = copy.groupBy("lang").agg(F.max("row_index").alias("last"))
-    copy = copy.join(last, "lang").withColumn("place", F.when((F.col("place") > F.col("last")), F.col("row_index")).otherwise(F.col("place")))
+    copy = copy.join(F.broadcast(last), "lang").withColumn("place", F.when((F.col("place") > F.col("last")), F.col("row_index")).otherwise(F.col("place")))
     return writers.verify_order(d.select("lang", "text", "doc_id"), copy.select("lang", "text", "place"), "lang", ["text"], ["doc_id"], ["place"])
 
 

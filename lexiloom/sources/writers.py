@@ -14,6 +14,10 @@ from lexiloom.operators.identity import row_index
 from lexiloom.operators.preparation import chunk_of
 
 
+#: Ordinals of a value that are looked up together when orders are compared.
+RUN = 1 << 14
+
+
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite", files: int | None = None) -> None:
     """JSON lines with nulls kept; `append` is the audit log."""
     (df.coalesce(files) if files else df).write.mode(mode).option("ignoreNullFields", False).json(path)
@@ -112,12 +116,14 @@ def order_digests(rows: DataFrame) -> DataFrame:
 def verify_order(source: DataFrame, parts: DataFrame, value: str, columns: list[str], source_order: list[str], parts_order: list[str]) -> DataFrame:
     """Values whose rows are not the same in the same order: value, first_at (ordinal), n_differ, n_missing, n_extra.
 
-    Only rows of values whose digests differ are compared one by one.
+    Only rows of values whose digests differ are compared one by one; they are found
+    by runs of RUN ordinals, so that no task has all rows of a value.
     """
     a, b = ordered(source, value, columns, source_order), ordered(parts, value, columns, parts_order)
     both = order_digests(a).alias("a").join(order_digests(b).alias("b"), F.col("a.value").eqNullSafe(F.col("b.value")), "full")
-    odd = both.where("NOT a.d <=> b.d").select(F.coalesce("a.value", "b.value").alias("odd"))
-    few = lambda rows: rows.join(odd, F.col("value").eqNullSafe(F.col("odd")), "left_semi")
+    runs = F.sequence(F.lit(0), F.floor(F.greatest("a.n", "b.n") / RUN).cast("int"))
+    odd = both.where("NOT a.d <=> b.d").select(F.coalesce("a.value", "b.value").alias("odd"), F.explode(runs).alias("run"))
+    few = lambda rows: rows.join(odd, F.col("value").eqNullSafe(F.col("odd")) & (F.floor(F.col("ordinal") / RUN).cast("int") == F.col("run")), "left_semi")
     same = F.col("x.value").eqNullSafe(F.col("y.value")) & (F.col("x.ordinal") == F.col("y.ordinal"))
     rows = few(a).alias("x").join(few(b).alias("y"), same, "full").where("NOT x.digest <=> y.digest")
     rows = rows.select(F.coalesce("x.value", "y.value").alias("value"), F.coalesce("x.ordinal", "y.ordinal").alias("ordinal"), F.col("y.digest").isNull().alias("missing"), F.col("x.digest").isNull().alias("extra"))

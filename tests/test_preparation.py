@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from lexiloom.functions.canonical import canonical_row
 from lexiloom.functions.exact import exact_mean, exact_sum
 from lexiloom.functions.text import strip_tags
+from lexiloom.operators import identity
 from lexiloom.operators.asof import asof_join
 from lexiloom.operators.passages import held_passages, shards
 from lexiloom.operators.records import page_records, pieces, spans
@@ -154,3 +155,14 @@ def test_line_numbers_over_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert sorted(r["line_number"] for r in found if r["file"].endswith("a.jsonl")) == [i + 1 for i, x in enumerate(lines) if x == "{bad"]
     assert [(r["line_number"], r["line"]) for r in found if r["file"].endswith("b.jsonl")] == [(2, "no")]
+
+
+def test_positions_move_rows_once(spark):
+    """Counts of partitions are few, so rows are sorted and not shuffled again, and orders are compared in runs, so no value is in one task."""
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    rows = spark.range(0, 500, 1, 5).select("id", (F.col("id") % 2).alias("v"), F.lit("t").alias("t"))
+    placed = identity.row_index(rows, [F.desc("id")], ["v"])
+    assert "SortMergeJoin" not in plan(placed) and plan(placed).count("hashpartitioning") == 0
+    assert {(r["id"], r["row_index"]) for r in placed.collect()} == {(i, (499 - i) // 2) for i in range(500)}
+    odd = writers.verify_order(rows, rows.withColumn("id", -F.col("id")).withColumn("t", F.concat("t", F.when(F.col("v") == 1, "x").otherwise(""))), "v", ["t"], ["id"], ["id"])
+    assert [tuple(r) for r in odd.select("value", "first_at", "n_differ").collect()] == [(1, 0, 250)] and "run" in plan(odd)
