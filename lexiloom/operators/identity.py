@@ -55,10 +55,15 @@ def attach_row_ids(rows: DataFrame, benchmark: str, config: str, split: str, ord
     indexed = row_index(rows, order)
     content = canonical_row(rows.schema, [c for c in rows.columns if not c.startswith("__")])
     made = content_id(benchmark, F.lit(config), F.lit(split), F.col("row_index"), content)
-    if id_field not in rows.columns:
-        return disambiguate(indexed.withColumn(id_field, made), id_field, ["row_index"])
-    own = F.col(f"`{id_field}`").cast("string")
-    return disambiguate(indexed.withColumn("_id", F.when(own.isNull() | (own == ""), made).otherwise(own)), "_id", ["row_index"]).drop("_id")
+    own = F.col(f"`{id_field}`").cast("string") if id_field in rows.columns else F.lit(None).cast("string")
+    named = indexed.withColumn("_id", F.when(own.isNull() | (own == ""), made).otherwise(own))
+    renamed = stored(disambiguate(named.select("row_index", "_id"), "_id", ["row_index"]).where(~F.col("row_id").eqNullSafe(F.col("_id"))).select("row_index", "row_id"), "renamed")
+    if renamed.isEmpty():  # ids are numbered on their own, and rows meet only those that repeat
+        out = named.withColumnRenamed("_id", "row_id")
+    else:
+        out = named.join(renamed, "row_index", "left").withColumn("row_id", F.coalesce("row_id", "_id")).drop("_id")
+    out = out if id_field in rows.columns else out.withColumn(id_field, made)
+    return out.select(*[c for c in rows.columns if c not in ("row_index", "row_id")], *([id_field] if id_field not in rows.columns else []), "row_index", "row_id")
 
 
 def has_path(schema: T.StructType, path: str) -> bool:

@@ -61,7 +61,7 @@ class Run:
 #: Settings of a stage that an answer depends on, and those that it does not.
 ASKED = ("temperature", "max_output_tokens", "json_mode", "thinking_budget", "api_base", "extra_params")
 TRANSPORT = ("num_workers", "num_retries", "request_timeout", "max_requests_per_batch", "api_key_env", "poll_interval_seconds", "poll_timeout_hours", "delete_uploaded_files")
-#: Columns of requests that go into the log, for the usage of units and languages.
+#: Columns of requests that go into the log first, for the usage of units and languages; the others but the prompt follow.
 LOGGED = ["dataset_config", "split", "language"]
 
 
@@ -76,8 +76,10 @@ def _phases(run: Run, stage: Stage) -> list[inference.Phase]:
 
 
 def _answered(run: Run, stage: Stage, requests: DataFrame, error_of: Callable[[Column], Column], where: str) -> tuple[DataFrame, DataFrame]:
-    """All attempts, and the final one of each request; every attempt stays in the log."""
-    return inference.run_with_retries(requests, _phases(run, stage), error_of, inference.Answers(f"{where}/attempts", LOGGED))
+    """All attempts, and the final one of each request, without the prompt but with its hash; every attempt stays in the log, with its request."""
+    asked = requests.withColumn("prompt_hash", F.substring(F.sha2("prompt", 256), 1, 16))
+    kept = [*LOGGED, *[c for c in asked.columns if c not in ("key", "prompt", *LOGGED)]]
+    return inference.run_with_retries(asked, _phases(run, stage), error_of, inference.Answers(f"{where}/attempts", kept), prompts=False)
 
 
 def _usage(run: Run, attempts: DataFrame) -> DataFrame:
@@ -107,9 +109,9 @@ def rows_of(run: Run, unit: Unit, limit: int = 0) -> DataFrame:
     return with_ids.where(F.col("row_index") < limit) if limit else with_ids
 
 
-def _items(run: Run, unit: Unit, number: int, group: list[str], limit: int) -> tuple[DataFrame, T.StructType]:
+def _items(run: Run, unit: Unit, number: int, group: list[str], limit: int, rows: DataFrame | None = None) -> tuple[DataFrame, T.StructType]:
     c = run.config
-    rows = rows_of(run, unit, limit)
+    rows = rows_of(run, unit, limit) if rows is None else rows
     lost = identity.missing_fields(rows.schema, group)
     if lost:
         raise ValueError(f"{unit.label}: no fields {lost}; there are {[x for x in rows.columns if not x.startswith('__')]}")
@@ -125,9 +127,12 @@ def translate(run: Run, units: list[Unit] | None = None, limit: int = 0) -> Data
     units = units or [u for u in run.config.units if run.only is None or (u.config, u.split) in run.only]
     for unit in units:
         place = {"dataset_config": F.lit(unit.config), "split": F.lit(unit.split)}
-        versions.commit(rows_of(run, unit, limit).withColumnsRenamed({c: f"source_{c}" for c in place}).withColumns(place), snapshot(run, unit), [(unit.config, unit.split)], key="row_id" if limit else None)
+        rows = rows_of(run, unit, limit)
+        kept = versions.commit(rows.withColumnsRenamed({c: f"source_{c}" for c in place}).withColumns(place), snapshot(run, unit), [(unit.config, unit.split)], key="row_id" if limit else None)
+        if not limit:  # then the snapshot has these rows and no others
+            rows = kept.drop(*place).withColumnsRenamed({f"source_{c}": c for c in place}).select(*rows.columns)
         for number, group in enumerate(identity.groups_for(run.config.fields, unit.config, unit.split)):
-            items, kind = _items(run, unit, number, group, limit)
+            items, kind = _items(run, unit, number, group, limit, rows)
             values = template.prompt_values(F.col("source"), kind, F.col("language"), F.col("script"), F.col("language_code"))
             requests = items.withColumns({"key": F.col("record_id"), "prompt": template.render(prompt, values)})
 
@@ -150,7 +155,7 @@ def translate(run: Run, units: list[Unit] | None = None, limit: int = 0) -> Data
 def _provenance(stage: Stage, prompt: str) -> list[Column]:
     """Where a record came from: the prompt, its digest, the request and the time."""
     now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX")
-    return [F.lit(stage.prompt).alias("prompt_path"), F.lit(hashlib.sha256(prompt.encode()).hexdigest()).alias("prompt_sha256"), F.substring(F.sha2("prompt", 256), 1, 16).alias("prompt_hash"), F.col("key").alias("request_key"), now.alias("timestamp")]
+    return [F.lit(stage.prompt).alias("prompt_path"), F.lit(hashlib.sha256(prompt.encode()).hexdigest()).alias("prompt_sha256"), F.col("prompt_hash"), F.col("key").alias("request_key"), now.alias("timestamp")]
 
 
 def _write(run: Run, parts: list[DataFrame], attempts: list[DataFrame], stage: str, round_: int, units: list[versions.UnitKey], part: bool) -> DataFrame:

@@ -137,7 +137,7 @@ def commit(df: DataFrame, table: str, units: list[UnitKey], key: str | None = No
     for i, (config, split) in enumerate(units):
         number_of = F.when((F.col(UNIT[0]) == config) & (F.col(UNIT[1]) == split), i).otherwise(number_of)
     stray = F.raise_error(F.concat(F.lit("a row of another unit: "), F.coalesce(UNIT[0], F.lit("")), F.lit("/"), F.coalesce(UNIT[1], F.lit(""))))
-    put = lambda rows, name: rows.withColumn("unit", F.coalesce(number_of, stray)).write.partitionBy("unit").parquet(f"{table}/data/{name}")
+    put = lambda rows, name: rows.withColumn("unit", F.coalesce(number_of, stray)).write.partitionBy("unit").option("compression", "zstd").parquet(f"{table}/data/{name}")
     put(df, own)
     schema = _merged(None, df.schema)
     while True:

@@ -166,3 +166,15 @@ def test_positions_move_rows_once(spark):
     assert {(r["id"], r["row_index"]) for r in placed.collect()} == {(i, (499 - i) // 2) for i in range(500)}
     odd = writers.verify_order(rows, rows.withColumn("id", -F.col("id")).withColumn("t", F.concat("t", F.when(F.col("v") == 1, "x").otherwise(""))), "v", ["t"], ["id"], ["id"])
     assert [tuple(r) for r in odd.select("value", "first_at", "n_differ").collect()] == [(1, 0, 250)] and "run" in plan(odd)
+
+
+def test_row_ids_join_only_repeats(spark):
+    """Rows with ids of their own are not sorted again for repeats; those that repeat are numbered, generated ones are not."""
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    rows = spark.range(6).select(F.col("id").alias("__at"), F.concat(F.lit("r"), "id").alias("id"))
+    own = identity.attach_row_ids(rows, "b", "c", "s", ["__at"])
+    assert plan(own).count("Join") == 1  # the one that gives row_index
+    assert [(r["row_index"], r["row_id"]) for r in own.orderBy("row_index").collect()] == [(i, f"r{i}") for i in range(6)]
+    twice = identity.attach_row_ids(rows.withColumn("id", F.when(F.col("__at") == 3, "").otherwise(F.concat(F.lit("r"), (F.col("__at") % 2).cast("string")))), "b", "c", "s", ["__at"])
+    got = [r["row_id"] for r in twice.orderBy("row_index").collect()]
+    assert [*got[:3], *got[4:]] == ["r0", "r1", "r0#1", "r0#2", "r1#1"] and len(got[3]) == 36
