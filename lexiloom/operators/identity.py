@@ -14,13 +14,14 @@ from lexiloom.sources.shared import stored
 def row_index(df: DataFrame, order: list, within: list[str] | None = None, name: str = "row_index") -> DataFrame:
     """0-based position in a stated order, in each unit of `within` if given (null is a unit).
 
-    The order is made by a range sort, and positions by counts of the sorted
+    Without order and units, rows are numbered as their partitions have them and
+    nothing is shuffled; else the order is made by a range sort, and positions by counts of the sorted
     partitions, so no task sees all rows, nor all rows of a unit.  The sorted rows
     are stored, so that both uses see the same partitions, and so are the counts: where
     they are small, Spark sends them to the rows, which are not shuffled again.
     """
     keys = list(within or [])
-    placed = stored(df.orderBy(*keys, *order).withColumn("_at", F.monotonically_increasing_id()), "placed").withColumn("_part", F.shiftright("_at", 33))
+    placed = stored((df.orderBy(*keys, *order) if keys or order else df).withColumn("_at", F.monotonically_increasing_id()), "placed").withColumn("_part", F.shiftright("_at", 33))
     units = {c: f"_u{i}" for i, c in enumerate(keys)}
     sizes = placed.groupBy("_part", *[F.col(c).alias(u) for c, u in units.items()]).agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
     earlier = Window.partitionBy(*units.values()).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each sorted partition that has the unit

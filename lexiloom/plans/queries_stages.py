@@ -404,13 +404,14 @@ def batch_jobs(spark, sf_dir):
     """Prompts through files of requests, jobs of at most 400 of them, and prediction lines that are matched back by their prompts."""
     d = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("key"), "lang", F.concat(F.lit("Say: "), F.coalesce("text", F.lit(""))).alias("prompt"))
 
-    def job(model, source, target, settings):
+    def jobs(model, source, target, names, settings):
         line = F.col("value")
         size = F.length(routing.echoed_prompt(line)).cast("string")
         answer = F.concat(F.lit(', "response": {"candidates": [{"content": {"parts": [{"text": "'), size, F.lit('"}]}}], "usageMetadata": {"promptTokenCount": '), (F.length(routing.echoed_prompt(line)) % 1000).cast("string"), F.lit("}}}"))
-        spark.read.option("lineSep", "\n").text(source).select(F.concat(F.substring(line, F.lit(1), F.length(line) - 1), answer)).write.option("lineSep", "\n").text(target)
+        asked = spark.read.option("lineSep", "\n").option("basePath", source).text([f"{source}/{name}" for name in names])
+        asked.select("chunk", F.concat(F.substring(line, F.lit(1), F.length(line) - 1), answer)).write.partitionBy("chunk").option("lineSep", "\n").text(target)
 
-    plan = [inference.Phase("primary", "batch", "m", 1, batches.FileJobs(job, size=400), {"temperature": 0.2})]
+    plan = [inference.Phase("primary", "batch", "m", 1, batches.FileJobs(jobs, size=400, wave=512), {"temperature": 0.2})]
     _, final = inference.run_with_retries(d, plan, lambda t: F.lit(None).cast("string"), inference.Answers(new_path(spark, "answers")))
     return final.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("text").cast("long")).alias("chars"), F.sum("input_tokens").alias("input_tokens"), F.count_if(~F.col("ok")).cast("long").alias("n_failed"))
 

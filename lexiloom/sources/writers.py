@@ -130,7 +130,11 @@ def verify_order(source: DataFrame, parts: DataFrame, value: str, columns: list[
     return rows.groupBy("value").agg(F.min("ordinal").alias("first_at"), F.count(F.lit(1)).alias("n_differ"), F.count_if("missing").cast("long").alias("n_missing"), F.count_if("extra").cast("long").alias("n_extra"))
 
 
-def write_chunks(requests: DataFrame, path: str, size: int = 50_000) -> None:
-    """Request lines (ordinal, line) in folders chunk=<n> of at most `size` lines each, in order."""
+def write_chunks(requests: DataFrame, path: str, size: int = 50_000, near: bool = False) -> None:
+    """Request lines (ordinal, line) in folders chunk=<n> of at most `size` lines each, in order.
+
+    Where rows of near ordinals are near one another, they are not shuffled; a chunk
+    that two tasks have is two files then.
+    """
     chunked = requests.withColumn("chunk", chunk_of(F.col("ordinal"), size))
-    chunked.repartition("chunk").sortWithinPartitions("chunk", "ordinal").select("chunk", "line").write.partitionBy("chunk").option("lineSep", "\n").text(path)
+    (chunked if near else chunked.repartition("chunk")).sortWithinPartitions("chunk", "ordinal").select("chunk", "line").write.partitionBy("chunk").option("lineSep", "\n").text(path)

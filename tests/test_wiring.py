@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_resume import setup
 
-from lexiloom.operators import identity, inference
+from lexiloom.operators import identity, inference, routing
 from lexiloom.operators.batches import FileJobs
 from lexiloom.plans import stages
 from lexiloom.sources import readers, versions, writers
@@ -75,6 +75,41 @@ def test_jobs_that_fail_are_asked_again(spark, tmp_path):
     assert failed == {"batch error: RuntimeError: quota", "no result returned by backend"} and attempts.where("attempt = 2").count() == 5
 
 
+def test_jobs_are_handed_over_in_waves(spark):
+    """Five jobs of two requests go out in three calls; one that fails loses its own requests only, also where prompts repeat."""
+    calls = []
+
+    def jobs(model, source, target, names, settings):
+        calls.append(sorted(names))
+        lines = spark.read.option("basePath", source).text([f"{source}/{n}" for n in names])
+        assert lines.groupBy("chunk").count().where("count > 2").isEmpty()
+        answered = F.concat(F.expr("substring(value, 1, length(value) - 1)"), F.lit(', "response": {"candidates": [{"content": {"parts": [{"text": "fine"}]}}]}}'))
+        lines.where("chunk <> 1").select("chunk", answered).write.partitionBy("chunk").text(target)
+        return {n: "quota" for n in names if n == "chunk=1"}
+
+    requests = spark.range(10).coalesce(1).select(F.format_string("k%02d", "id").alias("key"), F.concat(F.lit("p"), F.col("id") % 2).alias("prompt"))
+    got = {r["key"]: (r["text"], r["error"]) for r in FileJobs(jobs, size=2, wave=2, at_once=1).results(requests).collect()}
+    assert calls == [["chunk=0", "chunk=1"], ["chunk=2", "chunk=3"], ["chunk=4"]]
+    assert got == {f"k{i:02d}": (None, "quota") if i in (2, 3) else ("fine", None) for i in range(10)}
+
+    def job(model, source, target, settings):
+        if source.endswith("chunk=1"):
+            raise RuntimeError("quota")
+        jobs(model, source.rpartition("/")[0], target.rpartition("/")[0], [source.rpartition("/")[2]], settings)
+
+    keys = [r["key"] for r in FileJobs(job, size=2, at_once=1).results(requests).collect()]
+    assert sorted(keys) == [f"k{i:02d}" for i in range(10)]  # no request has both an error and the line of another
+
+
+def test_response_is_read_on_its_own(spark):
+    """Values that are read from the response alone are those read from the line, whatever the response is."""
+    odd = ['{"response": {"candidates": [{"content": {"parts": [{"text": "a\\u00e9\\n"}]}, "finishReason": "STOP"}], "usageMetadata": {"promptTokenCount": 3}}}', '{"response": "{\\"candidates\\": []}"}', '{"response": "x", "request": {"response": {"a": 1}}}']
+    odd += ['{"response": {}}', '{"response": null}', '{"response": []}', "{}", "", "no json", '{"response": {"candidates": [', '{"error": {"code": 7}, "response": {"candidates": []}}', '{"response":{"usage_metadata":{"candidates_token_count":"5"}},"status":"x"}']
+    lines = spark.createDataFrame([(x,) for x in odd], "value string").withColumn("response", routing.response_object(F.col("value")))
+    both = lines.select(routing.decode_line(F.col("value")).alias("a"), routing.decode_line(F.col("value"), F.col("response")).alias("b"), "response").collect()
+    assert all(r["a"] == r["b"] for r in both) and [i for i, r in enumerate(both) if r["response"]] == [0, 3, 10, 11]
+
+
 def test_old_versions_of_stages_go(spark, tmp_path):
     run = setup(spark, tmp_path, languages={"Hindi": "hi"})
     run.only = [("default", "val")]
