@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import random
 import zlib
-from bisect import bisect_right, insort
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,33 +50,41 @@ class Bins:
         self.sizes, self.capacity = sizes, capacity
         self.bins: list[list[int]] = []
         self.room: list[int] = []
-        self.by_room: list[list[int]] = [[] for _ in range(capacity + 1)]
-        self.mask = 0
-
-    def open(self, items: list[int]) -> None:
-        room = self.capacity - sum(map(self.sizes.__getitem__, items))
+        self.by_room: dict[int, list[int]] = {}
+        self.rooms: list[int] = []  # in ascending order, those that some bin has
+
+    def open(self, items: list[int], room: int | None = None) -> None:
+        if room is None:
+            room = self.capacity - sum(map(self.sizes.__getitem__, items))
+        if same := self.by_room.get(room):
+            same.append(len(self.bins))
+        else:
+            self.by_room[room] = [len(self.bins)]
+            insort(self.rooms, room)
         self.bins.append(items)
         self.room.append(room)
-        self.by_room[room].append(len(self.bins) - 1)
-        self.mask |= 1 << room
 
     def place(self, items: list[int]) -> None:
         """Put each piece in the bin that it leaves least room in, or in a new one."""
-        sizes, by_room, room = self.sizes, self.by_room, self.room
+        sizes, by_room, room, bins, rooms = self.sizes, self.by_room, self.room, self.bins, self.rooms
         for i in items:
             size = sizes[i]
-            fit = self.mask >> size
-            if fit:
-                r = size + (fit & -fit).bit_length() - 1
-                b = by_room[r].pop()
-                if not by_room[r]:
-                    self.mask ^= 1 << r
-                self.bins[b].append(i)
-                room[b] = r - size
-                by_room[r - size].append(b)
-                self.mask |= 1 << (r - size)
+            at = bisect_left(rooms, size)
+            if at == len(rooms):
+                self.open([i], self.capacity - size)
+                continue
+            r = rooms[at]
+            same = by_room[r]
+            b = same.pop()
+            if not same:
+                del rooms[at], by_room[r]
+            bins[b].append(i)
+            room[b] = r = r - size
+            if r in by_room:
+                by_room[r].append(b)
             else:
-                self.open([i])
+                by_room[r] = [b]
+                insort(rooms, r)
 
     def fitness(self) -> tuple[int, int]:
         """Fewer bins first, then the sum of squared fills."""
@@ -101,19 +109,17 @@ def lower_bound(sizes: list[int], capacity: int) -> int:
     total = np.concatenate([[0], np.cumsum(s)])
     after = lambda x: int(np.searchsorted(-s, -x, side="left"))  # noqa: E731  how many pieces are larger than x
     half, best = after(capacity // 2), max(-(-after(capacity // (k + 1)) // k) for k in range(1, 10))
-    for least in [0, *np.unique(s[s <= capacity // 2]).tolist()]:
-        lone, small = after(capacity - least), after(least - 1)
-        rest = total[small] - total[half] - ((half - lone) * capacity - (total[half] - total[lone]))
-        best = max(best, half + max(0, -(-int(rest) // capacity)))
-    return best
+    least = np.concatenate([[0], np.unique(s[s <= capacity // 2])])
+    lone, small = np.searchsorted(-s, least - capacity), np.searchsorted(-s, 1 - least)
+    rest = total[small] - total[half] - ((half - lone) * capacity - (total[half] - total[lone]))
+    return max(best, half + max(0, int((-(-rest // capacity)).max())))
 
 
-def put_back(made: list[list[int]], displaced: list[int], sizes: list[int], capacity: int) -> Bins:
-    """Bins with the displaced pieces: first in exchange for smaller ones of bins of few pieces, then by best fit."""
+def put_back(made: list[tuple[list[int], int]], displaced: list[int], sizes: list[int], capacity: int) -> Bins:
+    """Bins, given with their free space, with the displaced pieces: first in exchange for smaller ones of bins of few pieces, then by best fit."""
     free = sorted((sizes[i], i) for i in displaced)
     out = Bins(sizes, capacity)
-    for items in made:
-        room = capacity - sum(map(sizes.__getitem__, items))
+    for items, room in made:
         if room and free and len(items) <= SWAPPED:
             n, best = len(items), (0, 0, ())
             for x in range(n):
@@ -127,8 +133,8 @@ def put_back(made: list[list[int]], displaced: list[int], sizes: list[int], capa
                 new = [i for k, i in enumerate(items) if k not in gone] + [free.pop(at)[1]]
                 for k in gone:
                     insort(free, (sizes[items[k]], items[k]))
-                items = new
-        out.open(items)
+                items, room = new, room - best[0]
+        out.open(items[:], room)
     out.place([i for _, i in reversed(free)])
     return out
 
@@ -136,13 +142,12 @@ def put_back(made: list[list[int]], displaced: list[int], sizes: list[int], capa
 def crossover(one: Bins, two: Bins, rng: random.Random) -> Bins:
     """Inject well-filled bins of `two` into `one`."""
     sizes, capacity = one.sizes, one.capacity
-    good = [b for b, room in zip(two.bins, two.room, strict=True) if room * FULL < capacity]
-    chosen = [b for b in good if rng.random() < INJECT] or [two.bins[min(range(len(two.bins)), key=two.room.__getitem__)]]
-    taken = {i for b in chosen for i in b}
-    made, displaced = [list(b) for b in chosen], []
-    for b in one.bins:
+    good = [x for x in zip(two.bins, two.room, strict=True) if x[1] * FULL < capacity]
+    made = [x for x in good if rng.random() < INJECT] or [min(zip(two.bins, two.room, strict=True), key=lambda x: x[1])]
+    taken, displaced = {i for b, _ in made for i in b}, []
+    for b, room in zip(one.bins, one.room, strict=True):
         if taken.isdisjoint(b):
-            made.append(list(b))
+            made.append((b, room))
         else:
             displaced.extend(i for i in b if i not in taken)
     return put_back(made, displaced, sizes, capacity)
@@ -153,7 +158,7 @@ def mutated(one: Bins, rng: random.Random) -> Bins:
     n = len(one.bins)
     few = max(1, int(n * EMPTIED / 2))
     out = set(sorted(range(n), key=one.room.__getitem__, reverse=True)[:few]) | set(rng.sample(range(n), few))
-    return put_back([list(b) for k, b in enumerate(one.bins) if k not in out], [i for k in out for i in one.bins[k]], one.sizes, one.capacity)
+    return put_back([(b, one.room[k]) for k, b in enumerate(one.bins) if k not in out], [i for k in out for i in one.bins[k]], one.sizes, one.capacity)
 
 
 def _numbers(bins: list[list[int]], n: int) -> list[int]:

@@ -70,7 +70,7 @@ class Coder:
         self.added = added
         self.split = regex.compile(PATTERN).findall
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")").split if added else None
-        self.odd = [c + " " for c in map(chr, range(0x3001)) if regex.match(f"[{SPACES}]", c)]  # of these some, with white space after it, is no cut
+        self.odd = [(c, c + " ") for c in map(chr, range(0x3001)) if regex.match(f"[{SPACES}]", c)]  # of these some, with white space after it, is no cut
         self.word = lambda w: array("I", word(w)).tobytes()
         self.words = Cache(self.word, most // 4)
         self.spaced = Cache(self._spaced, most)
@@ -99,7 +99,7 @@ class Coder:
     def _plain(self, run: str) -> bytes:
         if not run:
             return b""
-        if any(x in run for x in self.odd):
+        if any(c in run and x in run for c, x in self.odd):
             out = b"".join(map(self.words.__getitem__, self.split(run)))
         else:
             head, *rest = run.split(" ")

@@ -210,6 +210,29 @@ def test_genetic_algorithm_has_fewer_bins_than_best_fit_decreasing(least, most):
     assert bound <= len(bred[0].bins) < min(0.99 * plain, len(begun[0].bins))
 
 
+def test_packing_search_is_lean(monkeypatch):
+    """Best fit is what a plain search gives, without a table of the capacity's size; the bound takes a few searches, whatever the number of sizes."""
+    rng = random.Random(4)
+    for _ in range(200):
+        capacity = rng.choice([1, 3, 10, 100])
+        sizes = sorted((rng.randint(1, capacity) for _ in range(rng.randrange(40))), reverse=True)
+        order = rng.sample(range(len(sizes)), len(sizes))
+        room: list[int] = []
+        for i in order:
+            fits = [r for r in room if r >= sizes[i]]
+            if fits:
+                room[room.index(min(fits))] -= sizes[i]
+            else:
+                room.append(capacity - sizes[i])
+        got = packing.best_fit(sizes, order, capacity)
+        assert sorted(got.room) == sorted(room) and sorted(i for b in got.bins for i in b) == list(range(len(sizes)))
+        assert all(capacity - sum(sizes[i] for i in b) == r for b, r in zip(got.bins, got.room, strict=True))
+    assert not packing.Bins([], 1 << 20).by_room
+    calls, search = [], np.searchsorted
+    monkeypatch.setattr(np, "searchsorted", lambda *a, **b: calls.append(1) or search(*a, **b))
+    assert packing.lower_bound(list(range(2000, 0, -1)), 2048) == -(-sum(range(2001)) // 2048) and len(calls) < 20
+
+
 def test_packing_of_many_equal_rows(spark):
     """No shard, so no task, holds much more than its share of equal rows."""
     pieces = spark.range(100_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(700).cast("long").alias("length"))
