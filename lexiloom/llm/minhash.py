@@ -109,7 +109,7 @@ def _full_sets(k: int):
 
 def _by_pivot(pairs: DataFrame) -> dict[int, int]:
     """Pivots that many of the (a, b) pairs have."""
-    return heavy_keys(pairs.groupBy("b").agg(F.count(F.lit(1)).alias("n")), ["b"])
+    return heavy_keys(pairs.groupBy("b").agg(F.count(F.lit(1)).alias("n")), ["b"], pairs.count())
 
 
 def _with_sets(pairs: DataFrame, sets: DataFrame, heavy: dict[int, int]) -> DataFrame:
@@ -235,8 +235,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     for _ in range(2):
         checked = checked.union(_verified(_moved(checked, percent / 50 - 1), sets))
     links = checked.where(linked).select("a", "b")
-    unmet = _unmet(checked, components(links), sets, percent).join(checked.select("a", "b"), ["a", "b"], "left_anti")
-    label = components(links.union(_verified(unmet, sets).where(linked).select("a", "b")))
+    reached = components(links)
+    unmet = _unmet(checked, reached, sets, percent).join(checked.select("a", "b"), ["a", "b"], "left_anti")
+    label = components(reached.toDF("a", "b").union(_verified(unmet, sets).where(linked).select("a", "b")))
     found = members.join(label.withColumnRenamed("id", "node"), "node", "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "node")).alias("component_id"))
     sizes = drawn.select("doc_id", "n_shingles")
     named = sizes.where("doc_id IS NOT NULL").join(found, "doc_id", "left")

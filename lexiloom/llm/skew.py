@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 SHARE = 512
 
 
-def heavy_keys(counts: DataFrame, on: list[str]) -> dict[int, int]:
+def heavy_keys(counts: DataFrame, on: list[str], total: int | None = None) -> dict[int, int]:
     """Hashes of the keys with more than one in SHARE of the rows that column n of `counts` counts, and how many such shares each has.
 
     As the counts sum up to all rows, there are fewer than SHARE such keys.
+    `total` is the number of all rows, where it is known without the counts.
     """
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long")).first()[0]
+    if total is None:
+        total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long")).first()[0]
     parts = F.ceil(F.col("n") * F.lit(SHARE) / F.lit(max(total, 1))).cast("int")
     rows = counts.where(F.col("n") * SHARE > total).select(F.xxhash64(*on).alias("key"), parts.alias("parts")).collect()
     found: dict[int, int] = {}

@@ -210,3 +210,29 @@ def test_vector_edges(spark):
     assert {i: by[i] for i in (7, 8, 9, 11)} == {7: (3, 7, True), 8: (3, 7, False), 9: (3, 7, False), 11: (3, 7, False)}
     assert all(by[i] == (0, i, True) for i in (1, 2, 3, 4, 5, 6, 10, 12)) and by[None] == (0, None, True)
     assert neighbours.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
+
+
+def test_components_rounds(spark, monkeypatch):
+    """Stars need no round, and none is run to see that nothing changes; components are right on chains, stars and loops."""
+    from lexiloom.llm import components as C
+
+    cuts, rng = [], np.random.default_rng(7)
+    monkeypatch.setattr(C, "cut", lambda df, f=C.cut: cuts.append(1) or f(df))
+
+    def found(links):
+        cuts.clear()
+        got = [tuple(r) for r in C.components(spark.createDataFrame(links, "a long, b long")).collect()]
+        root = {x: x for ab in links if None not in ab and ab[0] != ab[1] for x in ab}
+        for _ in root:
+            for a, b in links:
+                if a in root and b in root and a != b:
+                    root[a] = root[b] = min(root[a], root[b])
+        assert len(got) == len(root) and dict(got) == root
+        return len(cuts)
+
+    star = [(i, 3) for i in range(4, 40)] + [(3, 9), (50, 51), (51, 50), (7, 7), (None, 8), (8, None)]
+    assert found(star) == 1
+    assert found([]) == 1
+    assert found([*star, (45, 44), (44, 46), (46, 12)]) <= 4
+    assert found([(i, i + 1) for i in range(30)]) <= 7
+    found([tuple(map(int, rng.integers(0, 60, 2))) for _ in range(45)])
