@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import random
 import zlib
-from bisect import bisect_left, bisect_right, insort
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -64,6 +64,16 @@ class Bins:
         self.bins.append(items)
         self.room.append(room)
 
+    def fill(self, bins: list[list[int]], room: list[int]) -> None:
+        """Take all bins with their free spaces at once; there are none yet."""
+        by_room = self.by_room
+        for b, r in enumerate(room):
+            if r in by_room:
+                by_room[r].append(b)
+            else:
+                by_room[r] = [b]
+        self.bins, self.room, self.rooms = bins, room, sorted(by_room)
+
     def place(self, items: list[int]) -> None:
         """Put each piece in the bin that it leaves least room in, or in a new one."""
         sizes, by_room, room, bins, rooms = self.sizes, self.by_room, self.room, self.bins, self.rooms
@@ -117,25 +127,31 @@ def lower_bound(sizes: list[int], capacity: int) -> int:
 
 def put_back(made: list[tuple[list[int], int]], displaced: list[int], sizes: list[int], capacity: int) -> Bins:
     """Bins, given with their free space, with the displaced pieces: first in exchange for smaller ones of bins of few pieces, then by best fit."""
-    free = sorted((sizes[i], i) for i in displaced)
-    out = Bins(sizes, capacity)
+    base = len(sizes) + 1
+    free = sorted([sizes[i] * base + i for i in displaced])  # by size, then by number
+    bins, rooms = [], []
     for items, room in made:
         if room and free and len(items) <= SWAPPED:
-            n, best = len(items), (0, 0, ())
+            n, most, at, gone = len(items), 0, 0, ()
+            own = [sizes[i] for i in items]
             for x in range(n):
                 for y in range(x, n):  # one piece if y is x
-                    gone = sizes[items[x]] + (sizes[items[y]] if y > x else 0)
-                    at = bisect_right(free, (gone + room, len(sizes))) - 1
-                    if at >= 0 and free[at][0] - gone > best[0]:
-                        best = (free[at][0] - gone, at, (x, y) if y > x else (x,))
-            if best[0]:
-                _, at, gone = best
-                new = [i for k, i in enumerate(items) if k not in gone] + [free.pop(at)[1]]
-                for k in gone:
-                    insort(free, (sizes[items[k]], items[k]))
-                items, room = new, room - best[0]
-        out.open(items[:], room)
-    out.place([i for _, i in reversed(free)])
+                    less = own[x] + own[y] if y > x else own[x]
+                    k = bisect_left(free, (less + room + 1) * base) - 1
+                    if k >= 0 and free[k] // base - less > most:
+                        most, at, gone = free[k] // base - less, k, (x, y)
+                if most == room:  # full
+                    break
+            if most:
+                new = [i for k, i in enumerate(items) if k not in gone] + [free.pop(at) % base]
+                for k in sorted({*gone}):
+                    insort(free, own[k] * base + items[k])
+                items, room = new, room - most
+        bins.append(items[:] if room else items)  # full ones never change
+        rooms.append(room)
+    out = Bins(sizes, capacity)
+    out.fill(bins, rooms)
+    out.place([x % base for x in reversed(free)])
     return out
 
 

@@ -69,6 +69,7 @@ class Coder:
 
         self.added = added
         self.split = regex.compile(PATTERN).findall
+        self.letters = regex.compile(r"\p{L}+").match
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")").split if added else None
         self.odd = [(c, c + " ") for c in map(chr, range(0x3001)) if regex.match(f"[{SPACES}]", c)]  # of these some, with white space after it, is no cut
         self.word = lambda w: array("I", word(w)).tobytes()
@@ -76,14 +77,18 @@ class Coder:
         self.spaced = Cache(self._spaced, most)
 
     def _spaced(self, part: str) -> bytes:
-        """The ids of a stretch after its space; letters, and letters before a full stop or comma, are words by the pattern."""
+        """The ids of a stretch after its space; the letters that it begins with are a word by the pattern, whatever follows."""
         if part.isalpha():
             return self.word(" " + part)
         head = part[:-1]
-        if part[-1:] in (".", ",") and head.isalpha():
-            known = self.spaced.get(head) or self.spaced.old.get(head)
-            return (known or self.word(" " + head)) + self.words[part[-1]]
-        return b"".join([self.words[w] for w in self.split(" " + part)])
+        if not (part[-1:] in (".", ",") and head.isalpha()):
+            begin = self.letters(part)
+            if not begin:
+                return b"".join([self.words[w] for w in self.split(" " + part)])
+            head = begin[0]
+        rest = part[len(head) :]
+        known = self.spaced.get(head) or self.spaced.old.get(head)
+        return (known or self.word(" " + head)) + (self.words[rest] if len(rest) == 1 else b"".join([self.words[w] for w in self.split(rest)]))
 
     def packed(self, text: str | None) -> bytes:
         """The ids of a text, strings of added tokens as those tokens; none for null."""

@@ -391,3 +391,33 @@ def test_quality_edges(spark):
     assert all(0 <= r["expected_grade"] <= 2 for r in got.collect())
     none = quality.select(d, labels.limit(0))
     assert none.count() == 6 and quality.score(d.limit(0), quality.train(d, labels)).count() == 0
+
+
+def test_bins_at_once():
+    """Bins taken at once are as those opened one by one, and full ones are not copied; pieces are put back where they fill best."""
+    rng = random.Random(4)
+    for _ in range(200):
+        sizes = sorted((rng.randrange(1, 65) for _ in range(rng.randrange(1, 60))), reverse=True)
+        packed = packing.best_fit(sizes, rng.sample(range(len(sizes)), len(sizes)), 64)
+        one, many = packing.Bins(sizes, 64), packing.Bins(sizes, 64)
+        for b in packed.bins:
+            one.open(b)
+        many.fill(packed.bins, packed.room)
+        assert (one.bins, one.room, one.rooms, one.by_room) == (many.bins, many.room, many.rooms, many.by_room)
+        out = rng.sample(range(len(packed.bins)), len(packed.bins) // 2)
+        stay = [(b, packed.room[k]) for k, b in enumerate(packed.bins) if k not in out]
+        before = [b[:] for b in packed.bins]
+        made = packing.put_back(stay, [i for k in out for i in packed.bins[k]], sizes, 64)
+        assert before == packed.bins
+        assert sorted(i for b in made.bins for i in b) == list(range(len(sizes)))
+        assert all(64 - sum(sizes[i] for i in b) == r >= 0 for b, r in zip(made.bins, made.room, strict=True))
+        full = {id(b) for b, r in stay if not r}
+        assert full <= {id(b) for b in made.bins}
+
+
+def test_first_letters_of_a_stretch():
+    """Letters that begin a stretch are encoded as a word once, whatever follows: they are not kept again with their space."""
+    coder = tokens.library_coder(PATH)
+    text = "a nerodin nerodin.\nTha nerodin's nerodin%%% nerodin7 é²ß nerodin"
+    assert np.frombuffer(coder.packed(text), "<u4").tolist() == loaded().encode(text, add_special_tokens=False).ids
+    assert not any("nerodin" in w for w in coder.words)
