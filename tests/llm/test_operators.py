@@ -421,3 +421,41 @@ def test_first_letters_of_a_stretch():
     text = "a nerodin nerodin.\nTha nerodin's nerodin%%% nerodin7 é²ß nerodin"
     assert np.frombuffer(coder.packed(text), "<u4").tolist() == loaded().encode(text, add_special_tokens=False).ids
     assert not any("nerodin" in w for w in coder.words)
+
+
+@functools.cache
+def word_tables():
+    """One of the usual size, one whose words take each other's places and that is emptied again and again."""
+    small = tokens.WordTable(library_coder(), places=4, most=20)
+    small.BLOCK = 7
+    return tokens.WordTable(library_coder()), small
+
+
+@given(st.lists(st.none() | st.text(alphabet=st.sampled_from(list(" \t\n ab'stremvdl.,1éß×²日🙂\x00\x1c\x85\xa0　")) | st.characters(codec="utf-8"), max_size=40), max_size=6), st.integers(0, 2))
+@settings(max_examples=400, deadline=None)
+def test_word_tables_agree_with_the_library(texts, skip):
+    column = pa.array(texts, pa.string()).slice(min(skip, len(texts)))
+    want = [ids_of(loaded(), t).tobytes() for t in texts[skip:]]
+    assert all(t.packed(column) == want for t in word_tables())
+
+
+def test_word_table_on_odd_texts(library):
+    texts = [*TEXTS, "it's we'll they've 'tis ''s x--'s 's's 'rest 'S 'l 'r", "'", "s", "x'", "d", "<|endoftext|>", "x <|endoftext|>'s", " 　a　 b　　c 　", "a\x00 \x00a", "é" * 40, "0123456789abcdef " * 3, "abcdefghijklmno abcdefghijklmnop"]
+    for table in word_tables():
+        assert table.packed(pa.array(texts)) == [ids_of(library, t).tobytes() for t in texts]
+        assert table.packed(pa.array([], pa.string())) == [] and table.packed(pa.array([None, ""])) == [b"", b""]
+
+
+def test_words_of_a_column_are_encoded_once(library, monkeypatch):
+    """Whatever stands between two spaces, each word is encoded once: 3,600 different stretches are made of 121 words."""
+    coder, asked = tokens.library_coder(PATH), []
+    word = coder.word
+    coder.word = lambda w: asked.append(w) or word(w)
+    monkeypatch.setattr(tokens, "library_coder", lambda path: coder)
+    monkeypatch.setattr(tokens, "_CODERS", {}, raising=False)
+    monkeypatch.setattr(tokens, "_TABLES", {}, raising=False)
+    names = ["".join(chr(97 + int(d)) for d in str(1000 + i)) for i in range(60)]
+    texts = ["".join(f" {a}.{b}" for b in names) for a in names]
+    (part, got), = tokens.packed_texts(iter([pa.record_batch({"text": pa.array(texts)})]), PATH, 0)
+    assert got == [ids_of(library, t, [0]).tobytes() for t in texts]
+    assert len(asked) == len(set(asked)) == 121
