@@ -12,8 +12,10 @@ rows, another prompt or model, or stopped half way.
 from __future__ import annotations
 
 import json
+import threading
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -33,6 +35,9 @@ RESULT = "key string, text string, error string, input_tokens long, output_token
 COUNTS = ("input_tokens", "output_tokens", "reasoning_tokens", "total_tokens")
 #: Bits that tell which hashes of keys there are: 8 MB, whatever their number.
 BITS = 1 << 26
+#: Bytes of requests in a batch that goes to a backend; a task holds about ten times as many, as strings, answers and results.
+BATCH = 1 << 21
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 ANSWER = ["request", *[c.split()[0] for c in RESULT.split(", ")], "attempt", "phase", "mode", "model", "failure", "ok"]
 
 
@@ -106,6 +111,30 @@ def _attached(backend: Backend):
     return run
 
 
+_bounded: dict[str, list] = {}  # by session: how many ask just now, and its own setting
+_lock = threading.Lock()
+
+
+@contextmanager
+def bounded_batches(spark: SparkSession) -> Iterator[None]:
+    """What runs meanwhile hands rows to Python in batches of BATCH bytes, so that memory of tasks depends on one request's size at most, not on the number in a batch."""
+    session = spark._jsparkSession.sessionUUID()
+    with _lock:
+        held = _bounded.setdefault(session, [0, None])
+        if not held[0]:
+            held[1] = spark.conf.get(BATCH_BYTES, None)
+            spark.conf.set(BATCH_BYTES, str(BATCH))
+        held[0] += 1
+    try:
+        yield
+    finally:
+        with _lock:
+            held[0] -= 1
+            if not held[0]:
+                spark.conf.unset(BATCH_BYTES) if held[1] is None else spark.conf.set(BATCH_BYTES, held[1])
+                del _bounded[session]
+
+
 def infer(requests: DataFrame, phase: Phase, attempt: int) -> DataFrame:
     """One attempt: requests (key, prompt, ...) with text, error, token counts, attempt, phase, mode and model.
 
@@ -165,7 +194,8 @@ class Answers:
         blank = F.coalesce(F.trim("text") == "", F.lit(True))
         failed = F.coalesce(F.col("error"), F.when(F.col("input_tokens").isNull() & F.col("text").isNull(), "no result returned by backend"), F.when(blank, "empty response"), error_of(F.col("text")))
         rows = got.withColumn("failure", failed).withColumn("ok", F.col("failure").isNull()).select(*ANSWER, *self.keep, F.expr("uuid()").alias("answer"))
-        rows.write.mode("append").option("compression", "zstd").option("mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(f"{self.path}/attempt={attempt}")
+        with bounded_batches(due.sparkSession):
+            rows.write.mode("append").option("compression", "zstd").option("mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(f"{self.path}/attempt={attempt}")
         return rows.schema
 
     def turn(self, due: DataFrame, phase: Phase, attempt: int, error_of: Callable[[Column], Column]) -> tuple[DataFrame, bool]:

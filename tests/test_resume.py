@@ -145,6 +145,29 @@ def test_requests_meet_answers_within_tasks(spark, tmp_path):
     assert sorted(r["more"]["id"] for r in some.collect()) == list(range(0, 60, 7)) and "bitmap" in plan(some)
 
 
+def test_batches_of_requests_are_bounded_by_bytes(spark, tmp_path):
+    """However many requests a partition has, a backend gets few bytes of them at once; the session's setting is as before, also after an error."""
+    requests = spark.range(0, 600, 1, 1).select(F.concat(F.lit("k"), "id").alias("key"), F.repeat(F.lit("x"), 20_000).alias("prompt"))
+
+    def sizes(frames):
+        for f in frames:
+            n = int(f["prompt"].str.len().sum())
+            yield f[["key"]].assign(text=f["prompt"], error=None, input_tokens=n, output_tokens=1, reasoning_tokens=0, total_tokens=n)
+
+    def dies(frames):
+        raise RuntimeError("down")
+        yield from frames
+
+    none, plan = lambda t: F.lit(None).cast("string"), lambda b: [inference.Phase("primary", "batch", "m", 1, b)]
+    before = spark.conf.get(inference.BATCH_BYTES, None)
+    _, final = inference.run_with_retries(requests, plan(sizes), none, inference.Answers(str(tmp_path / "log")))
+    got = final.agg(F.count(F.lit(1)), F.sum(F.length("text")), F.max("input_tokens")).first()
+    assert tuple(got[:2]) == (600, 12_000_000) and 20_000 <= got[2] <= 2 * inference.BATCH
+    with pytest.raises(PySparkException):
+        inference.run_with_retries(requests, plan(dies), none, inference.Answers(str(tmp_path / "other")))
+    assert spark.conf.get(inference.BATCH_BYTES, None) == before
+
+
 def test_repeated_keys_are_an_error(spark, tmp_path):
     requests = spark.createDataFrame([("a", "p"), ("a", "q")], "key string, prompt string")
     plan = [inference.Phase("primary", "parallel", "m", 1, echo.backend)]
