@@ -43,7 +43,8 @@ def json_object(text: Column) -> Column:
         rest = lambda bare: let(span(bare), lambda inner: let(F.when((bare != raw) & _is_json(bare), bare).when(_is_json(inner), inner), lambda v: outcome(raw, inner, v)))
         return F.when(_is_json(raw), outcome(raw, raw, raw)).otherwise(let(strip_fences(raw), rest))
 
-    return let(strip(text), tried)
+    stripped = lambda t: F.when(F.startswith(t, F.lit("{")) & F.endswith(t, F.lit("}")), t).otherwise(strip(t))  # noqa: E731  an object alone needs no search for white space
+    return let(text, lambda t: let(stripped(t), tried))
 
 
 def sections(text: Column) -> Column:

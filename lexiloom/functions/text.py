@@ -26,7 +26,8 @@ def strip(text: Column) -> Column:
 
 
 def is_blank(text: Column) -> Column:
-    return strip(text) == ""
+    """Whether there is nothing but white space; most texts tell by their first character."""
+    return F.substring(text, 1, 1).isin("", *SPACES) & (strip(text) == "")
 
 
 def strip_fences(text: Column) -> Column:

@@ -9,16 +9,24 @@ from pyspark.sql import types as T
 from lexiloom.functions.parse import has_key, kind_of, member
 from lexiloom.functions.text import is_blank, let, strip
 
-CONTROL = r"[\x00-\x08\x0b\x0c\x0e-\x1f]"
+#: Listed one by one: Java looks single characters up in a table, and goes through ranges one after the other.
+CONTROL = "[" + "".join(f"\\x{i:02x}" for i in range(32) if chr(i) not in "\t\n\r") + "]"
 
 
 def tabs(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit("\t"), F.lit("")))
 
 
-def control_error(name: str, text: Column, source: Column) -> Column:
-    """An error for control characters, or for more tabs than the source has."""
-    return F.when(text.rlike(CONTROL), F.lit(f"field '{name}': control character")).when(tabs(text) > tabs(F.coalesce(source, F.lit(""))), F.lit(f"field '{name}': more tabs than the source"))
+def control_error(name: str, text: Column, source: Column, may: Column | None = None) -> Column:
+    """An error for control characters (looked for where there may be some), or for more tabs than the source has."""
+    found = text.rlike(CONTROL) if may is None else may & text.rlike(CONTROL)
+    more = F.contains(text, F.lit("\t")) & (tabs(text) > tabs(F.coalesce(source, F.lit(""))))
+    return F.when(found, F.lit(f"field '{name}': control character")).when(more, F.lit(f"field '{name}': more tabs than the source"))
+
+
+def _may_hold_control(json_text: Column) -> Column:
+    """Whether strings of a JSON text can hold control characters: they are escaped in it, as \\u, \\b or \\f."""
+    return F.contains(json_text, F.lit("\\u")) | F.contains(json_text, F.lit("\\b")) | F.contains(json_text, F.lit("\\f"))
 
 
 def _shaped(value: Column, kind: T.DataType) -> Column:
@@ -38,12 +46,13 @@ def field_value(parsed: Column, name: str, kind: T.DataType) -> Column:
 
 def field_error(parsed: Column, name: str, source: Column, kind: T.DataType) -> Column:
     """The first error of one field, or null."""
-    missing = F.when(~has_key(parsed, name), F.lit(f"missing field '{name}'"))
+    absent = lambda v: F.when(v.isNull() & ~has_key(parsed, name), F.lit(f"missing field '{name}'"))  # noqa: E731  what is found needs no second look
+    missing = let(member(parsed, name), absent)
     if isinstance(kind, T.StringType):
 
         def wrong(v: Column) -> Column:
             shape = F.when(v.isNull(), F.lit(f"field '{name}': expected a string")).when(is_blank(v) & ~is_blank(source), F.lit(f"field '{name}': empty translation"))
-            return F.coalesce(shape, control_error(name, v, source))
+            return F.coalesce(shape, control_error(name, v, source, _may_hold_control(parsed)))
 
     elif isinstance(kind, T.ArrayType):
 
@@ -64,7 +73,7 @@ def field_error(parsed: Column, name: str, source: Column, kind: T.DataType) ->
         return F.coalesce(missing, F.when(source.isNotNull(), shape))
     else:
         return missing
-    return F.coalesce(missing, F.when(source.isNotNull(), let(field_value(parsed, name, kind), wrong)))
+    return let(member(parsed, name), lambda v: F.coalesce(absent(v), F.when(source.isNotNull(), let(_shaped(v, kind), wrong))))
 
 
 def translation_error(parsed: Column, source: Column, kind: T.StructType) -> Column:

@@ -39,7 +39,8 @@ def translate_summary(spark, sf_dir):
         return text.let(parse.json_object(response), lambda p: F.coalesce(p["error"], validate.translation_error(p["value"], source, TEXT)))
 
     _, final = inference.run_with_retries(asked, plan, error_of, inference.Answers(new_path(spark, "answers"), ["language"]), prompts=False)
-    size = F.length(F.get_json_object(parse.json_object(F.col("text"))["value"], "$.text"))
+    bare = F.col("ok") & F.startswith("text", F.lit("{")) & F.endswith("text", F.lit("}"))  # was parsed as it is
+    size = F.length(F.get_json_object(F.when(bare, F.col("text")).otherwise(parse.json_object(F.col("text"))["value"]), "$.text"))
     return final.groupBy("language").agg(F.count(F.lit(1)).alias("n_items"), F.count_if("ok").cast("long").alias("n_valid"), F.sum("attempt").cast("long").alias("n_attempts"), F.sum(size).cast("long").alias("translated_chars"))
 
 
