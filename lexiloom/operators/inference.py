@@ -153,19 +153,33 @@ def infer(requests: DataFrame, phase: Phase, attempt: int) -> DataFrame:
     return out.withColumns({"phase": F.lit(phase.name), "mode": F.lit(phase.mode), "model": F.lit(phase.model)})
 
 
+def _bitmap(keys: DataFrame, place: Column) -> DataFrame:
+    """Which places the keys take, as bits in buckets: BITS in all, whatever their number."""
+    return keys.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("_bits"))
+
+
+def _marked(rows: DataFrame, maps: DataFrame, place: Column, name: str) -> DataFrame:
+    """The rows and whether the bitmap has their place."""
+    bit = F.bitmap_bit_position("_place")
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    found = rows.withColumn("_place", place).join(F.broadcast(maps), F.bitmap_bucket_number("_place") == F.col("_bucket"), "left")
+    return found.withColumn(name, F.coalesce(F.getbit(byte, (bit % 8).cast("int")) == 1, F.lit(False))).drop("_place", "_bucket", "_bits")
+
+
 def of_keys(requests: DataFrame, keys: DataFrame) -> DataFrame:
     """The requests with one of the keys.
 
-    Most others are left out before rows meet their keys in a shuffle, by a bitmap of
-    hashes of the keys, whose size does not grow with their number.
+    A bitmap of hashes of the keys leaves out most others, and a second one of those
+    others that the first lets pass tells which of the rest are surely wanted: these
+    stay where they are.  Only rows that both have are moved to meet their keys.
     """
-    place = F.pmod(F.xxhash64("key"), F.lit(BITS)) + 1
-    maps = keys.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("_bits"))
-    bit = F.bitmap_bit_position("_place")
-    byte = F.conv(F.hex(F.substring("_bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
-    placed = requests.withColumn("_place", place)
-    maybe = placed.join(F.broadcast(maps), F.bitmap_bucket_number("_place") == F.col("_bucket")).where(F.getbit(byte, (bit % 8).cast("int")) == 1)
-    return maybe.select(*requests.columns).join(keys.select("key").distinct(), "key").select(*requests.columns)  # a semi-join would be moved below the bitmap
+    one, two = (F.pmod(F.xxhash64("key", *more), F.lit(BITS)) + 1 for more in ([], [F.lit(1)]))
+    wanted = _bitmap(keys, one)
+    maybe = lambda rows: _marked(rows, wanted, one, "_maybe").where("_maybe").drop("_maybe")
+    others = maybe(requests.select("key")).join(keys.select("key"), "key", "left_anti")
+    told = _marked(maybe(requests), _bitmap(others, two), two, "_unsure")
+    unsure = told.where("_unsure").select(*requests.columns).join(keys.select("key").distinct(), "key").select(*requests.columns)  # a semi-join would be moved below the bitmap
+    return told.where("NOT _unsure").select(*requests.columns).unionByName(unsure)
 
 
 class Answers:

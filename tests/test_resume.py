@@ -168,6 +168,22 @@ def test_batches_of_requests_are_bounded_by_bytes(spark, tmp_path):
     assert spark.conf.get(inference.BATCH_BYTES, None) == before
 
 
+def test_wanted_requests_stay_in_place(spark, monkeypatch):
+    """Where joins shuffle, only requests move that both bitmaps have; the rows are the wanted ones, also where bitmaps are full."""
+    requests = spark.range(0, 3000, 1, 3).select("id", F.concat(F.lit("k"), "id").alias("key"), F.spark_partition_id().alias("part"))
+    keys = requests.where("id % 7 = 0").select("key")
+    bound = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = inference.of_keys(requests, keys).withColumn("at", F.spark_partition_id()).collect()
+        assert sorted(r["id"] for r in got) == list(range(0, 3000, 7)) and sum(r["at"] == r["part"] for r in got) > 0.98 * len(got)
+        for bits in (1, 900):
+            monkeypatch.setattr(inference, "BITS", bits)
+            assert sorted(r["id"] for r in inference.of_keys(requests, keys).collect()) == list(range(0, 3000, 7))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
+
+
 def test_repeated_keys_are_an_error(spark, tmp_path):
     requests = spark.createDataFrame([("a", "p"), ("a", "q")], "key string, prompt string")
     plan = [inference.Phase("primary", "parallel", "m", 1, echo.backend)]
